@@ -1,0 +1,105 @@
+"""The daily run: land, clean, store, load, model, in that order."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+
+from accountloom.plans.cleaning import (
+    clean_activities,
+    clean_contacts,
+    clean_customers,
+    clean_deals,
+    clean_subscriptions,
+)
+from accountloom.plans.core import build_core
+from accountloom.plans.dashboard import create_report_views, register_reports
+from accountloom.plans.staging import stage_all
+from accountloom.schemas import CORE_COLUMNS, ENTITIES
+from accountloom.settings import size_for, stored_bytes
+from accountloom.sources import landing, warehouse
+
+
+def process_day(spark: SparkSession, base: str, day: dt.date | str) -> None:
+    """Clean a landed day into Parquet.
+
+    Contacts are checked against the customers just written, so the
+    deduplication runs once.
+    """
+    sources = landing.read_run(spark, base, day)
+    landing.write_processed(clean_customers(sources["customers"], day), base, day, "customers")
+    kept = landing.read_processed(spark, base, day, "customers").select("customer_id")
+    rest = {
+        "contacts": clean_contacts(sources["contacts"], kept, day),
+        "deals": clean_deals(sources["deals"], day),
+        "activities": clean_activities(sources["activities"], day),
+        "subscriptions": clean_subscriptions(sources["subscriptions"], day),
+    }
+    for entity, df in rest.items():
+        landing.write_processed(df, base, day, entity)
+
+
+def load_day(
+    spark: SparkSession, base: str, day: dt.date | str, database: str, reload: bool = False
+) -> None:
+    """Load a processed day into the raw tables.
+
+    Appending is the default and stores a day twice if it is run twice; reload
+    replaces the day instead.
+    """
+    warehouse.create_raw_tables(spark, database)
+    store = warehouse.reload_raw if reload else warehouse.append_raw
+    for entity in ENTITIES:
+        store(landing.read_processed(spark, base, day, entity), database, entity)
+
+
+def raw_layer(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    return {e: warehouse.raw_table(spark, database, e) for e in ENTITIES}
+
+
+def build_models(
+    spark: SparkSession,
+    database: str,
+    as_of: dt.date | str | None = None,
+    snapshot: dt.date | str | None = None,
+) -> None:
+    """Refresh the core tables and the report views from the raw tables."""
+    warehouse.create_core_tables(spark, database)
+    staged = stage_all(raw_layer(spark, database))
+    for model, df in build_core(staged, as_of, snapshot).items():
+        warehouse.replace_core(df, database, model)
+    create_report_views(spark, database)
+
+
+def run_day(
+    spark: SparkSession,
+    inputs: Mapping[str, str],
+    base: str,
+    database: str,
+    day: dt.date | str,
+    *,
+    as_of: dt.date | str | None = None,
+    snapshot: dt.date | str | None = None,
+    reload: bool = False,
+) -> DataFrame:
+    """One whole run; returns the row count of every table."""
+    size_for(spark, stored_bytes(spark, *inputs.values()))
+    landing.land_sources(spark, inputs, base, day)
+    process_day(spark, base, day)
+    load_day(spark, base, day, database, reload)
+    build_models(spark, database, as_of, snapshot)
+    tables = [f"raw_{e}" for e in ENTITIES] + list(CORE_COLUMNS)
+    return warehouse.row_counts(spark, database, tables)
+
+
+def register_layers(raw: Mapping[str, DataFrame], as_of: dt.date | str | None = None) -> None:
+    """All layers as temporary views, to be queried as SQL text."""
+    staged = stage_all(raw)
+    for entity in ENTITIES:
+        raw[entity].createOrReplaceTempView(f"raw_{entity}")
+        staged[entity].createOrReplaceTempView(f"stg_{entity}")
+    for model, df in build_core(staged, as_of).items():
+        df.createOrReplaceTempView(model)
+    register_reports(dict(raw), as_of)
