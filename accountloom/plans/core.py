@@ -59,10 +59,12 @@ def dim_customers(
     """Customers with their subscription, activity count and latest activity.
 
     One row per distinct customer row and distinct (mrr, status, renewal_date).
-    Activities are summed up, and repeated rows removed, before the joins: joining
-    first would build customers x subscriptions x activities only to group it again.
+    Activities are summed up and plans made distinct before the joins: joining
+    first would build customers x subscriptions x activities only to group it
+    again, and with n stored days n x n rows per customer. The last distinct
+    works on rows the joins have already brought together by customer.
     """
-    people = _one_day(customers, snapshot).distinct()
+    people = _one_day(customers, snapshot)
     plans = (
         _one_day(subscriptions, snapshot)
         .select("customer_id", "mrr", F.col("status").alias("subscription_status"), "renewal_date")
@@ -72,7 +74,8 @@ def dim_customers(
     counted = left_join_unique(people, summary, "customer_id", hot_rows).withColumn(
         "total_activities", F.coalesce("total_activities", F.lit(0))
     )
-    return left_join(counted, plans, "customer_id", hot_rows).select(CORE_COLUMNS["dim_customers"])
+    joined = left_join(counted, plans, "customer_id", hot_rows)
+    return joined.select(CORE_COLUMNS["dim_customers"]).distinct()
 
 
 def customer_activity_chain(
