@@ -103,11 +103,16 @@ def clean_subscriptions(src: DataFrame, day: dt.date | str) -> DataFrame:
     return with_ingestion_date(typed, day)
 
 
+# The sources cleaned on their own; contacts need the customers as well.
+CLEANERS = {
+    "customers": clean_customers,
+    "deals": clean_deals,
+    "activities": clean_activities,
+    "subscriptions": clean_subscriptions,
+}
+
+
 def clean_all(sources: Mapping[str, DataFrame], day: dt.date | str) -> dict[str, DataFrame]:
-    return {
-        "customers": clean_customers(sources["customers"], day),
-        "contacts": clean_contacts(sources["contacts"], customer_ids(sources["customers"]), day),
-        "deals": clean_deals(sources["deals"], day),
-        "activities": clean_activities(sources["activities"], day),
-        "subscriptions": clean_subscriptions(sources["subscriptions"], day),
-    }
+    ids = customer_ids(sources["customers"])
+    cleaned = {entity: clean(sources[entity], day) for entity, clean in CLEANERS.items()}
+    return {**cleaned, "contacts": clean_contacts(sources["contacts"], ids, day)}

@@ -7,13 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountloom.plans.cleaning import (
-    clean_activities,
-    clean_contacts,
-    clean_customers,
-    clean_deals,
-    clean_subscriptions,
-)
+from accountloom.plans.cleaning import CLEANERS, clean_contacts, clean_customers
 from accountloom.plans.core import build_core
 from accountloom.plans.dashboard import create_report_views, register_reports
 from accountloom.plans.staging import stage_all
@@ -31,12 +25,8 @@ def process_day(spark: SparkSession, base: str, day: dt.date | str) -> None:
     sources = landing.read_run(spark, base, day)
     landing.write_processed(clean_customers(sources["customers"], day), base, day, "customers")
     kept = landing.read_processed(spark, base, day, "customers").select("customer_id")
-    rest = {
-        "contacts": clean_contacts(sources["contacts"], kept, day),
-        "deals": clean_deals(sources["deals"], day),
-        "activities": clean_activities(sources["activities"], day),
-        "subscriptions": clean_subscriptions(sources["subscriptions"], day),
-    }
+    rest = {e: clean(sources[e], day) for e, clean in CLEANERS.items() if e != "customers"}
+    rest["contacts"] = clean_contacts(sources["contacts"], kept, day)
     for entity, df in rest.items():
         landing.write_processed(df, base, day, entity)
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property, lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountloom import functions as fn
@@ -23,7 +23,7 @@ from accountloom.plans import cleaning, core, dashboard, pipeline, staging
 from accountloom.schemas import CORE_COLUMNS, DAY, ENTITIES, raw_columns
 from accountloom.settings import apply_plan_settings, scratch_folder, size_for, stored_bytes
 from accountloom.sources import landing, warehouse
-from accountloom.sources.derived import derive_sources
+from accountloom.sources.derived import derive_source
 
 RUN_DAY = dt.date(2025, 1, 1)
 NEXT_DAY = dt.date(2025, 1, 2)
@@ -43,26 +43,38 @@ def _input_bytes(spark: SparkSession, folder: str) -> int:
     return stored_bytes(spark, *[f"{folder}/{t}.parquet" for t in tables])
 
 
+class _OnDemand(dict):
+    """Frames by entity, each built when first asked for."""
+
+    def __init__(self, build: Callable[[str], DataFrame]):
+        super().__init__()
+        self._build = build
+
+    def __missing__(self, entity: str) -> DataFrame:
+        self[entity] = self._build(entity)
+        return self[entity]
+
+
 class Layers:
     """The layers derived from one folder, all lazy."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = apply_plan_settings(spark)
         size_for(spark, _input_bytes(spark, folder))
-        self.src = derive_sources(spark, folder)
-
-    @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        return cleaning.clean_all(self.src, RUN_DAY)
+        self.src = _OnDemand(lambda e: derive_source(spark, folder, e))
+        self.raw = _OnDemand(self._clean)
+        self.stg = _OnDemand(lambda e: staging.STAGES[e](self.raw[e]))
+        # The raw layer holding two days with the same rows, and its staging.
+        self.twice = _OnDemand(
+            lambda e: self.raw[e].unionByName(with_ingestion_date(self.raw[e], NEXT_DAY))
+        )
+        self.stg_twice = _OnDemand(lambda e: staging.STAGES[e](self.twice[e]))
 
-    @cached_property
-    def stg(self) -> dict[str, DataFrame]:
-        return staging.stage_all(self.raw)
-
-    @cached_property
-    def twice(self) -> dict[str, DataFrame]:
-        """The raw layer holding two days with the same rows."""
-        return {e: df.unionByName(with_ingestion_date(df, NEXT_DAY)) for e, df in self.raw.items()}
+    def _clean(self, entity: str) -> DataFrame:
+        if entity == "contacts":
+            ids = cleaning.customer_ids(self.src["customers"])
+            return cleaning.clean_contacts(self.src["contacts"], ids, RUN_DAY)
+        return cleaning.CLEANERS[entity](self.src[entity], RUN_DAY)
 
     @cached_property
     def snapshots(self) -> DataFrame:
@@ -87,8 +99,8 @@ class Layers:
         """The sources written as CSV, by entity."""
         base = self.folder("inputs")
         paths = {e: f"{base}/{e}.csv" for e in ENTITIES}
-        for entity, df in self.src.items():
-            landing.write_source(df, paths[entity])
+        for entity, path in paths.items():
+            landing.write_source(self.src[entity], path)
         return paths
 
 
@@ -228,7 +240,7 @@ def daily_run(x: Layers) -> DataFrame:
 
 def sql_over_views(x: Layers) -> DataFrame:
     """SQL text over views of three layers."""
-    pipeline.register_layers(x.raw, RENEWALS_AS_OF)
+    pipeline.register_layers({e: x.raw[e] for e in ENTITIES}, RENEWALS_AS_OF)
     return x.spark.sql(
         """
         SELECT f.plan_tier, v.deal_stage, v.deal_count AS stage_deals,
@@ -244,13 +256,12 @@ def sql_over_views(x: Layers) -> DataFrame:
 # -- functions --------------------------------------------------------------
 
 
-def apply(entity: str, **columns) -> Callable[[Layers], DataFrame]:
-    """The source's key beside some computed columns."""
+def apply(entity: str, value: Callable[[], Column]) -> Callable[[Layers], DataFrame]:
+    """The source's key beside a computed value."""
 
     def run(x: Layers) -> DataFrame:
-        src = x.src[entity]
-        key = src.columns[0]
-        return src.select(F.col(key).alias("row_key"), *[c.alias(n) for n, c in columns.items()])
+        key = x.src[entity].columns[0]
+        return x.src[entity].select(F.col(key).alias("row_key"), value().alias("value"))
 
     return run
 
@@ -317,20 +328,18 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
         "customer_id", "email", "name"
     ),
     # functions
-    "fn_normalize_enum": apply("deals", value=fn.normalize_enum("deal_stage")),
-    "fn_normalize_email": apply("customers", value=fn.normalize_email("email")),
-    "fn_initcap_company": apply("customers", value=fn.capitalize_words("company")),
-    "fn_initcap_delims": apply("customers", value=fn.capitalize_parts("company")),
-    "fn_try_cast_int": apply("customers", value=fn.to_int("customer_id")),
-    "fn_try_cast_double": apply("deals", value=fn.to_double("deal_value")),
-    "fn_parse_date": apply(
-        "customers", value=fn.parse_date("signup_date")
-    ),
-    "fn_parse_timestamp": apply("activities", value=fn.parse_timestamp("timestamp")),
-    "fn_round_money": apply("deals", value=fn.round_money(fn.to_double("deal_value"))),
-    "fn_month_trunc": apply("customers", value=fn.month_of(fn.parse_date("signup_date"))),
+    "fn_normalize_enum": apply("deals", lambda: fn.normalize_enum("deal_stage")),
+    "fn_normalize_email": apply("customers", lambda: fn.normalize_email("email")),
+    "fn_initcap_company": apply("customers", lambda: fn.capitalize_words("company")),
+    "fn_initcap_delims": apply("customers", lambda: fn.capitalize_parts("company")),
+    "fn_try_cast_int": apply("customers", lambda: fn.to_int("customer_id")),
+    "fn_try_cast_double": apply("deals", lambda: fn.to_double("deal_value")),
+    "fn_parse_date": apply("customers", lambda: fn.parse_date("signup_date")),
+    "fn_parse_timestamp": apply("activities", lambda: fn.parse_timestamp("timestamp")),
+    "fn_round_money": apply("deals", lambda: fn.round_money(fn.to_double("deal_value"))),
+    "fn_month_trunc": apply("customers", lambda: fn.month_of(fn.parse_date("signup_date"))),
     "fn_days_until": apply(
-        "subscriptions", value=fn.days_until(fn.parse_date("renewal_date"), RENEWALS_AS_OF)
+        "subscriptions", lambda: fn.days_until(fn.parse_date("renewal_date"), RENEWALS_AS_OF)
     ),
     # layers
     **{f"clean_{e}": (lambda x, e=e: x.raw[e]) for e in ENTITIES},
@@ -344,12 +353,12 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     ),
     # two stored days: joined across days, and built from one of them
     **{
-        f"{m}_two_days": (lambda x, m=m: core.build_core(staging.stage_all(x.twice), RENEWALS_AS_OF)[m])
+        f"{m}_two_days": (lambda x, m=m: core.build_core(x.stg_twice, RENEWALS_AS_OF)[m])
         for m in CORE_COLUMNS
     },
     **{
         f"{m}_snapshot": (
-            lambda x, m=m: core.build_core(staging.stage_all(x.twice), RENEWALS_AS_OF, RUN_DAY)[m]
+            lambda x, m=m: core.build_core(x.stg_twice, RENEWALS_AS_OF, RUN_DAY)[m]
         )
         for m in CORE_COLUMNS
     },

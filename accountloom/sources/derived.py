@@ -12,8 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.schemas import ENTITIES
-
 
 @dataclass(frozen=True)
 class Dialect:
@@ -141,7 +139,3 @@ def derive_source(spark: SparkSession, folder: str, entity: str) -> DataFrame:
         rows = table(FROM[entity])
     columns = source_expressions(entity, SPARK)
     return rows.select([F.expr(x).alias(c) for c, x in columns.items()])
-
-
-def derive_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {e: derive_source(spark, folder, e) for e in ENTITIES}

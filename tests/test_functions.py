@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from accountloom import functions as fn
+from accountloom.functions.dates import ISO_DATE, ISO_TIMESTAMP, US_DATE, US_TIMESTAMP
+from tests.support import settings, value_of
+
+NUMBERS = [
+    "12", " 12 ", "\t12\n", "-7", "+7", "12.0", "12.7", "-0.9", "+7.9", ".5", "-.5", "12.", ".",
+    "-", "+", "", " ", "12x", "X12", "1e3", "1.x", "1.2.3", "2147483647", "2147483648",
+    "-2147483648", "99999999999", "99999999999.5", "NaN", "Infinity", "-inf", "1.5d", "0x10",
+    "1,000", "١٢", None,
+]
+
+DATES = [
+    "2024-01-02", "01/02/2024", "1/2/2024", "2024-1-2", "2024-02-30", "02/30/2024", "unknown", "",
+    " 2024-01-02", "2024-01-02 10:00:00", "01/02/2024 10:00", "2024/01/02", "13/01/2024",
+    "01-02-2024", "0000-01-01", "+12024-01-01", "12024-01-01", "2024-02-29", "02/29/2024", None,
+]
+
+TIMESTAMPS = [
+    "2024-01-02 03:04:05", "01/02/2024 03:04", "2024-01-02 03:04", "01/02/2024 03:04:05",
+    "2024-01-02", "01/02/2024", "n/a", "2024-01-02 25:00:00", "01/02/2024 24:00",
+    "2024-01-02T03:04:05", "2024-02-30 00:00:00", "", None,
+]
+
+
+def _all(spark, values, *columns):
+    frame = spark.createDataFrame([(v,) for v in values], "x string")
+    return [tuple(r) for r in frame.select(*columns).collect()]
+
+
+def test_number_casts_equal_the_lenient_cast(spark):
+    """Text that a cast without ANSI mode turns into a number or NULL, does the same here."""
+    ours = _all(spark, NUMBERS, fn.to_int("x"), F.hash(fn.to_double("x")), fn.to_int("x", "bigint"))
+    with settings(spark, spark__sql__ansi__enabled="false"):
+        x = F.col("x")
+        lenient = _all(spark, NUMBERS, x.cast("int"), F.hash(x.cast("double")), x.cast("bigint"))
+    assert ours == lenient
+
+
+def test_decimal_text_is_cut_and_overflow_is_null(spark):
+    assert value_of(spark, fn.to_int("x"), x="12.7") == 12
+    assert value_of(spark, fn.to_int("x"), x="3000000000") is None
+    assert value_of(spark, fn.to_int("x", "bigint"), x="3000000000") == 3000000000
+
+
+def test_dates_equal_trying_the_formats_in_turn(spark):
+    x = F.col("x")
+    in_turn = F.coalesce(F.try_to_date(x, ISO_DATE), F.try_to_date(x, US_DATE))
+    as_text = [fn.parse_date("x").cast("string"), in_turn.cast("string")]
+    for ours, expected in _all(spark, DATES, *as_text):
+        assert ours == expected
+
+
+def test_timestamps_equal_trying_the_formats_in_turn(spark):
+    x = F.col("x")
+    in_turn = F.coalesce(
+        F.try_to_timestamp(x, F.lit(ISO_TIMESTAMP)), F.try_to_timestamp(x, F.lit(US_TIMESTAMP))
+    )
+    for ours, expected in _all(spark, TIMESTAMPS, fn.parse_timestamp("x"), in_turn):
+        assert ours == expected
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2024-03-09", dt.date(2024, 3, 9)),
+        ("03/09/2024", dt.date(2024, 3, 9)),
+        ("3/9/2024", None),
+        ("2024-03-09 10:00:00", None),
+        ("unknown", None),
+        (None, None),
+    ],
+)
+def test_parse_date(spark, text, expected):
+    assert value_of(spark, fn.parse_date("x"), x=text) == expected
+
+
+def test_timestamp_without_seconds(spark):
+    parsed = value_of(spark, fn.parse_timestamp("x").cast("string"), x="03/09/2024 17:45")
+    assert parsed == "2024-03-09 17:45:00"
+
+
+def test_words_split_at_spaces_or_also_at_punctuation(spark):
+    company = " smith-jones & o'NEIL,inc_ltd  co "
+    assert value_of(spark, fn.capitalize_words("x"), x=company) == "Smith-jones & O'neil,inc_ltd  Co"
+    assert value_of(spark, fn.capitalize_parts("x"), x=company) == "Smith-Jones & O'neil,Inc_Ltd  Co"
+    assert value_of(spark, fn.capitalize_parts("x"), x="") == ""
+    assert value_of(spark, fn.capitalize_parts("x"), x=None) is None
+
+
+@pytest.mark.parametrize("delimiter", list(r"""[](){}/|\<>!?@"^#$&~_,.:;*%+-""") + [" ", "\t"])
+def test_every_delimiter_starts_a_word(spark, delimiter):
+    assert value_of(spark, fn.capitalize_parts("x"), x=f"ab{delimiter}cd") == f"Ab{delimiter}Cd"
+
+
+def test_trimming_spaces_or_all_whitespace(spark):
+    padded = "\t  a b  \n"
+    assert value_of(spark, fn.normalize_email("x"), x="\tA@B ") == "\ta@b"
+    assert value_of(spark, fn.trim_whitespace("x"), x=padded) == "a b"
+
+
+def test_round_money_rounds_half_away_from_zero(spark):
+    assert value_of(spark, fn.round_money(fn.to_double("x")), x="1.005") == 1.01
+    assert value_of(spark, fn.round_money(fn.to_double("x")), x="-2.345") == -2.35
+
+
+def test_month_is_a_date(spark):
+    assert value_of(spark, fn.month_of(fn.parse_date("x")), x="2024-03-09") == dt.date(2024, 3, 1)
+
+
+def test_days_until_is_signed_and_defaults_to_today(spark):
+    renewal = fn.parse_date("x")
+    assert value_of(spark, fn.days_until(renewal, "2024-03-01"), x="2024-03-09") == 8
+    assert value_of(spark, fn.days_until(renewal, "2024-03-10"), x="2024-03-09") == -1
+    assert value_of(spark, fn.days_until(F.current_date()), x="") == 0
+    assert value_of(spark, fn.days_before(7, "2024-03-01"), x="") == dt.date(2024, 2, 23)
+
+
+@pytest.mark.parametrize("text", ["2025-1-1", "01/01/2025", "2025-02-30", "today", ""])
+def test_a_malformed_run_date_stops_the_run(text):
+    with pytest.raises(ValueError):
+        fn.run_date(text)

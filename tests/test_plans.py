@@ -1,0 +1,73 @@
+"""What the plans must and must not contain."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from accountloom.plans import core
+from accountloom.queries import _QUERIES, Layers, all_queries
+from tests.support import TESTDATA, plan, settings
+
+WRITES = {
+    name
+    for name in _QUERIES
+    if name.startswith(("scan_", "sink_", "load_", "land_", "create_", "materialize_"))
+} | {"retention_drop_days", "verify_counts", "read_pruned_range", "daily_run"}
+
+
+@pytest.fixture(scope="module")
+def layers(spark):
+    return Layers(spark, TESTDATA)
+
+
+@pytest.mark.parametrize("name", sorted(set(_QUERIES) - WRITES))
+def test_no_python_in_plans_and_no_cross_joins(spark, name):
+    text = plan(all_queries()[name](spark, TESTDATA))
+    for node in ("Python", "Pandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text
+
+
+def test_deduplication_cuts_groups_before_the_shuffle(layers):
+    text = plan(layers.raw["customers"], "simple")
+    before_shuffle = text[text.index("Exchange hashpartitioning(email") :]
+    assert text.count("WindowGroupLimit") == 2
+    assert "WindowGroupLimit" in before_shuffle
+
+
+def test_null_emails_are_dropped_below_the_window(layers):
+    text = plan(layers.stg["customers"], "simple")
+    assert "isnotnull" in text[text.index("Exchange hashpartitioning(email") :]
+
+
+def test_distinct_count_spreads_over_activities(layers):
+    text = plan(core.activity_summary(layers.stg["activities"]), "simple")
+    assert re.search(r"Exchange hashpartitioning\(customer_id#\d+, activity_id#\d+", text)
+
+
+def test_scans_read_needed_columns(spark, layers):
+    text = plan(all_queries()["deal_distribution_by_stage"](spark, TESTDATA))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in text
+
+
+def test_no_full_key_leaves_one_plain_join(spark, layers):
+    """The second branch and the broadcast list are gone once the list is seen to be empty."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        fact = core.fact_deals(layers.stg["deals"], layers.stg["customers"])
+        fact.collect()
+        final = plan(fact, "simple").split("== Initial Plan ==")[0]
+    assert final.count("SortMergeJoin") == 1
+    assert "BroadcastHashJoin [customer_id" not in final
+    assert "Union" not in final
+
+
+def test_a_full_key_takes_the_second_branch(spark, layers):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        customers = layers.stg["customers"]
+        repeated = customers.unionByName(customers.filter("customer_id = 1"))
+        fact = core.fact_deals(layers.stg["deals"], repeated, hot_rows=1)
+        fact.collect()
+        final = plan(fact, "simple").split("== Initial Plan ==")[0]
+    assert re.search(r"SortMergeJoin .*, Inner", final)
+    assert re.search(r"SortMergeJoin .*, LeftOuter", final)
