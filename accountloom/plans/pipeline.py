@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,7 @@ from accountloom.plans.staging import stage_all
 from accountloom.schemas import CORE_COLUMNS, ENTITIES
 from accountloom.settings import size_for, stored_bytes
 from accountloom.sources import landing, warehouse
+from accountloom.sources.parallel import write_together
 
 
 def process_day(spark: SparkSession, base: str, day: dt.date | str) -> None:
@@ -27,8 +29,9 @@ def process_day(spark: SparkSession, base: str, day: dt.date | str) -> None:
     kept = landing.read_processed(spark, base, day, "customers").select("customer_id")
     rest = {e: clean(sources[e], day) for e, clean in CLEANERS.items() if e != "customers"}
     rest["contacts"] = clean_contacts(sources["contacts"], kept, day)
-    for entity, df in rest.items():
-        landing.write_processed(df, base, day, entity)
+    write_together(
+        spark, [partial(landing.write_processed, df, base, day, e) for e, df in rest.items()]
+    )
 
 
 def load_day(
@@ -41,8 +44,7 @@ def load_day(
     """
     warehouse.create_raw_tables(spark, database)
     store = warehouse.reload_raw if reload else warehouse.append_raw
-    for entity in ENTITIES:
-        store(landing.read_processed(spark, base, day, entity), database, entity)
+    store({e: landing.read_processed(spark, base, day, e) for e in ENTITIES}, database)
 
 
 def raw_layer(spark: SparkSession, database: str) -> dict[str, DataFrame]:
@@ -58,8 +60,7 @@ def build_models(
     """Refresh the core tables and the report views from the raw tables."""
     warehouse.create_core_tables(spark, database)
     staged = stage_all(raw_layer(spark, database))
-    for model, df in build_core(staged, as_of, snapshot).items():
-        warehouse.replace_core(df, database, model)
+    warehouse.replace_core(build_core(staged, as_of, snapshot), database)
     create_report_views(spark, database)
 
 

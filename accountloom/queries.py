@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import cached_property, lru_cache
+from functools import cached_property, lru_cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from accountloom.schemas import CORE_COLUMNS, DAY, ENTITIES, raw_columns
 from accountloom.settings import apply_plan_settings, scratch_folder, size_for, stored_bytes
 from accountloom.sources import landing, warehouse
 from accountloom.sources.derived import derive_source
+from accountloom.sources.parallel import write_together
 
 RUN_DAY = dt.date(2025, 1, 1)
 NEXT_DAY = dt.date(2025, 1, 2)
@@ -99,8 +100,9 @@ class Layers:
         """The sources written as CSV, by entity."""
         base = self.folder("inputs")
         paths = {e: f"{base}/{e}.csv" for e in ENTITIES}
-        for entity, path in paths.items():
-            landing.write_source(self.src[entity], path)
+        write_together(
+            self.spark, [partial(landing.write_source, self.src[e], p) for e, p in paths.items()]
+        )
         return paths
 
 
@@ -160,22 +162,21 @@ def sink_append_table(x: Layers) -> DataFrame:
     """Appending the same day twice doubles every count."""
     database = x.database()
     for _ in range(2):
-        warehouse.append_raw(x.raw["deals"], database, "deals")
+        warehouse.append_raw({"deals": x.raw["deals"]}, database)
     return _per_stage_and_day(warehouse.raw_table(x.spark, database, "deals"))
 
 
 def sink_reload_partition(x: Layers) -> DataFrame:
     """Two days are loaded and one of them again; no count changes."""
     database = x.database()
-    warehouse.append_raw(x.twice["deals"], database, "deals", many_days=True)
-    warehouse.reload_raw(with_ingestion_date(x.raw["deals"], NEXT_DAY), database, "deals")
+    warehouse.append_raw({"deals": x.twice["deals"]}, database, many_days=True)
+    warehouse.reload_raw({"deals": with_ingestion_date(x.raw["deals"], NEXT_DAY)}, database)
     return _per_stage_and_day(warehouse.raw_table(x.spark, database, "deals"))
 
 
 def _load_all(x: Layers) -> str:
     database = x.database()
-    for entity in ENTITIES:
-        warehouse.append_raw(x.raw[entity], database, entity)
+    warehouse.append_raw({e: x.raw[e] for e in ENTITIES}, database)
     return database
 
 
@@ -186,7 +187,7 @@ def load_raw_tables(x: Layers) -> DataFrame:
 def create_raw_tables(x: Layers) -> DataFrame:
     """Creating tables again keeps what they hold; ids come back widened."""
     database = x.database()
-    warehouse.append_raw(x.raw["customers"], database, "customers")
+    warehouse.append_raw({"customers": x.raw["customers"]}, database)
     warehouse.create_raw_tables(x.spark, database)
     return warehouse.raw_table(x.spark, database, "customers")
 
@@ -198,7 +199,7 @@ def materialize(model: str) -> Callable[[Layers], DataFrame]:
         staged = staging.stage_all(pipeline.raw_layer(x.spark, database))
         frame = core.build_core(staged, RENEWALS_AS_OF)[model]
         for _ in range(2):
-            warehouse.replace_core(frame, database, model)
+            warehouse.replace_core({model: frame}, database)
         return x.spark.table(f"{database}.{model}")
 
     return run
@@ -208,22 +209,21 @@ def retention_drop_days(x: Layers) -> DataFrame:
     """As retention_30d, on a stored table: whole days are dropped from it."""
     database = x.database()
     dated = require(x.snapshots, DAY)
-    warehouse.append_raw(dated, database, "customers", many_days=True)
+    warehouse.append_raw({"customers": dated}, database, many_days=True)
     warehouse.drop_expired_days(x.spark, f"{database}.raw_customers", HEALTH_AS_OF, 30)
     return warehouse.raw_table(x.spark, database, "customers")
 
 
 def verify_counts(x: Layers) -> DataFrame:
     database = x.database()
-    for entity in ("customers", "deals"):
-        warehouse.append_raw(x.raw[entity], database, entity)
+    warehouse.append_raw({e: x.raw[e] for e in ("customers", "deals")}, database)
     return warehouse.row_counts(x.spark, database, ["raw_customers", "raw_deals"])
 
 
 def read_pruned_range(x: Layers) -> DataFrame:
     """A few days and one tier of a table of many days."""
     database = x.database()
-    warehouse.append_raw(x.snapshots, database, "customers", many_days=True)
+    warehouse.append_raw({"customers": x.snapshots}, database, many_days=True)
     table = warehouse.raw_table(x.spark, database, "customers")
     days = within_days(table, dt.date(2024, 12, 10), dt.date(2024, 12, 20))
     return days.filter(F.col("plan_tier") == "growth")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from accountloom.functions.dates import run_date
 from accountloom.schemas import ENTITIES, SOURCE_COLUMNS, source_schema
+from accountloom.sources.parallel import write_together
 
 
 def raw_path(base: str, day: dt.date | str, entity: str) -> str:
@@ -73,8 +75,9 @@ def land_sources(
     if missing:
         raise FileNotFoundError(f"no path given for {', '.join(missing)}")
     found = {e: read_source(spark, inputs[e], e, **options) for e in ENTITIES}
-    for entity, df in found.items():
-        write_source(df, raw_path(base, day, entity))
+    write_together(
+        spark, [partial(write_source, df, raw_path(base, day, e)) for e, df in found.items()]
+    )
 
 
 def write_processed(df: DataFrame, base: str, day: dt.date | str, entity: str) -> None:

@@ -7,8 +7,9 @@ statistics let a reader skip the blocks of other plans or stages.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from accountloom.schemas import (
     column_ddl,
     raw_columns,
 )
+from accountloom.sources.parallel import write_together
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -73,25 +75,43 @@ def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def append_raw(df: DataFrame, database: str, entity: str, many_days: bool = False) -> None:
-    """Add rows; loading the same day twice stores it twice."""
-    rows = _by_day(df, raw_columns(entity), RAW_CLUSTERING[entity], many_days)
-    rows.write.mode("append").insertInto(f"{database}.raw_{entity}")
+def _insert_raw(
+    frames: Mapping[str, DataFrame], database: str, mode: str, many_days: bool
+) -> None:
+    def insert(entity: str, df: DataFrame) -> None:
+        rows = _by_day(df, raw_columns(entity), RAW_CLUSTERING[entity], many_days)
+        rows.write.mode(mode).insertInto(f"{database}.raw_{entity}")
+
+    spark = next(iter(frames.values())).sparkSession
+    write_together(spark, [partial(insert, e, df) for e, df in frames.items()])
+
+
+def append_raw(
+    frames: Mapping[str, DataFrame], database: str, many_days: bool = False
+) -> None:
+    """Add rows by entity; loading the same day twice stores it twice."""
+    _insert_raw(frames, database, "append", many_days)
+
 
+def reload_raw(
+    frames: Mapping[str, DataFrame], database: str, many_days: bool = False
+) -> None:
+    """Replace the days that occur in the frames and leave all others; safe to repeat."""
+    with _overwrite_mode(next(iter(frames.values())).sparkSession, "dynamic"):
+        _insert_raw(frames, database, "overwrite", many_days)
 
-def reload_raw(df: DataFrame, database: str, entity: str, many_days: bool = False) -> None:
-    """Replace the days that occur in df and leave all others; safe to repeat."""
-    rows = _by_day(df, raw_columns(entity), RAW_CLUSTERING[entity], many_days)
-    with _overwrite_mode(df.sparkSession, "dynamic"):
-        rows.write.mode("overwrite").insertInto(f"{database}.raw_{entity}")
 
+def replace_core(models: Mapping[str, DataFrame], database: str) -> None:
+    """Full refresh of core tables."""
 
-def replace_core(df: DataFrame, database: str, model: str) -> None:
-    """Full refresh of a core table."""
-    rows = _by_day(df, CORE_COLUMNS[model], CORE_CLUSTERING[model], many_days=True)
-    with _overwrite_mode(df.sparkSession, "static"):
+    def replace(model: str, df: DataFrame) -> None:
+        rows = _by_day(df, CORE_COLUMNS[model], CORE_CLUSTERING[model], many_days=True)
         rows.write.mode("overwrite").insertInto(f"{database}.{model}")
 
+    spark = next(iter(models.values())).sparkSession
+    with _overwrite_mode(spark, "static"):
+        write_together(spark, [partial(replace, m, df) for m, df in models.items()])
+
 
 def raw_table(spark: SparkSession, database: str, entity: str) -> DataFrame:
     return spark.table(f"{database}.raw_{entity}")

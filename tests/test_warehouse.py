@@ -34,13 +34,13 @@ def two_days(spark, database, deals):
     """A table of two days."""
     warehouse.create_raw_tables(spark, database)
     both = deals.unionByName(with_ingestion_date(deals, DAYS[1]))
-    warehouse.append_raw(both, database, "deals", many_days=True)
+    warehouse.append_raw({"deals": both}, database, many_days=True)
     return f"{database}.raw_deals"
 
 
 def test_tables_have_the_declared_columns_and_are_kept(spark, database, deals):
     warehouse.create_raw_tables(spark, database)
-    warehouse.append_raw(deals, database, "deals")
+    warehouse.append_raw({"deals": deals}, database)
     warehouse.create_raw_tables(spark, database)
     table = spark.table(f"{database}.raw_deals")
     assert table.columns == raw_columns("deals")
@@ -52,7 +52,7 @@ def test_columns_are_stored_by_name(spark, database, layers):
     """Clean contacts come with customer_id first; the table has contact_id first."""
     warehouse.create_raw_tables(spark, database)
     contacts = layers.raw["contacts"]
-    warehouse.append_raw(contacts, database, "contacts")
+    warehouse.append_raw({"contacts": contacts}, database)
     stored = spark.table(f"{database}.raw_contacts")
     assert rows(stored.select(contacts.columns)) == rows(contacts)
 
@@ -61,10 +61,10 @@ def test_append_doubles_and_reload_does_not(spark, database, deals):
     warehouse.create_raw_tables(spark, database)
     n = deals.count()
     for expected in (n, 2 * n):
-        warehouse.append_raw(deals, database, "deals")
+        warehouse.append_raw({"deals": deals}, database)
         assert spark.table(f"{database}.raw_deals").count() == expected
     for _ in range(2):
-        warehouse.reload_raw(deals, database, "deals")
+        warehouse.reload_raw({"deals": deals}, database)
         assert spark.table(f"{database}.raw_deals").count() == n
 
 
@@ -72,7 +72,7 @@ def test_append_doubles_and_reload_does_not(spark, database, deals):
 def test_reload_leaves_other_days_in_either_session_mode(spark, database, deals, two_days, mode):
     with settings(spark, spark__sql__sources__partitionOverwriteMode=mode):
         few = with_ingestion_date(deals.filter("deal_id < 100"), DAYS[1])
-        warehouse.reload_raw(few, database, "deals")
+        warehouse.reload_raw({"deals": few}, database)
         assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == mode
     assert per_day(spark, two_days) == {DAYS[0]: deals.count(), DAYS[1]: few.count()}
 
@@ -85,7 +85,7 @@ def test_full_refresh_removes_days_in_either_session_mode(spark, database, layer
     )
     with settings(spark, spark__sql__sources__partitionOverwriteMode=mode):
         for day in DAYS:
-            warehouse.replace_core(with_ingestion_date(fact, day), database, "fact_deals")
+            warehouse.replace_core({"fact_deals": with_ingestion_date(fact, day)}, database)
     assert set(per_day(spark, f"{database}.fact_deals")) == {DAYS[-1]}
 
 
@@ -96,7 +96,8 @@ def test_expired_days_are_dropped_and_undated_rows_stay(spark, database, layers)
     for day in DAYS[1:]:
         dated = dated.unionByName(with_ingestion_date(customers, day))
     undated = customers.withColumn("ingestion_date", F.lit(None).cast("date"))
-    warehouse.append_raw(dated.unionByName(undated), database, "customers", many_days=True)
+    stored = {"customers": dated.unionByName(undated)}
+    warehouse.append_raw(stored, database, many_days=True)
     table = f"{database}.raw_customers"
     warehouse.drop_expired_days(spark, table, dt.date(2025, 2, 1), 30)
     assert set(per_day(spark, table)) == {DAYS[2], None}
@@ -153,10 +154,9 @@ def test_stored_views_equal_the_reports(spark, database, layers):
 
     warehouse.create_raw_tables(spark, database)
     raw = {e: layers.raw[e] for e in ENTITIES}
-    for entity, df in raw.items():
-        warehouse.append_raw(df, database, entity)
+    warehouse.append_raw(raw, database)
     today = with_ingestion_date(raw["customers"], dt.date.today())
-    warehouse.append_raw(today, database, "customers")
+    warehouse.append_raw({"customers": today}, database)
     dashboard.create_report_views(spark, database)
     tables = pipeline.raw_layer(spark, database)
     pipeline.register_layers(tables)
