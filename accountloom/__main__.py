@@ -21,7 +21,14 @@ def main() -> None:
     parser.add_argument("--as-of", type=run_date, help="day renewals count from; default today")
     parser.add_argument("--reload", action="store_true", help="replace the day, not append to it")
     parser.add_argument(
-        "--only-this-day", action="store_true", help="build the core tables from this day alone"
+        "--only-this-day",
+        action="store_true",
+        help="refresh only this day's part of the core tables, from this day alone",
+    )
+    parser.add_argument(
+        "--warehouse-text",
+        action="store_true",
+        help="in staging, trim all whitespace and capitalize after punctuation",
     )
     args = parser.parse_args()
 
@@ -34,8 +41,9 @@ def main() -> None:
         args.database,
         args.day,
         as_of=args.as_of,
-        snapshot=args.day if args.only_this_day else None,
+        only_this_day=args.only_this_day,
         reload=args.reload,
+        warehouse_text=args.warehouse_text,
     )
     counts.show(truncate=False)
     spark.stop()

@@ -55,12 +55,18 @@ def build_models(
     spark: SparkSession,
     database: str,
     as_of: dt.date | str | None = None,
-    snapshot: dt.date | str | None = None,
+    only_day: dt.date | str | None = None,
+    warehouse_text: bool = False,
 ) -> None:
-    """Refresh the core tables and the report views from the raw tables."""
+    """Refresh the core tables and the report views from the raw tables.
+
+    By default the core tables are rebuilt from all stored days. With only_day,
+    that day alone is read, and only its part of the core tables is replaced.
+    """
     warehouse.create_core_tables(spark, database)
-    staged = stage_all(raw_layer(spark, database))
-    warehouse.replace_core(build_core(staged, as_of, snapshot), database)
+    staged = stage_all(raw_layer(spark, database), warehouse_text)
+    models = build_core(staged, as_of, only_day)
+    warehouse.replace_core(models, database, keep_other_days=only_day is not None)
     create_report_views(spark, database)
 
 
@@ -72,15 +78,16 @@ def run_day(
     day: dt.date | str,
     *,
     as_of: dt.date | str | None = None,
-    snapshot: dt.date | str | None = None,
+    only_this_day: bool = False,
     reload: bool = False,
+    warehouse_text: bool = False,
 ) -> DataFrame:
     """One whole run; returns the row count of every table."""
     size_for(spark, stored_bytes(spark, *inputs.values()))
     landing.land_sources(spark, inputs, base, day)
     process_day(spark, base, day)
     load_day(spark, base, day, database, reload)
-    build_models(spark, database, as_of, snapshot)
+    build_models(spark, database, as_of, day if only_this_day else None, warehouse_text)
     tables = [f"raw_{e}" for e in ENTITIES] + list(CORE_COLUMNS)
     return warehouse.row_counts(spark, database, tables)
 

@@ -2,30 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from accountloom.functions import (
+    capitalize_parts,
     capitalize_words,
     normalize_email,
     normalize_enum,
     round_money,
+    trim_whitespace,
 )
 from accountloom.operators import require
 from accountloom.schemas import raw_columns
 
 
-def stage_customers(
-    raw: DataFrame, company_case: Callable[[str], Column] = capitalize_words
-) -> DataFrame:
-    """company_case=capitalize_parts also capitalizes after punctuation."""
+def stage_customers(raw: DataFrame, warehouse_text: bool = False) -> DataFrame:
+    """warehouse_text trims all whitespace and capitalizes after punctuation, too."""
+    trim = trim_whitespace if warehouse_text else F.trim
+    capitalize = capitalize_parts if warehouse_text else capitalize_words
     return (
         require(raw, "customer_id", "email")
         .withColumns(
             {
-                "email": normalize_email("email"),
-                "company": company_case("company"),
+                "email": normalize_email("email", trim),
+                "company": capitalize("company", trim),
                 "plan_tier": normalize_enum("plan_tier"),
             }
         )
@@ -33,10 +36,11 @@ def stage_customers(
     )
 
 
-def stage_contacts(raw: DataFrame) -> DataFrame:
+def stage_contacts(raw: DataFrame, warehouse_text: bool = False) -> DataFrame:
+    trim = trim_whitespace if warehouse_text else F.trim
     return (
         require(raw, "contact_id", "customer_id")
-        .withColumn("email", normalize_email("email"))
+        .withColumn("email", normalize_email("email", trim))
         .select(raw_columns("contacts"))
     )
 
@@ -84,5 +88,11 @@ STAGES = {
 }
 
 
-def stage_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {entity: stage(raw[entity]) for entity, stage in STAGES.items()}
+def stage_all(
+    raw: Mapping[str, DataFrame], warehouse_text: bool = False
+) -> dict[str, DataFrame]:
+    staged = {entity: stage(raw[entity]) for entity, stage in STAGES.items()}
+    if warehouse_text:
+        staged["customers"] = stage_customers(raw["customers"], warehouse_text=True)
+        staged["contacts"] = stage_contacts(raw["contacts"], warehouse_text=True)
+    return staged

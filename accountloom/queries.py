@@ -351,6 +351,9 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "dim_subscriptions": lambda x: core.dim_subscriptions(
         x.stg["subscriptions"], x.stg["customers"], RENEWALS_AS_OF
     ),
+    "stg_customers_warehouse_text": lambda x: staging.stage_customers(
+        x.raw["customers"], warehouse_text=True
+    ),
     # two stored days: joined across days, and built from one of them
     **{
         f"{m}_two_days": (lambda x, m=m: core.build_core(x.stg_twice, RENEWALS_AS_OF)[m])

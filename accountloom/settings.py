@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -42,14 +44,29 @@ def build_session(app_name: str = "accountloom", **conf: str) -> SparkSession:
     return apply_plan_settings(builder.getOrCreate())
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the length of a block."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
-    """Size of all files under the paths; only file metadata is read."""
+    """Size of all files under the paths.
+
+    Only file metadata is read, so one task may cover any number of bytes.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(list(paths))
     )
-    return files.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
+    with setting(spark, "spark.sql.files.maxPartitionBytes", str(2**50)):
+        return files.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
 
 
 def size_for(spark: SparkSession, input_bytes: int) -> None:

@@ -7,8 +7,7 @@ statistics let a reader skip the blocks of other plans or stages.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +24,7 @@ from accountloom.schemas import (
     column_ddl,
     raw_columns,
 )
+from accountloom.settings import setting
 from accountloom.sources.parallel import write_together
 
 
@@ -63,16 +63,8 @@ def _by_day(df: DataFrame, columns: list[str], cluster: list[str], many_days: bo
     return df.select(columns).sortWithinPartitions(DAY, *cluster)
 
 
-@contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
-    """insertInto reads this mode from the session, not from writer options."""
-    name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name)
-    spark.conf.set(name, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+# insertInto reads the overwrite mode from the session, not from writer options.
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def _insert_raw(
@@ -97,19 +89,21 @@ def reload_raw(
     frames: Mapping[str, DataFrame], database: str, many_days: bool = False
 ) -> None:
     """Replace the days that occur in the frames and leave all others; safe to repeat."""
-    with _overwrite_mode(next(iter(frames.values())).sparkSession, "dynamic"):
+    with setting(next(iter(frames.values())).sparkSession, _OVERWRITE_MODE, "dynamic"):
         _insert_raw(frames, database, "overwrite", many_days)
 
 
-def replace_core(models: Mapping[str, DataFrame], database: str) -> None:
-    """Full refresh of core tables."""
+def replace_core(
+    models: Mapping[str, DataFrame], database: str, keep_other_days: bool = False
+) -> None:
+    """Full refresh of core tables, or of those days only that occur in the models."""
 
     def replace(model: str, df: DataFrame) -> None:
         rows = _by_day(df, CORE_COLUMNS[model], CORE_CLUSTERING[model], many_days=True)
         rows.write.mode("overwrite").insertInto(f"{database}.{model}")
 
     spark = next(iter(models.values())).sparkSession
-    with _overwrite_mode(spark, "static"):
+    with setting(spark, _OVERWRITE_MODE, "dynamic" if keep_other_days else "static"):
         write_together(spark, [partial(replace, m, df) for m, df in models.items()])
 
 

@@ -76,7 +76,10 @@ CTES["typed_customers"] = f"""
 
 CTES["raw_customers"] = """
     SELECT * FROM typed_customers
-    QUALIFY row_number() OVER (PARTITION BY email ORDER BY customer_id NULLS FIRST) = 1"""
+    QUALIFY row_number() OVER (
+        PARTITION BY email
+        ORDER BY customer_id NULLS FIRST, name NULLS FIRST, company NULLS FIRST,
+                 signup_date NULLS FIRST, plan_tier NULLS FIRST, country NULLS FIRST) = 1"""
 
 CTES["typed_contacts"] = f"""
     SELECT try_cast(customer_id AS int) AS customer_id, try_cast(contact_id AS int) AS contact_id,

@@ -131,6 +131,8 @@ _STATEMENTS = {
     ),
     **{f"clean_{e}": f"SELECT * FROM raw_{e}" for e in ENTITIES},
     **{f"stg_{e}": f"SELECT * FROM stg_{e}" for e in ENTITIES},
+    "stg_customers_warehouse_text": f"""
+        SELECT * REPLACE ({initcap_delims('company')} AS company) FROM stg_customers""",
     **{m: f"SELECT * FROM {m}" for m in CORE_COLUMNS},
     **{f"{m}_two_days": f"SELECT * FROM {m}_twice" for m in CORE_COLUMNS},
     **{f"{m}_snapshot": f"SELECT * FROM {m}" for m in CORE_COLUMNS},

@@ -158,3 +158,18 @@ def test_staging_drops_rows_without_keys_value_or_time(spark):
     assert [(r.mrr, r.status) for r in staged["subscriptions"].collect()] == [(None, "paused")]
     for entity, df in staged.items():
         assert df.columns == raw_columns(entity)
+
+
+def test_warehouse_text_rules_in_staging(spark):
+    raw = {
+        "customers": source(spark, "customers", customer("1", "\ta@x ", company="Smith-jones\t")),
+        "contacts": source(
+            spark, "contacts", {"contact_id": "1", "customer_id": "1", "email": "B@x\t"}
+        ),
+    }
+    raw = {e: df.withColumn("ingestion_date", F.lit(dt.date(2025, 1, 1))) for e, df in raw.items()}
+    plain = staging.stage_customers(raw["customers"]).first()
+    assert (plain.email, plain.company) == ("\ta@x", "Smith-jones\t")
+    customers = staging.stage_customers(raw["customers"], warehouse_text=True).first()
+    assert (customers.email, customers.company) == ("a@x", "Smith-Jones")
+    assert staging.stage_contacts(raw["contacts"], warehouse_text=True).first().email == "b@x"

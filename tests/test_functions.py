@@ -103,6 +103,8 @@ def test_trimming_spaces_or_all_whitespace(spark):
     padded = "\t  a b  \n"
     assert value_of(spark, fn.normalize_email("x"), x="\tA@B ") == "\ta@b"
     assert value_of(spark, fn.trim_whitespace("x"), x=padded) == "a b"
+    assert value_of(spark, fn.normalize_email("x", fn.trim_whitespace), x="\tA@B ") == "a@b"
+    assert value_of(spark, fn.capitalize_parts("x", fn.trim_whitespace), x="\u00a0a-b\t") == "A-B"
 
 
 def test_round_money_rounds_half_away_from_zero(spark):

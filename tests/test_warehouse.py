@@ -137,9 +137,9 @@ def test_a_run_repeats_and_reloads(spark, folder, database, layers):
     assert set(first) == {f"raw_{e}" for e in ENTITIES} | set(CORE_COLUMNS)
     assert run(DAYS[0], reload=True) == first
 
-    two = run(DAYS[1], snapshot=DAYS[1])
-    assert two["raw_deals"] == 2 * first["raw_deals"]
-    assert {m: two[m] for m in CORE_COLUMNS} == {m: first[m] for m in CORE_COLUMNS}
+    two = run(DAYS[1], only_this_day=True)
+    assert two == {table: 2 * n for table, n in first.items()}
+    assert run(DAYS[1], reload=True, only_this_day=True) == two
     assert run(DAYS[1], reload=True)["fact_deals"] > 3 * first["fact_deals"]
 
     assert run(DAYS[1])["raw_deals"] == 3 * first["raw_deals"]
