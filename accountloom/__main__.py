@@ -1,4 +1,4 @@
-"""Run one day: spark-submit accountloom/__main__.py 2025-01-01 --inputs ... --base ... --database ..."""
+"""Run one day: python -m accountloom 2025-01-01 --inputs ... --base ... --database ..."""
 
 from __future__ import annotations
 

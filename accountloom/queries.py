@@ -210,10 +210,21 @@ def retention_drop_days(x: Layers) -> DataFrame:
     database = x.database()
     dated = require(x.snapshots, DAY)
     warehouse.append_raw({"customers": dated}, database, many_days=True)
-    warehouse.drop_expired_days(x.spark, f"{database}.raw_customers", HEALTH_AS_OF, 30)
+    warehouse.drop_expired_days(x.spark, database, "raw_customers", HEALTH_AS_OF, 30)
     return warehouse.raw_table(x.spark, database, "customers")
 
 
+def retention_drop_folders(x: Layers) -> DataFrame:
+    """Two days are landed, one has expired; rows per day that are left."""
+    base = x.folder("zone")
+    for day in (SNAPSHOT_START, RUN_DAY):
+        landing.write_source(x.src["deals"], landing.raw_path(base, day, "deals"))
+    landing.drop_expired_folders(x.spark, base, HEALTH_AS_OF, 30)
+    left = landing.read_source(x.spark, f"{base}/raw/crm/*/deals.csv", "deals")
+    day = F.regexp_extract(F.input_file_name(), "/crm/([0-9-]+)/", 1).cast("date")
+    return left.groupBy(day.alias(DAY)).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def verify_counts(x: Layers) -> DataFrame:
     database = x.database()
     warehouse.append_raw({e: x.raw[e] for e in ("customers", "deals")}, database)
@@ -281,6 +292,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "materialize_dim_subscriptions": materialize("dim_subscriptions"),
     "retention_30d": lambda x: retain(x.snapshots, HEALTH_AS_OF, 30),
     "retention_drop_days": retention_drop_days,
+    "retention_drop_folders": retention_drop_folders,
     "verify_counts": verify_counts,
     "read_pruned_range": read_pruned_range,
     # projections and filters

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from accountloom.functions.dates import run_date
 from accountloom.schemas import ENTITIES, SOURCE_COLUMNS, source_schema
+from accountloom.sources import files
 from accountloom.sources.parallel import write_together
 
 
@@ -88,3 +89,26 @@ def read_processed(
     spark: SparkSession, base: str, day: dt.date | str, entity: str
 ) -> DataFrame:
     return spark.read.parquet(processed_path(base, day, entity))
+
+
+def drop_expired_folders(
+    spark: SparkSession, base: str, as_of: dt.date | str | None = None, days: int = 30
+) -> list[dt.date]:
+    """Delete the dated folders of both zones that are `days` old or older.
+
+    Only folder names are listed. A folder whose name is no date stays. Returns
+    the days that were deleted.
+    """
+    today = dt.datetime.now(dt.timezone.utc).date() if as_of is None else run_date(as_of)
+    dropped = set()
+    for zone in ("raw", "processed"):
+        root = f"{base}/{zone}/crm"
+        for name in files.names(spark, root):
+            try:
+                day = run_date(name)
+            except ValueError:
+                continue
+            if day <= today - dt.timedelta(days=days):
+                files.delete(spark, f"{root}/{name}")
+                dropped.add(day)
+    return sorted(dropped)

@@ -13,7 +13,6 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.functions.dates import run_date
 from accountloom.operators.filters import retain
 from accountloom.schemas import (
     CORE_CLUSTERING,
@@ -25,6 +24,7 @@ from accountloom.schemas import (
     raw_columns,
 )
 from accountloom.settings import setting
+from accountloom.sources import files
 from accountloom.sources.parallel import write_together
 
 
@@ -33,21 +33,33 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
 
-def _create_table(spark: SparkSession, table: str, columns: list[str]) -> None:
+def _create_table(spark: SparkSession, database: str, name: str, columns: list[str]) -> None:
+    """Create the table if it is absent.
+
+    A catalog that lives only as long as its session forgets tables whose files
+    remain; such a table is put back over its files.
+    """
+    if spark.catalog.tableExists(f"{database}.{name}"):
+        return
+    folder = f"{spark.catalog.getDatabase(database).locationUri}/{name}"
+    kept = files.exists(spark, folder)
+    place = f" LOCATION '{folder}'" if kept else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({column_ddl(columns)}) "
-        f"USING parquet OPTIONS (compression 'zstd') PARTITIONED BY ({DAY})"
+        f"CREATE TABLE IF NOT EXISTS {database}.{name} ({column_ddl(columns)}) "
+        f"USING parquet OPTIONS (compression 'zstd') PARTITIONED BY ({DAY}){place}"
     )
+    if kept:
+        spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
 
 
 def create_raw_tables(spark: SparkSession, database: str) -> None:
     for entity in ENTITIES:
-        _create_table(spark, f"{database}.raw_{entity}", raw_columns(entity))
+        _create_table(spark, database, f"raw_{entity}", raw_columns(entity))
 
 
 def create_core_tables(spark: SparkSession, database: str) -> None:
     for model, columns in CORE_COLUMNS.items():
-        _create_table(spark, f"{database}.{model}", columns)
+        _create_table(spark, database, model, columns)
 
 
 def _by_day(df: DataFrame, columns: list[str], cluster: list[str], many_days: bool) -> DataFrame:
@@ -125,17 +137,25 @@ def row_counts(spark: SparkSession, database: str, tables: list[str]) -> DataFra
 
 
 def drop_expired_days(
-    spark: SparkSession, table: str, as_of: dt.date | str | None = None, days: int = 30
+    spark: SparkSession,
+    database: str,
+    name: str,
+    as_of: dt.date | str | None = None,
+    days: int = 30,
 ) -> None:
     """Drop the day partitions that retain() would not keep.
 
     Works on the catalog's partition list, a row per day; no data is read or
     rewritten. Rows without a day have no age and stay.
     """
+    table = f"{database}.{name}"
     listed = spark.sql(f"SHOW PARTITIONS {table}").select(
         F.split("partition", "=")[1].try_cast("date").alias(DAY)
     )
     dated = listed.filter(F.col(DAY).isNotNull())
+    folder = f"{spark.catalog.getDatabase(database).locationUri}/{name}"
     for row in dated.exceptAll(retain(dated, as_of, days)).collect():
-        day = run_date(row[DAY]).isoformat()
+        day = row[DAY].isoformat()
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DAY} = DATE '{day}')")
+        # A table put back over its files does not own them.
+        files.delete(spark, f"{folder}/{DAY}={day}")

@@ -65,6 +65,8 @@ _STATEMENTS = {
     "retention_drop_days": f"""
         SELECT * REPLACE (cast(customer_id AS bigint) AS customer_id)
         FROM snap_customers WHERE ingestion_date > {HEALTH_AS_OF} - 30""",
+    "retention_drop_folders": f"""
+        SELECT {RUN_DAY} AS ingestion_date, count(*) AS row_count FROM src_deals""",
     "verify_counts": _counts({t: t for t in ("raw_customers", "raw_deals")}),
     "read_pruned_range": """
         SELECT * REPLACE (cast(customer_id AS bigint) AS customer_id) FROM snap_customers

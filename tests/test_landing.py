@@ -91,3 +91,16 @@ def test_processing_a_day_again_replaces_it(spark, folder):
         df = source(spark, "deals", {"deal_id": text})
         landing.write_processed(df, folder, DAY, "deals")
     assert [r.deal_id for r in landing.read_processed(spark, folder, DAY, "deals").collect()] == ["b"]
+
+
+def test_expired_folders_of_both_zones_are_deleted(spark, folder):
+    df = source(spark, "deals", {"deal_id": "1"})
+    for day in ("2024-12-01", "2024-12-02", "2024-12-03"):
+        landing.write_source(df, landing.raw_path(folder, day, "deals"))
+    landing.write_processed(df, folder, "2024-12-01", "deals")
+    landing.write_source(df, f"{folder}/raw/crm/notes/deals.csv")
+    dropped = landing.drop_expired_folders(spark, folder, "2025-01-01", 30)
+    assert [d.isoformat() for d in dropped] == ["2024-12-01", "2024-12-02"]
+    assert sorted(os.listdir(f"{folder}/raw/crm")) == ["2024-12-03", "notes"]
+    assert os.listdir(f"{folder}/processed/crm") == []
+    assert landing.drop_expired_folders(spark, f"{folder}/none", "2025-01-01") == []

@@ -14,7 +14,7 @@ WRITES = {
     name
     for name in _QUERIES
     if name.startswith(("scan_", "sink_", "load_", "land_", "create_", "materialize_"))
-} | {"retention_drop_days", "verify_counts", "read_pruned_range", "daily_run"}
+} | {"retention_drop_days", "retention_drop_folders", "verify_counts", "read_pruned_range", "daily_run"}
 
 
 @pytest.fixture(scope="module")

@@ -99,11 +99,28 @@ def test_expired_days_are_dropped_and_undated_rows_stay(spark, database, layers)
     stored = {"customers": dated.unionByName(undated)}
     warehouse.append_raw(stored, database, many_days=True)
     table = f"{database}.raw_customers"
-    warehouse.drop_expired_days(spark, table, dt.date(2025, 2, 1), 30)
+    warehouse.drop_expired_days(spark, database, "raw_customers", dt.date(2025, 2, 1), 30)
     assert set(per_day(spark, table)) == {DAYS[2], None}
     assert spark.sql(f"SHOW PARTITIONS {table}").count() == 2
 
 
+def test_tables_are_put_back_over_their_files(spark, database, folder, deals, two_days):
+    """Another database name over the same folder stands for a later session."""
+    later = f"{database}_later"
+    warehouse.create_database(spark, later, f"{folder}/tables")
+    warehouse.create_raw_tables(spark, later)
+    table = f"{later}.raw_deals"
+    n = deals.count()
+    assert per_day(spark, table) == {DAYS[0]: n, DAYS[1]: n}
+    warehouse.append_raw({"deals": with_ingestion_date(deals, DAYS[2])}, later)
+    warehouse.reload_raw({"deals": with_ingestion_date(deals, DAYS[1])}, later)
+    assert per_day(spark, table) == {d: n for d in DAYS}
+    warehouse.drop_expired_days(spark, later, "raw_deals", dt.date(2025, 2, 1), 30)
+    assert per_day(spark, table) == {DAYS[2]: n}
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    assert per_day(spark, table) == {DAYS[2]: n}
+
+
 def test_a_day_range_reads_only_its_days(spark, two_days):
     read = spark.table(two_days).filter(f"ingestion_date >= date'{DAYS[1]}' AND deal_stage = 'x'")
     text = plan(read.select("deal_id"))
