@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from accountloom.functions import run_date
-from accountloom.plans.pipeline import run_day
+from accountloom.plans.daily import run_day
 from accountloom.schemas import ENTITIES
 from accountloom.settings import build_session
 from accountloom.sources.warehouse import create_database

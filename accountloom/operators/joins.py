@@ -42,7 +42,8 @@ def left_join_unique(
 ) -> DataFrame:
     """Left outer join to a right side that holds each key at most once.
 
-    The right rows of over-full left keys are as few as those keys.
+    The right rows of over-full left keys are as few as those keys. Rows without
+    a key are not set apart; drop them first if there are many.
     """
     hot = hot_keys(left, key, hot_rows)
     few = F.broadcast(right.join(hot, key, "left_semi"))

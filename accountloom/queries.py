@@ -19,7 +19,7 @@ from accountloom.operators import (
     with_ingestion_date,
     within_days,
 )
-from accountloom.plans import cleaning, core, dashboard, pipeline, staging
+from accountloom.plans import cleaning, core, daily, dashboard, staging
 from accountloom.schemas import CORE_COLUMNS, DAY, ENTITIES, raw_columns
 from accountloom.settings import apply_plan_settings, scratch_folder, size_for, stored_bytes
 from accountloom.sources import landing, warehouse
@@ -196,7 +196,7 @@ def materialize(model: str) -> Callable[[Layers], DataFrame]:
     def run(x: Layers) -> DataFrame:
         database = _load_all(x)
         warehouse.create_core_tables(x.spark, database)
-        staged = staging.stage_all(pipeline.raw_layer(x.spark, database))
+        staged = staging.stage_all(daily.raw_layer(x.spark, database))
         frame = core.build_core(staged, RENEWALS_AS_OF)[model]
         for _ in range(2):
             warehouse.replace_core({model: frame}, database)
@@ -244,14 +244,14 @@ def daily_run(x: Layers) -> DataFrame:
     """Row counts of every table after one whole run."""
     database = f"accountloom_{uuid.uuid4().hex}"
     warehouse.create_database(x.spark, database, x.folder("tables"))
-    return pipeline.run_day(
+    return daily.run_day(
         x.spark, x.source_files(), x.folder("zone"), database, RUN_DAY, as_of=RENEWALS_AS_OF
     )
 
 
 def sql_over_views(x: Layers) -> DataFrame:
     """SQL text over views of three layers."""
-    pipeline.register_layers({e: x.raw[e] for e in ENTITIES}, RENEWALS_AS_OF)
+    daily.register_layers({e: x.raw[e] for e in ENTITIES}, RENEWALS_AS_OF)
     return x.spark.sql(
         """
         SELECT f.plan_tier, v.deal_stage, v.deal_count AS stage_deals,

@@ -11,6 +11,15 @@ import pytest
 import __spark_entry__ as entry
 from tests.support import TESTDATA, rows
 
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+}
+
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
@@ -32,7 +41,8 @@ def test_query_equals_oracle(spark, duck, name):
     ours = QUERIES[name](spark, TESTDATA)
     columns = sorted(ours.columns)
     expected = duck.sql(ORACLES[name])
-    assert sorted(expected.columns) == columns
+    types = dict(zip(expected.columns, map(str, expected.types)))
+    assert {c: TYPES[t] for c, t in ours.dtypes} == types
     names = ", ".join(f'"{c}"' for c in columns)
     wanted = duck.sql(f"SELECT {names} FROM ({ORACLES[name]})").fetchall()
     got = rows(ours.select(columns))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accountloom.operators import with_ingestion_date
-from accountloom.plans import pipeline
+from accountloom.plans import daily
 from accountloom.queries import Layers
 from accountloom.schemas import CORE_COLUMNS, ENTITIES, raw_columns
 from accountloom.sources import landing, warehouse
@@ -145,7 +145,7 @@ def test_a_run_repeats_and_reloads(spark, folder, database, layers):
     inputs = layers.source_files()
 
     def run(day, **options):
-        counts = pipeline.run_day(
+        counts = daily.run_day(
             spark, inputs, f"{folder}/zone", database, day, as_of="2002-01-01", **options
         )
         return {r.table_name: r.row_count for r in counts.collect()}
@@ -175,8 +175,8 @@ def test_stored_views_equal_the_reports(spark, database, layers):
     today = with_ingestion_date(raw["customers"], dt.date.today())
     warehouse.append_raw({"customers": today}, database)
     dashboard.create_report_views(spark, database)
-    tables = pipeline.raw_layer(spark, database)
-    pipeline.register_layers(tables)
+    tables = daily.raw_layer(spark, database)
+    daily.register_layers(tables)
     for view in (
         "deal_distribution_by_stage", "customer_signups_over_time", "mrr_by_plan",
         "pipeline_health_check",
