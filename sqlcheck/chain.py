@@ -140,23 +140,18 @@ def _stage(prefix: str, raw: str) -> None:
 
 def _core(stage: str, suffix: str) -> None:
     CTES[f"fact_deals{suffix}"] = f"""
-    SELECT d.deal_id, d.customer_id, d.deal_value, d.deal_stage, d.close_date, d.owner,
-           c.plan_tier, c.company, c.country, d.ingestion_date
+    SELECT d.*, c.plan_tier, c.company, c.country
     FROM {stage}deals d LEFT JOIN {stage}customers c USING (customer_id)"""
     CTES[f"dim_customers{suffix}"] = f"""
-    SELECT c.customer_id, c.name, c.email, c.company, c.signup_date, c.plan_tier, c.country,
-           s.mrr, s.status AS subscription_status, s.renewal_date,
-           count(DISTINCT a.activity_id) AS total_activities,
-           max(a.timestamp) AS last_activity_at, c.ingestion_date
+    SELECT c.*, s.mrr, s.status AS subscription_status, s.renewal_date,
+           count(DISTINCT a.activity_id) AS total_activities, max(a.timestamp) AS last_activity_at
     FROM {stage}customers c
     LEFT JOIN {stage}subscriptions s ON s.customer_id = c.customer_id
     LEFT JOIN {stage}activities a ON a.customer_id = c.customer_id
     GROUP BY ALL"""
     CTES[f"dim_subscriptions{suffix}"] = f"""
-    SELECT s.subscription_id, s.customer_id, s.plan, s.mrr, s.renewal_date, s.status,
-           c.company, c.country, c.signup_date AS customer_since,
-           cast(date_diff('day', {RENEWALS_AS_OF}, s.renewal_date) AS int) AS days_until_renewal,
-           s.ingestion_date
+    SELECT s.*, c.company, c.country, c.signup_date AS customer_since,
+           cast(date_diff('day', {RENEWALS_AS_OF}, s.renewal_date) AS int) AS days_until_renewal
     FROM {stage}subscriptions s LEFT JOIN {stage}customers c USING (customer_id)"""
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,6 +35,43 @@ def _all(spark, values, *columns):
     return [tuple(r) for r in frame.select(*columns).collect()]
 
 
+def _mutations(seeds, alphabet, count=3000):
+    """Texts a few edits away from the seeds."""
+    rnd = random.Random(7)
+    texts = []
+    for _ in range(count):
+        text = list(rnd.choice(seeds))
+        for _ in range(rnd.randrange(3)):
+            at = rnd.randrange(len(text) + 1)
+            text[at : at + rnd.randrange(2)] = rnd.choice(["", *alphabet])
+        texts.append("".join(text))
+    return texts
+
+
+def test_mutated_numbers_equal_the_lenient_cast(spark):
+    texts = _mutations(["12", "-7.25", "2147483647", "3000000000.5", ".5"], "0123456789.+- eEx\t")
+    ours = _all(spark, texts, fn.to_int("x"), fn.to_int("x", "bigint"))
+    with settings(spark, spark__sql__ansi__enabled="false"):
+        lenient = _all(spark, texts, F.col("x").cast("int"), F.col("x").cast("bigint"))
+    assert ours == lenient
+    assert sum(v is not None for v, _ in ours) > 500
+
+
+def test_mutated_dates_equal_trying_the_formats_in_turn(spark):
+    x = F.col("x")
+    days = _mutations(["2024-02-28", "02/28/2024"], "0123456789/- +")
+    in_turn = F.coalesce(F.try_to_date(x, ISO_DATE), F.try_to_date(x, US_DATE))
+    got = _all(spark, days, fn.parse_date("x").cast("string"), in_turn.cast("string"))
+    assert all(a == b for a, b in got) and sum(a is not None for a, _ in got) > 500
+
+    times = _mutations(["2024-02-28 03:04:05", "02/28/2024 03:04"], "0123456789/- :+")
+    in_turn = F.coalesce(
+        F.try_to_timestamp(x, F.lit(ISO_TIMESTAMP)), F.try_to_timestamp(x, F.lit(US_TIMESTAMP))
+    )
+    got = _all(spark, times, fn.parse_timestamp("x").cast("string"), in_turn.cast("string"))
+    assert all(a == b for a, b in got) and sum(a is not None for a, _ in got) > 500
+
+
 def test_number_casts_equal_the_lenient_cast(spark):
     """Text that a cast without ANSI mode turns into a number or NULL, does the same here."""
     ours = _all(spark, NUMBERS, fn.to_int("x"), F.hash(fn.to_double("x")), fn.to_int("x", "bigint"))
