@@ -43,8 +43,11 @@ def load_day(
     replaces the day instead.
     """
     warehouse.create_raw_tables(spark, database)
-    store = warehouse.reload_raw if reload else warehouse.append_raw
-    store({e: landing.read_processed(spark, base, day, e) for e in ENTITIES}, database)
+    processed = {e: landing.read_processed(spark, base, day, e) for e in ENTITIES}
+    if reload:
+        warehouse.reload_raw(processed, database, day)
+    else:
+        warehouse.append_raw(processed, database)
 
 
 def raw_layer(spark: SparkSession, database: str) -> dict[str, DataFrame]:
@@ -66,7 +69,7 @@ def build_models(
     warehouse.create_core_tables(spark, database)
     staged = stage_all(raw_layer(spark, database), warehouse_text)
     models = build_core(staged, as_of, only_day)
-    warehouse.replace_core(models, database, keep_other_days=only_day is not None)
+    warehouse.replace_core(models, database, only_day)
     create_report_views(spark, database)
 
 

@@ -15,7 +15,6 @@ from accountloom.operators import (
     keep_recent,
     require,
     retain,
-    semi_join,
     with_ingestion_date,
     within_days,
 )
@@ -170,7 +169,8 @@ def sink_reload_partition(x: Layers) -> DataFrame:
     """Two days are loaded and one of them again; no count changes."""
     database = x.database()
     warehouse.append_raw({"deals": x.twice["deals"]}, database, many_days=True)
-    warehouse.reload_raw({"deals": with_ingestion_date(x.raw["deals"], NEXT_DAY)}, database)
+    again = {"deals": with_ingestion_date(x.raw["deals"], NEXT_DAY)}
+    warehouse.reload_raw(again, database, NEXT_DAY)
     return _per_stage_and_day(warehouse.raw_table(x.spark, database, "deals"))
 
 

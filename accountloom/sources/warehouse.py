@@ -7,12 +7,14 @@ statistics let a reader skip the blocks of other plans or stages.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from accountloom.functions.dates import run_date
 from accountloom.operators.filters import retain
 from accountloom.schemas import (
     CORE_CLUSTERING,
@@ -97,25 +99,53 @@ def append_raw(
     _insert_raw(frames, database, "append", many_days)
 
 
+def _overwrite_day(rows: DataFrame, table: str, day: dt.date | str) -> None:
+    """Replace one day of a table, also by nothing if there are no rows."""
+    view = f"rows_{uuid.uuid4().hex}"
+    rows.drop(DAY).createOrReplaceTempView(view)
+    rows.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE {table} "
+        f"PARTITION ({DAY} = DATE '{run_date(day).isoformat()}') SELECT * FROM {view}"
+    )
+    rows.sparkSession.catalog.dropTempView(view)
+
+
 def reload_raw(
-    frames: Mapping[str, DataFrame], database: str, many_days: bool = False
+    frames: Mapping[str, DataFrame], database: str, day: dt.date | str | None = None
 ) -> None:
-    """Replace the days that occur in the frames and leave all others; safe to repeat."""
-    with setting(next(iter(frames.values())).sparkSession, _OVERWRITE_MODE, "dynamic"):
-        _insert_raw(frames, database, "overwrite", many_days)
+    """Replace a day and leave all others; safe to repeat.
+
+    The frames hold that day's rows. Without `day`, every day that occurs in a
+    frame is replaced in its table.
+    """
+    spark = next(iter(frames.values())).sparkSession
+    if day is None:
+        with setting(spark, _OVERWRITE_MODE, "dynamic"):
+            _insert_raw(frames, database, "overwrite", many_days=True)
+        return
+
+    def reload(entity: str, df: DataFrame) -> None:
+        rows = _by_day(df, raw_columns(entity), RAW_CLUSTERING[entity], many_days=False)
+        _overwrite_day(rows, f"{database}.raw_{entity}", day)
+
+    write_together(spark, [partial(reload, e, df) for e, df in frames.items()])
 
 
 def replace_core(
-    models: Mapping[str, DataFrame], database: str, keep_other_days: bool = False
+    models: Mapping[str, DataFrame], database: str, day: dt.date | str | None = None
 ) -> None:
-    """Full refresh of core tables, or of those days only that occur in the models."""
+    """Full refresh of core tables, or of one day's part, whose rows the models hold."""
 
     def replace(model: str, df: DataFrame) -> None:
-        rows = _by_day(df, CORE_COLUMNS[model], CORE_CLUSTERING[model], many_days=True)
-        rows.write.mode("overwrite").insertInto(f"{database}.{model}")
+        table, all_days = f"{database}.{model}", day is None
+        rows = _by_day(df, CORE_COLUMNS[model], CORE_CLUSTERING[model], many_days=all_days)
+        if all_days:
+            rows.write.mode("overwrite").insertInto(table)
+        else:
+            _overwrite_day(rows, table, day)
 
     spark = next(iter(models.values())).sparkSession
-    with setting(spark, _OVERWRITE_MODE, "dynamic" if keep_other_days else "static"):
+    with setting(spark, _OVERWRITE_MODE, "static"):
         write_together(spark, [partial(replace, m, df) for m, df in models.items()])
 
 
@@ -126,7 +156,8 @@ def raw_table(spark: SparkSession, database: str, entity: str) -> DataFrame:
 def row_counts(spark: SparkSession, database: str, tables: list[str]) -> DataFrame:
     """Rows per table, one row each."""
     counts = [
-        spark.table(f"{database}.{t}").agg(F.count(F.lit(1)).alias("row_count"))
+        spark.table(f"{database}.{t}")
+        .agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(t).alias("table_name"), "row_count")
         for t in tables
     ]

@@ -63,8 +63,8 @@ def test_append_doubles_and_reload_does_not(spark, database, deals):
     for expected in (n, 2 * n):
         warehouse.append_raw({"deals": deals}, database)
         assert spark.table(f"{database}.raw_deals").count() == expected
-    for _ in range(2):
-        warehouse.reload_raw({"deals": deals}, database)
+    for day in (None, DAYS[0], DAYS[0]):
+        warehouse.reload_raw({"deals": deals}, database, day)
         assert spark.table(f"{database}.raw_deals").count() == n
 
 
@@ -72,11 +72,27 @@ def test_append_doubles_and_reload_does_not(spark, database, deals):
 def test_reload_leaves_other_days_in_either_session_mode(spark, database, deals, two_days, mode):
     with settings(spark, spark__sql__sources__partitionOverwriteMode=mode):
         few = with_ingestion_date(deals.filter("deal_id < 100"), DAYS[1])
-        warehouse.reload_raw({"deals": few}, database)
+        warehouse.reload_raw({"deals": few}, database, DAYS[1])
         assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == mode
     assert per_day(spark, two_days) == {DAYS[0]: deals.count(), DAYS[1]: few.count()}
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_days_that_occur_are_replaced_in_either_session_mode(spark, database, deals, two_days, mode):
+    few = with_ingestion_date(deals.filter("deal_id < 100"), DAYS[1])
+    new = with_ingestion_date(deals.filter("deal_id < 50"), DAYS[2])
+    with settings(spark, spark__sql__sources__partitionOverwriteMode=mode):
+        warehouse.reload_raw({"deals": few.unionByName(new)}, database)
+    assert per_day(spark, two_days) == {DAYS[0]: deals.count(), DAYS[1]: 100, DAYS[2]: 50}
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_a_day_reloaded_without_rows_is_emptied(spark, database, deals, two_days, mode):
+    with settings(spark, spark__sql__sources__partitionOverwriteMode=mode):
+        warehouse.reload_raw({"deals": deals.limit(0)}, database, DAYS[1])
+    assert per_day(spark, two_days) == {DAYS[0]: deals.count()}
+
+
 @pytest.mark.parametrize("mode", ["static", "dynamic"])
 def test_full_refresh_removes_days_in_either_session_mode(spark, database, layers, mode):
     warehouse.create_core_tables(spark, database)
@@ -86,7 +102,14 @@ def test_full_refresh_removes_days_in_either_session_mode(spark, database, layer
     with settings(spark, spark__sql__sources__partitionOverwriteMode=mode):
         for day in DAYS:
             warehouse.replace_core({"fact_deals": with_ingestion_date(fact, day)}, database)
-    assert set(per_day(spark, f"{database}.fact_deals")) == {DAYS[-1]}
+    table = f"{database}.fact_deals"
+    assert set(per_day(spark, table)) == {DAYS[-1]}
+    first = {"fact_deals": with_ingestion_date(fact, DAYS[0])}
+    for _ in range(2):
+        warehouse.replace_core(first, database, DAYS[0])
+    assert per_day(spark, table) == {d: fact.count() for d in (DAYS[0], DAYS[-1])}
+    warehouse.replace_core({"fact_deals": fact.limit(0)}, database, DAYS[0])
+    assert set(per_day(spark, table)) == {DAYS[-1]}
 
 
 def test_expired_days_are_dropped_and_undated_rows_stay(spark, database, layers):
