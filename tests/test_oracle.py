@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from accountloom.queries import all_queries
+from sqlcheck.oracles import all_oracles
 from tests.support import TESTDATA, rows
 
 TYPES = {
@@ -20,7 +22,7 @@ TYPES = {
     "timestamp": "TIMESTAMP",
 }
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +36,8 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
