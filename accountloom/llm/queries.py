@@ -7,8 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.llm import simhash
+from accountloom.llm import impact, quality, simhash, urls, warc
 from accountloom.llm.common import table
+from accountloom.settings import scratch_folder
+
+URL_RULES = [
+    urls.Rule("allow", "org/"),
+    urls.Rule("block", "example.org/es/"),
+    urls.Rule("block", "example.org/en/1"),
+    urls.Rule("allow", "com/fr/"),
+    urls.Rule("block", "com/de/"),
+]
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_records(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
+    return quality.judged(table(spark, sf_dir, "documents"), trusted)
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +43,44 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = impact.quantised(table(spark, sf_dir, "embeddings"))
+    return impact.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_warc": op2_warc,
+        "op5_quality_rules": op5_quality_rules,
+        "op7_url_filters": op7_url_filters,
         "op8_simhash": op8_simhash,
+        "op9_top_k": op9_top_k,
     }
 
 
+# The verdict of op7 without a rule is the method's; its SQL covers what the rules decide.
+ORACLES = {
+    "op2_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS b, sha256(coalesce(html, '')) AS d FROM pages
+        ), f AS (SELECT d, min(page_id) AS first FROM p GROUP BY d)
+        SELECT page_id, octet_length(b) AS payload_bytes, d AS payload_digest,
+            CASE WHEN octet_length(b) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN octet_length(b) >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM p JOIN f USING (d)""",
+    "op9_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
+            vec_id, score
+        FROM s QUALIFY rank <= 10""",
+}
+
+
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
