@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.llm import impact, quality, simhash, urls, warc
+from accountloom.llm import impact, packing, quality, simhash, urls, warc
 from accountloom.llm.common import table
 from accountloom.settings import scratch_folder
 
@@ -20,6 +20,10 @@ URL_RULES = [
 ]
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -50,6 +54,7 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_packing": op1_packing,
         "op2_warc": op2_warc,
         "op5_quality_rules": op5_quality_rules,
         "op7_url_filters": op7_url_filters,
