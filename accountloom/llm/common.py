@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountloom.settings import scratch_folder
 
+# Functions that run in tasks travel with their code, so executors need no copy of
+# this package.
+cloudpickle.register_pickle_by_value(sys.modules["accountloom.llm"])
+
 # Whole texts travel in Arrow batches; a batch ends at either bound, so memory
 # holds few rows of long texts. A row longer than the bound is a batch by itself.
 SETTINGS = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.llm import impact, packing, quality, simhash, urls, warc
+from accountloom.llm import impact, packing, quality, simhash, suffixes, urls, warc
 from accountloom.llm.common import table
 from accountloom.settings import scratch_folder
 
@@ -32,6 +32,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
     return quality.judged(table(spark, sf_dir, "documents"), trusted)
@@ -56,6 +62,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_warc": op2_warc,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op7_url_filters": op7_url_filters,
         "op8_simhash": op8_simhash,
