@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.llm import impact, packing, quality, simhash, suffixes, urls, warc
+from accountloom.llm import impact, language, packing, quality, simhash, suffixes, urls, warc
 from accountloom.llm.common import table
 from accountloom.settings import scratch_folder
 
@@ -38,6 +38,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identified(docs).select("doc.doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
     return quality.judged(table(spark, sf_dir, "documents"), trusted)
@@ -63,6 +68,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_warc": op2_warc,
         "op3_suffix_dedup": op3_suffix_dedup,
+        "op4_language_id": op4_language_id,
         "op5_quality_rules": op5_quality_rules,
         "op7_url_filters": op7_url_filters,
         "op8_simhash": op8_simhash,
