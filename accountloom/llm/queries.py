@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.llm import impact, language, packing, quality, simhash, suffixes, urls, warc
+from accountloom.llm import impact, language, maxent, packing, quality, simhash, suffixes, urls, warc
 from accountloom.llm.common import table
 from accountloom.settings import scratch_folder
 
@@ -63,6 +63,10 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impact.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scored(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -73,6 +77,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_url_filters": op7_url_filters,
         "op8_simhash": op8_simhash,
         "op9_top_k": op9_top_k,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 
