@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.llm import impact, language, maxent, packing, quality, simhash, suffixes, urls, warc
+from accountloom.llm import impact, language, maxent, packing, pieces, quality, simhash, suffixes, urls, warc
 from accountloom.llm.common import table
 from accountloom.settings import scratch_folder
 
@@ -48,6 +48,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), trusted)
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.decoded(pieces.encoded(table(spark, sf_dir, "documents")))
+    same = F.col("decoded").cast("binary") == F.col("text")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", same.alias("round_trip"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -74,6 +80,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_language_id": op4_language_id,
         "op5_quality_rules": op5_quality_rules,
+        "op6_sentencepiece": op6_sentencepiece,
         "op7_url_filters": op7_url_filters,
         "op8_simhash": op8_simhash,
         "op9_top_k": op9_top_k,
