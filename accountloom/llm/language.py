@@ -31,6 +31,7 @@ DOCS_PER_LANGUAGE = 500
 WINDOWS_PER_DOC = 12
 EPOCHS = 4
 UNKNOWN = "und"
+LEAST_SCORE = 0.3
 
 
 def windows_of(text: bytes, size: int = WINDOW) -> np.ndarray:
@@ -248,3 +249,9 @@ def identified(docs: DataFrame) -> DataFrame:
     network = fitted(docs.filter(~outside))
     found = predicted(docs, network)
     return found.withColumn("held_out", held_out(F.col("doc.doc_id"), FOLDS, HELD_OUT_FOLD))
+
+
+def recognised(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The documents in a known language by at least the score, with their own columns."""
+    found = identified(docs)
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("doc.*")

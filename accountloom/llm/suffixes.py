@@ -21,6 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from accountloom.llm.blocks import (
     BLOCK_BYTES,
@@ -263,10 +264,13 @@ def without_repeats(
     depth: int = DEPTH,
     gram: int = GRAM,
     block_bytes: int = BLOCK_BYTES,
+    as_text: bool = False,
 ) -> DataFrame:
     """Every document with what is left of its text once repeated byte strings are removed.
 
-    Rows (doc_id, kept: binary, n_bytes, n_removed, n_spans, rest: the other columns).
+    Rows (doc_id, kept, n_bytes, n_removed, n_spans, rest: the other columns). kept is
+    binary, or with as_text a string without the parts of characters that a removed
+    string left behind.
     Each byte covered by a string of depth bytes that also starts in a document with a
     smaller doc_id goes; strings are judged on the input. A null text is empty. Rows with
     one id do not affect each other; a null id counts as larger than all others, and
@@ -359,7 +363,7 @@ def without_repeats(
             _REPLY_TYPES,
         )
 
-    out_schema = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, rest "
+    out_schema = f"doc_id long, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long, rest "
     out_schema += dealt.schema["rest"].dataType.simpleString()
 
     def remove(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
@@ -389,7 +393,9 @@ def without_repeats(
         return pa.table(
             {
                 "doc_id": block.doc_ids,
-                "kept": pa.array(kept, pa.binary()),
+                "kept": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())
+                if as_text
+                else pa.array(kept, pa.binary()),
                 "n_bytes": pa.array((block.ends - block.starts).tolist(), pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "n_spans": pa.array(spans, pa.int64()),
@@ -412,3 +418,13 @@ def without_repeats(
     return (
         dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(remove, out_schema)
     )
+
+
+def cleaned(docs: DataFrame, **options) -> DataFrame:
+    """The documents with their own columns, repeated strings removed from text."""
+    found = without_repeats(docs, as_text=True, **options)
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("kept")}
+    kinds = dict(docs.dtypes)
+    return found.select(
+        *[columns.get(c, F.col(f"rest.`{c}`")).cast(kinds[c]).alias(c) for c in docs.columns]
+    )
