@@ -39,8 +39,9 @@ def pieces_of(
     end_id: int = END_ID,
     vocabulary: str = VOCABULARY,
     ranks: str = RANKS,
+    all_ids: bool = False,
 ) -> DataFrame:
-    """The documents' full windows and rests, in the columns of PIECE; ids only for rests.
+    """The documents' full windows and rests, in the columns of PIECE; ids of rests, or all.
 
     ids are little-endian unsigned 32-bit integers. A null text is an empty one, whose
     only token is the end. piece_id is unique but not the same in another run.
@@ -59,7 +60,7 @@ def pieces_of(
                 length = len(part) // 4
                 values = (
                     first + len(out[0]), doc_id, start, length, total,
-                    zlib.crc32(part), part if length < window else None,
+                    zlib.crc32(part), part if all_ids or length < window else None,
                 )
                 for column, value in zip(out, values):
                     column.append(value)
@@ -284,11 +285,10 @@ def packed(
     end_id. Sequences hold at most window tokens, without gaps; only their ends are
     padded. A null text is empty and makes a piece of one token. A row that repeats is
     packed again; null ids are kept. An empty table gives no rows. with_ids adds the
-    pieces' token ids (little-endian unsigned 32-bit), for rests from the stored
-    pieces and for full windows not at all, as their ids are the text's own.
+    pieces' token ids as little-endian unsigned 32-bit integers.
     """
     spark = prepare(docs.sparkSession)
-    pieces = stored(pieces_of(docs, window, end_id, vocabulary, ranks), "pieces")
+    pieces = stored(pieces_of(docs, window, end_id, vocabulary, ranks, with_ids), "pieces")
     # A length that a third of all pieces have is counted in as many blocks as all others.
     blocks = max(1024, 8 * shuffle_partitions(spark))
     keyed = pieces.drop("ids").withColumn("block", F.pmod(F.xxhash64("piece_id"), F.lit(blocks)))
@@ -322,7 +322,7 @@ def packed(
     part = F.substring("ids", (4 * F.col("cut_from") + 1).cast("int"), (4 * F.col("length")).cast("int"))
     if with_ids:
         joined = found.join(pieces.select("piece_id", "ids"), "piece_id")
-        return joined.withColumn("ids", part).withColumn("ids_crc32", F.when(F.col("ids").isNull(), F.col("ids_crc32")).otherwise(F.crc32("ids"))).select(*out, "ids")
+        return joined.withColumn("ids", part).withColumn("ids_crc32", F.crc32("ids")).select(*out, "ids")
     cut_lengths = sorted({row[0] for row in plan.rows if row[4] != row[0]})
     if not cut_lengths:
         return found.select(out)

@@ -49,20 +49,27 @@ def fingerprint_of(text: bytes | None, shingle: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * counts > len(firsts), bitorder="little").view("<u8")[0])
 
 
+def _row() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """Rows (doc_id, fp), one per document; fp is the fingerprint as a signed long."""
+    """Rows (doc_id, fp, row), one per document.
+
+    fp is the fingerprint as a signed long, row a hash of id and text.
+    """
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint_of(t.as_py(), shingle) for t in batch.column(1)]
+            found = [fingerprint_of(t.as_py(), shingle) for t in batch.column(2)]
             signed = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(signed)], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(signed), batch.column(1)], names=["doc_id", "fp", "row"]
             )
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    texts = docs.select(F.col("doc_id").cast("long"), _row().alias("row"), F.col("text").cast("binary"))
+    return texts.mapInArrow(run, "doc_id long, fp long, row long")
 
 
 def _quarter_counts(fp: Column) -> list[Column]:
@@ -157,7 +164,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = RADIUS, tile: int = TILE
 ) -> DataFrame:
-    """Rows (doc_id, fp, component_id): every document and the smallest id it is linked to.
+    """Rows (doc_id, fp, row, component_id): every document and the smallest id it is linked to.
 
     A null or empty text has fingerprint zero and is linked like any other. Repeated
     rows stay repeated. A null id keeps its row; it never is a component's smallest
@@ -174,15 +181,15 @@ def near_duplicates(
     )
     least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
     classes = stored(rooted.join(least, "root").select("fp", "component_id"), "classes")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "fp", "row", "component_id")
 
 
 def one_per_group(docs: DataFrame, **options) -> DataFrame:
     """The documents that are their component's smallest, with all their columns.
 
-    Rows that repeat that id stay; a document without an id stays only if its whole
+    Rows that repeat that id and text stay; a document without an id stays only if its whole
     component has none.
     """
     found = near_duplicates(docs, **options).filter("doc_id <=> component_id")
-    kept = found.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    kept = found.select(F.col("row").alias("_row")).distinct()
+    return docs.join(kept, _row() == F.col("_row"), "left_semi")

@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from accountloom.llm import impact
+from accountloom.llm.queries import llm_oracles, op9_top_k
+from tests.llm.support import SF
+
+SCHEMA = "vec_id long, embedding array<float>, label int, rank int, score string, block int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 0, 1, "x", 2) for i, v in rows], SCHEMA)
+
+
+def plain(rows, k, queries):
+    ints = [(i, [int(np.floor(1024 * np.float64(np.float32(x)))) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for q, a in ints:
+        if q is not None and q in queries:
+            scores = [(-sum(x * y for x, y in zip(a, b)), float("inf") if i is None else i, i) for i, b in ints if i != q]
+            out += [(q, n + 1, i, -s) for n, (s, _, i) in enumerate(sorted(scores, key=lambda r: r[:2])[:k])]
+    return sorted(out, key=str)
+
+
+def answer(df):
+    return sorted(map(tuple, df.select("query_id", "rank", "vec_id", "score").collect()), key=str)
+
+
+@pytest.mark.parametrize("block,query_block", [(7, 2), (1000, 1000)])
+def test_against_brute_force(spark, block, query_block):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(0, 0.3, 6).tolist()) for i in range(60)]
+    rows += [(100, rows[3][1]), (101, rows[3][1]), (102, [0.0] * 6), (103, None), (104, [1.0, None, 0.0, 0.0, 0.0, 0.0])]
+    rows += [(105, [float("nan")] * 6), (106, [float("inf")] + [0.0] * 5), (107, [1.5, 2.0]), (None, rows[3][1])]
+    queries = {0, 3, 20, 100, 102, 103, 107}
+    ints = impact.quantised(vectors(spark, rows))
+    found = impact.top_k(ints, F.col("vec_id").isin(list(queries)), 5, block, query_block)
+    assert answer(found) == plain(rows, 5, queries)
+
+
+def test_fewer_rows_than_k_and_empty_tables(spark):
+    ints = impact.quantised(vectors(spark, [(0, [1.0]), (1, [2.0]), (2, [2.0])]))
+    assert answer(impact.top_k(ints, F.col("vec_id") == 0)) == [(0, 1, 1, 2048 * 1024), (0, 2, 2, 2048 * 1024)]
+    assert answer(impact.top_k(ints, F.lit(False))) == []
+    assert answer(impact.top_k(ints.limit(0), F.lit(True))) == []
+    assert answer(impact.top_k(ints.filter("vec_id = 0"), F.lit(True))) == []
+
+
+def test_repeated_rows(spark):
+    ints = impact.quantised(vectors(spark, [(0, [1.0]), (0, [1.0]), (1, [2.0]), (1, [2.0])]))
+    assert answer(impact.top_k(ints, F.col("vec_id") == 0)) == [(0, 1, 1, 2048 * 1024), (0, 2, 1, 2048 * 1024)]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 2**32), st.integers(1, 80), st.integers(1, 12), st.integers(1, 6), st.sampled_from([3, 40, 5000]))
+def test_index_members_hold_the_best(seed, n, dims, k, spread):
+    rng = np.random.default_rng(seed)
+    rows = rng.integers(-spread, spread + 1, (n, dims))
+    query = rng.integers(-spread, spread + 1, dims)
+    allowed = rng.random(n) < 0.9
+    members, scores = impact.ImpactIndex(rows).top(query, k, allowed)
+    exact = rows @ query
+    assert (scores == exact[members]).all() and allowed[members].all()
+    if allowed.any():
+        least = np.sort(exact[allowed])[::-1][: min(k, allowed.sum())][-1]
+        assert set(np.flatnonzero(allowed & (exact >= least))) <= set(members)
+
+
+def test_the_bound_stops_early():
+    rng = np.random.default_rng(2)
+    rows = rng.normal(0, 60, (4000, 32)).astype(np.int64)
+    rows[:20] += 400
+    found = impact.ImpactIndex(rows)
+    members = found._members(rows[0], 10, np.ones(4000, bool))
+    assert len(members) < 400
+
+
+def test_registered_query(spark):
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    df = op9_top_k(spark, SF)
+    wanted = duck.sql(llm_oracles()["op9_top_k"]).select(*df.columns).fetchall()
+    assert sorted(map(tuple, df.collect())) == sorted(wanted)

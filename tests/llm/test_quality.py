@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+
+from accountloom.llm import quality
+from accountloom.llm.queries import op5_quality_rules
+from tests.llm.support import SF, clashing, documents, prose
+from tests.support import plan
+
+
+def plain(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    often = Counter(windows)
+    covered = {j for i, w in enumerate(windows) if often[w] > 1 for j in range(i, i + 8)}
+    n = len(words)
+    return (
+        n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")),
+        len(lines) - len(set(lines)), len(covered), n < 20 or 100 * len(covered) > 30 * n,
+    )
+
+
+TEXTS = [
+    None, "", " \t\r\n\x0b\x0c", "one", "a\x1cb \xa0 c\x85d é中😀", "\n\nx\ny\nx\n y\nx\n", "#*$%&|<> a#b",
+    "a " * 30, "a b " * 30, prose(1, 200), prose(2, 300) + " " + prose(2, 300), "\n".join([prose(3, 12)] * 4),
+    prose(4, 8) + " x " + prose(4, 8), " ".join(map(str, range(8))) + " " + " ".join(map(str, range(9))),
+    "w" * 100_000, "x\r\nx\rx\r\n", "a\x00b \x00",
+]
+
+
+def counts(r):
+    return (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+
+
+def no_trust(spark):
+    return quality.trusted_ids(spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+
+
+def test_base_counts(spark):
+    docs = clashing(documents(spark, dict(enumerate(TEXTS))))
+    found = quality.judged(docs, no_trust(spark))
+    assert {r.doc_id: counts(r) for r in found.collect()} == {i: plain(t) for i, t in enumerate(TEXTS)}
+
+
+def test_registered_query_counts(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = op5_quality_rules(spark, SF).collect()
+    assert {r.doc_id: counts(r) for r in rows} == {i: plain(t) for i, t in texts.items()}
+    assert all(r.kept == (not r.base_failed and r.score >= quality.THRESHOLD) for r in rows)
+
+
+def test_without_labels_only_base_rules_reject(spark):
+    rows = quality.judged(documents(spark, {1: prose(1, 60), 2: "a b"}), no_trust(spark)).collect()
+    assert {r.doc_id: (r.score, r.kept) for r in rows} == {1: (0.0, True), 2: (0.0, False)}
+
+
+def trusting(spark, ids):
+    rows = [(i, 1, 0) for i in ids] + [(10_000, 0, 0), (10_001, 1, 1), (None, 1, 0), (10_002, None, None)]
+    return quality.trusted_ids(spark.createDataFrame(rows, "doc_id long, quality int, toxic int"))
+
+
+def test_unlike_documents_go_and_clean_ones_stay(spark):
+    clean = {i: prose(i, 80) for i in range(200)}
+    junk = {1000 + i: " ".join(w[::-1] + "!!" for w in prose(i, 80).split()) for i in range(40)}
+    docs = documents(spark, clean | junk)
+    rows = quality.judged(docs, trusting(spark, range(0, 200, 2))).collect()
+    assert {r.doc_id for r in rows if r.kept} == set(clean)
+    again = quality.judged(docs, trusting(spark, range(0, 200, 2))).collect()
+    assert {r.doc_id: r.score for r in rows} == {r.doc_id: r.score for r in again}
+
+
+def test_scores_against_plain_counts(spark):
+    texts = {i: prose(i, 30, 50) for i in range(20)}
+    docs = documents(spark, texts)
+    buckets = 64
+    rows = quality.judged(docs, trusting(spark, range(5)), buckets).collect()
+    hashed = {
+        r.doc_id: r.g
+        for r in quality.measured(docs).select("doc_id", quality.grams(quality.F.col("hashes"), buckets).alias("g")).collect()
+    }
+    raw, target = Counter(), Counter()
+    for i, g in hashed.items():
+        raw.update(g)
+        if i < 5:
+            target.update(g)
+    import math
+
+    share, a = sum(target.values()) / sum(raw.values()), quality.SMOOTHING
+    for r in rows:
+        g = hashed[r.doc_id]
+        assert len(g) == 2 * r.n_words - 1
+        wanted = sum(math.log((target[b] + a) / (raw[b] * share + a)) for b in g) / len(g)
+        assert r.score == pytest.approx(wanted)
+
+
+def test_repeated_rows_null_ids_and_empty_table(spark):
+    docs = documents(spark, [(1, prose(1, 50)), (1, prose(1, 50)), (None, prose(2, 50)), (None, None)])
+    rows = quality.judged(docs, trusting(spark, [1])).collect()
+    assert len(rows) == 4 and sum(r.kept for r in rows) == 3
+    assert quality.judged(docs.limit(0), trusting(spark, [1])).collect() == []
+    kept = quality.kept_documents(clashing(docs), trusting(spark, [1]))
+    assert kept.columns == clashing(docs).columns and kept.count() == 3
+
+
+def test_no_python_runs(spark):
+    text = plan(op5_quality_rules(spark, SF))
+    assert not re.search("Python|Pandas|Arrow", text)
+
+
+def test_trusted_sample_is_bounded(spark):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(50)], "doc_id long, quality int, toxic int")
+    assert quality.trusted_ids(labels, 7).count() == 7
