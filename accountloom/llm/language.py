@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accountloom.llm.common import held_out, prepare
@@ -200,58 +200,85 @@ def fitted(
     return train(windows, np.array([number[lang] for lang, _ in pairs]), languages, epochs)
 
 
+def _classifier(network: Network | None):
+    """A function from texts (bytes, or None where there is nothing to classify) to languages and scores."""
+    tables = network.tables() if network else None
+
+    def classify(texts: list[bytes | None]) -> tuple[list[str], list[float]]:
+        langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        used = [i for i, t in enumerate(texts) if t] if network else []
+        if used:
+            windows = [windows_of(texts[i]) for i in used]
+            found = network.probabilities(np.concatenate(windows), tables)
+            sizes = np.array([len(w) for w in windows])
+            lengths = np.array([len(texts[i]) for i in used])
+            # A window weighs as many bytes as it has of the text.
+            weights = np.full(len(found), float(WINDOW))
+            ends = np.cumsum(sizes)
+            weights[ends - 1] = lengths - (sizes - 1) * WINDOW
+            sums = np.add.reduceat(found * weights[:, None], ends - sizes, axis=0)
+            means = sums / lengths[:, None]
+            for i, best, score in zip(used, means.argmax(axis=1), means.max(axis=1)):
+                langs[i], scores[i] = network.languages[best], float(min(1.0, score))
+        return langs, scores
+
+    return classify
+
+
+def _lettered_text() -> Column:
+    """The text's bytes; null for a text without a letter."""
+    return F.when(F.col("text").rlike("\\p{L}"), F.col("text").cast("binary"))
+
+
 def predicted(docs: DataFrame, network: Network | None) -> DataFrame:
-    """Rows (doc: the document's columns, lang_pred, score): only the text decides.
+    """Rows (doc_id, lang_pred, score): only the text decides.
 
     A text that is null or has no letter is `und` with score 0, and so is every text if
     there is no network. Other texts get the language of the highest mean probability,
     the first by name at a tie. Whole texts are classified, an empty table gives no
-    rows, and repeated rows are alike.
+    rows, and repeated rows are alike. Other columns are ignored.
     """
     prepare(docs.sparkSession)
-    rest = [F.col(f"`{c}`") for c in docs.columns]
-    lettered = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
-    text = F.when(lettered, F.col("text").cast("binary"))
-    rows = docs.select(F.struct(*rest).alias("doc"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = network.tables() if network else None
+        classify = _classifier(network)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            used = [i for i, t in enumerate(texts) if t] if network else []
-            if used:
-                windows = [windows_of(texts[i]) for i in used]
-                found = network.probabilities(np.concatenate(windows), tables)
-                sizes = np.array([len(w) for w in windows])
-                lengths = np.array([len(texts[i]) for i in used])
-                # A window weighs as many bytes as it has of the text.
-                weights = np.full(len(found), float(WINDOW))
-                ends = np.cumsum(sizes)
-                weights[ends - 1] = lengths - (sizes - 1) * WINDOW
-                sums = np.add.reduceat(found * weights[:, None], ends - sizes, axis=0)
-                means = sums / lengths[:, None]
-                for i, best, score in zip(used, means.argmax(axis=1), means.max(axis=1)):
-                    langs[i], scores[i] = network.languages[best], float(min(1.0, score))
+            langs, scores = classify(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=["doc", "lang_pred", "score"],
+                names=["doc_id", "lang_pred", "score"],
             )
 
-    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double"
-    return rows.mapInArrow(run, schema)
+    rows = docs.select(F.col("doc_id").cast("long"), _lettered_text().alias("text"))
+    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def _outside() -> Column:
+    return held_out(F.col("doc_id"), FOLDS, HELD_OUT_FOLD)
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """Rows (doc, held_out, lang_pred, score), learned from the documents not held out."""
+    """Rows (doc_id, held_out, lang_pred, score), learned from the documents not held out."""
     prepare(docs.sparkSession)
-    outside = held_out(F.col("doc_id"), FOLDS, HELD_OUT_FOLD)
-    network = fitted(docs.filter(~outside))
-    found = predicted(docs, network)
-    return found.withColumn("held_out", held_out(F.col("doc.doc_id"), FOLDS, HELD_OUT_FOLD))
+    return predicted(docs, fitted(docs.filter(~_outside()))).withColumn("held_out", _outside())
 
 
 def recognised(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The documents in a known language by at least the score, with their own columns."""
-    found = identified(docs)
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("doc.*")
+    prepare(docs.sparkSession)
+    network = fitted(docs.filter(~_outside()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classify = _classifier(network)
+        for batch in batches:
+            last = batch.num_columns - 1
+            langs, scores = classify(batch.column(last).to_pylist())
+            good = [a != UNKNOWN and b >= least_score for a, b in zip(langs, scores)]
+            own = pa.RecordBatch.from_arrays(batch.columns[:last], schema=_nullable(batch.schema, last))
+            yield own.filter(pa.array(good, pa.bool_()))
+
+    return docs.select("*", _lettered_text().alias("_classified")).mapInArrow(run, docs.schema)
+
+
+def _nullable(schema: pa.Schema, columns: int) -> pa.Schema:
+    return pa.schema([pa.field(f.name, f.type) for f in list(schema)[:columns]])

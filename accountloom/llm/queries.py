@@ -39,8 +39,8 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return language.identified(docs).select("doc.doc_id", "held_out", "lang_pred", "score")
+    found = language.identified(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

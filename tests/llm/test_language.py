@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+
+from accountloom.llm import language
+from accountloom.llm.queries import op4_language_id
+from tests.llm.support import DOCS, SF, clashing
+
+
+def talk(lang, seed, words):
+    rng = np.random.default_rng(seed)
+    letters = {"aa": "abcde", "zz": "vwxyz", "éé": "éèàùô"}[lang]
+    return " ".join("".join(rng.choice(list(letters), 5)) for _ in range(words))
+
+
+def labelled(spark, extra=()):
+    rows = [(i, talk(lang, i, 20 + i % 30), lang, "s", 1) for i in range(240) for lang in [("aa", "zz", "éé")[i % 3]]]
+    return spark.createDataFrame(rows + list(extra), DOCS)
+
+
+EXTRA = [
+    (1000, None, "aa", "s", 0), (1001, "", "aa", "s", 0), (1002, "123 !! \n", None, "s", 0),
+    (1003, "e", "aa", "s", 1), (1004, talk("zz", 1, 20_000), None, "s", 1), (None, talk("aa", 2, 30), None, "s", 1),
+    (1005, talk("éé", 3, 40), None, "s", 1), (1005, talk("éé", 3, 40), None, "s", 1),
+]
+
+
+def test_held_out_accuracy_and_odd_texts(spark):
+    docs = clashing(labelled(spark, EXTRA))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = language.identified(docs).collect()
+    assert len(rows) == 240 + len(EXTRA)
+    for r in rows:
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0.0 <= r.score <= 1.0
+        if not any(c.isalpha() for c in texts[r.doc_id] or ""):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        elif r.doc_id is not None and r.doc_id < 240:
+            assert r.lang_pred == ("aa", "zz", "éé")[r.doc_id % 3]
+    by = {r.doc_id: r.lang_pred for r in rows}
+    assert by[1004] == "zz" and by[None] == "aa" and by[1005] == "éé"
+
+
+def test_labels_of_held_out_documents_are_not_learned(spark):
+    docs = labelled(spark)
+    wrong = docs.selectExpr(
+        "doc_id", "text", "CASE WHEN crc32(CAST(CAST(doc_id AS string) AS binary)) % 4 = 2 THEN 'no' ELSE lang END AS lang", "'t' AS source", "n_chars"
+    )
+    assert sorted(language.identified(docs).collect()) == sorted(language.identified(wrong).collect())
+
+
+def test_nothing_to_learn_from_and_empty_table(spark):
+    none = labelled(spark).selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang")
+    assert {(r.lang_pred, r.score) for r in language.identified(none).collect()} == {("und", 0.0)}
+    assert language.identified(labelled(spark).limit(0)).collect() == []
+
+
+def test_recognised_keeps_rows_and_columns(spark):
+    docs = clashing(labelled(spark, EXTRA))
+    kept = language.recognised(docs)
+    assert kept.dtypes == docs.dtypes
+    assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()} == {1000, 1001, 1002}
+
+
+def test_tables_give_what_the_filters_give():
+    rng = np.random.default_rng(3)
+    windows = rng.integers(0, 256, (50, 40)).astype(np.uint8)
+    labels = rng.integers(0, 3, 50)
+    net = language.train(windows, labels, ["a", "b", "c"], epochs=2)
+    embedded = net.embedding[windows]
+    spans = np.stack([embedded[:, p : p + language.SPAN].reshape(50, -1) for p in range(40 - language.SPAN + 1)], 1)
+    wanted = net.classify((spans @ net.filters).max(axis=1))
+    assert np.allclose(net.probabilities(windows, net.tables(), at_once=7), wanted, atol=1e-5)
+
+
+def test_gradient_steps_lower_the_loss():
+    texts = [talk(lang, i, 30).encode() for i in range(60) for lang in ("aa", "zz")]
+    windows = np.concatenate([language.windows_of(t)[:1] for t in texts])
+    net = language.train(windows, np.arange(120) % 2, ["aa", "zz"], epochs=40)
+    assert (net.probabilities(windows, net.tables()).argmax(1) == np.arange(120) % 2).mean() == 1.0
+
+
+@pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 1000])
+def test_windows_hold_the_whole_text(n):
+    text = bytes((np.arange(n) % 255 + 1).tolist())
+    assert language.windows_of(text).tobytes().rstrip(b"\0") == text
+
+
+def test_registered_query_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = [r for r in op4_language_id(spark, sf).collect() if r.held_out]
+    assert np.mean([r.lang_pred == langs[r.doc_id] for r in rows]) > 0.98
+    assert op4_language_id(spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
