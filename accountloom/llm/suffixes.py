@@ -38,6 +38,7 @@ from accountloom.llm.common import prepare
 DEPTH = 50
 GRAM = 24
 AT_ONCE = 1 << 18
+WINDOWS_AT_ONCE = 1 << 17
 
 _TABLE = np.random.default_rng(50).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.random.default_rng(51).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,24 +117,40 @@ def _from_five(data: bytes) -> np.ndarray:
     return out.view("<u8")[:, 0]
 
 
-def _distinct_grams(anchors: Anchors, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The block's grams in order, and whether more than one document id has them."""
-    order = np.lexsort((ids[anchors.doc], anchors.gram))
-    gram, doc = anchors.gram[order], ids[anchors.doc][order]
-    starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]]) if len(gram) else np.empty(0, np.int64)
-    ends = np.r_[starts[1:], len(gram)] - 1 if len(gram) else starts
-    return gram[starts], doc[starts] != doc[ends]
+class Ranked:
+    """The anchors of a block in order of their grams."""
 
+    def __init__(self, anchors: Anchors, ids: np.ndarray):
+        self.order = np.argsort(anchors.gram)
+        gram = anchors.gram[self.order]
+        self.new = np.r_[True, gram[1:] != gram[:-1]] if len(gram) else np.empty(0, bool)
+        self.starts = np.flatnonzero(self.new)
+        self.grams = gram[self.starts]
+        self._doc = ids[anchors.doc[self.order]]
 
-def radix_groups(digits: list[np.ndarray]) -> np.ndarray:
+    def several(self) -> np.ndarray:
+        """Whether more than one document id has the gram."""
+        if not len(self.starts):
+            return np.empty(0, bool)
+        return np.minimum.reduceat(self._doc, self.starts) < np.maximum.reduceat(self._doc, self.starts)
+
+
+def radix_groups(first: list[np.ndarray], lines: np.ndarray) -> np.ndarray:
     """Group number of each row by all digits, most significant first; -1 for rows alone.
 
-    A row that is alone in its group leaves before the next digit is looked at.
+    The digits are first the given numbers, then eight bytes of lines at a time. A row
+    that is alone in its group leaves before the next digit is looked at.
     """
-    n = len(digits[0])
+    n, width = lines.shape
     group, rows = np.zeros(n, np.int64), np.arange(n)
-    for digit in digits:
-        keys = digit[rows]
+    for i in range(len(first) + -(-width // 8)):
+        if i < len(first):
+            keys = first[i][rows]
+        else:
+            at = 8 * (i - len(first))
+            digit = np.zeros((len(rows), 8), np.uint8)
+            digit[:, : min(8, width - at)] = lines[rows, at : at + 8]
+            keys = digit.view(">u8")[:, 0].astype(np.uint64)
         order = np.lexsort((keys, group[rows]))
         rows, keys = rows[order], keys[order]
         above = group[rows]
@@ -147,11 +164,15 @@ def radix_groups(digits: list[np.ndarray]) -> np.ndarray:
     return group
 
 
-def _digits(lines: np.ndarray) -> list[np.ndarray]:
-    """Rows of bytes as columns of eight bytes each."""
-    wide = np.zeros((len(lines), -(-lines.shape[1] // 8) * 8), np.uint8)
-    wide[:, : lines.shape[1]] = lines
-    return list(wide.view(">u8").astype(np.uint64).T)
+def _runs(keys: np.ndarray, sizes: np.ndarray, most: int) -> list[slice]:
+    """Slices of sorted keys, each of whole keys and of about the given total size."""
+    if not len(keys):
+        return []
+    before = np.cumsum(sizes) - sizes
+    new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    part = before[new] // most
+    starts = new[np.r_[True, part[1:] != part[:-1]]]
+    return [slice(a, b) for a, b in zip(starts, np.r_[starts[1:], len(keys)])]
 
 
 def window_masks(
@@ -169,9 +190,10 @@ def window_masks(
     width = int(sizes.max())
     column = np.arange(width)
     padded = np.r_[text, np.zeros(width, np.uint8)]
-    lines = np.where(column < sizes[:, None], padded[starts[:, None] + column], 0).astype(np.uint8)
+    lines = np.lib.stride_tricks.sliding_window_view(padded, width)[starts]
+    lines[column >= sizes[:, None]] = 0
     shape = places.astype(np.uint64) * np.uint64(256) + counts.astype(np.uint64)
-    group = radix_groups([grams, shape, *_digits(lines)])
+    group = radix_groups([grams, shape], lines)
     alone = group < 0
     group[alone] = np.arange(int(alone.sum())) + (group.max(initial=-1) + 1)
     _, first, string = np.unique(group, return_index=True, return_inverse=True)
@@ -179,17 +201,20 @@ def window_masks(
     np.minimum.at(least, string, docs)
 
     # Windows of different strings of one gram; where a gram has one string, it decides.
+    # Equal windows have equal grams, so grams can be taken some at a time.
     gram_of = grams[first]
     _, gram_number, how_many = np.unique(gram_of, return_inverse=True, return_counts=True)
     mixed = np.flatnonzero(how_many[gram_number] > 1)
+    mixed = mixed[np.argsort(gram_number[mixed], kind="stable")]
     most = int(counts.max())
     known = np.where(np.arange(most) < counts[first][:, None], least[:, None], NO_ID)
-    if len(mixed):
-        rows = np.repeat(mixed, counts[first][mixed])
-        begin = np.cumsum(counts[first][mixed]) - counts[first][mixed]
-        offset = np.arange(len(rows)) - np.repeat(begin, counts[first][mixed])
-        windows = lines[first[rows][:, None], offset[:, None] + np.arange(depth)]
-        same = radix_groups([gram_of[rows], *_digits(windows)])
+    windows_of = np.lib.stride_tricks.sliding_window_view(padded, depth)
+    for some in _runs(gram_number[mixed], counts[first][mixed], WINDOWS_AT_ONCE):
+        own = mixed[some]
+        many = counts[first][own]
+        rows = np.repeat(own, many)
+        offset = np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many)
+        same = radix_groups([gram_of[rows]], windows_of[starts[first[rows]] + offset])
         shared = same >= 0
         lowest = np.full(int(same.max(initial=-1)) + 1, NO_ID)
         np.minimum.at(lowest, same[shared], least[rows[shared]])
@@ -202,12 +227,15 @@ def window_masks(
 class Candidates:
     """Anchors of a block whose gram other documents have too, and their distinct strings."""
 
-    def __init__(self, block: Block, shared: bytes | None, depth: int, gram: int, buckets: int):
+    def __init__(self, block: Block, replies: dict[int, bytes], depth: int, gram: int, buckets: int):
         anchors = Anchors(block, depth, gram)
-        grams, _ = _distinct_grams(anchors, block.ids)
-        flags = np.unpackbits(np.frombuffer(shared or b"", np.uint8))[: len(grams)].astype(bool)
-        kept = np.flatnonzero(flags[np.searchsorted(grams, anchors.gram)]) if len(grams) else np.empty(0, np.int64)
-        kept = kept[np.argsort(anchors.gram[kept], kind="stable")]
+        ranked = Ranked(anchors, block.ids)
+        flags = np.zeros(len(ranked.grams), bool)
+        for bucket, a, b in slices(buckets_of(ranked.grams, buckets).astype(np.int64)):
+            flags[a:b] = np.unpackbits(np.frombuffer(replies[bucket], np.uint8))[: b - a]
+        kept = ranked.order[flags[np.cumsum(ranked.new) - 1]]
+        # Equal grams keep the order of their places, which any task finds again.
+        kept = kept[np.lexsort((kept, anchors.gram[kept]))]
         self.first, self.last = anchors.first[kept], anchors.last[kept]
         self.doc = block.ids[anchors.doc[kept]]
         place = anchors.at[kept] - self.first
@@ -237,12 +265,15 @@ def _joined_replies(replies: pa.Table, kind: int) -> dict[int, bytes]:
     return {bucket: reply for k, bucket, reply in found if k == kind}
 
 
-def _shared_flags(block: Block, replies: dict[int, bytes], depth: int, gram: int, buckets: int) -> bytes:
-    grams, _ = _distinct_grams(Anchors(block, depth, gram), block.ids)
-    flags = np.zeros(len(grams), bool)
-    for bucket, a, b in slices(buckets_of(grams, buckets).astype(np.int64)):
-        flags[a:b] = np.unpackbits(np.frombuffer(replies[bucket], np.uint8))[: b - a].astype(bool)
-    return np.packbits(flags).tobytes()
+def _packed(data: bytes) -> bytes:
+    return pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(rows: pa.Table, name: str) -> np.ndarray:
+    """A column of compressed bytes, all rows one after another."""
+    sizes = rows.column(f"{name}_size").to_pylist()
+    parts = zip(rows.column(name).to_pylist(), sizes)
+    return np.frombuffer(b"".join([pa.decompress(x, n, codec="zstd", asbytes=True) for x, n in parts]), np.uint8)
 
 
 _REPLY = "block int, bucket int, kind int, reply binary"
@@ -285,8 +316,9 @@ def without_repeats(
 
     def ask_grams(key: tuple, rows: pa.Table) -> pa.Table:
         block = Block(rows)
-        grams, several = _distinct_grams(Anchors(block, depth, gram), block.ids)
-        packed = ((grams & np.uint64((1 << 39) - 1)) << np.uint64(1)) | several.astype(np.uint64)
+        ranked = Ranked(Anchors(block, depth, gram), block.ids)
+        grams = ranked.grams
+        packed = ((grams & np.uint64((1 << 39) - 1)) << np.uint64(1)) | ranked.several().astype(np.uint64)
         runs = slices(buckets_of(grams, buckets).astype(np.int64))
         return _arrow(
             {
@@ -319,24 +351,29 @@ def without_repeats(
 
     def candidates(rows: pa.Table, replies: pa.Table) -> tuple[Block, Candidates]:
         block = Block(rows)
-        flags = _shared_flags(block, _joined_replies(replies, 1), depth, gram, buckets)
-        return block, Candidates(block, flags, depth, gram, buckets)
+        return block, Candidates(block, _joined_replies(replies, 1), depth, gram, buckets)
 
     def ask_windows(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
         _, found = candidates(rows, replies)
         runs = found.runs
+        texts = [b"".join(found.texts[a:b]) for _, a, b in runs]
+        # Half a gram's hash is enough to tell apart the grams of a bucket; where two
+        # agree by chance, their strings' bytes do not.
+        grams = found.grams.astype(np.uint32)
         return _arrow(
             {
                 "bucket": [r[0] for r in runs],
                 "block": [key[0].as_py()] * len(runs),
-                "grams": [found.grams[a:b].tobytes() for _, a, b in runs],
+                "grams": [grams[a:b].tobytes() for _, a, b in runs],
                 "docs": [found.least[a:b].tobytes() for _, a, b in runs],
                 "places": [found.places[a:b].tobytes() for _, a, b in runs],
                 "counts": [found.counts[a:b].tobytes() for _, a, b in runs],
-                "texts": [b"".join(found.texts[a:b]) for _, a, b in runs],
+                "texts": [_packed(x) for x in texts],
+                "texts_size": [len(x) for x in texts],
             },
             {"bucket": pa.int32(), "block": pa.int32()}
-            | {c: pa.binary() for c in ("grams", "docs", "places", "counts", "texts")},
+            | {c: pa.binary() for c in ("grams", "docs", "places", "counts", "texts")}
+            | {"texts_size": pa.int32()},
         )
 
     def answer_windows(key: tuple, rows: pa.Table) -> pa.Table:
@@ -344,11 +381,11 @@ def without_repeats(
             return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
 
         masks = window_masks(
-            all_of("grams", np.uint64),
+            all_of("grams", np.uint32).astype(np.uint64),
             all_of("docs", np.int64),
             all_of("places", np.uint8),
             all_of("counts", np.uint8).astype(np.int64),
-            all_of("texts", np.uint8),
+            _unpacked(rows, "texts"),
             depth,
         )
         sizes = [len(x) for x in rows.column("places").to_pylist()]
@@ -410,7 +447,7 @@ def without_repeats(
         .cogroup(shared.groupBy("block"))
         .applyInArrow(
             ask_windows,
-            "bucket int, block int, grams binary, docs binary, places binary, counts binary, texts binary",
+            "bucket int, block int, grams binary, docs binary, places binary, counts binary, texts binary, texts_size int",
         )
     )
     windows = strings.groupBy("bucket").applyInArrow(answer_windows, _REPLY)
