@@ -1,6 +1,6 @@
 """Column functions: each takes a column or its name and returns a column."""
 
-from accountloom.functions.casts import to_double, to_int
+from accountloom.functions.casts import WIDE, to_double, to_int
 from accountloom.functions.dates import (
     days_before,
     days_until,
@@ -19,6 +19,7 @@ from accountloom.functions.text import (
 )
 
 __all__ = [
+    "WIDE",
     "capitalize_parts",
     "capitalize_words",
     "days_before",

@@ -35,6 +35,8 @@ def parse_timestamp(c: Column | str) -> Column:
 
 def run_date(day: dt.date | str) -> dt.date:
     """The day of a run; a malformed one must stop the run, not become NULL."""
+    if isinstance(day, dt.datetime):
+        return day.date()
     if isinstance(day, dt.date):
         return day
     parsed = dt.datetime.strptime(day, "%Y-%m-%d").date()

@@ -16,7 +16,7 @@ Trim = Callable[[Column], Column]
 WORD_DELIMITERS = r"""[](){}/|\<>!?@"^#$&~_,.:;*%+-"""
 
 _DELIMITER_CLASS = r"\s" + "".join("\\" + ch for ch in WORD_DELIMITERS)
-_WORD_OR_DELIMITER = f"([^{_DELIMITER_CLASS}]+|[{_DELIMITER_CLASS}])"
+WORD_OR_DELIMITER = f"([^{_DELIMITER_CLASS}]+|[{_DELIMITER_CLASS}])"
 
 
 def trim_whitespace(c: Column | str) -> Column:
@@ -40,7 +40,7 @@ def capitalize_words(c: Column | str, trim: Trim = F.trim) -> Column:
 
 def capitalize_parts(c: Column | str, trim: Trim = F.trim) -> Column:
     """As capitalize_words, but other whitespace and punctuation start a new word as well."""
-    parts = F.regexp_extract_all(F.lower(trim(as_column(c))), F.lit(_WORD_OR_DELIMITER), 1)
+    parts = F.regexp_extract_all(F.lower(trim(as_column(c))), F.lit(WORD_OR_DELIMITER), 1)
     capitalized = F.transform(
         parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 2**31 - 1))
     )

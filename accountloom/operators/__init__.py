@@ -3,6 +3,7 @@
 from accountloom.operators.dedup import first_per_key, surviving_ids
 from accountloom.operators.filters import (
     keep_recent,
+    positive,
     require,
     retain,
     with_ingestion_date,
@@ -15,6 +16,7 @@ __all__ = [
     "keep_recent",
     "left_join",
     "left_join_unique",
+    "positive",
     "require",
     "retain",
     "semi_join",

@@ -21,6 +21,11 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
     return df.filter(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
 
 
+def positive(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose value is above zero. Spark ranks NaN above all numbers; it is none."""
+    return df.filter((F.col(column) > 0) & ~F.isnan(column))
+
+
 def keep_recent(df: DataFrame, as_of=None, days: int = 7) -> DataFrame:
     """Rows ingested since `days` before as_of, that day included, later days too."""
     return df.filter(F.col(DAY) >= days_before(days, as_of))

@@ -3,32 +3,45 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from accountloom.functions import WIDE
 from accountloom.plans.cleaning import CLEANERS, clean_contacts, clean_customers
 from accountloom.plans.core import build_core
 from accountloom.plans.dashboard import create_report_views, register_reports
-from accountloom.plans.staging import stage_all
+from accountloom.plans.staging import create_staging_views, stage_all
 from accountloom.schemas import CORE_COLUMNS, ENTITIES
 from accountloom.settings import size_for, stored_bytes
 from accountloom.sources import landing, warehouse
 from accountloom.sources.parallel import write_together
 
+log = logging.getLogger(__name__)
 
-def process_day(spark: SparkSession, base: str, day: dt.date | str) -> None:
+
+def process_day(
+    spark: SparkSession,
+    base: str,
+    day: dt.date | str,
+    id_type: str = WIDE,
+    multi_line: bool = False,
+) -> None:
     """Clean a landed day into Parquet.
 
     Contacts are checked against the customers just written, so the
-    deduplication runs once.
+    deduplication runs once. multi_line is what the day was landed with.
     """
-    sources = landing.read_run(spark, base, day)
-    landing.write_processed(clean_customers(sources["customers"], day), base, day, "customers")
+    sources = landing.read_run(spark, base, day, multi_line=multi_line)
+    customers = clean_customers(sources["customers"], day, id_type)
+    landing.write_processed(customers, base, day, "customers")
     kept = landing.read_processed(spark, base, day, "customers").select("customer_id")
-    rest = {e: clean(sources[e], day) for e, clean in CLEANERS.items() if e != "customers"}
-    rest["contacts"] = clean_contacts(sources["contacts"], kept, day)
+    rest = {
+        e: clean(sources[e], day, id_type) for e, clean in CLEANERS.items() if e != "customers"
+    }
+    rest["contacts"] = clean_contacts(sources["contacts"], kept, day, id_type)
     write_together(
         spark, [partial(landing.write_processed, df, base, day, e) for e, df in rest.items()]
     )
@@ -61,18 +74,28 @@ def build_models(
     only_day: dt.date | str | None = None,
     warehouse_text: bool = False,
 ) -> None:
-    """Refresh the core tables and the report views from the raw tables.
+    """Refresh the core tables and the stored views from the raw tables.
 
-    By default the core tables are rebuilt from all stored days. With only_day,
+    Without only_day the core tables are rebuilt from all stored days. With it,
     that day alone is read, and only its part of the core tables is replaced.
     """
     warehouse.create_core_tables(spark, database)
-    staged = stage_all(raw_layer(spark, database), warehouse_text)
+    create_staging_views(spark, database, warehouse_text)
+    staged = {e: spark.table(f"{database}.stg_{e}") for e in ENTITIES}
     models = build_core(staged, as_of, only_day)
     warehouse.replace_core(models, database, only_day)
     create_report_views(spark, database)
 
 
+def drop_expired(
+    spark: SparkSession, base: str, database: str, as_of: dt.date | str, days: int
+) -> None:
+    """Delete what is `days` old or older, from both zones and from every table."""
+    landing.drop_expired_folders(spark, base, as_of, days)
+    for name in [f"raw_{e}" for e in ENTITIES] + list(CORE_COLUMNS):
+        warehouse.drop_expired_days(spark, database, name, as_of, days)
+
+
 def run_day(
     spark: SparkSession,
     inputs: Mapping[str, str],
@@ -81,16 +104,29 @@ def run_day(
     day: dt.date | str,
     *,
     as_of: dt.date | str | None = None,
-    only_this_day: bool = False,
+    all_days: bool = False,
     reload: bool = False,
     warehouse_text: bool = False,
+    id_type: str = WIDE,
+    retain_days: int | None = None,
+    **options: bool,
 ) -> DataFrame:
-    """One whole run; returns the row count of every table."""
+    """One whole run; returns the row count of every table.
+
+    The core tables are refreshed for this day; all_days rebuilds them from all stored
+    days. With retain_days, what is older on this day is deleted at the end. options are
+    those of landing.read_source.
+    """
     size_for(spark, stored_bytes(spark, *inputs.values()))
-    landing.land_sources(spark, inputs, base, day)
-    process_day(spark, base, day)
+    landed = landing.land_sources(spark, inputs, base, day, **options)
+    for entity, found in landed.items():
+        if found.malformed:
+            log.warning("%s: %d of %d records are malformed", entity, found.malformed, found.rows)
+    process_day(spark, base, day, id_type, options.get("multi_line", False))
     load_day(spark, base, day, database, reload)
-    build_models(spark, database, as_of, day if only_this_day else None, warehouse_text)
+    build_models(spark, database, as_of, None if all_days else day, warehouse_text)
+    if retain_days is not None:
+        drop_expired(spark, base, database, day, retain_days)
     tables = [f"raw_{e}" for e in ENTITIES] + list(CORE_COLUMNS)
     return warehouse.row_counts(spark, database, tables)
 
@@ -103,4 +139,4 @@ def register_layers(raw: Mapping[str, DataFrame], as_of: dt.date | str | None =
         staged[entity].createOrReplaceTempView(f"stg_{entity}")
     for model, df in build_core(staged, as_of).items():
         df.createOrReplaceTempView(model)
-    register_reports(dict(raw), as_of)
+    register_reports(raw, as_of)

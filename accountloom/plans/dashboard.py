@@ -7,59 +7,81 @@ every aggregate combines before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.functions import month_of, round_money
-from accountloom.operators import keep_recent, require, semi_join
+from accountloom.functions import round_money, run_date
+from accountloom.operators import semi_join
 from accountloom.operators.joins import HOT_ROWS
 from accountloom.schemas import DAY
 
 
+# One definition per report, for frames and for stored views. {rows} is the frame or
+# table it reads, {today} the day it looks from.
+REPORTS = {
+    "deal_distribution_by_stage": (
+        "deals",
+        """
+        FROM {rows}
+        |> AGGREGATE count(*) AS deal_count, round(sum(deal_value), 2) AS total_value,
+                     round(avg(deal_value), 2) AS avg_value
+           GROUP BY deal_stage
+        |> ORDER BY deal_count DESC""",
+    ),
+    "customer_signups_over_time": (
+        "customers",
+        """
+        FROM {rows}
+        |> WHERE signup_date IS NOT NULL
+        |> AGGREGATE count(*) AS new_customers
+           GROUP BY trunc(signup_date, 'MM') AS signup_month, plan_tier
+        |> ORDER BY signup_month""",
+    ),
+    "mrr_by_plan": (
+        "subscriptions",
+        """
+        FROM {rows}
+        |> WHERE mrr IS NOT NULL
+        |> AGGREGATE count(*) AS customer_count, round(sum(mrr), 2) AS total_mrr,
+                     round(avg(mrr), 2) AS avg_mrr
+           GROUP BY plan, status
+        |> ORDER BY total_mrr DESC""",
+    ),
+    "pipeline_health_check": (
+        "customers",
+        f"""
+        FROM {{rows}}
+        |> WHERE {DAY} >= date_sub({{today}}, 7)
+        |> AGGREGATE count(*) AS records_ingested GROUP BY {DAY}
+        |> ORDER BY {DAY} DESC""",
+    ),
+}
+
+
+def _report(name: str, rows: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+    today = "current_date()" if as_of is None else f"DATE '{run_date(as_of).isoformat()}'"
+    text = REPORTS[name][1].replace("{today}", today)
+    return rows.sparkSession.sql(text, rows=rows)
+
+
 def deal_distribution_by_stage(deals: DataFrame) -> DataFrame:
-    return (
-        deals.groupBy("deal_stage")
-        .agg(
-            F.count(F.lit(1)).alias("deal_count"),
-            round_money(F.sum("deal_value")).alias("total_value"),
-            round_money(F.avg("deal_value")).alias("avg_value"),
-        )
-        .orderBy(F.desc("deal_count"))
-    )
+    return _report("deal_distribution_by_stage", deals)
 
 
 def customer_signups_over_time(customers: DataFrame) -> DataFrame:
-    return (
-        require(customers, "signup_date")
-        .groupBy(month_of("signup_date").alias("signup_month"), "plan_tier")
-        .agg(F.count(F.lit(1)).alias("new_customers"))
-        .orderBy("signup_month")
-    )
+    return _report("customer_signups_over_time", customers)
 
 
 def mrr_by_plan(subscriptions: DataFrame) -> DataFrame:
-    return (
-        require(subscriptions, "mrr")
-        .groupBy("plan", "status")
-        .agg(
-            F.count(F.lit(1)).alias("customer_count"),
-            round_money(F.sum("mrr")).alias("total_mrr"),
-            round_money(F.avg("mrr")).alias("avg_mrr"),
-        )
-        .orderBy(F.desc("total_mrr"))
-    )
+    return _report("mrr_by_plan", subscriptions)
 
 
-def pipeline_health_check(customers: DataFrame, as_of=None) -> DataFrame:
+def pipeline_health_check(customers: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     """Rows per ingestion day of the last week; days without rows are absent."""
-    return (
-        keep_recent(customers, as_of, 7)
-        .groupBy(DAY)
-        .agg(F.count(F.lit(1)).alias("records_ingested"))
-        .orderBy(F.desc(DAY))
-    )
+    return _report("pipeline_health_check", customers, as_of)
 
 
 def tile_deals_by_stage(distribution: DataFrame) -> DataFrame:
@@ -70,10 +92,23 @@ def tile_deals_by_stage(distribution: DataFrame) -> DataFrame:
     )
 
 
-def tile_signups_by_tier(signups: DataFrame, tiers: Sequence[str]) -> DataFrame:
-    """A row per month and a column per tier."""
+def tile_signups_by_tier(signups: DataFrame) -> DataFrame:
+    """A row per month and tier, whatever tiers there are; no tier is one of them."""
+    return (
+        signups.groupBy("signup_month", "plan_tier")
+        .agg(F.sum("new_customers").alias("new_customers"))
+        .orderBy("signup_month", "plan_tier")
+    )
+
+
+def tile_signups_wide(signups: DataFrame, tiers: Sequence[str]) -> DataFrame:
+    """A row per month and a column per tier; fails if a tier is not listed."""
+    known = F.coalesce(F.col("plan_tier").isin(list(tiers)), F.lit(False))
+    message = F.concat(F.lit("tier not listed: "), F.coalesce("plan_tier", F.lit("NULL")))
+    checked = F.when(known, F.col("plan_tier")).otherwise(F.raise_error(message))
     return (
-        signups.groupBy("signup_month")
+        signups.withColumn("plan_tier", checked)
+        .groupBy("signup_month")
         .pivot("plan_tier", list(tiers))
         .agg(F.sum("new_customers"))
         .orderBy("signup_month")
@@ -96,43 +131,14 @@ def signups_by_stage(
     return customer_signups_over_time(semi_join(customers, chosen, "customer_id", hot_rows))
 
 
-def register_reports(raw: dict[str, DataFrame], as_of=None) -> None:
+def register_reports(raw: Mapping[str, DataFrame], as_of: dt.date | str | None = None) -> None:
     """The four reports as temporary views over any frames of the raw layer."""
-    deal_distribution_by_stage(raw["deals"]).createOrReplaceTempView("deal_distribution_by_stage")
-    customer_signups_over_time(raw["customers"]).createOrReplaceTempView(
-        "customer_signups_over_time"
-    )
-    mrr_by_plan(raw["subscriptions"]).createOrReplaceTempView("mrr_by_plan")
-    pipeline_health_check(raw["customers"], as_of).createOrReplaceTempView("pipeline_health_check")
+    for name, (entity, _) in REPORTS.items():
+        _report(name, raw[entity], as_of).createOrReplaceTempView(name)
 
 
 def create_report_views(spark: SparkSession, database: str) -> None:
-    """The four reports as stored views; each query sees the tables as they are then."""
-    bodies = {
-        "deal_distribution_by_stage": f"""
-            FROM {database}.raw_deals
-            |> AGGREGATE count(*) AS deal_count, round(sum(deal_value), 2) AS total_value,
-                         round(avg(deal_value), 2) AS avg_value
-               GROUP BY deal_stage
-            |> ORDER BY deal_count DESC""",
-        "customer_signups_over_time": f"""
-            FROM {database}.raw_customers
-            |> WHERE signup_date IS NOT NULL
-            |> AGGREGATE count(*) AS new_customers
-               GROUP BY trunc(signup_date, 'MM') AS signup_month, plan_tier
-            |> ORDER BY signup_month""",
-        "mrr_by_plan": f"""
-            FROM {database}.raw_subscriptions
-            |> WHERE mrr IS NOT NULL
-            |> AGGREGATE count(*) AS customer_count, round(sum(mrr), 2) AS total_mrr,
-                         round(avg(mrr), 2) AS avg_mrr
-               GROUP BY plan, status
-            |> ORDER BY total_mrr DESC""",
-        "pipeline_health_check": f"""
-            FROM {database}.raw_customers
-            |> WHERE {DAY} >= date_sub(current_date(), 7)
-            |> AGGREGATE count(*) AS records_ingested GROUP BY {DAY}
-            |> ORDER BY {DAY} DESC""",
-    }
-    for name, body in bodies.items():
+    """The four reports as stored views; each query sees the tables and the day as they are then."""
+    for name, (entity, text) in REPORTS.items():
+        body = text.format(rows=f"{database}.raw_{entity}", today="current_date()")
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {body}")

@@ -1,82 +1,92 @@
-"""Raw tables to staging: normalized values, rows without their keys dropped."""
+"""Raw tables to staging: normalized values, rows without their keys dropped.
+
+Each model is one list of SQL expressions and one condition, for frames and for the
+stored views.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from accountloom.functions.text import WORD_OR_DELIMITER
+from accountloom.schemas import ENTITIES, raw_columns
 
-from accountloom.functions import (
-    capitalize_parts,
-    capitalize_words,
-    normalize_email,
-    normalize_enum,
-    round_money,
-    trim_whitespace,
+# Spark's rules: spaces are trimmed, spaces start a word.
+TRIM, CAPITALIZE = "trim({x})", "initcap({x})"
+# A warehouse's rules: all whitespace is trimmed, punctuation starts a word as well.
+_EDGE = r"[\s\p{Z}]+"
+TRIM_WHITESPACE = (
+    f"regexp_replace(regexp_replace({{x}}, r'^{_EDGE}', ''), r'{_EDGE}$', '')".replace("{Z}", "{{Z}}")
 )
-from accountloom.operators import require
-from accountloom.schemas import raw_columns
+CAPITALIZE_PARTS = (
+    "array_join(transform(regexp_extract_all(lower({x}), r'"
+    + WORD_OR_DELIMITER.replace("{", "{{").replace("}", "}}")
+    + "', 1), p -> concat(upper(substring(p, 1, 1)), substring(p, 2))), '')"
+)
+
+# Expressions of the columns that change, and the rows that stay.
+_CHANGED = {
+    "customers": {
+        "email": "lower({trim_email})",
+        "company": "{capitalized_company}",
+        "plan_tier": "lower(plan_tier)",
+    },
+    "contacts": {"email": "lower({trim_email})"},
+    "deals": {"deal_value": "round(deal_value, 2)", "deal_stage": "lower(deal_stage)"},
+    "activities": {"activity_type": "lower(activity_type)", "outcome": "lower(outcome)"},
+    "subscriptions": {"plan": "lower(plan)", "status": "lower(status)"},
+}
+_KEPT = {
+    "customers": "customer_id IS NOT NULL AND email IS NOT NULL",
+    "contacts": "contact_id IS NOT NULL AND customer_id IS NOT NULL",
+    # Spark ranks NaN above all numbers; it is no positive value.
+    "deals": "deal_id IS NOT NULL AND customer_id IS NOT NULL AND deal_value > 0 AND NOT isnan(deal_value)",
+    "activities": "activity_id IS NOT NULL AND customer_id IS NOT NULL AND timestamp IS NOT NULL",
+    "subscriptions": "subscription_id IS NOT NULL AND customer_id IS NOT NULL",
+}
+
+
+def _columns(entity: str, warehouse_text: bool) -> list[str]:
+    trim = TRIM_WHITESPACE if warehouse_text else TRIM
+    capitalize = CAPITALIZE_PARTS if warehouse_text else CAPITALIZE
+    parts = {
+        "trim_email": trim.format(x="email"),
+        "capitalized_company": capitalize.format(x=trim.format(x="company")),
+    }
+    changed = _CHANGED[entity]
+    return [
+        f"{changed[c].format(**parts)} AS `{c}`" if c in changed else f"`{c}`"
+        for c in raw_columns(entity)
+    ]
+
+
+def _stage(entity: str, raw: DataFrame, warehouse_text: bool = False) -> DataFrame:
+    return raw.filter(_KEPT[entity]).selectExpr(*_columns(entity, warehouse_text))
 
 
 def stage_customers(raw: DataFrame, warehouse_text: bool = False) -> DataFrame:
     """warehouse_text trims all whitespace and capitalizes after punctuation, too."""
-    trim = trim_whitespace if warehouse_text else F.trim
-    capitalize = capitalize_parts if warehouse_text else capitalize_words
-    return (
-        require(raw, "customer_id", "email")
-        .withColumns(
-            {
-                "email": normalize_email("email", trim),
-                "company": capitalize("company", trim),
-                "plan_tier": normalize_enum("plan_tier"),
-            }
-        )
-        .select(raw_columns("customers"))
-    )
+    return _stage("customers", raw, warehouse_text)
 
 
 def stage_contacts(raw: DataFrame, warehouse_text: bool = False) -> DataFrame:
-    trim = trim_whitespace if warehouse_text else F.trim
-    return (
-        require(raw, "contact_id", "customer_id")
-        .withColumn("email", normalize_email("email", trim))
-        .select(raw_columns("contacts"))
-    )
+    return _stage("contacts", raw, warehouse_text)
 
 
 def stage_deals(raw: DataFrame) -> DataFrame:
     """Deals of positive value; an open deal has no close date."""
-    return (
-        require(raw, "deal_id", "customer_id")
-        .filter("deal_value > 0")
-        .withColumns(
-            {"deal_value": round_money("deal_value"), "deal_stage": normalize_enum("deal_stage")}
-        )
-        .select(raw_columns("deals"))
-    )
+    return _stage("deals", raw)
 
 
 def stage_activities(raw: DataFrame) -> DataFrame:
-    return (
-        require(raw, "activity_id", "customer_id", "timestamp")
-        .withColumns(
-            {
-                "activity_type": normalize_enum("activity_type"),
-                "outcome": normalize_enum("outcome"),
-            }
-        )
-        .select(raw_columns("activities"))
-    )
+    return _stage("activities", raw)
 
 
 def stage_subscriptions(raw: DataFrame) -> DataFrame:
     """A free plan has no recurring revenue; its NULL stays."""
-    return (
-        require(raw, "subscription_id", "customer_id")
-        .withColumns({"plan": normalize_enum("plan"), "status": normalize_enum("status")})
-        .select(raw_columns("subscriptions"))
-    )
+    return _stage("subscriptions", raw)
 
 
 STAGES = {
@@ -88,11 +98,15 @@ STAGES = {
 }
 
 
-def stage_all(
-    raw: Mapping[str, DataFrame], warehouse_text: bool = False
-) -> dict[str, DataFrame]:
-    staged = {entity: stage(raw[entity]) for entity, stage in STAGES.items()}
-    if warehouse_text:
-        staged["customers"] = stage_customers(raw["customers"], warehouse_text=True)
-        staged["contacts"] = stage_contacts(raw["contacts"], warehouse_text=True)
-    return staged
+def stage_all(raw: Mapping[str, DataFrame], warehouse_text: bool = False) -> dict[str, DataFrame]:
+    return {entity: _stage(entity, raw[entity], warehouse_text) for entity in ENTITIES}
+
+
+def create_staging_views(spark: SparkSession, database: str, warehouse_text: bool = False) -> None:
+    """The staging models as stored views over the raw tables."""
+    for entity in ENTITIES:
+        columns = ", ".join(_columns(entity, warehouse_text))
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {database}.stg_{entity} AS "
+            f"SELECT {columns} FROM {database}.raw_{entity} WHERE {_KEPT[entity]}"
+        )

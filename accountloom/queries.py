@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from accountloom import functions as fn
 from accountloom.operators import (
     keep_recent,
+    positive,
     require,
     retain,
     with_ingestion_date,
@@ -32,8 +33,6 @@ HEALTH_AS_OF = dt.date(2025, 1, 7)
 SNAPSHOT_START = dt.date(2024, 12, 1)
 SNAPSHOT_DAYS = 45
 
-# Tiers as the raw layer spells them.
-TIERS = ["free", "Starter", "growth", "ENTERPRISE"]
 STAGE = "closed_won"
 
 
@@ -168,20 +167,31 @@ def sink_append_table(x: Layers) -> DataFrame:
 def sink_reload_partition(x: Layers) -> DataFrame:
     """Two days are loaded and one of them again; no count changes."""
     database = x.database()
-    warehouse.append_raw({"deals": x.twice["deals"]}, database, many_days=True)
+    warehouse.append_raw({"deals": x.twice["deals"]}, database)
     again = {"deals": with_ingestion_date(x.raw["deals"], NEXT_DAY)}
     warehouse.reload_raw(again, database, NEXT_DAY)
     return _per_stage_and_day(warehouse.raw_table(x.spark, database, "deals"))
 
 
-def _load_all(x: Layers) -> str:
+def _loaded(x: Layers, *entities: str) -> str:
     database = x.database()
-    warehouse.append_raw({e: x.raw[e] for e in ENTITIES}, database)
+    warehouse.append_raw({e: x.raw[e] for e in entities}, database)
     return database
 
 
 def load_raw_tables(x: Layers) -> DataFrame:
-    return warehouse.row_counts(x.spark, _load_all(x), [f"raw_{e}" for e in ENTITIES])
+    return warehouse.row_counts(x.spark, _loaded(x, *ENTITIES), [f"raw_{e}" for e in ENTITIES])
+
+
+def stored_staging(entity: str) -> Callable[[Layers], DataFrame]:
+    """The stored staging view over a loaded table."""
+
+    def run(x: Layers) -> DataFrame:
+        database = _loaded(x, entity)
+        staging.create_staging_views(x.spark, database)
+        return x.spark.table(f"{database}.stg_{entity}")
+
+    return run
 
 
 def create_raw_tables(x: Layers) -> DataFrame:
@@ -192,14 +202,22 @@ def create_raw_tables(x: Layers) -> DataFrame:
     return warehouse.raw_table(x.spark, database, "customers")
 
 
+_READS = {
+    "fact_deals": ("deals", "customers"),
+    "dim_customers": ("customers", "subscriptions", "activities"),
+    "dim_subscriptions": ("subscriptions", "customers"),
+}
+
+
 def materialize(model: str) -> Callable[[Layers], DataFrame]:
+    """A core table built from the stored tables that it reads."""
+
     def run(x: Layers) -> DataFrame:
-        database = _load_all(x)
+        database = _loaded(x, *_READS[model])
         warehouse.create_core_tables(x.spark, database)
         staged = staging.stage_all(daily.raw_layer(x.spark, database))
         frame = core.build_core(staged, RENEWALS_AS_OF)[model]
-        for _ in range(2):
-            warehouse.replace_core({model: frame}, database)
+        warehouse.replace_core({model: frame}, database)
         return x.spark.table(f"{database}.{model}")
 
     return run
@@ -209,7 +227,7 @@ def retention_drop_days(x: Layers) -> DataFrame:
     """As retention_30d, on a stored table: whole days are dropped from it."""
     database = x.database()
     dated = require(x.snapshots, DAY)
-    warehouse.append_raw({"customers": dated}, database, many_days=True)
+    warehouse.append_raw({"customers": dated}, database)
     warehouse.drop_expired_days(x.spark, database, "raw_customers", HEALTH_AS_OF, 30)
     return warehouse.raw_table(x.spark, database, "customers")
 
@@ -234,7 +252,7 @@ def verify_counts(x: Layers) -> DataFrame:
 def read_pruned_range(x: Layers) -> DataFrame:
     """A few days and one tier of a table of many days."""
     database = x.database()
-    warehouse.append_raw({"customers": x.snapshots}, database, many_days=True)
+    warehouse.append_raw({"customers": x.snapshots}, database)
     table = warehouse.raw_table(x.spark, database, "customers")
     days = within_days(table, dt.date(2024, 12, 10), dt.date(2024, 12, 20))
     return days.filter(F.col("plan_tier") == "growth")
@@ -287,6 +305,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "sink_reload_partition": sink_reload_partition,
     "load_raw_tables": load_raw_tables,
     "create_raw_tables": create_raw_tables,
+    **{f"stored_stg_{e}": stored_staging(e) for e in ENTITIES},
     "materialize_core": materialize("dim_customers"),
     "materialize_fact_deals": materialize("fact_deals"),
     "materialize_dim_subscriptions": materialize("dim_subscriptions"),
@@ -298,7 +317,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     # projections and filters
     "add_ingestion_date": lambda x: with_ingestion_date(x.src["deals"], RUN_DAY),
     "filter_not_null_keys": lambda x: require(x.raw["customers"], "customer_id", "email"),
-    "filter_positive_value": lambda x: x.raw["deals"].filter("deal_value > 0"),
+    "filter_positive_value": lambda x: positive(x.raw["deals"], "deal_value"),
     "filter_unparsed_ts": lambda x: require(x.raw["activities"], "timestamp"),
     "filter_last_7_days": lambda x: keep_recent(x.snapshots, HEALTH_AS_OF, 7),
     # joins
@@ -331,7 +350,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "tile_deals_by_stage": lambda x: dashboard.tile_deals_by_stage(
         dashboard.deal_distribution_by_stage(x.raw["deals"])
     ),
-    "tile_signups_by_tier": lambda x: dashboard.tile_signups_by_tier(x.signups(), TIERS),
+    "tile_signups_by_tier": lambda x: dashboard.tile_signups_by_tier(x.signups()),
     "tile_signups_one_tier": lambda x: dashboard.tile_signups_one_tier(x.signups(), "Starter"),
     "tile_mrr_by_plan": lambda x: dashboard.tile_mrr_by_plan(
         dashboard.mrr_by_plan(x.raw["subscriptions"])

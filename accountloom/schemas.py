@@ -75,5 +75,9 @@ def raw_columns(entity: str) -> list[str]:
     return [*SOURCE_COLUMNS[entity], DAY]
 
 
+def table_type(column: str) -> str:
+    return _TABLE_TYPES.get(column, "string")
+
+
 def column_ddl(columns: list[str]) -> str:
-    return ", ".join(f"`{c}` {_TABLE_TYPES.get(c, 'string')}" for c in columns)
+    return ", ".join(f"`{c}` {table_type(c)}" for c in columns)

@@ -8,8 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
 
@@ -26,7 +25,7 @@ PLAN_SETTINGS = {
 }
 
 SHUFFLE_PARTITION_BYTES = 256 * MIB
-MAX_SHUFFLE_PARTITIONS = 40_000
+MAX_SHUFFLE_PARTITIONS = 200_000
 SCAN_TASKS = 200_000
 MAX_SPLIT_BYTES = 1024 * MIB
 
@@ -55,25 +54,23 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def stored_bytes(spark: SparkSession, *paths: str) -> int:
-    """Size of all files under the paths.
+def planned_bytes(df: DataFrame) -> int:
+    """Size of a frame as the optimizer estimates it; files count as stored. Runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    Only file metadata is read, so one task may cover any number of bytes.
-    """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(list(paths))
-    )
-    with setting(spark, "spark.sql.files.maxPartitionBytes", str(2**50)):
-        return files.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of all files under the paths, from the listing a read of them makes anyway."""
+    files = spark.read.format("text").option("recursiveFileLookup", "true").load(list(paths))
+    return planned_bytes(files)
 
 
 def size_for(spark: SparkSession, input_bytes: int) -> None:
     """Raise shuffle and scan sizes to fit the input; never lower what is set.
 
     Adaptive execution merges partitions that turn out small but cannot add any,
-    so the number to start from has to follow the data.
+    so the number to start from has to follow the data: 256 MB each, and above
+    50 TB as many as a shuffle can still track, half a gigabyte each at 100 TB.
     """
     wanted = min(-(-input_bytes // SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -89,6 +86,12 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="accountloom-")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether all executors share this machine; local-cluster's have folders of their own."""
+    master = spark.conf.get("spark.master", "")
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder that every executor can reach.
 
@@ -97,7 +100,7 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = _local_scratch()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

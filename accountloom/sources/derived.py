@@ -32,7 +32,7 @@ SPARK = Dialect(
 
 FROM = {
     "customers": "customer JOIN nation ON c_nationkey = n_nationkey",
-    "contacts": "orders WHERE o_orderkey % 5 = 0",
+    "contacts": "orders",
     "deals": "orders",
     "activities": "events",
     "subscriptions": "customer",
@@ -51,7 +51,11 @@ def source_expressions(entity: str, d: Dialect) -> dict[str, str]:
 
     if entity == "customers":
         return {
-            "customer_id": f"CASE WHEN c_custkey % 500 = 27 THEN concat('X', {text('c_custkey')}) ELSE {text('c_custkey')} END",
+            "customer_id": (
+                f"CASE WHEN c_custkey % 500 = 27 THEN concat('X', {text('c_custkey')})"
+                f" WHEN c_custkey % 50 = 1 THEN {text('c_custkey + 1')}"
+                f" WHEN c_custkey % 50 = 4 THEN concat({text('c_custkey')}, '.0') ELSE {text('c_custkey')} END"
+            ),
             "name": "c_name",
             "email": (
                 "CASE WHEN c_custkey % 97 = 0 THEN NULL"
@@ -90,7 +94,9 @@ def source_expressions(entity: str, d: Dialect) -> dict[str, str]:
             "customer_id": text("o_custkey"),
             "deal_value": (
                 "CASE WHEN o_orderkey % 211 = 3 THEN '0' WHEN o_orderkey % 227 = 3 THEN '-5.00'"
-                f" WHEN o_orderkey % 223 = 3 THEN 'n/a' ELSE {text('cast(o_totalprice as decimal(18,2))')} END"
+                f" WHEN o_orderkey % 223 = 3 THEN 'n/a'"
+                f" WHEN o_orderkey % 4 = 1 THEN concat({text('cast(o_totalprice as decimal(18,2))')}, '3')"
+                f" ELSE {text('cast(o_totalprice as decimal(18,2))')} END"
             ),
             "deal_stage": (
                 "CASE o_orderkey % 6 WHEN 0 THEN 'prospecting' WHEN 1 THEN 'Qualified' WHEN 2 THEN 'proposal'"
@@ -133,8 +139,6 @@ def derive_source(spark: SparkSession, folder: str, entity: str) -> DataFrame:
         rows = table("customer").join(
             F.broadcast(table("nation")), F.col("c_nationkey") == F.col("n_nationkey")
         )
-    elif entity == "contacts":
-        rows = table("orders").filter("o_orderkey % 5 = 0")
     else:
         rows = table(FROM[entity])
     columns = source_expressions(entity, SPARK)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -27,3 +29,25 @@ def names(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     files, folder = _open(spark, path)
     files.delete(folder, True)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    files, folder = _open(spark, path)
+    if not files.rename(folder, _open(spark, target)[1]):
+        raise OSError(f"cannot move {path} to {target}")
+
+
+def put_in_place(spark: SparkSession, new: str, target: str) -> None:
+    """Let a finished folder take another's place; if that fails, the other stays."""
+    if not exists(spark, target):
+        move(spark, new, target)
+        return
+    parent, _, name = target.rpartition("/")
+    aside = f"{parent}/_old-{name}-{uuid.uuid4().hex}"
+    move(spark, target, aside)
+    try:
+        move(spark, new, target)
+    except Exception:
+        move(spark, aside, target)
+        raise
+    delete(spark, aside)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from accountloom.functions.dates import run_date
 from accountloom.schemas import ENTITIES, SOURCE_COLUMNS, source_schema
@@ -23,6 +26,10 @@ def processed_path(base: str, day: dt.date | str, entity: str) -> str:
     return f"{base}/processed/crm/{run_date(day).isoformat()}/{entity}"
 
 
+def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    return spark.read.options(header=True, escape='"', multiLine=multi_line)
+
+
 def read_source(
     spark: SparkSession,
     path: str,
@@ -38,9 +45,7 @@ def read_source(
     instead, allowing other orders and additional columns. multi_line admits line
     breaks inside quotes, but one file is then one task.
     """
-    reader = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    )
+    reader = _reader(spark, multi_line)
     try:
         if any_header_order:
             return reader.csv(path).select(SOURCE_COLUMNS[entity])
@@ -68,17 +73,87 @@ def write_source(df: DataFrame, path: str) -> None:
     )
 
 
+def _is_header(entity: str) -> Column:
+    header = ",".join(SOURCE_COLUMNS[entity])
+    return F.lower(F.trim(F.translate("value", '"', ""))) == header
+
+
+def copy_lines(spark: SparkSession, path: str, target: str, entity: str) -> None:
+    """Copy a source line by line, as it was sent; every file written has the header.
+
+    The header is written as the name of the one column there is. No character has a
+    meaning to the writer, so damaged records stay as they are.
+    """
+    lines = spark.read.text(path).filter((F.length("value") > 0) & ~_is_header(entity))
+    (
+        lines.toDF(",".join(SOURCE_COLUMNS[entity]))
+        .write.mode("overwrite")
+        .options(header=True, sep="\x01", quote="", emptyValue="", nullValue="")
+        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(target)
+    )
+
+
+@dataclass(frozen=True)
+class Landed:
+    """Records of one source, and how many of them have too few or too many fields."""
+
+    rows: int
+    malformed: int
+
+
+def check_source(spark: SparkSession, path: str, entity: str, **options) -> Landed:
+    """Read a source in full, so that a wrong header or a missing file is found."""
+    damaged = "_malformed"
+    schema = source_schema(entity).add(damaged, T.StringType())
+    df = read_source(spark, path, entity, **options)
+    if not df.inputFiles():
+        raise FileNotFoundError(f"no {entity} source at {path}")
+    if not options.get("any_header_order"):
+        df = (
+            _reader(spark, options.get("multi_line", False))
+            .options(columnNameOfCorruptRecord=damaged, columnPruning=False, enforceSchema=False)
+            .schema(schema)
+            .csv(path)
+        )
+    else:
+        df = df.withColumn(damaged, F.lit(None).cast("string"))
+    counts = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(damaged).alias("malformed"),
+        F.count(df.columns[0]).alias("keys"),
+    ).first()
+    return Landed(counts["rows"], counts["malformed"])
+
+
 def land_sources(
     spark: SparkSession, inputs: Mapping[str, str], base: str, day: dt.date | str, **options
-) -> None:
-    """Copy all sources into the day's folder, or none if one is missing."""
+) -> dict[str, Landed]:
+    """Copy all sources into the day's folder, or none if one is missing or has a wrong header.
+
+    Every source is read once before anything is written; what was found is returned.
+    Lines are copied as they are. With any_header_order the columns are put in the
+    declared order, and with multi_line a record may span lines; then records are
+    parsed and written anew.
+    """
     missing = [e for e in ENTITIES if e not in inputs]
     if missing:
         raise FileNotFoundError(f"no path given for {', '.join(missing)}")
-    found = {e: read_source(spark, inputs[e], e, **options) for e in ENTITIES}
-    write_together(
-        spark, [partial(write_source, df, raw_path(base, day, e)) for e, df in found.items()]
-    )
+    found: dict[str, Landed] = {}
+
+    def check(entity: str) -> None:
+        found[entity] = check_source(spark, inputs[entity], entity, **options)
+
+    def land(entity: str) -> None:
+        target = raw_path(base, day, entity)
+        if any(options.values()):
+            write_source(read_source(spark, inputs[entity], entity, **options), target)
+        else:
+            copy_lines(spark, inputs[entity], target, entity)
+
+    write_together(spark, [partial(check, e) for e in ENTITIES])
+    write_together(spark, [partial(land, e) for e in ENTITIES])
+    return found
 
 
 def write_processed(df: DataFrame, base: str, day: dt.date | str, entity: str) -> None:

@@ -1,7 +1,9 @@
 """Parquet tables in one database, one folder per ingestion day.
 
-Within a file rows are sorted by the table's clustering columns, so row-group
-statistics let a reader skip the blocks of other plans or stages.
+Rows are dealt to files by ranges of the table's clustering columns and sorted by them,
+so file and row-group statistics let a reader skip other plans, stages or customers.
+A day or a table that is replaced is written beside the old one first and takes its
+place when it is complete.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from accountloom.schemas import (
     RAW_CLUSTERING,
     column_ddl,
     raw_columns,
+    table_type,
 )
 from accountloom.settings import setting
 from accountloom.sources import files
@@ -64,50 +67,79 @@ def create_core_tables(spark: SparkSession, database: str) -> None:
         _create_table(spark, database, model, columns)
 
 
-def _by_day(df: DataFrame, columns: list[str], cluster: list[str], many_days: bool) -> DataFrame:
+def _clustered(df: DataFrame, columns: list[str], cluster: list[str]) -> DataFrame:
     """Rows laid out for a table write.
 
-    A one-day load stays where it is: every task writes one file and nothing is
-    shuffled. Rows of many days are gathered by day first, or each task would
-    write a file for each; adaptive execution splits a large day over many tasks
-    and merges small ones, so no day depends on one task.
+    They are dealt by ranges of day, clustering columns and a hash of the whole row;
+    the hash lets a large day or a frequent value spread over many tasks. Ranges come
+    from a sample of the rows; adaptive execution merges ranges that turn out small.
     """
-    if many_days:
-        df = df.hint("rebalance", DAY)
-    return df.select(columns).sortWithinPartitions(DAY, *cluster)
+    typed = df.select([F.col(c).cast(table_type(c)).alias(c) for c in columns])
+    ranges = [DAY, *cluster, F.xxhash64(*columns)]
+    return typed.repartitionByRange(*ranges).sortWithinPartitions(DAY, *cluster)
 
 
 # insertInto reads the overwrite mode from the session, not from writer options.
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def _insert_raw(
-    frames: Mapping[str, DataFrame], database: str, mode: str, many_days: bool
-) -> None:
+def _insert_raw(frames: Mapping[str, DataFrame], database: str, mode: str) -> None:
     def insert(entity: str, df: DataFrame) -> None:
-        rows = _by_day(df, raw_columns(entity), RAW_CLUSTERING[entity], many_days)
+        rows = _clustered(df, raw_columns(entity), RAW_CLUSTERING[entity])
         rows.write.mode(mode).insertInto(f"{database}.raw_{entity}")
 
     spark = next(iter(frames.values())).sparkSession
     write_together(spark, [partial(insert, e, df) for e, df in frames.items()])
 
 
-def append_raw(
-    frames: Mapping[str, DataFrame], database: str, many_days: bool = False
-) -> None:
+def append_raw(frames: Mapping[str, DataFrame], database: str) -> None:
     """Add rows by entity; loading the same day twice stores it twice."""
-    _insert_raw(frames, database, "append", many_days)
+    _insert_raw(frames, database, "append")
+
+
+def _table_folder(spark: SparkSession, database: str, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name}")
+    return described.filter("col_name = 'Location'").first()["data_type"]
+
 
+def _beside(folder: str) -> str:
+    """A new folder in a table's folder that no reader lists."""
+    return f"{folder}/_new-{uuid.uuid4().hex}"
 
-def _overwrite_day(rows: DataFrame, table: str, day: dt.date | str) -> None:
+
+def _overwrite_day(rows: DataFrame, database: str, name: str, day: dt.date | str) -> None:
     """Replace one day of a table, also by nothing if there are no rows."""
-    view = f"rows_{uuid.uuid4().hex}"
-    rows.drop(DAY).createOrReplaceTempView(view)
-    rows.sparkSession.sql(
-        f"INSERT OVERWRITE TABLE {table} "
-        f"PARTITION ({DAY} = DATE '{run_date(day).isoformat()}') SELECT * FROM {view}"
-    )
-    rows.sparkSession.catalog.dropTempView(view)
+    spark, value = rows.sparkSession, run_date(day).isoformat()
+    folder = _table_folder(spark, database, name)
+    new = _beside(folder)
+    try:
+        rows.drop(DAY).write.option("compression", "zstd").parquet(new)
+        files.put_in_place(spark, new, f"{folder}/{DAY}={value}")
+    finally:
+        files.delete(spark, new)
+    table = f"{database}.{name}"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({DAY} = DATE '{value}')")
+    spark.catalog.refreshTable(table)
+
+
+def _overwrite_all(rows: DataFrame, database: str, name: str) -> None:
+    """Replace all days of a table; days without rows are gone afterwards."""
+    spark = rows.sparkSession
+    folder = _table_folder(spark, database, name)
+    new = _beside(folder)
+    try:
+        rows.write.option("compression", "zstd").partitionBy(DAY).parquet(new)
+        written = [n for n in files.names(spark, new) if n.startswith(f"{DAY}=")]
+        for day in written:
+            files.put_in_place(spark, f"{new}/{day}", f"{folder}/{day}")
+        for day in files.names(spark, folder):
+            if day.startswith(f"{DAY}=") and day not in written:
+                files.delete(spark, f"{folder}/{day}")
+    finally:
+        files.delete(spark, new)
+    table = f"{database}.{name}"
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def reload_raw(
@@ -121,12 +153,12 @@ def reload_raw(
     spark = next(iter(frames.values())).sparkSession
     if day is None:
         with setting(spark, _OVERWRITE_MODE, "dynamic"):
-            _insert_raw(frames, database, "overwrite", many_days=True)
+            _insert_raw(frames, database, "overwrite")
         return
 
     def reload(entity: str, df: DataFrame) -> None:
-        rows = _by_day(df, raw_columns(entity), RAW_CLUSTERING[entity], many_days=False)
-        _overwrite_day(rows, f"{database}.raw_{entity}", day)
+        rows = _clustered(df, raw_columns(entity), RAW_CLUSTERING[entity])
+        _overwrite_day(rows, database, f"raw_{entity}", day)
 
     write_together(spark, [partial(reload, e, df) for e, df in frames.items()])
 
@@ -137,16 +169,14 @@ def replace_core(
     """Full refresh of core tables, or of one day's part, whose rows the models hold."""
 
     def replace(model: str, df: DataFrame) -> None:
-        table, all_days = f"{database}.{model}", day is None
-        rows = _by_day(df, CORE_COLUMNS[model], CORE_CLUSTERING[model], many_days=all_days)
-        if all_days:
-            rows.write.mode("overwrite").insertInto(table)
+        rows = _clustered(df, CORE_COLUMNS[model], CORE_CLUSTERING[model])
+        if day is None:
+            _overwrite_all(rows, database, model)
         else:
-            _overwrite_day(rows, table, day)
+            _overwrite_day(rows, database, model, day)
 
     spark = next(iter(models.values())).sparkSession
-    with setting(spark, _OVERWRITE_MODE, "static"):
-        write_together(spark, [partial(replace, m, df) for m, df in models.items()])
+    write_together(spark, [partial(replace, m, df) for m, df in models.items()])
 
 
 def raw_table(spark: SparkSession, database: str, entity: str) -> DataFrame:

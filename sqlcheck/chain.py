@@ -69,7 +69,7 @@ def _source(entity: str) -> str:
 CTES = {f"src_{e}": _source(e) for e in ENTITIES}
 
 CTES["typed_customers"] = f"""
-    SELECT try_cast(customer_id AS int) AS customer_id, name, {email('email')} AS email,
+    SELECT try_cast(customer_id AS bigint) AS customer_id, name, {email('email')} AS email,
            {initcap('company')} AS company, {date('signup_date')} AS signup_date,
            plan_tier, country, {RUN_DAY} AS ingestion_date
     FROM src_customers"""
@@ -82,7 +82,7 @@ CTES["raw_customers"] = """
                  signup_date NULLS FIRST, plan_tier NULLS FIRST, country NULLS FIRST) = 1"""
 
 CTES["typed_contacts"] = f"""
-    SELECT try_cast(customer_id AS int) AS customer_id, try_cast(contact_id AS int) AS contact_id,
+    SELECT try_cast(customer_id AS bigint) AS customer_id, try_cast(contact_id AS bigint) AS contact_id,
            first_name, last_name, {email('email')} AS email, phone, role, {RUN_DAY} AS ingestion_date
     FROM src_contacts"""
 
@@ -90,20 +90,20 @@ CTES["raw_contacts"] = """
     SELECT k.* FROM typed_contacts k JOIN raw_customers c ON k.customer_id = c.customer_id"""
 
 CTES["raw_deals"] = f"""
-    SELECT try_cast(deal_id AS int) AS deal_id, try_cast(customer_id AS int) AS customer_id,
+    SELECT try_cast(deal_id AS bigint) AS deal_id, try_cast(customer_id AS bigint) AS customer_id,
            try_cast(deal_value AS double) AS deal_value, deal_stage,
            {date('close_date')} AS close_date, owner, {RUN_DAY} AS ingestion_date
     FROM src_deals"""
 
 CTES["raw_activities"] = f"""
-    SELECT try_cast(activity_id AS int) AS activity_id, try_cast(customer_id AS int) AS customer_id,
+    SELECT try_cast(activity_id AS bigint) AS activity_id, try_cast(customer_id AS bigint) AS customer_id,
            activity_type, {timestamp('timestamp')} AS timestamp, outcome, notes,
            {RUN_DAY} AS ingestion_date
     FROM src_activities"""
 
 CTES["raw_subscriptions"] = f"""
-    SELECT try_cast(subscription_id AS int) AS subscription_id,
-           try_cast(customer_id AS int) AS customer_id, plan, try_cast(mrr AS double) AS mrr,
+    SELECT try_cast(subscription_id AS bigint) AS subscription_id,
+           try_cast(customer_id AS bigint) AS customer_id, plan, try_cast(mrr AS double) AS mrr,
            {date('renewal_date')} AS renewal_date, status, {RUN_DAY} AS ingestion_date
     FROM src_subscriptions"""
 
@@ -128,7 +128,8 @@ def _stage(prefix: str, raw: str) -> None:
     CTES[f"{prefix}deals"] = f"""
     SELECT * REPLACE (round(deal_value, 2) AS deal_value, lower(deal_stage) AS deal_stage)
     FROM {raw}deals
-    WHERE deal_id IS NOT NULL AND customer_id IS NOT NULL AND deal_value > 0"""
+    WHERE deal_id IS NOT NULL AND customer_id IS NOT NULL AND deal_value > 0
+      AND NOT isnan(deal_value)"""
     CTES[f"{prefix}activities"] = f"""
     SELECT * REPLACE (lower(activity_type) AS activity_type, lower(outcome) AS outcome)
     FROM {raw}activities

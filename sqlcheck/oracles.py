@@ -52,30 +52,25 @@ _STATEMENTS = {
                count(DISTINCT deal_id) AS distinct_deals
         FROM twice_deals GROUP BY ALL""",
     "load_raw_tables": _counts(_RAW),
-    "create_raw_tables": "SELECT * REPLACE (cast(customer_id AS bigint) AS customer_id) FROM raw_customers",
-    "materialize_core": "SELECT * REPLACE (cast(customer_id AS bigint) AS customer_id) FROM dim_customers",
-    "materialize_fact_deals": """
-        SELECT * REPLACE (cast(customer_id AS bigint) AS customer_id, cast(deal_id AS bigint) AS deal_id)
-        FROM fact_deals""",
-    "materialize_dim_subscriptions": """
-        SELECT * REPLACE (cast(customer_id AS bigint) AS customer_id,
-                          cast(subscription_id AS bigint) AS subscription_id)
-        FROM dim_subscriptions""",
+    "create_raw_tables": "SELECT * FROM raw_customers",
+    "materialize_core": "SELECT * FROM dim_customers",
+    "materialize_fact_deals": "SELECT * FROM fact_deals",
+    "materialize_dim_subscriptions": "SELECT * FROM dim_subscriptions",
+    **{f"stored_stg_{e}": f"SELECT * FROM stg_{e}" for e in ENTITIES},
     "retention_30d": f"SELECT * FROM snap_customers WHERE ingestion_date > {HEALTH_AS_OF} - 30",
     "retention_drop_days": f"""
-        SELECT * REPLACE (cast(customer_id AS bigint) AS customer_id)
-        FROM snap_customers WHERE ingestion_date > {HEALTH_AS_OF} - 30""",
+        SELECT * FROM snap_customers WHERE ingestion_date > {HEALTH_AS_OF} - 30""",
     "retention_drop_folders": f"""
         SELECT {RUN_DAY} AS ingestion_date, count(*) AS row_count FROM src_deals""",
     "verify_counts": _counts({t: t for t in ("raw_customers", "raw_deals")}),
     "read_pruned_range": """
-        SELECT * REPLACE (cast(customer_id AS bigint) AS customer_id) FROM snap_customers
+        SELECT * FROM snap_customers
         WHERE ingestion_date BETWEEN DATE '2024-12-10' AND DATE '2024-12-20'
           AND plan_tier = 'growth'""",
     "add_ingestion_date": f"SELECT *, {RUN_DAY} AS ingestion_date FROM src_deals",
     "filter_not_null_keys": """
         SELECT * FROM raw_customers WHERE customer_id IS NOT NULL AND email IS NOT NULL""",
-    "filter_positive_value": "SELECT * FROM raw_deals WHERE deal_value > 0",
+    "filter_positive_value": "SELECT * FROM raw_deals WHERE deal_value > 0 AND NOT isnan(deal_value)",
     "filter_unparsed_ts": "SELECT * FROM raw_activities WHERE timestamp IS NOT NULL",
     "filter_last_7_days": f"SELECT * FROM snap_customers WHERE ingestion_date >= {HEALTH_AS_OF} - 7",
     "join_inner_valid_contacts": "SELECT * FROM raw_contacts",
@@ -109,12 +104,8 @@ _STATEMENTS = {
         SELECT deal_stage, cast(sum(deal_count) AS bigint) AS deal_count, sum(total_value) AS total_value
         FROM deal_distribution_by_stage GROUP BY deal_stage""",
     "tile_signups_by_tier": """
-        SELECT signup_month,
-               cast(sum(new_customers) FILTER (plan_tier = 'free') AS bigint) AS free,
-               cast(sum(new_customers) FILTER (plan_tier = 'Starter') AS bigint) AS "Starter",
-               cast(sum(new_customers) FILTER (plan_tier = 'growth') AS bigint) AS growth,
-               cast(sum(new_customers) FILTER (plan_tier = 'ENTERPRISE') AS bigint) AS "ENTERPRISE"
-        FROM customer_signups_over_time GROUP BY signup_month""",
+        SELECT signup_month, plan_tier, cast(sum(new_customers) AS bigint) AS new_customers
+        FROM customer_signups_over_time GROUP BY ALL""",
     "tile_signups_one_tier": "SELECT * FROM customer_signups_over_time WHERE plan_tier = 'Starter'",
     "tile_mrr_by_plan": "SELECT plan, round(sum(total_mrr), 2) AS total_mrr FROM mrr_by_plan GROUP BY plan",
     "dedup_customers_by_email": "SELECT customer_id, email, name FROM raw_customers",
@@ -122,7 +113,7 @@ _STATEMENTS = {
     "fn_normalize_email": _value("customers", email("email")),
     "fn_initcap_company": _value("customers", initcap("company")),
     "fn_initcap_delims": _value("customers", initcap_delims("company")),
-    "fn_try_cast_int": _value("customers", "try_cast(customer_id AS int)"),
+    "fn_try_cast_int": _value("customers", "try_cast(customer_id AS bigint)"),
     "fn_try_cast_double": _value("deals", "try_cast(deal_value AS double)"),
     "fn_parse_date": _value("customers", date("signup_date")),
     "fn_parse_timestamp": _value("activities", timestamp("timestamp")),

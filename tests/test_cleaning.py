@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accountloom.operators import first_per_key, surviving_ids
-from accountloom.plans import cleaning, staging
+from accountloom.plans import cleaning, core, staging
 from accountloom.schemas import raw_columns
 from tests.support import rows, source
 
@@ -107,7 +107,7 @@ def test_cleaned_types(spark):
         assert set(types[entity]) == set(columns)
         for name, kind in types[entity].items():
             if name.endswith("_id"):
-                assert kind == "int"
+                assert kind == "bigint"
             elif name in ("deal_value", "mrr"):
                 assert kind == "double"
             elif name == "timestamp":
@@ -173,3 +173,36 @@ def test_warehouse_text_rules_in_staging(spark):
     customers = staging.stage_customers(raw["customers"], warehouse_text=True).first()
     assert (customers.email, customers.company) == ("a@x", "Smith-Jones")
     assert staging.stage_contacts(raw["contacts"], warehouse_text=True).first().email == "b@x"
+
+
+def test_nan_is_no_positive_value(spark):
+    deals = source(
+        spark, "deals", *[{"deal_id": str(i), "customer_id": "1", "deal_value": v} for i, v in enumerate(["NaN", "1.5", "0", "-1", None, "Infinity"])]
+    )
+    assert [r.deal_id for r in staging.stage_deals(cleaning.clean_deals(deals, DAY)).collect()] == [1, 5]
+
+
+def test_narrow_ids_lose_what_wide_ones_keep(spark):
+    deals = source(spark, "deals", {"deal_id": "3000000000", "customer_id": "5000000000.0", "deal_value": "1"})
+    wide = cleaning.clean_deals(deals, DAY).first()
+    assert (wide.deal_id, wide.customer_id) == (3000000000, 5000000000)
+    narrow = cleaning.clean_deals(deals, DAY, "int")
+    assert dict(narrow.dtypes)["deal_id"] == "int" and narrow.first().deal_id is None
+
+
+def test_wide_ids_reach_the_core(spark):
+    big = 5_000_000_000
+    sources = {
+        "customers": source(spark, "customers", {"customer_id": str(big), "email": "a@b.c", "plan_tier": "free"}),
+        "contacts": source(spark, "contacts", {"contact_id": str(big + 1), "customer_id": str(big)}),
+        "deals": source(spark, "deals", {"deal_id": str(big + 2), "customer_id": str(big), "deal_value": "2"}),
+        "activities": source(
+            spark, "activities",
+            *[{"activity_id": str(big + i), "customer_id": str(big), "timestamp": "2024-01-01 00:00:00"} for i in range(3)],
+        ),
+        "subscriptions": source(spark, "subscriptions", {"subscription_id": str(big + 9), "customer_id": str(big)}),
+    }
+    models = core.build_core(staging.stage_all(cleaning.clean_all(sources, DAY)), "2025-01-01")
+    assert [(r.deal_id, r.plan_tier) for r in models["fact_deals"].collect()] == [(big + 2, "free")]
+    assert [(r.customer_id, r.total_activities) for r in models["dim_customers"].collect()] == [(big, 3)]
+    assert [r.subscription_id for r in models["dim_subscriptions"].collect()] == [big + 9]

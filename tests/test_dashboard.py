@@ -84,7 +84,9 @@ def test_retention_drops_what_reached_the_age(customers):
 
 def test_tiles(customers, deals):
     signups = dashboard.customer_signups_over_time(customers)
-    wide = dashboard.tile_signups_by_tier(signups, ["free", "Free", "growth"])
+    long = dashboard.tile_signups_by_tier(signups)
+    assert rows(long) == rows(signups)
+    wide = dashboard.tile_signups_wide(signups, ["free", "Free", "growth"])
     assert wide.columns == ["signup_month", "free", "Free", "growth"]
     assert [tuple(r)[1:] for r in wide.collect()] == [
         (None, None, 1), (2, None, None), (None, 1, None)
@@ -99,3 +101,20 @@ def test_tiles(customers, deals):
 def test_choosing_a_stage_limits_the_signups(customers, deals, hot):
     got = dashboard.signups_by_stage(customers, deals, "won", hot)
     assert [tuple(r) for r in got.collect()] == [(dt.date(2024, 1, 1), "free", 2)]
+
+
+def test_no_tier_is_lost(spark):
+    day = dt.date(2024, 3, 3)
+    people = spark.createDataFrame(
+        [(i, day, tier, day) for i, tier in enumerate(["free", "Free", "pro", None, "Starter", "pro"])],
+        "customer_id int, signup_date date, plan_tier string, ingestion_date date",
+    )
+    signups = dashboard.customer_signups_over_time(people)
+    month = dt.date(2024, 3, 1)
+    assert rows(dashboard.tile_signups_by_tier(signups)) == {
+        (month, "free", 1): 1, (month, "Free", 1): 1, (month, "pro", 2): 1, (month, None, 1): 1,
+        (month, "Starter", 1): 1,
+    }
+    for listed in (["free", "Free", "Starter"], ["free", "Free", "Starter", "pro"]):
+        with pytest.raises(Exception, match="tier not listed"):
+            dashboard.tile_signups_wide(signups, listed).collect()

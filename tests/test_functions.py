@@ -50,7 +50,7 @@ def _mutations(seeds, alphabet, count=3000):
 
 def test_mutated_numbers_equal_the_lenient_cast(spark):
     texts = _mutations(["12", "-7.25", "2147483647", "3000000000.5", ".5"], "0123456789.+- eEx\t")
-    ours = _all(spark, texts, fn.to_int("x"), fn.to_int("x", "bigint"))
+    ours = _all(spark, texts, fn.to_int("x", "int"), fn.to_int("x"))
     with settings(spark, spark__sql__ansi__enabled="false"):
         lenient = _all(spark, texts, F.col("x").cast("int"), F.col("x").cast("bigint"))
     assert ours == lenient
@@ -74,7 +74,7 @@ def test_mutated_dates_equal_trying_the_formats_in_turn(spark):
 
 def test_number_casts_equal_the_lenient_cast(spark):
     """Text that a cast without ANSI mode turns into a number or NULL, does the same here."""
-    ours = _all(spark, NUMBERS, fn.to_int("x"), F.hash(fn.to_double("x")), fn.to_int("x", "bigint"))
+    ours = _all(spark, NUMBERS, fn.to_int("x", "int"), F.hash(fn.to_double("x")), fn.to_int("x"))
     with settings(spark, spark__sql__ansi__enabled="false"):
         x = F.col("x")
         lenient = _all(spark, NUMBERS, x.cast("int"), F.hash(x.cast("double")), x.cast("bigint"))
@@ -83,8 +83,9 @@ def test_number_casts_equal_the_lenient_cast(spark):
 
 def test_decimal_text_is_cut_and_overflow_is_null(spark):
     assert value_of(spark, fn.to_int("x"), x="12.7") == 12
-    assert value_of(spark, fn.to_int("x"), x="3000000000") is None
-    assert value_of(spark, fn.to_int("x", "bigint"), x="3000000000") == 3000000000
+    assert value_of(spark, fn.to_int("x"), x="3000000000") == 3000000000
+    assert value_of(spark, fn.to_int("x"), x="9300000000000000000") is None
+    assert value_of(spark, fn.to_int("x", "int"), x="3000000000") is None
 
 
 def test_dates_equal_trying_the_formats_in_turn(spark):
@@ -166,3 +167,10 @@ def test_days_until_is_signed_and_defaults_to_today(spark):
 def test_a_malformed_run_date_stops_the_run(text):
     with pytest.raises(ValueError):
         fn.run_date(text)
+
+
+def test_a_run_date_with_a_time_is_its_day():
+    import datetime as dt
+
+    found = fn.run_date(dt.datetime(2025, 1, 1, 5))
+    assert found == dt.date(2025, 1, 1) and type(found) is dt.date

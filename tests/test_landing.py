@@ -104,3 +104,41 @@ def test_expired_folders_of_both_zones_are_deleted(spark, folder):
     assert sorted(os.listdir(f"{folder}/raw/crm")) == ["2024-12-03", "notes"]
     assert os.listdir(f"{folder}/processed/crm") == []
     assert landing.drop_expired_folders(spark, f"{folder}/none", "2025-01-01") == []
+
+
+HEADER = "deal_id,customer_id,deal_value,deal_stage,close_date,owner"
+
+
+def test_a_wrong_header_or_an_empty_folder_lands_nothing(spark, folder):
+    inputs = _inputs(spark, folder)
+    swapped = _file(f"{folder}/bad", "deals.csv", HEADER.replace("deal_id,customer_id", "customer_id,deal_id") + "\n1,2,3,a,,b\n")
+    with pytest.raises(Exception, match="CSV header"):
+        landing.land_sources(spark, {**inputs, "deals": swapped}, f"{folder}/zone", DAY)
+    os.makedirs(f"{folder}/empty.csv")
+    with pytest.raises(FileNotFoundError, match="deals"):
+        landing.land_sources(spark, {**inputs, "deals": f"{folder}/empty.csv"}, f"{folder}/zone", DAY)
+    assert not os.path.exists(f"{folder}/zone")
+
+
+def test_lines_are_landed_as_they_are_and_damage_is_counted(spark, folder):
+    lines = ["1,2,3.5,won,,rep", "2,2,3.5", '3,2,"4,5",won,,"a ""b"" c",extra,more', "4,2,  7 ,won,,\tx "]
+    os.makedirs(f"{folder}/deals.csv")
+    for n, part in enumerate((lines[:2], lines[2:], [])):
+        _file(f"{folder}/deals.csv", f"{n}.csv", "\n".join([HEADER, *part, ""]))
+    inputs = {**_inputs(spark, folder), "deals": f"{folder}/deals.csv"}
+    found = landing.land_sources(spark, inputs, f"{folder}/zone", DAY)
+    assert (found["deals"].rows, found["deals"].malformed) == (4, 2)
+    assert found["customers"] == landing.Landed(1, 0)
+    target = landing.raw_path(f"{folder}/zone", DAY, "deals")
+    stored = [r.value for r in spark.read.text(target).collect()]
+    assert sorted(x for x in stored if x != HEADER) == sorted(lines)
+    assert HEADER in stored
+    landed = landing.read_source(spark, target, "deals")
+    assert rows(landed) == rows(landing.read_source(spark, f"{folder}/deals.csv", "deals"))
+
+
+def test_sources_without_rows_are_landed(spark, folder):
+    inputs = {**_inputs(spark, folder), "deals": _file(f"{folder}/none", "deals.csv", HEADER + "\n")}
+    found = landing.land_sources(spark, inputs, f"{folder}/zone", DAY)
+    assert found["deals"] == landing.Landed(0, 0)
+    assert landing.read_run(spark, f"{folder}/zone", DAY)["deals"].count() == 0

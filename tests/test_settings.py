@@ -21,8 +21,9 @@ def test_bytes_are_the_file_sizes(spark, tmp_path):
     [
         (0, 8, None),
         (3 * 1024 * S.MIB, 12, None),
-        (100 * 1024**2 * S.MIB, 40_000, 524 * S.MIB),
-        (1000 * 1024**2 * S.MIB, 40_000, 1024 * S.MIB),
+        (100 * 1024**2 * S.MIB, 200_000, 524 * S.MIB),
+        (10 * 1024**2 * S.MIB, 40_960, None),
+        (1000 * 1024**2 * S.MIB, 200_000, 1024 * S.MIB),
     ],
 )
 def test_sizes_follow_the_input_and_are_never_lowered(spark, size, partitions, split):
@@ -62,3 +63,16 @@ def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         S.scratch_folder(_Session(spark__master="yarn"), "x")
     assert S.scratch_folder(_Session(spark__master="local[2]"), "x")
+
+
+def test_partitions_at_a_hundred_terabytes_fit_in_memory():
+    assert 100 * 1024**2 * S.MIB / S.MAX_SHUFFLE_PARTITIONS < 600 * S.MIB
+
+
+def test_sizing_runs_no_job(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a\n" * 100)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sizing", "sizing")
+    assert S.stored_bytes(spark, str(tmp_path)) == 200
+    assert list(tracker.getJobIdsForGroup("sizing")) == []
+    spark.sparkContext.setJobGroup("", "")

@@ -34,7 +34,7 @@ def two_days(spark, database, deals):
     """A table of two days."""
     warehouse.create_raw_tables(spark, database)
     both = deals.unionByName(with_ingestion_date(deals, DAYS[1]))
-    warehouse.append_raw({"deals": both}, database, many_days=True)
+    warehouse.append_raw({"deals": both}, database)
     return f"{database}.raw_deals"
 
 
@@ -120,7 +120,7 @@ def test_expired_days_are_dropped_and_undated_rows_stay(spark, database, layers)
         dated = dated.unionByName(with_ingestion_date(customers, day))
     undated = customers.withColumn("ingestion_date", F.lit(None).cast("date"))
     stored = {"customers": dated.unionByName(undated)}
-    warehouse.append_raw(stored, database, many_days=True)
+    warehouse.append_raw(stored, database)
     table = f"{database}.raw_customers"
     warehouse.drop_expired_days(spark, database, "raw_customers", dt.date(2025, 2, 1), 30)
     assert set(per_day(spark, table)) == {DAYS[2], None}
@@ -177,10 +177,10 @@ def test_a_run_repeats_and_reloads(spark, folder, database, layers):
     assert set(first) == {f"raw_{e}" for e in ENTITIES} | set(CORE_COLUMNS)
     assert run(DAYS[0], reload=True) == first
 
-    two = run(DAYS[1], only_this_day=True)
+    two = run(DAYS[1])
     assert two == {table: 2 * n for table, n in first.items()}
-    assert run(DAYS[1], reload=True, only_this_day=True) == two
-    assert run(DAYS[1], reload=True)["fact_deals"] > 3 * first["fact_deals"]
+    assert run(DAYS[1], reload=True) == two
+    assert run(DAYS[1], reload=True, all_days=True)["fact_deals"] > 3 * first["fact_deals"]
 
     assert run(DAYS[1])["raw_deals"] == 3 * first["raw_deals"]
     stages = spark.table(f"{database}.deal_distribution_by_stage")
@@ -207,3 +207,81 @@ def test_stored_views_equal_the_reports(spark, database, layers):
         stored = spark.table(f"{database}.{view}")
         assert rows(stored) == rows(spark.table(view))
         assert stored.count() > 0
+
+
+def test_quoted_line_breaks_survive_a_whole_run(spark, folder, database, layers):
+    inputs = layers.source_files()
+    path = f"{folder}/activities.csv"
+    with open(path, "w") as f:
+        f.write('activity_id,customer_id,activity_type,timestamp,outcome,notes\n')
+        f.write('1,2,call,2024-01-01 00:00:00,,"two\nlines"\n')
+    daily.run_day(
+        spark, {**inputs, "activities": path}, f"{folder}/zone", database, DAYS[0], multi_line=True
+    )
+    assert [r.notes for r in spark.table(f"{database}.raw_activities").collect()] == ["two\nlines"]
+
+
+def test_a_run_leaves_staging_views_and_keeps_no_expired_days(spark, folder, database, layers):
+    from accountloom.plans import staging
+
+    inputs = layers.source_files()
+    for day in (dt.date(2024, 11, 1), DAYS[0]):
+        daily.run_day(spark, inputs, f"{folder}/zone", database, day, retain_days=30)
+    assert spark.table(f"{database}.raw_deals").select("ingestion_date").distinct().collect() == [(DAYS[0],)]
+    assert spark.table(f"{database}.fact_deals").select("ingestion_date").distinct().collect() == [(DAYS[0],)]
+    with pytest.raises(FileNotFoundError):
+        landing.read_run(spark, f"{folder}/zone", "2024-11-01")
+    for entity, staged in staging.stage_all(daily.raw_layer(spark, database)).items():
+        assert rows(spark.table(f"{database}.stg_{entity}")) == rows(staged)
+
+
+def _failing(fact):
+    """Rows whose computation fails in some tasks of the write."""
+    bad = F.when(F.col("deal_id") % 97 == 5, F.raise_error(F.lit("no such row"))).otherwise(F.col("owner"))
+    return fact.withColumn("owner", bad.cast("string"))
+
+
+@pytest.mark.parametrize("day", [None, DAYS[0]])
+def test_a_failed_replacement_keeps_the_old_rows(spark, database, layers, day):
+    warehouse.create_core_tables(spark, database)
+    fact = layers.stg["deals"].withColumns(
+        {c: F.lit(None).cast("string") for c in ("plan_tier", "company", "country")}
+    )
+    dated = with_ingestion_date(fact, DAYS[0])
+    warehouse.replace_core({"fact_deals": dated}, database)
+    views = {t.name for t in spark.catalog.listTables()}
+    with pytest.raises(Exception, match="no such row"):
+        warehouse.replace_core({"fact_deals": _failing(dated)}, database, day)
+    assert per_day(spark, f"{database}.fact_deals") == {DAYS[0]: fact.count()}
+    spark.catalog.refreshTable(f"{database}.fact_deals")
+    assert per_day(spark, f"{database}.fact_deals") == {DAYS[0]: fact.count()}
+    assert {t.name for t in spark.catalog.listTables()} == views
+
+
+def _files_touched(spark, table, column, value):
+    """(files that can hold the value by their statistics, files), from the Parquet footers."""
+    import pyarrow.parquet as pq
+
+    paths = {r[0].removeprefix("file://") for r in spark.table(table).select(F.input_file_name()).distinct().collect()}
+    hit = 0
+    for path in paths:
+        meta = pq.ParquetFile(path).metadata
+        at = meta.schema.names.index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        hit += any(s.min <= value <= s.max for s in stats)
+    return hit, len(paths)
+
+
+def test_filters_on_clustering_columns_skip_files(spark, database):
+    warehouse.create_raw_tables(spark, database)
+    loaded = Layers(spark, "/root/testdata/sf0.01")
+    with settings(
+        spark, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="12"
+    ):
+        warehouse.append_raw({e: loaded.raw[e].repartition(6) for e in ("contacts", "deals")}, database)
+    hit, files = _files_touched(spark, f"{database}.raw_contacts", "customer_id", 500)
+    assert files >= 10 and hit <= 2
+    hit, files = _files_touched(spark, f"{database}.raw_deals", "deal_stage", "closed_won")
+    assert files >= 10 and hit <= files // 2
+    largest = spark.table(f"{database}.raw_deals").groupBy(F.input_file_name()).count().agg(F.max("count"))
+    assert largest.first()[0] < spark.table(f"{database}.raw_deals").count() / 4
