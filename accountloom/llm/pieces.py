@@ -107,33 +107,49 @@ def _let(value: Column, body) -> Column:
 
 
 def merged(found: Column, size: Column) -> Column:
-    """Places where the pieces of a byte-pair segmentation start, and the place after the last."""
+    """Places where the pieces of a byte-pair segmentation start, and the place after the last.
 
-    def step(bounds: Column, longer: Column) -> Column:
-        def joins(e: Column) -> Column:
-            at = F.array_position(bounds, e["start"])
-            return (at > 0) & F.coalesce(
-                F.get(bounds, (at + 1).cast("int")) == e["start"] + e["size"], F.lit(False)
-            )
+    The state holds, for each place, where the piece that starts there ends; 0 if none
+    starts there. The edges are in order of score and place, so the first of them that
+    spans just two pieces is the next merge.
+    """
 
-        best = F.array_min(
-            F.transform(
-                F.filter(longer, joins),
-                lambda e: F.struct((-e["score"]).alias("loss"), e["start"].alias("start"), e["size"].alias("size")),
+    def step(ends: Column, longer: Column) -> Column:
+        def joins(e: Column) -> Column:
+            middle = F.get(ends, e["start"])
+            return (middle > 0) & (F.get(ends, middle) == e["end"])
+
+        def merge(e: Column) -> Column:
+            middle = F.get(ends, e["start"])
+            after = F.transform(
+                ends,
+                lambda old, at: F.when(at == e["start"], e["end"]).when(at == middle, F.lit(0)).otherwise(old),
             )
-        )
-
-        def drop(e: Column) -> Column:
-            inside = F.filter(bounds, lambda b: (b <= e["start"]) | (b >= e["start"] + e["size"]))
-            return F.when(e.isNull(), bounds).otherwise(inside)
+            return F.when(e.isNull(), ends).otherwise(after)
 
-        return _let(best, drop)
+        return _let(F.get(F.filter(longer, joins), F.lit(0)), merge)
 
     def fold(longer: Column) -> Column:
-        turns = F.when(F.size(longer) > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(turns, F.sequence(F.lit(1), size + 1), lambda bounds, _: step(bounds, longer))
+        # At most one merge less than there are characters, nor more than edges.
+        turns = F.least(size - 1, F.size(longer))
+        steps = F.when(turns > 0, F.sequence(F.lit(1), turns)).otherwise(F.array().cast("array<int>"))
+        # Place 0 is before the first character; the place after the last ends nowhere.
+        apart = F.transform(
+            F.sequence(F.lit(0), size + 1), lambda i: F.when((i == 0) | (i > size), 0).otherwise(i + 1)
+        )
+        folded = F.aggregate(steps, apart, lambda ends, _: step(ends, longer))
+        starts = F.filter(F.transform(folded, lambda end, i: F.when(end > 0, i)), lambda i: i.isNotNull())
+        return F.concat(starts, F.array(size + 1))
 
-    return _let(F.filter(found, lambda e: e["size"] > 1), fold)
+    longer = F.array_sort(
+        F.transform(
+            F.filter(found, lambda e: e["size"] > 1),
+            lambda e: F.struct(
+                (-e["score"]).alias("loss"), e["start"].alias("start"), (e["start"] + e["size"]).alias("end")
+            ),
+        )
+    )
+    return _let(longer, fold)
 
 
 def viterbi(found: Column, size: Column, unknown: float) -> Column:
@@ -257,9 +273,9 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, block_bytes: int = BL
 
     def distinct(block: Block) -> tuple[list[list[str]], list[str], list[tuple[int, int, int]]]:
         cut = [units_of(t.decode("utf-8", "replace")) for t in block.texts]
-        units = list({u for doc in cut for u in doc})
+        units = list(dict.fromkeys(u for doc in cut for u in doc))
         hashes = np.array([xxhash.xxh64_intdigest(u) for u in units], np.uint64)
-        order = np.lexsort((np.array(units, object), hashes)) if len(units) else np.empty(0, np.int64)
+        order = np.argsort(hashes, kind="stable")
         units = [units[i] for i in order]
         return cut, units, slices(buckets_of(hashes[order], buckets).astype(np.int64))
 
