@@ -95,7 +95,7 @@ def source_expressions(entity: str, d: Dialect) -> dict[str, str]:
             "deal_value": (
                 "CASE WHEN o_orderkey % 211 = 3 THEN '0' WHEN o_orderkey % 227 = 3 THEN '-5.00'"
                 f" WHEN o_orderkey % 223 = 3 THEN 'n/a'"
-                f" WHEN o_orderkey % 4 = 1 THEN concat({text('cast(o_totalprice as decimal(18,2))')}, '3')"
+                f" WHEN o_orderkey % 4 = 1 THEN concat({text('cast(o_totalprice as decimal(18,2))')}, '4')"
                 f" ELSE {text('cast(o_totalprice as decimal(18,2))')} END"
             ),
             "deal_stage": (
