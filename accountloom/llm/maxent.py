@@ -18,12 +18,12 @@ changes are averaged per feature by how often each task saw it.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +42,8 @@ from accountloom.llm.common import held_out, prepare, stored
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 WORDS_PER_CLASS = 16
-FREQUENT_CLASSES = 15
-RARE_CLASSES = 17
+FREQUENT_CLASSES = 7
+RARE_CLASSES = 9
 CLASSES = FREQUENT_CLASSES + RARE_CLASSES
 FREQUENT = FREQUENT_CLASSES * WORDS_PER_CLASS
 FEATURE_BITS = 14
@@ -56,10 +56,6 @@ END_HASH = np.uint64(0x9E3779B97F4A7C15)
 BEGIN_HASH = np.uint64(0xD1B54A32D192ED03)
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
-
-
 def _rare_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % RARE_CLASSES
 
@@ -72,27 +68,31 @@ def in_training(doc_id: int) -> bool:
     return doc_id == NO_ID or zlib.crc32(str(doc_id).encode()) % FOLDS != HELD_OUT_FOLD
 
 
+def numbered(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of some texts, all words as numbers of them, and words per text."""
+    low = pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string()))
+    cut = pc.ascii_split_whitespace(low)
+    words, offsets = cut.values, cut.offsets.to_numpy().astype(np.int64)
+    # A blank at either end of a text leaves an empty word there.
+    empty = pc.equal(pc.binary_length(words), 0)
+    before = np.r_[0, np.cumsum(empty.to_numpy(zero_copy_only=False))]
+    sizes = np.diff(offsets) - np.diff(before[offsets])
+    found = pc.dictionary_encode(words.filter(pc.invert(empty)))
+    distinct = found.dictionary.view(pa.binary()).to_pylist()
+    return distinct, found.indices.to_numpy().astype(np.int64), sizes
+
+
 class Lexicon:
-    """A block's distinct words by hash, and its documents as numbers into them."""
-
-    def __init__(self, block: Block):
-        number: dict[bytes, int] = {}
-        self.docs = []
-        for text in block.texts:
-            found = words_of(text)
-            for word in found:
-                if word not in number:
-                    number[word] = len(number)
-            self.docs.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
-        hashes = np.fromiter(map(_hash, number), np.uint64, len(number))
-        classes = np.fromiter(map(_rare_class, number), np.uint8, len(number))
+    """The distinct words of some texts in order of their hashes, and the texts as numbers of them."""
+
+    def __init__(self, texts: list[bytes]):
+        distinct, tokens, self.sizes = numbered(texts)
+        hashes = np.fromiter(map(_hash, distinct), np.uint64, len(distinct))
+        classes = np.fromiter(map(_rare_class, distinct), np.uint8, len(distinct))
         order = np.argsort(hashes, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        self.hashes, self.classes, self._place = hashes[order], classes[order], place
-
-    def tokens(self, doc: int) -> np.ndarray:
-        return self._place[self.docs[doc]]
+        self.hashes, self.classes, self.tokens = hashes[order], classes[order], place[tokens]
 
 
 _WORDS = "bucket int, block int, hashes binary, counts binary, classes binary"
@@ -122,17 +122,10 @@ def counted(dealt: DataFrame, buckets: int) -> DataFrame:
 
     def ask(key: tuple, rows: pa.Table) -> pa.Table:
         block = Block(rows)
-        own: Counter = Counter()
-        for doc_id, text in zip(block.ids.tolist(), block.texts):
-            if in_training(doc_id):
-                own.update(words_of(text))
-            else:
-                own.update(dict.fromkeys(words_of(text), 0))
-        hashes = np.fromiter(map(_hash, own), np.uint64, len(own))
-        counts = np.fromiter(own.values(), np.int64, len(own))
-        classes = np.fromiter(map(_rare_class, own), np.uint8, len(own))
-        order = np.argsort(hashes, kind="stable")
-        hashes, counts, classes = hashes[order], counts[order], classes[order]
+        words = Lexicon(block.texts)
+        hashes, classes = words.hashes, words.classes
+        learned = np.repeat([in_training(i) for i in block.ids.tolist()], words.sizes)
+        counts = np.bincount(words.tokens[learned.astype(bool)], minlength=len(hashes))
         runs = slices(buckets_of(hashes, buckets).astype(np.int64))
         return _arrow(
             {
@@ -260,6 +253,13 @@ def _inner(features: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     return features ^ (kinds * 0x9E5) & (2**FEATURE_BITS - 1)
 
 
+def _scores(bias: np.ndarray, weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    out = bias + weights[features[0]]
+    for feature in features[1:]:
+        out += weights[feature]
+    return out
+
+
 def _log_softmax(scores: np.ndarray) -> np.ndarray:
     scores -= scores.max(axis=1, keepdims=True)
     return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
@@ -290,15 +290,11 @@ class Model:
         for at in range(0, n, 4 * BATCH):
             part = slice(at, at + 4 * BATCH)
             f, k = features[:, part], kinds[part]
-            scores = self.outer_bias + self.outer[f[0]]
-            for i in range(1, FEATURES):
-                scores += self.outer[f[i]]
+            scores = _scores(self.outer_bias, self.outer, f)
             found = np.take_along_axis(_log_softmax(scores), k[:, None], axis=1)[:, 0].astype(np.float64)
             rows = np.flatnonzero(places[part] >= 0)
             g, k = _inner(f[:, rows], k[rows]), k[rows]
-            scores = self.inner_bias[k]
-            for i in range(FEATURES):
-                scores += self.inner[g[i]]
+            scores = _scores(self.inner_bias[k], self.inner, g)
             found[rows] += np.take_along_axis(_log_softmax(scores), places[part][rows][:, None], axis=1)[:, 0]
             out[part] = found
         return out
@@ -315,9 +311,9 @@ class Trainer:
         self._squares = [np.full_like(model.outer, 1e-2), np.full_like(model.inner, 1e-2)]
 
     def _step(self, which: int, weights: np.ndarray, rows: np.ndarray, wrong: np.ndarray) -> None:
-        flat = rows.ravel()
+        flat = rows.ravel().astype(np.uint16)
         order = np.argsort(flat, kind="stable")
-        flat = flat[order]
+        flat = flat[order].astype(np.int64)
         starts = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
         gradient = np.add.reduceat(wrong[order % wrong.shape[0]], starts, axis=0)
         touched = flat[starts]
@@ -331,14 +327,14 @@ class Trainer:
         for at in range(0, len(kinds), BATCH):
             part = slice(at, at + BATCH)
             f, k, p = features[:, part], kinds[part], places[part]
-            scores = model.outer_bias + model.outer[f].sum(axis=0)
+            scores = _scores(model.outer_bias, model.outer, f)
             wrong = np.exp(_log_softmax(scores))
             wrong[np.arange(len(k)), k] -= 1.0
             self._step(0, model.outer, f, wrong)
             rows = np.flatnonzero(p >= 0)
             if len(rows):
                 g = _inner(f[:, rows], k[rows])
-                scores = model.inner_bias[k[rows]] + model.inner[g].sum(axis=0)
+                scores = _scores(model.inner_bias[k[rows]], model.inner, g)
                 wrong = np.exp(_log_softmax(scores))
                 wrong[np.arange(len(rows)), p[rows]] -= 1.0
                 self._step(1, model.inner, g, wrong)
@@ -361,14 +357,16 @@ class Trainer:
         )
 
 
-def _sequence(tokens: list[np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sequence(words: Lexicon) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of all texts, each followed by its end, and the features before each."""
-    end = len(hashes)
-    known = np.r_[hashes, END_HASH]
-    whole = np.concatenate([np.r_[t, end] for t in tokens]) if tokens else np.empty(0, np.int64)
-    sizes = np.array([len(t) + 1 for t in tokens], np.int64)
+    end = len(words.hashes)
+    sizes = words.sizes + 1
     starts = np.cumsum(sizes) - sizes
-    own = known[whole]
+    whole = np.full(int(sizes.sum()), end)
+    inside = np.ones(len(whole), bool)
+    inside[starts + sizes - 1] = False
+    whole[inside] = words.tokens
+    own = np.r_[words.hashes, END_HASH][whole]
     last, before = np.r_[BEGIN_HASH, own[:-1]], np.r_[BEGIN_HASH, BEGIN_HASH, own[:-2]][: len(own)]
     last[starts] = BEGIN_HASH
     before[starts] = BEGIN_HASH
@@ -382,18 +380,9 @@ def _learned(docs: DataFrame, vocab: Vocabulary, model: Model) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(model)
         for batch in batches:
-            numbers: dict[bytes, int] = {}
-            tokens = []
-            for text in batch.column(0).to_pylist():
-                found = words_of(text or b"")
-                for word in found:
-                    if word not in numbers:
-                        numbers[word] = len(numbers)
-                tokens.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
-            hashes = np.fromiter(map(_hash, numbers), np.uint64, len(numbers))
-            classes = np.fromiter(map(_rare_class, numbers), np.uint8, len(numbers))
-            kinds, places = vocab.placed(np.r_[hashes, END_HASH], np.r_[classes, np.uint8(0)])
-            whole, features = _sequence(tokens, hashes)
+            words = Lexicon([text or b"" for text in batch.column(0).to_pylist()])
+            kinds, places = vocab.placed(np.r_[words.hashes, END_HASH], np.r_[words.classes, np.uint8(0)])
+            whole, features = _sequence(words)
             trainer.learn(features, kinds[whole], places[whole])
         yield trainer.changes()
 
@@ -454,7 +443,7 @@ def scored(
 
     def score(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(rows)
-        words = Lexicon(block)
+        words = Lexicon(block.texts)
         answer = dict(zip(answers.column("bucket").to_pylist(), answers.column("reply").to_pylist()))
         counts = np.zeros(len(words.hashes) + 1, np.int64)
         for bucket, a, b in slices(buckets_of(words.hashes, buckets).astype(np.int64)):
@@ -465,9 +454,9 @@ def scored(
         rare = np.maximum(kinds - FREQUENT_CLASSES, 0)
         within = (counts + 1) / (vocab.rare_tokens + vocab.rare_words + 1)[rare]
         within = np.where(places >= 0, 0.0, np.log(within))
-        whole, features = _sequence([words.tokens(i) for i in range(len(block.texts))], words.hashes)
+        whole, features = _sequence(words)
         found = model.log_probabilities(features, kinds[whole], places[whole]) + within[whole]
-        sizes = np.array([len(d) + 1 for d in words.docs], np.int64)
+        sizes = words.sizes + 1
         starts = np.cumsum(sizes) - sizes
         ids = block.ids.tolist()
         return pa.table(
