@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 4 * 1024 * 1024
 LEAST_BLOCKS = 16
 LEAST_BUCKETS = 256
-NO_ID = np.iinfo(np.int64).max
+# Stands for a null id; larger than any other.
+NO_ID = int(np.iinfo(np.int64).max)
 
 
 def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:

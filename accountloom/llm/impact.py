@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from accountloom.llm.blocks import NO_ID
 from accountloom.llm.common import prepare, stored
 
 K = 10
@@ -39,7 +40,7 @@ class ImpactIndex:
         seg_dim, seg_level, seg_start, seg_end = [], [], [], []
         for d in range(self.dims):
             values = levels[order[:, d], d]
-            starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if self.n else np.empty(0, np.int64)
+            starts = np.flatnonzero(np.r_[self.n > 0, values[1:] != values[:-1]])
             seg_dim.append(np.full(len(starts), d))
             seg_level.append(values[starts])
             seg_start.append(starts)
@@ -134,8 +135,9 @@ def top_k(
     candidates that rank last among equals and never queries.
     """
     spark = prepare(vectors.sparkSession)
-    kept = stored(vectors.select("vec_id", "e"), "vectors")
-    asked = stored(kept.filter(is_query & F.col("vec_id").isNotNull()).distinct(), "queries")
+    own_id, queried = F.coalesce("vec_id", F.lit(NO_ID)), F.col("vec_id").isNotNull() & is_query
+    kept = stored(vectors.select(own_id.alias("vec_id"), "e", queried.alias("asked")), "vectors")
+    asked = stored(kept.filter("asked").select("vec_id", "e").distinct(), "queries")
     n, q = kept.count(), asked.count()
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-q // query_block))
     dealt = F.monotonically_increasing_id()
@@ -151,16 +153,16 @@ def top_k(
         if len(rows) and len(wanted):
             dims = max(rows["e"].map(len).max(), wanted["e"].map(len).max())
             found = ImpactIndex(_matrix(rows["e"], dims))
-            ids = rows["vec_id"].to_numpy("float64", na_value=np.inf) if rows["vec_id"].isna().any() else rows["vec_id"].to_numpy(np.int64)
+            ids = rows["vec_id"].to_numpy(np.int64)
             asked_for = _matrix(wanted["e"], dims)
             for own, key, vector in zip(wanted["vec_id"], wanted["query"], asked_for):
                 members, scores = found.top(vector, k, ids != own)
                 best = np.lexsort((ids[members], -scores))[:k]
                 out["query_id"] += [own] * len(best)
                 out["query"] += [key] * len(best)
-                out["vec_id"] += [None if i == np.inf else int(i) for i in ids[members[best]]]
+                out["vec_id"] += ids[members[best]].tolist()
                 out["score"] += scores[best].tolist()
-        return pd.DataFrame(out).astype({"vec_id": "Int64"})
+        return pd.DataFrame(out)
 
     keys = ["block", "query_block"]
     best = (
@@ -168,8 +170,6 @@ def top_k(
         .cogroup(queries.groupBy(keys))
         .applyInPandas(search, "query_id long, query long, vec_id long, score long")
     )
-    order = Window.partitionBy("query_id", "query").orderBy(
-        F.desc("score"), F.col("vec_id").asc_nulls_last()
-    )
+    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return ranked.select("query_id", "rank", F.nullif("vec_id", F.lit(NO_ID)).alias("vec_id"), "score")

@@ -136,10 +136,13 @@ def _purity(paths: DataFrame, depth: int, prior: float, z: float) -> DataFrame:
     )
     for level in range(1, depth + 2):
         own = leaves.filter(F.size("template") >= level).groupBy("host", _prefix(level).alias("prefix")).agg(*counts)
-        joined = own.withColumn("parent", _prefix(level - 1, "prefix")).join(
-            above.select("host", F.col("prefix").alias("parent"), F.col("branch").alias("parent_branch"), F.col("share").alias("rate")),
-            ["host", "parent"],
+        parents = above.select(
+            "host",
+            F.col("prefix").alias("parent"),
+            F.col("branch").alias("parent_branch"),
+            F.col("share").alias("rate"),
         )
+        joined = own.withColumn("parent", _prefix(level - 1, "prefix")).join(parents, ["host", "parent"])
         n = F.col("good") + F.col("bad")
         spread = F.sqrt(F.col("rate") * (1 - F.col("rate")) / F.greatest(n, F.lit(1)))
         differs = (n > 0) & (F.abs(F.col("bad") / F.greatest(n, F.lit(1)) - F.col("rate")) > z * spread)
