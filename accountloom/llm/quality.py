@@ -19,7 +19,7 @@ SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-WINDOW_WORDS = 8
+WINDOW_WORDS = 8  # fixed: repeated_words joins words three times
 BUCKETS = 65_536
 SMOOTHING = 10.0
 THRESHOLD = -0.1
@@ -39,10 +39,6 @@ def words_of(text: Column) -> Column:
     return F.when(F.length(trimmed) > 0, found).otherwise(F.array().cast("array<string>"))
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def duplicate_lines(text: Column) -> Column:
     def count(lines: Column) -> Column:
         return F.size(lines) - F.size(F.array_distinct(lines))
@@ -77,49 +73,60 @@ def _repeated(windows: Column, size: int) -> Column:
     return F.aggregate(_let(ordered, starts), zero, cover, lambda done: done["n"])
 
 
-def repeated_words(hashes: Column, size: int = WINDOW_WORDS) -> Column:
-    """Words in windows of the size found at least twice in the text, the first included."""
+def _joined(hashes: Column, gap: int) -> Column:
+    """The hash of each element with the one that many places on."""
 
-    def windows(h: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(h) - (size - 1)), lambda i: F.xxhash64(F.slice(h, i, size))
-        )
+    def both(h: Column) -> Column:
+        first = F.slice(h, 1, F.greatest(F.size(h) - gap, F.lit(0)))
+        return F.transform(first, lambda x, i: F.xxhash64(x, F.get(h, i + gap)))
+
+    return _let(hashes, both)
+
+
+def repeated_words(pairs: Column) -> Column:
+    """Words in windows of eight found at least twice in the text, the first included.
+
+    pairs has the hash of each word with the next. Twice joined, they are the windows; a
+    text in which no run of four words repeats is done after the first join.
+    """
 
-    def count(w: Column) -> Column:
-        return F.when(F.size(F.array_distinct(w)) < F.size(w), _repeated(w, size)).otherwise(0)
+    def windows(eights: Column) -> Column:
+        return F.when(
+            F.size(F.array_distinct(eights)) < F.size(eights), _repeated(eights, WINDOW_WORDS)
+        ).otherwise(0)
 
-    return F.when(F.size(hashes) > size, _let(_let(hashes, windows), count)).otherwise(0)
+    def fours(found: Column) -> Column:
+        return F.when(
+            F.size(F.array_distinct(found)) < F.size(found), _let(_joined(found, 4), windows)
+        ).otherwise(0)
+
+    return F.when(F.size(pairs) >= WINDOW_WORDS, _let(_joined(pairs, 2), fours)).otherwise(0)
+
+
+def hashed(docs: DataFrame) -> DataFrame:
+    """docs with words, hashes (of each word) and pairs (of each word and the next)."""
+    worded = docs.withColumn("_words", words_of(F.coalesce("text", F.lit(""))))
+    once = worded.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+    return once.withColumn("_pairs", _joined(F.col("_hashes"), 1))
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """Documents with the base counts; hashes holds the hash of each lower-cased word."""
+    """Documents with the base counts, _hashes and _pairs."""
     text = F.col("text")
-    worded = docs.withColumn("_words", words_of(F.coalesce(text, F.lit(""))))
-    hashed = worded.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(F.lower(w))))
-    exact = F.transform("_words", lambda w: F.xxhash64(w))
-    size = F.length(text)
-    return hashed.select(
+    return hashed(docs).select(
         *docs.columns,
-        F.col("_hashes").alias("hashes"),
+        "_hashes",
+        "_pairs",
         F.size("_words").cast("long").alias("n_words"),
-        F.coalesce(F.length(_without(text, SPACES)), F.lit(0)).cast("long").alias("word_chars"),
-        F.coalesce(size - F.length(_without(text, SYMBOLS)), F.lit(0)).cast("long").alias("n_symbols"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.coalesce(F.regexp_count(text, F.lit(f"[{SYMBOLS}]")), F.lit(0)).cast("long").alias("n_symbols"),
         F.coalesce(duplicate_lines(text), F.lit(0)).cast("long").alias("n_dup_lines"),
-        repeated_words(exact).cast("long").alias("n_repeat_words"),
+        repeated_words(F.col("_pairs")).cast("long").alias("n_repeat_words"),
     )
 
 
-def grams(hashes: Column, buckets: int = BUCKETS) -> Column:
-    """Buckets of the words and word pairs; none for no words."""
-
-    def both(h: Column) -> Column:
-        one = F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int"))
-        two = F.transform(
-            h, lambda x, i: F.pmod(F.xxhash64(x, F.get(h, i + 1)), F.lit(buckets)).cast("int")
-        )
-        return F.concat(one, F.slice(two, 1, F.greatest(F.size(h) - 1, F.lit(0))))
-
-    return _let(hashes, both)
+def _bucket(gram: Column, buckets: int) -> Column:
+    return F.pmod(gram, F.lit(buckets)).cast("int")
 
 
 def trusted_ids(labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:
@@ -137,12 +144,10 @@ def log_ratios(
     alike, so a bucket with few occurrences has a ratio near zero on any corpus.
     """
     ids = F.broadcast(trusted.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_trusted")))
-    lowered = F.transform(words_of(F.coalesce(F.col("text"), F.lit(""))), lambda w: F.xxhash64(F.lower(w)))
-    flagged = docs.select(F.col("doc_id").cast("long").alias("_id"), lowered.alias("h")).join(ids, "_id", "left")
-    gram = flagged.select(
-        F.coalesce("_trusted", F.lit(0)).cast("long").alias("t"), F.explode(grams(F.col("h"), buckets)).alias("b")
-    )
-    counts = gram.groupBy("b").agg(F.sum("t").alias("t"), F.count(F.lit(1)).alias("n"))
+    texts = hashed(docs.select(F.col("doc_id").cast("long").alias("_id"), "text"))
+    flagged = texts.select("_id", F.concat("_hashes", "_pairs").alias("_grams")).join(ids, "_id", "left")
+    gram = flagged.select(F.coalesce("_trusted", F.lit(0)).cast("long").alias("t"), F.explode("_grams").alias("g"))
+    counts = gram.groupBy(_bucket(F.col("g"), buckets).alias("b")).agg(F.sum("t").alias("t"), F.count(F.lit(1)).alias("n"))
     spark = docs.sparkSession
     full = spark.range(buckets).select(F.col("id").cast("int").alias("b")).join(F.broadcast(stored(counts, "grams")), "b", "left")
     rows = full.agg(
@@ -167,18 +172,17 @@ def _scored(
     ratios = stored(log_ratios(docs, trusted, buckets), "ratios").scalar()
     found = measured(docs.select("doc_id", "text", F.struct("*").alias("_doc")))
 
-    def score(h: Column) -> Column:
-        total = F.aggregate(
-            grams(h, buckets), F.lit(0.0), lambda s, b: s + F.get(F.col("_ratios"), b)
-        )
-        return total / F.greatest(2 * F.size(h) - 1, F.lit(1))
+    def total(grams: str) -> Column:
+        ratio = lambda g: F.get(F.col("_ratios"), _bucket(g, buckets))
+        return F.aggregate(grams, F.lit(0.0), lambda s, g: s + ratio(g))
 
+    many = F.greatest(F.size("_hashes") + F.size("_pairs"), F.lit(1))
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     return (
         found.withColumn("_ratios", ratios)
-        .withColumn("score", score(F.col("hashes")))
+        .withColumn("score", (total("_hashes") + total("_pairs")) / many)
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
     )

@@ -78,10 +78,7 @@ def test_scores_against_plain_counts(spark):
     docs = documents(spark, texts)
     buckets = 64
     rows = quality.judged(docs, trusting(spark, range(5)), buckets).collect()
-    hashed = {
-        r.doc_id: r.g
-        for r in quality.measured(docs).select("doc_id", quality.grams(quality.F.col("hashes"), buckets).alias("g")).collect()
-    }
+    hashed = {r.doc_id: [h % buckets for h in r._hashes + r._pairs] for r in quality.measured(docs).collect()}
     raw, target = Counter(), Counter()
     for i, g in hashed.items():
         raw.update(g)
