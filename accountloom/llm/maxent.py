@@ -7,7 +7,7 @@ The model is class-factored. The most frequent words, and the end of a text, hav
 classes of their own in which a softmax chooses the word; every other word belongs to a
 class by its last bytes, in which it is chosen by its add-one frequency. The class, and
 the word within a frequent class, depend on hashed features of the words before: the
-last word, the last two, and the one before the last alone. Probabilities sum to one
+last word, the last two (for the class), and the one before the last alone. Probabilities sum to one
 over all known words and one unknown word per class.
 
 Weights are learned in rounds, each over another part of all training documents. In a
@@ -24,7 +24,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,19 +55,40 @@ END_HASH = np.uint64(0x9E3779B97F4A7C15)
 BEGIN_HASH = np.uint64(0xD1B54A32D192ED03)
 
 
-def _rare_class(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % RARE_CLASSES
+_PLACES = 16
+_TABLE = np.random.default_rng(10).integers(0, 2**64, _PLACES * 256, dtype=np.uint64)
+_STEP = np.uint64(0xA24BAED4963EE407)
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word)
+def hashed(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of words, none of them empty, and the classes that rare ones belong to.
+
+    A byte's part in the hash is a random number by its value and its place; places beyond
+    sixteen take the same numbers times a power. The class goes by the last two bytes.
+    """
+    if not len(words):
+        return np.empty(0, np.uint64), np.empty(0, np.uint8)
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    text = np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+    starts, ends = at[:-1] - at[0], at[1:] - at[0]
+    place = np.arange(len(text)) - np.repeat(starts, ends - starts)
+    parts = _TABLE[(place % _PLACES) << 8 | text]
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        powers = np.cumprod(np.full(int(place[far].max()) // _PLACES, _STEP, np.uint64))
+        parts[far] *= powers[place[far] // _PLACES - 1]
+    h = np.add.reduceat(parts, starts)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    last = text[ends - 1].astype(np.int64), text[np.maximum(ends - 2, starts)].astype(np.int64)
+    return h ^ (h >> np.uint64(32)), ((31 * last[0] + last[1]) % RARE_CLASSES).astype(np.uint8)
 
 
 def in_training(doc_id: int) -> bool:
     return doc_id == NO_ID or zlib.crc32(str(doc_id).encode()) % FOLDS != HELD_OUT_FOLD
 
 
-def numbered(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def numbered(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The distinct words of some texts, all words as numbers of them, and words per text."""
     low = pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string()))
     cut = pc.ascii_split_whitespace(low)
@@ -78,8 +98,7 @@ def numbered(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     before = np.r_[0, np.cumsum(empty.to_numpy(zero_copy_only=False))]
     sizes = np.diff(offsets) - np.diff(before[offsets])
     found = pc.dictionary_encode(words.filter(pc.invert(empty)))
-    distinct = found.dictionary.view(pa.binary()).to_pylist()
-    return distinct, found.indices.to_numpy().astype(np.int64), sizes
+    return found.dictionary, found.indices.to_numpy().astype(np.int64), sizes
 
 
 class Lexicon:
@@ -87,9 +106,8 @@ class Lexicon:
 
     def __init__(self, texts: list[bytes]):
         distinct, tokens, self.sizes = numbered(texts)
-        hashes = np.fromiter(map(_hash, distinct), np.uint64, len(distinct))
-        classes = np.fromiter(map(_rare_class, distinct), np.uint8, len(distinct))
-        order = np.argsort(hashes, kind="stable")
+        hashes, classes = hashed(distinct)
+        order = np.argsort(hashes)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.hashes, self.classes, self.tokens = hashes[order], classes[order], place[tokens]
@@ -250,7 +268,8 @@ def features_of(last: np.ndarray, before: np.ndarray) -> np.ndarray:
 
 
 def _inner(features: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-    return features ^ (kinds * 0x9E5) & (2**FEATURE_BITS - 1)
+    """Buckets of the single words before, for the words of a class."""
+    return features[[0, 2]] ^ ((kinds * 0x9E5) & (2**FEATURE_BITS - 1))
 
 
 def _scores(bias: np.ndarray, weights: np.ndarray, features: np.ndarray) -> np.ndarray:

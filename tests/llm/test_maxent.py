@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from accountloom.llm import maxent
@@ -116,13 +117,25 @@ def test_steps_lower_the_loss(trained):
     assert np.array_equal(trainer.start.outer, model.outer)
 
 
+def hash_of(word):
+    return int(maxent.hashed(pa.array([word], pa.binary()).view(pa.string()))[0][0])
+
+
+def test_hashes_tell_words_apart():
+    words = sorted({bytes(f"{i:x}", "ascii") * (1 + i % 5) for i in range(50_000)} | {b"x" * n for n in range(1, 300)})
+    hashes, classes = maxent.hashed(pa.array(words, pa.binary()).view(pa.string()))
+    assert len(set(hashes.tolist())) == len(words)
+    assert set(classes.tolist()) == set(range(maxent.RARE_CLASSES))
+    assert [int(h) for h in hashes[::997]] == [hash_of(w) for w in words[::997]]
+
+
 def test_contexts_do_not_cross_texts():
     words = maxent.Lexicon([b"a b", b"", b"c"])
     whole, features = maxent._sequence(words)
-    by = {int(h): w for w in (b"a", b"b", b"c") for h in [maxent._hash(w)]}
+    by = {hash_of(w): w for w in (b"a", b"b", b"c")}
     names = [by[int(h)] for h in words.hashes] + [None]
     assert [names[i] for i in whole] == [b"a", b"b", None, None, b"c", None]
-    begin, a, b, c = maxent.BEGIN_HASH, *(maxent._hash(w) for w in (b"a", b"b", b"c"))
+    begin, a, b, c = maxent.BEGIN_HASH, *(hash_of(w) for w in (b"a", b"b", b"c"))
     last = np.array([begin, a, b, begin, begin, c], np.uint64)
     before = np.array([begin, begin, a, begin, begin, begin], np.uint64)
     assert np.array_equal(features, maxent.features_of(last, before))
@@ -134,4 +147,4 @@ def test_words_are_numbered(texts):
     assert (np.diff(words.hashes.astype(object)) > 0).all()
     wanted = [t.lower().split() for t in texts]
     assert words.sizes.tolist() == [len(w) for w in wanted]
-    assert [int(words.hashes[i]) for i in words.tokens] == [maxent._hash(w) for ws in wanted for w in ws]
+    assert [int(words.hashes[i]) for i in words.tokens] == [hash_of(w) for ws in wanted for w in ws]
