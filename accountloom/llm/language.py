@@ -29,6 +29,7 @@ EMBEDDING = 8
 # smallest hash of their id) and so many evenly spaced windows of each document.
 DOCS_PER_LANGUAGE = 500
 WINDOWS_PER_DOC = 12
+RANKED_PARTS = 64
 EPOCHS = 4
 UNKNOWN = "und"
 LEAST_SCORE = 0.3
@@ -167,10 +168,14 @@ def fitted(
     windows are read and brought to the driver.
     """
     named = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    # A language that most documents have is ranked in parts first.
+    part = F.pmod(F.shiftright(F.xxhash64("doc_id"), 32), F.lit(RANKED_PARTS))
     chosen = (
         named.select("doc_id", "lang")
-        .withColumn("_rank", F.row_number().over(order))
+        .withColumn("_rank", F.row_number().over(Window.partitionBy("lang", part).orderBy(order)))
+        .filter(F.col("_rank") <= docs_per_language)
+        .withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(order)))
         .filter(F.col("_rank") <= docs_per_language)
         .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
         .distinct()
