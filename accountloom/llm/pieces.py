@@ -34,6 +34,7 @@ BLANK = "▁"
 BLOCK_BYTES = 16 * 1024 * 1024
 # Longer units are merged by a heap in the task, as the fold looks at all edges each time.
 LONGEST_FOLDED = 48
+GROUPED_AT_ONCE = "100000"
 
 
 @dataclass
@@ -265,6 +266,8 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, block_bytes: int = BL
     encoded alike; an empty table gives no rows.
     """
     spark = prepare(docs.sparkSession)
+    # A unit has few edges; grouping them by hash needs no sort of all of them.
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", GROUPED_AT_ONCE)
     pieces = pieces or Pieces.load()
     texts = docs.select("doc_id", "text")
     blocks = block_count(texts, block_bytes)
@@ -337,7 +340,8 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, block_bytes: int = BL
             }
         )
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, block int, units array<string>")
+    # Dealt by bucket once; units, edges and replies then stay where they are.
+    asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, block int, units array<string>").repartition("bucket")
     # The name differs from asked's, so that the two can meet below.
     units = asked.select(F.col("bucket").alias("home"), F.explode("units").alias("unit"))
     short = units.filter(F.length("unit") <= LONGEST_FOLDED).groupBy("home", "unit").agg(F.count(F.lit(1)).alias("n"))
