@@ -7,8 +7,9 @@ The model is class-factored. The most frequent words, and the end of a text, hav
 classes of their own in which a softmax chooses the word; every other word belongs to a
 class by its last bytes, in which it is chosen by its add-one frequency. The class, and
 the word within a frequent class, depend on hashed features of the words before: the
-last word, the last two (for the class), and the one before the last alone. Probabilities sum to one
-over all known words and one unknown word per class.
+last word, the last two, and the one before the last alone. Probabilities sum to one
+over all known words and one unknown word per class. Frequent classes and feature rows
+grow with the training tokens, up to what a task can hold of the weights.
 
 Weights are learned in rounds, each over another part of all training documents. In a
 round every task takes gradient steps on its own documents from the common weights; the
@@ -41,11 +42,13 @@ from accountloom.llm.common import held_out, prepare, stored
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 WORDS_PER_CLASS = 16
-FREQUENT_CLASSES = 7
-RARE_CLASSES = 9
-CLASSES = FREQUENT_CLASSES + RARE_CLASSES
+RARE_CLASSES = 17
+# For up to FEW_TOKENS in training. Classes grow with the fourth root of the tokens and
+# feature rows with the square root. Each task holds all weights, which bounds both.
+FEW_TOKENS = 4_000_000
+FREQUENT_CLASSES, MOST_CLASSES = 15, 96
+FEATURE_BITS, MOST_BITS = 14, 17
 FREQUENT = FREQUENT_CLASSES * WORDS_PER_CLASS
-FEATURE_BITS = 14
 FEATURES = 3
 ROUNDS = 3
 BATCH = 4096
@@ -84,6 +87,16 @@ def hashed(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return h ^ (h >> np.uint64(32)), ((31 * last[0] + last[1]) % RARE_CLASSES).astype(np.uint8)
 
 
+def classes_for(tokens: int) -> int:
+    """Frequent classes for so many training tokens."""
+    return min(MOST_CLASSES, int(FREQUENT_CLASSES * max(1.0, tokens / FEW_TOKENS) ** 0.25))
+
+
+def bits_for(tokens: int) -> int:
+    """Binary digits of the number of feature rows for so many training tokens."""
+    return min(MOST_BITS, FEATURE_BITS + round(np.log2(max(1.0, tokens / FEW_TOKENS)) / 2))
+
+
 def in_training(doc_id: int) -> bool:
     return doc_id == NO_ID or zlib.crc32(str(doc_id).encode()) % FOLDS != HELD_OUT_FOLD
 
@@ -167,7 +180,7 @@ def counted(dealt: DataFrame, buckets: int) -> DataFrame:
         kind, known = classes[first], total > 0
         seen = np.bincount(kind[known], minlength=RARE_CLASSES)
         often = np.bincount(kind[known], total[known], RARE_CLASSES).astype(np.int64)
-        top = np.lexsort((words, -total))[:FREQUENT]
+        top = np.lexsort((words, -total))[: MOST_CLASSES * WORDS_PER_CLASS]
         stats = b"".join(
             x.astype("<u8").tobytes() for x in (seen, often, words[top], total[top], kind[top])
         )
@@ -199,16 +212,20 @@ class Vocabulary:
     rare_words: np.ndarray
     rare_tokens: np.ndarray
 
+    @property
+    def frequent_classes(self) -> int:
+        return max(FREQUENT_CLASSES, -(-len(self.frequent) // WORDS_PER_CLASS))
+
     def placed(self, hashes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The class of each word, and its number within a frequent class or -1."""
         at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
         place = np.where(self.frequent[at] == hashes, self.places[at], -1)
-        kind = np.where(place >= 0, place // WORDS_PER_CLASS, FREQUENT_CLASSES + classes.astype(np.int64))
+        kind = np.where(place >= 0, place // WORDS_PER_CLASS, self.frequent_classes + classes.astype(np.int64))
         return kind, np.where(place >= 0, place % WORDS_PER_CLASS, -1)
 
 
 def vocabulary(replies: DataFrame, texts: int) -> Vocabulary:
-    """What the driver keeps of the counts: some hundred numbers, whatever the corpus."""
+    """What the driver keeps of the counts: some thousand numbers at most, whatever the corpus."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,9 +256,10 @@ def vocabulary(replies: DataFrame, texts: int) -> Vocabulary:
     }
     words = np.array([sums.get(i, (0, 0))[0] for i in range(RARE_CLASSES)], np.int64)
     tokens = np.array([sums.get(i, (0, 0))[1] for i in range(RARE_CLASSES)], np.int64)
-    # One place is the end's.
-    top = rows.filter("is_word AND tokens > 0").orderBy(F.desc("tokens"), "hash").limit(FREQUENT - 1).collect()
     all_words, all_tokens = int(words.sum()), int(tokens.sum())
+    # One place is the end's.
+    places = classes_for(all_tokens + texts) * WORDS_PER_CLASS - 1
+    top = rows.filter("is_word AND tokens > 0").orderBy(F.desc("tokens"), "hash").limit(places).collect()
     hashes = np.array([END_HASH] + [np.uint64(r["hash"] % 2**64) for r in top], np.uint64)
     counts = np.array([texts] + [r["tokens"] for r in top], np.int64)
     for r in top:
@@ -256,20 +274,21 @@ def vocabulary(replies: DataFrame, texts: int) -> Vocabulary:
     )
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def _mixed(h: np.ndarray, bits: int) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def features_of(last: np.ndarray, before: np.ndarray) -> np.ndarray:
+def features_of(last: np.ndarray, before: np.ndarray, bits: int = FEATURE_BITS) -> np.ndarray:
     """Buckets (FEATURES, n) of the contexts with these two words."""
     one, two = last * np.uint64(0xA0761D6478BD642F), before * np.uint64(0xE7037ED1A0B428DB)
-    return np.stack([_mixed(one), _mixed(one + two * np.uint64(0x8EBC6AF09C88C6E3)), _mixed(two ^ np.uint64(0x589965CC75374CC3))])
+    both, skipped = one + two * np.uint64(0x8EBC6AF09C88C6E3), two ^ np.uint64(0x589965CC75374CC3)
+    return np.stack([_mixed(h, bits) for h in (one, both, skipped)])
 
 
-def _inner(features: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-    """Buckets of the single words before, for the words of a class."""
-    return features[[0, 2]] ^ ((kinds * 0x9E5) & (2**FEATURE_BITS - 1))
+def _inner(features: np.ndarray, kinds: np.ndarray, rows: int) -> np.ndarray:
+    """Buckets of the same contexts for the words of a class."""
+    return features ^ ((kinds * 0x9E5) & (rows - 1))
 
 
 def _scores(bias: np.ndarray, weights: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -284,17 +303,25 @@ def _log_softmax(scores: np.ndarray) -> np.ndarray:
     return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
 
 
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    scores -= scores.max(axis=1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=1, keepdims=True)
+    return scores
+
+
 class Model:
     """Weights of the class softmax (outer) and of the word softmax within a class (inner)."""
 
     def __init__(self, vocab: Vocabulary):
-        size = 2**FEATURE_BITS
-        self.outer = np.zeros((size, CLASSES), np.float32)
+        self.bits, classes = bits_for(vocab.tokens), vocab.frequent_classes
+        size, frequent = 2**self.bits, classes * WORDS_PER_CLASS
+        self.outer = np.zeros((size, classes + RARE_CLASSES), np.float32)
         self.inner = np.zeros((size, WORDS_PER_CLASS), np.float32)
-        counts = np.zeros(FREQUENT)
+        counts = np.zeros(frequent)
         counts[vocab.places] = vocab.frequent_counts
-        counts = counts.reshape(FREQUENT_CLASSES, WORDS_PER_CLASS)
-        used = np.zeros(FREQUENT, bool)
+        counts = counts.reshape(classes, WORDS_PER_CLASS)
+        used = np.zeros(frequent, bool)
         used[vocab.places] = True
         # Places without a word, and classes without any, have no probability.
         self.inner_bias = np.where(used.reshape(counts.shape), np.log(counts + 1), -1e4).astype(np.float32)
@@ -312,7 +339,7 @@ class Model:
             scores = _scores(self.outer_bias, self.outer, f)
             found = np.take_along_axis(_log_softmax(scores), k[:, None], axis=1)[:, 0].astype(np.float64)
             rows = np.flatnonzero(places[part] >= 0)
-            g, k = _inner(f[:, rows], k[rows]), k[rows]
+            g, k = _inner(f[:, rows], k[rows], len(self.inner)), k[rows]
             scores = _scores(self.inner_bias[k], self.inner, g)
             found[rows] += np.take_along_axis(_log_softmax(scores), places[part][rows][:, None], axis=1)[:, 0]
             out[part] = found
@@ -324,13 +351,14 @@ class Trainer:
 
     def __init__(self, model: Model):
         self.start, self.model = model, Model.__new__(Model)
-        self.model.__dict__ |= {k: v.copy() for k, v in model.__dict__.items()}
-        size = 2**FEATURE_BITS
+        self.model.__dict__ |= {k: v.copy() if isinstance(v, np.ndarray) else v for k, v in model.__dict__.items()}
+        size = len(model.outer)
         self.seen = [np.zeros(size, np.int64), np.zeros(size, np.int64)]
         self._squares = [np.full_like(model.outer, 1e-2), np.full_like(model.inner, 1e-2)]
 
     def _step(self, which: int, weights: np.ndarray, rows: np.ndarray, wrong: np.ndarray) -> None:
-        flat = rows.ravel().astype(np.uint16)
+        # Sixteen bits are sorted by radix.
+        flat = rows.ravel().astype(np.uint16 if len(weights) <= 2**16 else np.uint32)
         order = np.argsort(flat, kind="stable")
         flat = flat[order].astype(np.int64)
         starts = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
@@ -347,36 +375,37 @@ class Trainer:
             part = slice(at, at + BATCH)
             f, k, p = features[:, part], kinds[part], places[part]
             scores = _scores(model.outer_bias, model.outer, f)
-            wrong = np.exp(_log_softmax(scores))
+            wrong = _softmax(scores)
             wrong[np.arange(len(k)), k] -= 1.0
             self._step(0, model.outer, f, wrong)
             rows = np.flatnonzero(p >= 0)
             if len(rows):
-                g = _inner(f[:, rows], k[rows])
+                g = _inner(f[:, rows], k[rows], len(model.inner))
                 scores = _scores(model.inner_bias[k[rows]], model.inner, g)
-                wrong = np.exp(_log_softmax(scores))
+                wrong = _softmax(scores)
                 wrong[np.arange(len(rows)), p[rows]] -= 1.0
                 self._step(1, model.inner, g, wrong)
 
     def changes(self) -> pa.RecordBatch:
-        """What this task changed, in chunks of rows, and how often it saw each row."""
-        out: list[tuple[int, bytes, bytes]] = []
+        """What this task changed, by chunks: places of the rows it saw, changes, and how often it saw each."""
+        out: list[tuple[int, bytes, bytes, bytes]] = []
         pairs = ((self.model.outer, self.start.outer), (self.model.inner, self.start.inner))
         for which, (now, then) in enumerate(pairs):
             for chunk, at in enumerate(range(0, len(now), CHUNK_ROWS)):
                 part = slice(at, at + CHUNK_ROWS)
                 seen = self.seen[which][part]
-                if seen.any():
-                    change = (now[part] - then[part]).astype("<f2").tobytes()
-                    out.append((2 * chunk + which, change, seen.astype("<u4").tobytes()))
-        names = ("chunk", "change", "seen")
-        kinds = (pa.int32(), pa.binary(), pa.binary())
+                rows = np.flatnonzero(seen)
+                if len(rows):
+                    change = (now[part][rows] - then[part][rows]).astype("<f2").tobytes()
+                    out.append((2 * chunk + which, rows.astype("u1").tobytes(), change, seen[rows].astype("<u4").tobytes()))
+        names = ("chunk", "places", "change", "seen")
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=names
         )
 
 
-def _sequence(words: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+def _sequence(words: Lexicon, bits: int = FEATURE_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of all texts, each followed by its end, and the features before each."""
     end = len(words.hashes)
     sizes = words.sizes + 1
@@ -390,7 +419,7 @@ def _sequence(words: Lexicon) -> tuple[np.ndarray, np.ndarray]:
     last[starts] = BEGIN_HASH
     before[starts] = BEGIN_HASH
     before[(starts + 1)[sizes > 1]] = BEGIN_HASH
-    return whole, features_of(last, before)
+    return whole, features_of(last, before, bits)
 
 
 def _learned(docs: DataFrame, vocab: Vocabulary, model: Model) -> None:
@@ -401,7 +430,7 @@ def _learned(docs: DataFrame, vocab: Vocabulary, model: Model) -> None:
         for batch in batches:
             words = Lexicon([text or b"" for text in batch.column(0).to_pylist()])
             kinds, places = vocab.placed(np.r_[words.hashes, END_HASH], np.r_[words.classes, np.uint8(0)])
-            whole, features = _sequence(words)
+            whole, features = _sequence(words, model.bits)
             trainer.learn(features, kinds[whole], places[whole])
         yield trainer.changes()
 
@@ -415,19 +444,20 @@ def _learned(docs: DataFrame, vocab: Vocabulary, model: Model) -> None:
             )
 
         for batch in batches:
-            for chunk, change, seen in zip(*(c.to_pylist() for c in batch.columns)):
+            for chunk, places, change, seen in zip(*(c.to_pylist() for c in batch.columns)):
+                rows = np.frombuffer(places, "u1")
                 seen = np.frombuffer(seen, "<u4").astype(np.float64)
                 change = np.frombuffer(change, "<f2").astype(np.float64).reshape(len(seen), -1)
                 if chunk != current:
                     if current is not None:
                         yield close()
-                    current, total, weight = chunk, np.zeros_like(change), np.zeros_like(seen)
-                total += change * seen[:, None]
-                weight += seen
+                    current, total, weight = chunk, np.zeros((CHUNK_ROWS, change.shape[1])), np.zeros(CHUNK_ROWS)
+                total[rows] += change * seen[:, None]
+                weight[rows] += seen
         if current is not None:
             yield close()
 
-    changes = docs.select(F.col("text").cast("binary")).mapInArrow(run, "chunk int, change binary, seen binary")
+    changes = docs.select(F.col("text").cast("binary")).mapInArrow(run, "chunk int, places binary, change binary, seen binary")
     means = changes.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(average, "chunk int, change binary")
     for row in means.collect():
         weights = (model.outer, model.inner)[row["chunk"] % 2]
@@ -470,10 +500,10 @@ def scored(
         counts[-1] = vocab.texts
         base = np.log10((counts + 1) / (vocab.tokens + vocab.distinct + 1))
         kinds, places = vocab.placed(np.r_[words.hashes, END_HASH], np.r_[words.classes, np.uint8(0)])
-        rare = np.maximum(kinds - FREQUENT_CLASSES, 0)
+        rare = np.maximum(kinds - vocab.frequent_classes, 0)
         within = (counts + 1) / (vocab.rare_tokens + vocab.rare_words + 1)[rare]
         within = np.where(places >= 0, 0.0, np.log(within))
-        whole, features = _sequence(words)
+        whole, features = _sequence(words, model.bits)
         found = model.log_probabilities(features, kinds[whole], places[whole]) + within[whole]
         sizes = words.sizes + 1
         starts = np.cumsum(sizes) - sizes

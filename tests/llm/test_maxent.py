@@ -117,6 +117,49 @@ def test_steps_lower_the_loss(trained):
     assert np.array_equal(trainer.start.outer, model.outer)
 
 
+def test_the_last_two_words_choose_within_a_class(trained):
+    vocab, _ = trained
+    model = maxent.Model(vocab)
+    rng = np.random.default_rng(3)
+    own = vocab.frequent[np.argsort(vocab.places)]
+    first, second = rng.integers(0, 2, 4000), rng.integers(0, 2, 4000)
+    # Either word alone says nothing about the next, and all of them are of one class.
+    kinds, places = vocab.placed(own[first ^ second], np.zeros(4000, np.uint8))
+    assert set(kinds) == {0}
+    trainer = maxent.Trainer(model)
+    features = maxent.features_of(own[first], own[second])
+    for _ in range(20):
+        trainer.learn(features, kinds, places)
+    assert trainer.model.log_probabilities(features, kinds, places).mean() > -0.2
+
+
+def test_the_model_grows_with_the_training_tokens(trained):
+    vocab, model = trained
+    assert maxent.FREQUENT >= 240 and model.outer.shape == (2**14, 15 + maxent.RARE_CLASSES)
+    sizes = [10**n for n in range(0, 12)]
+    classes, bits = [maxent.classes_for(n) for n in sizes], [maxent.bits_for(n) for n in sizes]
+    assert classes == sorted(classes) and bits == sorted(bits)
+    assert (classes[0], classes[8], bits[0], bits[8]) == (15, 33, 14, 16)
+
+
+def test_words_beyond_the_least_classes(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    # A word decides the next; 400 words, more than the least number of classes holds.
+    texts = {}
+    for i in range(300):
+        at, out = int(rng.integers(400)), []
+        for _ in range(100):
+            out.append(f"w{at}")
+            at = (at * 7 + 3) % 400 if rng.random() < 0.95 else int(rng.integers(400))
+        texts[i] = " ".join(out)
+    docs = documents(spark, texts)
+    held = [r for r in maxent.scored(docs).collect() if r.held_out]
+    monkeypatch.setattr(maxent, "FEW_TOKENS", 1000)
+    grown = [r for r in maxent.scored(docs).collect() if r.held_out]
+    assert sum(r.score for r in grown) > 0.9 * sum(r.score for r in held)
+    assert answer(maxent.scored(docs)) == plain(list(texts.items()))
+
+
 def hash_of(word):
     return int(maxent.hashed(pa.array([word], pa.binary()).view(pa.string()))[0][0])
 
