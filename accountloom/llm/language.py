@@ -26,7 +26,8 @@ SPAN = 4
 FILTERS = 8
 EMBEDDING = 8
 # The network is fitted on at most so many documents of each language (those with the
-# smallest hash of their id) and so many evenly spaced windows of each document.
+# smallest hash of their id, and of these rows the smallest of id and text) and so many
+# evenly spaced windows of each document.
 DOCS_PER_LANGUAGE = 500
 WINDOWS_PER_DOC = 12
 RANKED_PARTS = 64
@@ -184,21 +185,32 @@ def fitted(
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, windows = [], []
-            for lang, text in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
+            windows = []
+            for text in batch.column(2).to_pylist():
                 all_of = windows_of(text)
                 places = np.unique(np.linspace(0, len(all_of) - 1, windows_per_doc).astype(int))
-                windows += [w.tobytes() for w in all_of[places]]
-                langs += [lang] * len(places)
+                windows.append(all_of[places].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(windows, pa.binary())], names=["lang", "window"]
+                [batch.column(0), batch.column(1), pa.array(windows, pa.binary())], names=["lang", "hash", "windows"]
             )
 
-    texts = named.join(F.broadcast(chosen), same, "left_semi").select("lang", F.col("text").cast("binary"))
-    rows = texts.mapInArrow(sampled, "lang string, window binary").toArrow()
+    texts = named.join(F.broadcast(chosen), same, "left_semi").select(
+        "lang", F.xxhash64("doc_id", "text").alias("hash"), F.col("text").cast("binary")
+    )
+    found = texts.mapInArrow(sampled, "lang string, hash long, windows binary")
+    # Null ids and ids that repeat bring many rows: these are bounded too, in parts first.
+    order, part = [F.col("hash"), F.col("windows")], F.pmod(F.shiftright("hash", 32), F.lit(RANKED_PARTS))
+    for keys in (["lang", part], ["lang"]):
+        ranked = found.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+        found = ranked.filter(F.col("_rank") <= docs_per_language).drop("_rank")
+    rows = found.toArrow()
     if not rows.num_rows:
         return None
-    pairs = sorted(zip(rows.column("lang").to_pylist(), rows.column("window").to_pylist()))
+    pairs = sorted(
+        (lang, data[at : at + WINDOW])
+        for lang, data in zip(rows.column("lang").to_pylist(), rows.column("windows").to_pylist())
+        for at in range(0, len(data), WINDOW)
+    )
     languages = sorted({lang for lang, _ in pairs})
     number = {lang: i for i, lang in enumerate(languages)}
     windows = np.frombuffer(b"".join(w for _, w in pairs), np.uint8).reshape(len(pairs), -1)

@@ -65,6 +65,14 @@ def test_recognised_keeps_rows_and_columns(spark):
     assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()} == {1000, 1001, 1002}
 
 
+def test_rows_of_one_id_are_bounded_too(spark, monkeypatch):
+    rows = [(None, talk("aa", i, 20), "aa", "s", 1) for i in range(300)] + [(7, talk("zz", i, 20), "zz", "s", 1) for i in range(300)]
+    seen = []
+    monkeypatch.setattr(language, "train", lambda windows, labels, *rest: seen.append(np.bincount(labels)))
+    language.fitted(spark.createDataFrame(rows, DOCS), docs_per_language=10, windows_per_doc=1)
+    assert seen[0].tolist() == [10, 10]
+
+
 def test_tables_give_what_the_filters_give():
     rng = np.random.default_rng(3)
     windows = rng.integers(0, 256, (50, 40)).astype(np.uint8)
