@@ -5,6 +5,9 @@ each filter's maximum, and classified by a softmax. The network is trained in nu
 windows of a bounded sample of labelled documents. It is applied to all windows of
 every text, and a text's scores are the means over its bytes. For applying, a filter of
 four bytes is the sum of two tables over byte pairs, worked out once from the weights.
+
+The network only tells the learned languages from each other. Whether a text is in one of
+them at all goes by how usual its pairs of letters are in the sample.
 """
 
 from __future__ import annotations
@@ -33,7 +36,17 @@ WINDOWS_PER_DOC = 12
 RANKED_PARTS = 64
 EPOCHS = 4
 UNKNOWN = "und"
-LEAST_SCORE = 0.3
+# A text's language must be so many times as likely as by chance.
+LEAST_LIFT = 1.2
+# Letters are told apart, in either case; all other bytes count as one.
+_FOLD = np.zeros(256, np.uint16)
+_FOLD[ord("A") : ord("Z") + 1] = _FOLD[ord("a") : ord("z") + 1] = np.arange(1, 27)
+_FOLD[128:] = np.arange(27, 155)
+_LETTERS = 155
+# So many pairs of usual letters are added to each text: few letters prove nothing.
+USUAL_PAIRS = 32
+# The threshold lies by so much below the quantile of each language's own windows.
+STRANGE_QUANTILE, STRANGE_MARGIN = 0.001, 0.5
 
 
 def windows_of(text: bytes, size: int = WINDOW) -> np.ndarray:
@@ -157,13 +170,59 @@ def train(
     return Network(languages, *weights.values())
 
 
-def fitted(
-    docs: DataFrame,
-    docs_per_language: int = DOCS_PER_LANGUAGE,
-    windows_per_doc: int = WINDOWS_PER_DOC,
-    epochs: int = EPOCHS,
-) -> Network | None:
-    """The network learned from documents with a text and a lang; None if there are none.
+def _pairs(data: np.ndarray) -> np.ndarray:
+    """Numbers of the byte pairs along the last axis; 0 where neither is a letter."""
+    folded = _FOLD[data]
+    return folded[..., :-1] * np.uint16(_LETTERS) + folded[..., 1:]
+
+
+@dataclass
+class Familiar:
+    """Log probabilities of the second byte of each pair, their usual mean, and the least mean of a known text."""
+
+    table: np.ndarray
+    usual: float = 0.0
+    least: float = -np.inf
+
+    def score(self, pairs: np.ndarray) -> np.ndarray:
+        """The mean over a text's pairs (the last axis) and the usual ones added to them."""
+        n = (pairs > 0).sum(axis=-1)
+        return (self.table[pairs].sum(axis=-1) + USUAL_PAIRS * self.usual) / (n + USUAL_PAIRS)
+
+    def knows(self, text: bytes) -> bool:
+        return bool(self.score(_pairs(np.frombuffer(text + b" ", np.uint8))) >= self.least)
+
+
+def _familiar(pairs: np.ndarray, weights: np.ndarray) -> Familiar:
+    counts = np.bincount(pairs.ravel(), np.repeat(weights, pairs.shape[1]), _LETTERS**2)
+    counts[0] = 0.0
+    counts = counts.reshape(_LETTERS, _LETTERS) + 0.01
+    table = np.log(counts / counts.sum(axis=1, keepdims=True)).ravel()
+    table[0] = 0.0
+    found = pairs > 0
+    mean = table[pairs].sum() / max(1, found.sum())
+    return Familiar(table, float(mean))
+
+
+def familiar(windows: np.ndarray, labels: np.ndarray) -> Familiar:
+    """Fitted on the windows, with a threshold from halves scored by each other."""
+    pairs = _pairs(windows)
+    sizes = np.bincount(labels)
+    weights = (len(labels) / len(sizes) / sizes)[labels]
+    half = np.arange(len(labels)) % 2
+    scores = np.empty(len(labels))
+    for part in (0, 1):
+        scores[half == part] = _familiar(pairs[half != part], weights[half != part]).score(pairs[half == part])
+    out = _familiar(pairs, weights)
+    lows = [np.quantile(scores[labels == i], STRANGE_QUANTILE) for i in range(len(sizes))]
+    out.least = float(min(lows)) - STRANGE_MARGIN
+    return out
+
+
+def sample(
+    docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, windows_per_doc: int = WINDOWS_PER_DOC
+) -> tuple[np.ndarray, np.ndarray, list[str]] | None:
+    """Windows, label numbers and languages of documents with a text and a lang; None if there are none.
 
     The sample's ids are found first, from the narrow columns alone; only the sample's
     windows are read and brought to the driver.
@@ -214,7 +273,18 @@ def fitted(
     languages = sorted({lang for lang, _ in pairs})
     number = {lang: i for i, lang in enumerate(languages)}
     windows = np.frombuffer(b"".join(w for _, w in pairs), np.uint8).reshape(len(pairs), -1)
-    return train(windows, np.array([number[lang] for lang, _ in pairs]), languages, epochs)
+    return windows, np.array([number[lang] for lang, _ in pairs]), languages
+
+
+def fitted(
+    docs: DataFrame,
+    docs_per_language: int = DOCS_PER_LANGUAGE,
+    windows_per_doc: int = WINDOWS_PER_DOC,
+    epochs: int = EPOCHS,
+) -> Network | None:
+    """The network learned from documents with a text and a lang; None if there are none."""
+    found = sample(docs, docs_per_language, windows_per_doc)
+    return train(*found, epochs) if found else None
 
 
 def _classifier(network: Network | None):
@@ -280,17 +350,28 @@ def identified(docs: DataFrame) -> DataFrame:
     return predicted(docs, fitted(docs.filter(~_outside()))).withColumn("held_out", _outside())
 
 
-def recognised(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    """The documents in a known language by at least the score, with their own columns."""
+def recognised(docs: DataFrame, least_score: float | None = None) -> DataFrame:
+    """The documents in a known language by at least the score, with their own columns.
+
+    Without a score it is 1.2 times chance. A text whose letter pairs are less usual than
+    the sample's is in no known language, whatever its score; a few letters can be in any.
+    A language much like a learned one in its letter pairs is not told from it.
+    """
     prepare(docs.sparkSession)
-    network = fitted(docs.filter(~_outside()))
+    found = sample(docs.filter(~_outside()))
+    network = train(*found, EPOCHS) if found else None
+    known = familiar(*found[:2]) if found else None
+    if least_score is None:
+        # One language alone always has score one.
+        least_score = LEAST_LIFT / len(network.languages) if network and len(network.languages) > 1 else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = _classifier(network)
         for batch in batches:
             last = batch.num_columns - 1
-            langs, scores = classify(batch.column(last).to_pylist())
-            good = [a != UNKNOWN and b >= least_score for a, b in zip(langs, scores)]
+            texts = batch.column(last).to_pylist()
+            langs, scores = classify(texts)
+            good = [a != UNKNOWN and b >= least_score and known.knows(t) for a, b, t in zip(langs, scores, texts)]
             own = pa.RecordBatch.from_arrays(batch.columns[:last], schema=_nullable(batch.schema, last))
             yield own.filter(pa.array(good, pa.bool_()))
 

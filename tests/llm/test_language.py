@@ -65,6 +65,20 @@ def test_recognised_keeps_rows_and_columns(spark):
     assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()} == {1000, 1001, 1002}
 
 
+def test_recognised_rejects_what_was_not_learned(spark):
+    rng = np.random.default_rng(8)
+    other = [" ".join("".join(rng.choice(list(letters), 5)) for _ in range(40)) for letters in ("абвгд", "αβγδε", "日本語中文", "qkjhg") for _ in range(5)]
+    shout = [(2000 + i, talk(lang, 900 + i, 40).upper() + " 12.5 | 7 %", None, "s", 1) for i, lang in enumerate(("aa", "zz", "éé"))]
+    docs = labelled(spark, EXTRA[3:] + shout[:2] + [(3000 + i, t, None, "s", 1) for i, t in enumerate(other)])
+    kept = sorted(str(r.doc_id) for r in language.recognised(docs).collect())
+    assert kept == sorted(str(r.doc_id) for r in docs.collect() if r.doc_id is None or r.doc_id < 3000)
+
+
+def test_recognised_keeps_clean_documents_of_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text RLIKE '[a-z]'")
+    assert language.recognised(docs).count() == docs.count()
+
+
 def test_rows_of_one_id_are_bounded_too(spark, monkeypatch):
     rows = [(None, talk("aa", i, 20), "aa", "s", 1) for i in range(300)] + [(7, talk("zz", i, 20), "zz", "s", 1) for i in range(300)]
     seen = []
