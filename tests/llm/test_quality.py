@@ -103,6 +103,18 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert kept.columns == clashing(docs).columns and kept.count() == 3
 
 
+def test_clean_documents_kept_out_of_the_fit_stay(spark):
+    # On sf0.01 the labels are too few: 3 of 154 go.
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    clean = labels.filter("quality = 1 AND toxic = 0")
+    trusted = quality.trusted_ids(clean.filter("doc_id % 2 = 0"))
+    rows = quality.judged(spark.read.parquet(f"{sf}/documents.parquet"), trusted).collect()
+    out = {r.doc_id for r in clean.filter("doc_id % 2 = 1").collect()}
+    scores = [r.score for r in rows if r.doc_id in out]
+    assert len(scores) > 20 and sum(s < quality.THRESHOLD for s in scores) <= 0.01 * len(scores)
+
+
 def test_no_python_runs(spark):
     text = plan(op5_quality_rules(spark, SF))
     assert not re.search("Python|Pandas|Arrow", text)
