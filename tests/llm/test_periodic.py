@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from accountloom.llm import periodic
+from accountloom.llm.queries import op12_periodic_runs
+from tests.llm.support import SF, clashing, documents, prose
+
+
+def words(text):
+    return re.findall("[^\x20\x09-\x0d]+", text or "")
+
+
+def plain(w: list) -> list[tuple]:
+    """(start, length, period) of every run, by comparing the words with themselves at every lag."""
+    n, out = len(w), []
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(12, 2 * q):
+                if not any(all(w[t] == w[t + d] for t in range(i, j + q - d)) for d in range(1, q)):
+                    out.append((i, j + q - i, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def summary(doc_id, text, planted=True):
+    """The row of the query for one document, from the definition."""
+    w = words(text)
+    if planted and doc_id is not None and w and (h := zlib.crc32(str(doc_id).encode())) % 10 == 0:
+        g = h // 10
+        a = g % len(w)
+        p = 1 + (len(w) - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    runs = plain(w)
+    best = max(runs, key=lambda r: (r[1], -r[0], -r[2]), default=(None, None, None))
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+    power = None if best[0] is None else 1000 * best[1] // best[2]
+    return (doc_id, len(runs), *best, power, *(hashlib.sha256(x.encode()).hexdigest() for x in (lines, kept)))
+
+
+def together(docs: list[list[int]]) -> list[list[tuple]]:
+    found = periodic.Runs(np.array([x for d in docs for x in d], np.int64), np.cumsum([0, *map(len, docs)]))
+    out = [[] for _ in docs]
+    for doc, *run in zip(*(v.tolist() for v in (found.doc, found.start, found.length, found.period))):
+        out[doc].append(tuple(run))
+    return out
+
+
+def repetitive(rng: random.Random) -> list[int]:
+    """Words with runs, runs of runs, runs that meet, or few letters."""
+    base = lambda n, k: [rng.randrange(k) for _ in range(n)]
+    k, kind = rng.choice([1, 2, 3, 5, 50]), rng.randrange(6)
+    if kind == 0:
+        return base(rng.randrange(200), k)
+    if kind == 1:
+        part = base(rng.randrange(1, 120), k) * 8
+        return base(rng.randrange(30), k) + part[: rng.randrange(1, len(part))] + base(rng.randrange(30), k)
+    if kind == 2:
+        part = base(rng.randrange(1, 5), k)
+        a, b = (part * 90)[: rng.randrange(1, 150)], (part * 90)[rng.randrange(len(part)) :][: rng.randrange(1, 150)]
+        return a + b + rng.choice([[], a, b, a + b])
+    if kind == 3:
+        a, b = [0], [0, 1]
+        for _ in range(rng.randrange(5, 12)):
+            a, b = b, b + a
+        return b[:300]
+    if kind == 4:
+        part = (base(rng.randrange(1, 4), k) * 60)[: rng.randrange(1, 60)] + base(1, k)
+        return (part * 6)[: rng.randrange(1, 6 * len(part))]
+    part = base(rng.randrange(1, 40), k) * rng.randrange(1, 4) + base(rng.randrange(3), k)
+    return (part * 4)[:300]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_runs_are_those_of_all_lags(seed):
+    rng = random.Random(seed)
+    docs = [repetitive(rng) for _ in range(120)]
+    assert together(docs) == [plain(d) for d in docs]
+
+
+def test_long_periods():
+    rng = random.Random(1)
+    part = [rng.randrange(900) for _ in range(700)]
+    docs = [part * 2, part + [1000] + part, (part * 3)[:1999], part[:20] * 70, [7] * 699 + [8] + [7] * 699 + [8]]
+    assert together(docs) == [plain(d) for d in docs]
+
+
+def test_wrong_hashes_change_nothing(monkeypatch):
+    """Even if every word had one of two hashes."""
+    rng = random.Random(3)
+    docs = [repetitive(rng) for _ in range(60)]
+    mixed = periodic._mixed
+    monkeypatch.setattr(periodic, "_mixed", lambda x: mixed(x % np.uint64(2)))
+    assert together(docs) == [plain(d) for d in docs]
+
+
+def answer(df):
+    return sorted((tuple(r) for r in periodic.summarised(df).collect()), key=str)
+
+
+def cases():
+    loop = " ".join(prose(1, 9).split() * 4)
+    texts = [(i, f"{prose(i, 40)} {loop} {prose(i + 1, 20)}") for i in range(6)]
+    texts += [(i, prose(i, 150)) for i in range(10, 60)]
+    texts += [(100, None), (101, ""), (102, " \n\t "), (103, "a " * 11), (104, "a " * 12), (105, "a\n" * 5000)]
+    texts += [(None, loop), (None, loop), (None, None), (7, loop), (7, loop), (108, "é x \x0b" * 40)]
+    return texts
+
+
+def test_against_brute_force(spark):
+    docs = clashing(documents(spark, cases()))
+    assert answer(periodic.periodic_runs(docs)) == sorted((summary(*c, planted=False) for c in cases()), key=str)
+    planted = periodic.periodic_runs(periodic.with_planted_runs(docs))
+    assert answer(planted) == sorted((summary(*c) for c in cases()), key=str)
+
+
+def test_runs_and_collapsed_text(spark):
+    found = periodic.periodic_runs(documents(spark, {1: "x " + "a b c " * 5 + "y"})).first()
+    assert found.n_words == 17 and found.collapsed == "x a b c y"
+    assert [tuple(r) for r in found.runs] == [(1, 15, 3)]
+
+
+def test_empty_table(spark):
+    assert periodic.periodic_runs(documents(spark, {1: "a"}).limit(0)).collect() == []
+
+
+def test_whole_query_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    found = sorted((tuple(r) for r in op12_periodic_runs(spark, SF).collect()), key=str)
+    assert found == sorted((summary(r.doc_id, r.text) for r in docs), key=str)
+    assert sum(r[1] > 0 for r in found) > len(found) / 20
