@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.llm import impact, language, maxent, packing, periodic, pieces, quality, simhash, suffixes, urls, warc, winnowing
+from accountloom.llm import impact, language, maxent, packing, periodic, pieces, quality, simhash, suffixes, turns, urls, warc, winnowing
 from accountloom.llm.common import table
 from accountloom.settings import scratch_folder
 
@@ -73,6 +73,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return turns.audited(turns.Repairs(turns.damaged(conversations), conversations))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic.with_planted_runs(table(spark, sf_dir, "documents"))
     return periodic.summarised(periodic.periodic_runs(docs))
@@ -95,6 +100,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": op8_simhash,
         "op9_top_k": op9_top_k,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_conversation_repair": op11_conversation_repair,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_decontamination": op13_decontamination,
     }
