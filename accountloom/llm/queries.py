@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from accountloom.llm import impact, language, maxent, packing, periodic, pieces, quality, simhash, suffixes, turns, urls, warc, winnowing
 from accountloom.llm.common import table
+from accountloom.llm.sql import ORACLES
 from accountloom.settings import scratch_folder
 
 URL_RULES = [
@@ -106,50 +107,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-ORACLES = {
-    "op2_warc": """
-        WITH p AS (
-            SELECT page_id, encode(coalesce(html, '')) AS b, sha256(coalesce(html, '')) AS d FROM pages
-        ), f AS (SELECT d, min(page_id) AS first FROM p GROUP BY d)
-        SELECT page_id, octet_length(b) AS payload_bytes, d AS payload_digest,
-            CASE WHEN octet_length(b) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-            CASE WHEN octet_length(b) >= 100 AND page_id <> first THEN first END AS refers_to
-        FROM p JOIN f USING (d)""",
-    "op13_decontamination": """
-        WITH d AS (
-            SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
-                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-            FROM documents
-        ), b AS (
-            SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''),
-                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-            FROM benchmark
-        ), x AS (
-            SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS s
-            FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
-        ), y AS (
-            SELECT k, i, n, array_to_string(w[i:i + n - 1], ' ') AS s
-            FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS i
-                  FROM d CROSS JOIN (SELECT DISTINCT n FROM x) WHERE len(w) >= n)
-        ), h AS (SELECT k, i, n, item FROM y JOIN x USING (n, s)),
-        c AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS p FROM h) GROUP BY k),
-        t AS (SELECT k, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY k)
-        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-        FROM d LEFT JOIN c USING (k) LEFT JOIN t USING (k)""",
-    "op9_top_k": """
-        WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
-            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-        ), s AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
-            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
-        )
-        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
-            vec_id, score
-        FROM s QUALIFY rank <= 10""",
-}
-
-
 def llm_oracles() -> dict[str, str]:
     return dict(ORACLES)
