@@ -7,13 +7,20 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from accountloom.llm import packing
 from accountloom.llm.queries import op1_packing
-from accountloom.llm.tokens import Encoder
+from accountloom.llm.tokens import VOCABULARY, Encoder
 from tests.llm.support import SF, clashing, documents, prose
 
 ENCODER = Encoder()
+LIBRARY = Tokenizer.from_file(VOCABULARY)
+
+
+def library(text: str) -> np.ndarray:
+    """The ids by the library as it is loaded."""
+    return np.array(LIBRARY.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 def check(rows, texts: list[tuple], window=2048):
@@ -32,7 +39,7 @@ def check(rows, texts: list[tuple], window=2048):
         assert at <= window
     assert sorted(sequences) == list(range(len(sequences)))
     for doc_id, text in texts:
-        ids = np.append(ENCODER.defining(text or ""), 1).astype("<u4")
+        ids = np.append(library(text or ""), 1).astype("<u4")
         at = 0
         for r in sorted(by_doc[doc_id], key=lambda r: r.start):
             assert r.start == at and r.doc_tokens == len(ids)
@@ -42,16 +49,28 @@ def check(rows, texts: list[tuple], window=2048):
     return len(sequences)
 
 
+SPECIAL = "<|endoftext|>"
+AROUND = ["", " ", "a", "\n", "  x ", "é", "<|", "|>", "<|endoftext", SPECIAL]
+
+
+@pytest.mark.parametrize("before", AROUND)
+@pytest.mark.parametrize("after", AROUND)
+def test_special_tokens_as_the_library_reads_them(before, after):
+    for text in (before + SPECIAL + after, f"{before}{SPECIAL} {SPECIAL}{after}", before + SPECIAL[:-1] + after):
+        assert ENCODER.encode(text) == library(text).tobytes()
+    assert 50256 in library(before + SPECIAL + after)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60))
 def test_both_libraries_give_the_same_ids(text):
-    assert ENCODER.encode(text) == ENCODER.defining(text).tobytes()
+    assert ENCODER.encode(text) == library(text).tobytes()
 
 
 def test_both_libraries_on_documents_and_long_blanks(spark):
     texts = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     for text in [*texts, " " * 20_000 + "x", "a" * 30_000, "<|endoftext|>", "\n" * 6000]:
-        assert ENCODER.encode(text) == ENCODER.defining(text).tobytes()
+        assert ENCODER.encode(text) == library(text).tobytes()
 
 
 def test_registered_query(spark):
@@ -63,7 +82,7 @@ def test_registered_query(spark):
 
 
 def test_small_window_cuts_and_packs(spark):
-    texts = {i: prose(i, 5 + 3 * i) for i in range(60)} | {90: None, 91: "", 92: " ", 93: prose(1, 4000)}
+    texts = {i: prose(i, 5 + 3 * i) for i in range(60)} | {90: None, 91: "", 92: " ", 93: prose(1, 4000), 94: f"one {SPECIAL} two"}
     docs = clashing(documents(spark, texts))
     rows = packing.packed(docs, window=64, grain=4, least_cut=2).collect()
     assert {r for r in rows[0].asDict()} == {
@@ -76,7 +95,7 @@ def test_small_window_cuts_and_packs(spark):
 def test_ids_of_pieces(spark):
     texts = {i: prose(i, 40) for i in range(9)}
     for r in packing.packed(documents(spark, texts), window=64, grain=4, with_ids=True).collect():
-        ids = np.append(ENCODER.defining(texts[r.doc_id]), 1).astype("<u4")
+        ids = np.append(library(texts[r.doc_id]), 1).astype("<u4")
         assert r.ids == ids[r.start : r.start + r.length].tobytes()
 
 
