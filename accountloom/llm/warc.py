@@ -5,7 +5,7 @@ provides: the first under its own type, the others as `continuation` records. On
 segment is one row, written by Spark's text writer and read back by splitting files
 at the version line, so neither side needs a whole record at once. A payload that
 contains the version line is cut inside it, which keeps it from being taken for the
-start of a record. Digests of segmented payloads are carried from chunk to chunk.
+start of a record. Writer and reader carry digests from chunk to chunk.
 """
 
 from __future__ import annotations
@@ -14,74 +14,128 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountloom.llm.common import prepare, stored
 
-VERSION = "WARC/1.1\r\n"
+NAME = "WARC/1.1"
+VERSION = f"{NAME}\r\n"
 CHUNK = 32 * 1024
 MIN_REVISIT = 100
 NO_DATE = "1970-01-01T00:00:00Z"
 
 
 def _header_safe(text: Column) -> Column:
-    """Text that fits on a header line: control characters and blanks become %20."""
-    return F.regexp_replace(text, "[\\x00-\\x20\\x7F]", "%20")
+    """Text that fits on a header line: control characters and blanks become %20.
 
+    A blank, which readers drop, keeps an end of line from completing the version line.
+    """
+    safe = F.regexp_replace(text, "[\\x00-\\x20\\x7F]", "%20")
+    return F.when(safe.endswith(NAME), F.concat(safe, F.lit(" "))).otherwise(safe)
 
-def decided(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """Pages (page_id, url, payload) with digest, size, record_type and refers_to."""
-    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    sized = pages.select(F.col("page_id").cast("long"), "url", payload.alias("payload")).select(
-        "*",
-        F.sha2("payload", 256).alias("digest"),
-        F.octet_length("payload").cast("long").alias("size"),
-    )
+
+def pieces(payload: memoryview, chunk: int) -> Iterator[memoryview]:
+    """The payload in pieces of at most chunk bytes, at least one.
+
+    None holds the version line, and none ends in the version's name, which the line end
+    written after it would complete.
+    """
+    name, line = NAME.encode(), VERSION.encode()
+    at, size = 0, len(payload)
+    while True:
+        end = min(at + chunk, size)
+        piece = bytes(payload[at:end])
+        if (found := piece.find(line)) >= 0:
+            end = at + found + 4
+        elif piece.endswith(name):
+            end -= 4
+        yield payload[at:end]
+        at = end
+        if at >= size:
+            return
+
+
+_CHUNKS = (
+    "record_id string, page_id long, url string, chunk_no int, chunk binary, "
+    "running_digest string, running_size long, last boolean"
+)
+_CHUNK_TYPES = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.string(), pa.int64(), pa.bool_()]
+CHUNKS_AT_ONCE = 64
+
+
+def chunk_table(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Rows (record_id, page_id, url, chunk_no, chunk, running_digest, running_size, last) of pages.
+
+    Each payload is passed over once, and the digest carried from chunk to chunk; a task
+    holds some chunks beside the batch that it reads. url is in a record's first row only.
+    """
+    names = [x.split()[0] for x in _CHUNKS.split(", ")]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), _CHUNK_TYPES)]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, rows = TaskContext.get().partitionId() << 33, []
+        for batch in batches:
+            html = batch.column("html")
+            for i, (page_id, url) in enumerate(zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist())):
+                payload = memoryview(html[i].as_buffer() if html[i].is_valid else b"")
+                record_id = f"urn:page:{'null' if page_id is None else page_id}#{number}"
+                digest, size = hashlib.sha256(), 0
+                for n, piece in enumerate(pieces(payload, chunk)):
+                    digest.update(piece)
+                    size += len(piece)
+                    last = size == len(payload)
+                    rows.append((record_id, page_id, None if n else url, n, bytes(piece), digest.hexdigest(), size, last))
+                    if len(rows) >= CHUNKS_AT_ONCE:
+                        yield batch_of(rows)
+                        rows = []
+                number += 1
+        if rows:
+            yield batch_of(rows)
+
+    columns = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.col("html").cast("binary").alias("html"))
+    return columns.mapInArrow(run, _CHUNKS)
+
+
+def decided(chunks: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
+    """The chunks to write, with chunks, digest, size, record_type and refers_to of their record.
+
+    A record of one chunk carries its own digest. Only the chunks of larger ones are
+    joined to what their last chunk says. A revisit has one empty chunk; its payload is
+    that of the record it refers to.
+    """
+    whole = F.col("running_digest").alias("digest"), F.col("running_size").alias("size")
+    ends = chunks.filter("last").select("record_id", "page_id", F.col("chunk_no").alias("_last"), *whole)
     repeated = (
-        sized.filter(F.col("size") >= min_revisit)
+        ends.filter(F.col("size") >= min_revisit)
         .groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1 AND first IS NOT NULL")
         .select("digest", "first")
     )
-    joined = sized.join(stored(repeated, "repeated"), "digest", "left")
-    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return joined.select(
-        "page_id", "url", "payload", "digest", "size",
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("first")).alias("refers_to"),
-    )
-
-
-def chunk_table(records: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Rows (record_id, chunk_no, chunks, chunk, ...): the payload of each record in pieces.
-
-    A revisit has one empty chunk; its payload is that of the record it refers to.
-    """
-    mark = VERSION[:-2]
-    inside = f"(?<={mark[:4]})(?={mark[4:]}\r\n)"
-    text = F.col("payload").cast("string")
-    parts = F.when(
-        F.contains("payload", F.lit(VERSION).cast("binary")),
-        F.transform(F.split(text, inside, -1), lambda p: p.cast("binary")),
-    ).otherwise(F.array("payload"))
-
-    def pieces(part: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.octet_length(part) - 1, F.lit(0)), F.lit(chunk))
-        return F.transform(starts, lambda at: F.substring(part, at + 1, F.lit(chunk)))
-
-    body = F.when(F.col("record_type") == "revisit", F.array(F.lit("").cast("binary"))).otherwise(
-        F.flatten(F.transform(parts, pieces))
+    repeated = stored(repeated, "repeated")
+    one = chunks.filter("last AND chunk_no = 0").select(
+        "record_id", "page_id", "url", "chunk_no", "chunk", F.lit(0).alias("_last"), *whole
     )
-    number = F.monotonically_increasing_id().cast("string")
-    record_id = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit("#"), number)
+    facts = ends.filter("_last > 0").select("record_id", "_last", "digest", "size").join(repeated, "digest", "left")
+    parts = chunks.filter("NOT (last AND chunk_no = 0)").select("record_id", "page_id", "url", "chunk_no", "chunk")
+    several = parts.join(stored(facts, "large-records"), "record_id")
+    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return (
-        records.withColumn("record_id", record_id)
-        .withColumn("_chunks", body)
+        one.join(repeated, "digest", "left")
+        .unionByName(several)
+        .withColumn("_revisit", revisit)
+        .filter("NOT (_revisit AND chunk_no > 0)")
         .select(
-            "record_id", "page_id", "url", "digest", "size", "record_type", "refers_to",
-            F.size("_chunks").alias("chunks"), F.posexplode("_chunks").alias("chunk_no", "chunk"),
+            "record_id", "page_id", "url", "digest", "size", "chunk_no",
+            F.when(F.col("_revisit"), "revisit").otherwise("response").alias("record_type"),
+            F.when(F.col("_revisit"), F.col("first")).alias("refers_to"),
+            F.when(F.col("_revisit"), 1).otherwise(F.col("_last") + 1).alias("chunks"),
+            F.when(F.col("_revisit"), F.lit("").cast("binary")).otherwise(F.col("chunk")).alias("chunk"),
         )
     )
 
@@ -130,7 +184,8 @@ def write_archives(
     columns are ignored; an empty table gives archives without records.
     """
     prepare(pages.sparkSession)
-    rows = chunk_table(decided(pages, min_revisit), chunk).select(_segment(date).alias("value"))
+    chunks = stored(chunk_table(pages, chunk), "chunks")
+    rows = decided(chunks, min_revisit).select(_segment(date).alias("value"))
     rows.write.option("lineSep", "\r\n\r\n").option("compression", compression).text(path)
 
 
@@ -156,7 +211,7 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
         field("WARC-Type").alias("type"),
         bare("WARC-Record-ID").alias("own_id"),
         bare("WARC-Segment-Origin-ID").alias("origin"),
-        field("WARC-Target-URI").alias("url"),
+        F.rtrim(field("WARC-Target-URI")).alias("url"),
         F.regexp_extract(F.coalesce(field("WARC-Payload-Digest"), F.lit("")), "sha256:(.*)", 1).alias("stated_digest"),
         field("WARC-Payload-Length").cast("long").alias("stated_size"),
         F.nullif(bare("WARC-Refers-To"), F.lit("")).alias("refers_to"),

@@ -12,12 +12,12 @@ from accountloom.llm.queries import llm_oracles, op2_warc
 from accountloom.sources import files
 from tests.llm.support import SF
 
-PAGES = "page_id long, url string, html string, extra int, digest string, chunk string"
+PAGES = "page_id long, url string, html string, extra int, digest string, chunk string, record_id string, size int, last int"
 LONG = "long page é " * 400
 
 
 def pages(spark, rows):
-    return spark.createDataFrame([(i, u, h, 1, "x", "y") for i, u, h in rows], PAGES)
+    return spark.createDataFrame([(i, u, h, 1, "x", "y", "z", 2, 3) for i, u, h in rows], PAGES)
 
 
 def written(spark, folder, rows, **options):
@@ -69,6 +69,40 @@ def test_round_trip(spark, folder, chunk, compression):
     assert answer(warc.read_records(spark, path)) == expected(ROWS)
 
 
+@pytest.mark.parametrize("chunk", [3, 12, 64])
+def test_payloads_and_chunks_that_end_in_the_version_line(spark, folder, chunk):
+    line = "WARC/1.1\r\n"
+    heads = [line[:n] for n in range(len(line) + 1)]
+    rows = [(i, f"http://a/{h}", f"hello {h}") for i, h in enumerate(heads)]
+    # Every part of the line at the end of a chunk, alone and twice, and in payloads that repeat.
+    rows += [(100 + i, "u", "x" * (64 - len(h)) + h + "y" * 40) for i, h in enumerate(heads)]
+    rows += [(200 + i, h, (h + line) * 30) for i, h in enumerate(heads)]
+    rows += [(300 + i, None, (h + line) * 30) for i, h in enumerate(heads)]
+    rows += [(400, "u", "WARC/1.1" * 50), (401, "u", "WARC" * 90 + "/1.1"), (402, "u", "WARC/1.WARC/1.1")]
+    path = written(spark, folder, rows, chunk=chunk, compression="none")
+    assert answer(warc.read_records(spark, path)) == expected(rows)
+    urls = {r.page_id: r.url for r in warc.read_records(spark, path).collect()}
+    assert urls[8] == "http://a/WARC/1.1" and urls[300] is None
+
+
+def test_a_payload_of_many_chunks(spark, folder):
+    rows = [(1, "u", "é0123456789" * 600_000), (2, "u", "é0123456789" * 600_000), (3, "u", "small")]
+    path = written(spark, folder, rows)
+    assert answer(warc.read_records(spark, path)) == expected(rows)
+    chunks = warc.read_chunks(spark, path).filter("segmented").selectExpr("max(length(chunk)) AS n", "count(*) AS c").first()
+    assert chunks.n == warc.CHUNK and chunks.c > 200
+
+
+def test_running_digests(spark):
+    rows = [(1, "u", "abcdefgh"), (2, "u", None)]
+    found = sorted(warc.chunk_table(pages(spark, rows), 3).collect(), key=lambda r: (r.page_id, r.chunk_no))
+    seen = [(r.page_id, r.chunk_no, bytes(r.chunk), r.running_size, r.last, r.url) for r in found]
+    assert seen == [
+        (1, 0, b"abc", 3, False, "u"), (1, 1, b"def", 6, False, None), (1, 2, b"gh", 8, True, None), (2, 0, b"", 0, True, "u"),
+    ]
+    assert [r.running_digest for r in found[:3]] == [hashlib.sha256(b"abcdefgh"[:n]).hexdigest() for n in (3, 6, 8)]
+
+
 def test_payloads_can_be_put_together_again(spark, folder):
     path = written(spark, folder, ROWS, chunk=50)
     chunks = warc.read_chunks(spark, path).collect()
