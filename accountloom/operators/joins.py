@@ -4,12 +4,9 @@ Adaptive execution splits a skewed shuffle partition on the left of a left or
 semi join and on both sides of an inner join, if the shuffle feeds the join
 directly. The functions below cover what that leaves: keys over-full on the
 right of a left join, and keys over-full on the left when the right side is an
-aggregate. Both single out such keys with a count per key. At most
-rows / hot_rows keys can pass it, so their list is small by construction
-(a million for 10^12 rows) and may be broadcast. Where no key passes, adaptive
-execution sees the empty list and drops the second branch before it runs. A side
-that the optimizer estimates too small to hold a full key is not counted at all,
-and the join is the plain one.
+aggregate. Both single such keys out, which hot_keys() finds before the join is
+planned. At most rows / hot_rows keys can be, so their list may be broadcast.
+Where there is none, the plan is the plain join.
 """
 
 from __future__ import annotations
@@ -17,21 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accountloom.settings import planned_bytes
-
-HOT_ROWS = 1_000_000
-# Fewer bytes a row than any estimate of a joined side comes to.
-LEAST_ROW_BYTES = 4
-
-
-def can_be_hot(df: DataFrame, hot_rows: int) -> bool:
-    """Whether a key of the frame can pass hot_rows, by the size of the whole frame."""
-    return planned_bytes(df) >= hot_rows * LEAST_ROW_BYTES
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return F.broadcast(counts.filter(F.col("_rows") > hot_rows).select(key))
+from accountloom.operators.hot_keys import HOT_ROWS, hot_keys
 
 
 def left_join(
@@ -42,9 +25,9 @@ def left_join(
     Every over-full right key has a match by definition, so for those keys the
     join is an inner one, which adaptive execution can split on either side.
     """
-    if not can_be_hot(right, hot_rows):
-        return left.join(right, key, "left")
     hot = hot_keys(right, key, hot_rows)
+    if hot is None:
+        return left.join(right, key, "left")
     cold = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
     full = left.join(hot, key, "left_semi").join(right.join(hot, key, "left_semi"), key, "inner")
     return cold.unionByName(full)
@@ -58,9 +41,9 @@ def left_join_unique(
     The right rows of over-full left keys are as few as those keys. Rows without
     a key are not set apart; drop them first if there are many.
     """
-    if not can_be_hot(left, hot_rows):
-        return left.join(right, key, "left")
     hot = hot_keys(left, key, hot_rows)
+    if hot is None:
+        return left.join(right, key, "left")
     few = F.broadcast(right.join(hot, key, "left_semi"))
     cold = left.join(hot, key, "left_anti").join(right, key, "left")
     full = left.join(hot, key, "left_semi").join(few, key, "left")
@@ -76,9 +59,9 @@ def semi_join(
     needs anyway, so a key repeated there costs one row per task.
     """
     keys = right.select(key).distinct()
-    if not can_be_hot(left, hot_rows):
-        return left.join(keys, key, "left_semi")
     hot = hot_keys(left, key, hot_rows)
+    if hot is None:
+        return left.join(keys, key, "left_semi")
     found = F.broadcast(keys.join(hot, key, "left_semi"))
     cold = left.join(hot, key, "left_anti").join(keys, key, "left_semi")
     return cold.unionByName(left.join(found, key, "left_semi"))

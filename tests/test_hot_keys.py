@@ -1,0 +1,96 @@
+"""Full keys are found by their rows, whatever room these take."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from accountloom.operators import left_join, left_join_unique, semi_join
+from accountloom.operators.hot_keys import frequent_keys, hot_keys, rows_at_most
+from tests.support import TESTDATA, plan, rows, settings
+
+
+@pytest.fixture(scope="module")
+def packed(spark, tmp_path_factory):
+    """3 million rows of one key in some 40 kilobytes, and 100,000 of others."""
+    path = str(tmp_path_factory.mktemp("hot") / "rows")
+    one = spark.range(3_000_000).select(F.lit(7).cast("long").alias("k"), F.lit("x").alias("v"))
+    rest = spark.range(100_000).select((F.col("id") + 100).alias("k"), F.lit("y").alias("v"))
+    one.unionByName(rest).sort("k").coalesce(2).write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
+
+def found(hot) -> list:
+    return [] if hot is None else sorted(r[0] for r in hot.collect())
+
+
+def test_a_full_key_in_few_bytes_is_found(packed):
+    from accountloom.settings import planned_bytes
+
+    assert planned_bytes(packed) < 2_000_000
+    assert found(hot_keys(packed, "k")) == [7]
+    assert found(hot_keys(packed, "k", 2_999_999)) == [7]
+    assert hot_keys(packed, "k", 3_000_000) is None
+
+
+def test_the_joins_split_it(spark, packed):
+    keys = spark.range(200).withColumnRenamed("id", "k")
+    few = packed.groupBy("k").agg(F.count("v").alias("n"))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        right = left_join(keys, packed, "k")
+        assert "Inner" in plan(right, "simple") and right.count() == 3_000_000 + 199
+        left = left_join_unique(packed, few, "k")
+        assert "BroadcastHashJoin" in plan(left, "simple") and left.count() == 3_100_000
+        semi = semi_join(packed, keys, "k")
+        assert "BroadcastHashJoin" in plan(semi, "simple") and semi.count() == 3_000_100
+
+
+def test_small_files_are_not_looked_into(spark):
+    """The footers settle it; the join is the plain one, and no key is read."""
+    orders = spark.read.parquet(f"{TESTDATA}/orders.parquet")
+    assert rows_at_most(orders) == orders.count()
+    right = orders.selectExpr("o_custkey AS k", "o_orderkey AS v")
+    joined = left_join(spark.range(10).withColumnRenamed("id", "k"), right, "k")
+    assert plan(joined, "simple").count("Join") == 1
+
+
+def test_bounds_of_plans(spark, tmp_path):
+    orders = spark.read.parquet(f"{TESTDATA}/orders.parquet")
+    n, nation = orders.count(), spark.read.parquet(f"{TESTDATA}/nation.parquet")
+    assert rows_at_most(orders.filter("o_orderkey % 2 = 0").select("o_custkey").distinct()) == n
+    assert rows_at_most(orders.unionByName(orders)) == 2 * n
+    assert rows_at_most(orders.join(nation, orders.o_custkey == nation.n_nationkey, "left")) == 25 * n
+    assert rows_at_most(orders.join(nation, orders.o_custkey == nation.n_nationkey, "left_semi")) == n
+    assert rows_at_most(orders.selectExpr("explode(sequence(1, 9)) AS x")) is None
+    assert rows_at_most(spark.range(5).select("id")) in (None, 5)
+    (tmp_path / "x.csv").write_text("a\n" * 100)
+    assert 99 <= rows_at_most(spark.read.csv(str(tmp_path), header=True)) < 10**6
+    assert rows_at_most(orders.filter("false")) == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("kind", ["long", "string", "date"])
+def test_keys_are_those_of_an_exact_count(spark, seed, kind):
+    rng = random.Random(seed)
+    draws = [min(int(rng.paretovariate(0.7)), 400) if rng.random() > 0.1 else None for _ in range(3000)]
+    cast = {"long": "k", "string": "concat('k', k)", "date": "date_add(DATE '2024-01-01', k)"}[kind]
+    df = spark.createDataFrame([(k,) for k in draws], "k int").selectExpr(f"{cast} AS k").repartition(7)
+    exact = Counter(r.k for r in df.collect() if r.k is not None)
+    for least in (0, 5, 50, 3000):
+        assert found(hot_keys(df, "k", least)) == sorted(k for k, n in exact.items() if n > least)
+
+
+def test_a_small_sketch_still_has_the_frequent_keys(spark):
+    df = spark.range(200_000).selectExpr("CASE WHEN id % 20 = 0 THEN -1 WHEN id % 30 = 1 THEN -2 ELSE id END AS k")
+    top = {r.k for r in frequent_keys(df.repartition(16), "k", 256).collect()}
+    assert {-1, -2} <= top and len(top) <= 256
+
+
+def test_results_do_not_depend_on_it(spark, packed):
+    small = packed.filter("k > 99").limit(500)
+    keys = spark.range(300).withColumnRenamed("id", "k")
+    for hot in (0, 1, 10**9):
+        assert rows(left_join(keys, small, "k", hot)) == rows(keys.join(small, "k", "left"))
