@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,57 +74,99 @@ def write_source(df: DataFrame, path: str) -> None:
     )
 
 
+@dataclass(frozen=True)
+class Landed:
+    """Records of one source, and how many of them have too few or too many fields."""
+
+    rows: int
+    malformed: int
+
+
+_DAMAGED = "_malformed"
+# All that a parser takes for blank at the edges of a line.
+_BLANK = "".join(map(chr, range(33)))
+
+
 def _is_header(entity: str) -> Column:
     header = ",".join(SOURCE_COLUMNS[entity])
-    return F.lower(F.trim(F.translate("value", '"', ""))) == header
+    likely = F.octet_length("value") < 3 * len(header)
+    return likely & (F.lower(F.trim(F.translate("value", '"\r', ""))) == header)
 
 
-def copy_lines(spark: SparkSession, path: str, target: str, entity: str) -> None:
-    """Copy a source line by line, as it was sent; every file written has the header.
+def _damaged_line(entity: str) -> Column:
+    schema = source_schema(entity).add(_DAMAGED, T.StringType())
+    options = {"columnNameOfCorruptRecord": _DAMAGED, "columnPruning": "false", "escape": '"'}
+    return F.from_csv(F.rtrim("value", F.lit("\r")), schema.simpleString()[len("struct<") : -1].replace(":", " "), options)[_DAMAGED]
 
-    The header is written as the name of the one column there is. No character has a
-    meaning to the writer, so damaged records stay as they are.
-    """
-    lines = spark.read.text(path).filter((F.length("value") > 0) & ~_is_header(entity))
-    (
-        lines.toDF(",".join(SOURCE_COLUMNS[entity]))
-        .write.mode("overwrite")
-        .options(header=True, sep="\x01", quote="", emptyValue="", nullValue="")
-        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        .csv(target)
-    )
 
+def _files_with_content(spark: SparkSession, path: str) -> int:
+    """How many files under the path are not empty, by their sizes alone."""
+    return spark.read.format("binaryFile").load(path).select("length").filter("length > 0").count()
 
-@dataclass(frozen=True)
-class Landed:
-    """Records of one source, and how many of them have too few or too many fields."""
 
-    rows: int
-    malformed: int
+def _missing(entity: str, path: str) -> FileNotFoundError:
+    return FileNotFoundError(f"no {entity} source at {path}")
 
 
-def check_source(spark: SparkSession, path: str, entity: str, **options) -> Landed:
-    """Read a source in full, so that a wrong header or a missing file is found."""
-    damaged = "_malformed"
-    schema = source_schema(entity).add(damaged, T.StringType())
-    df = read_source(spark, path, entity, **options)
-    if not df.inputFiles():
-        raise FileNotFoundError(f"no {entity} source at {path}")
-    if not options.get("any_header_order"):
-        df = (
-            _reader(spark, options.get("multi_line", False))
-            .options(columnNameOfCorruptRecord=damaged, columnPruning=False, enforceSchema=False)
-            .schema(schema)
-            .csv(path)
-        )
-    else:
-        df = df.withColumn(damaged, F.lit(None).cast("string"))
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(damaged).alias("malformed"),
-        F.count(df.columns[0]).alias("keys"),
-    ).first()
-    return Landed(counts["rows"], counts["malformed"])
+def copy_lines(spark: SparkSession, path: str, target: str, entity: str) -> Landed:
+    """Copy a source line by line, as it was sent, and count its records on the way.
+
+    A line ends at a line feed; no other character has a meaning, and none is changed.
+    Headers are left out and one is put first in every file written. Raises if a file
+    that is not empty has none; what was written is then of no use.
+    """
+    try:
+        text = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise _missing(entity, path) from error
+        raise
+    if not text.inputFiles():
+        raise _missing(entity, path)
+    is_header = _is_header(entity)
+    is_record = ~is_header & (F.btrim("value", F.lit(_BLANK)) != "")
+    counts = Observation()
+    seen = text.observe(
+        counts,
+        F.count(F.when(is_record, 1)).alias("rows"),
+        F.count(F.when(is_record, _damaged_line(entity))).alias("malformed"),
+        F.size(F.collect_set(F.when(is_header, F.col("file")))).alias("headed"),
+    )
+    header = ",".join(SOURCE_COLUMNS[entity])
+    # A task's rows are one file's; ids count on from a multiple of 2^33 in each task.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    lines = seen.filter(~is_header & (F.length("value") > 0)).select("value", first.alias("first"))
+    headed = F.when(F.col("first"), F.concat(F.lit(f"{header}\n"), F.col("value"))).otherwise(F.col("value"))
+    writing = {"lineSep": "\n", "maxRecordsPerFile": "0"}
+    lines.select(headed.alias("value")).write.mode("overwrite").options(**writing).text(target)
+    found = counts.get
+    if found["headed"] < _files_with_content(spark, path):
+        raise ValueError(f"a file of {path} lacks the CSV header of {entity}: {header}")
+    if not found["rows"]:
+        only = spark.createDataFrame([(header,)], "value string").coalesce(1)
+        only.write.mode("overwrite").options(**writing).text(target)
+    return Landed(found["rows"], found["malformed"])
+
+
+def rewrite_records(spark: SparkSession, path: str, target: str, entity: str, **options) -> Landed:
+    """Parse a source, put its columns in the declared order and write it anew, counting on the way.
+
+    With any_header_order the files of a source may have any header, but all the same one.
+    """
+    multi_line, any_order = options.get("multi_line", False), options.get("any_header_order", False)
+    reader = _reader(spark, multi_line)
+    plain = read_source(spark, path, entity, **options)
+    if not plain.inputFiles():
+        raise _missing(entity, path)
+    names = reader.csv(path).columns if any_order else SOURCE_COLUMNS[entity]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _DAMAGED]])
+    counting = {"columnNameOfCorruptRecord": _DAMAGED, "columnPruning": False, "enforceSchema": False}
+    counts = Observation()
+    parsed = reader.options(**counting).schema(schema).csv(path).observe(
+        counts, F.count(F.lit(1)).alias("rows"), F.count(_DAMAGED).alias("malformed")
+    )
+    write_source(parsed.select(SOURCE_COLUMNS[entity]), target)
+    return Landed(counts.get["rows"], counts.get["malformed"])
 
 
 def land_sources(
@@ -131,7 +174,8 @@ def land_sources(
 ) -> dict[str, Landed]:
     """Copy all sources into the day's folder, or none if one is missing or has a wrong header.
 
-    Every source is read once before anything is written; what was found is returned.
+    Every source is read once. What it holds is counted while it is copied to a folder
+    beside the day's, which takes the day's place only when all sources are found good.
     Lines are copied as they are. With any_header_order the columns are put in the
     declared order, and with multi_line a record may span lines; then records are
     parsed and written anew.
@@ -140,19 +184,20 @@ def land_sources(
     if missing:
         raise FileNotFoundError(f"no path given for {', '.join(missing)}")
     found: dict[str, Landed] = {}
-
-    def check(entity: str) -> None:
-        found[entity] = check_source(spark, inputs[entity], entity, **options)
+    day_folder = raw_path(base, day, "").rpartition("/")[0]
+    zone, _, name = day_folder.rpartition("/")
+    new = f"{zone}/_new-{name}-{uuid.uuid4().hex}"
 
     def land(entity: str) -> None:
-        target = raw_path(base, day, entity)
-        if any(options.values()):
-            write_source(read_source(spark, inputs[entity], entity, **options), target)
-        else:
-            copy_lines(spark, inputs[entity], target, entity)
-
-    write_together(spark, [partial(check, e) for e in ENTITIES])
-    write_together(spark, [partial(land, e) for e in ENTITIES])
+        target = f"{new}/{entity}.csv"
+        copy = rewrite_records if any(options.values()) else copy_lines
+        found[entity] = copy(spark, inputs[entity], target, entity, **{k: v for k, v in options.items() if v})
+
+    try:
+        write_together(spark, [partial(land, e) for e in ENTITIES])
+        files.put_in_place(spark, new, day_folder)
+    finally:
+        files.delete(spark, new)
     return found
 
 
