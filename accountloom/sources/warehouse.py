@@ -2,14 +2,17 @@
 
 Rows are dealt to files by ranges of the table's clustering columns and sorted by them,
 so file and row-group statistics let a reader skip other plans, stages or customers.
-A day or a table that is replaced is written beside the old one first and takes its
-place when it is complete.
+
+Replacing is one step. A day is written to a new folder, and then the catalog's entry of
+that day is pointed to it. A core table is a view of the table that holds its present
+state; a full refresh builds another table and then points the view to it. Whatever
+fails, readers see the old rows or the new ones. The state before the last is deleted.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
+import re
 from collections.abc import Mapping
 from functools import partial
 
@@ -29,7 +32,7 @@ from accountloom.schemas import (
     table_type,
 )
 from accountloom.settings import setting
-from accountloom.sources import files
+from accountloom.sources import files, versions
 from accountloom.sources.parallel import write_together
 
 
@@ -38,7 +41,44 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
 
-def _create_table(spark: SparkSession, database: str, name: str, columns: list[str]) -> None:
+def _folder(spark: SparkSession, database: str, name: str) -> str:
+    """The folder of all that belongs to a table."""
+    return f"{spark.catalog.getDatabase(database).locationUri}/{name}"
+
+
+def _day_spec(day: str) -> str:
+    return f"PARTITION ({DAY} = DATE '{day}')"
+
+
+def _point_day(spark: SparkSession, table: str, day: str, path: str) -> None:
+    """Let a day of the table be what lies at the path. Either statement does it alone."""
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_day_spec(day)} LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {table} {_day_spec(day)} SET LOCATION '{path}'")
+
+
+def _day_location(spark: SparkSession, table: str, day: str) -> str | None:
+    if not spark.sql(f"SHOW PARTITIONS {table} {_day_spec(day)}").take(1):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_day_spec(day)}").collect()
+    return next(r["data_type"] for r in described if r["col_name"] == "Location")
+
+
+def _create_over(
+    spark: SparkSession, table: str, columns: list[str], place: str | None, days: Mapping[str, versions.Version]
+) -> None:
+    """Create a table over the days that lie in the place and those that replace some of them."""
+    where = f" LOCATION '{place}'" if place else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({column_ddl(columns)}) "
+        f"USING parquet OPTIONS (compression 'zstd') PARTITIONED BY ({DAY}){where}"
+    )
+    if place and files.exists(spark, place):
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    for day, version in days.items():
+        _point_day(spark, table, day, version.path)
+
+
+def _create_raw(spark: SparkSession, database: str, name: str, columns: list[str]) -> None:
     """Create the table if it is absent.
 
     A catalog that lives only as long as its session forgets tables whose files
@@ -46,25 +86,53 @@ def _create_table(spark: SparkSession, database: str, name: str, columns: list[s
     """
     if spark.catalog.tableExists(f"{database}.{name}"):
         return
-    folder = f"{spark.catalog.getDatabase(database).locationUri}/{name}"
+    folder = _folder(spark, database, name)
     kept = files.exists(spark, folder)
-    place = f" LOCATION '{folder}'" if kept else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {database}.{name} ({column_ddl(columns)}) "
-        f"USING parquet OPTIONS (compression 'zstd') PARTITIONED BY ({DAY}){place}"
-    )
-    if kept:
-        spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+    _, days = versions.current(versions.finished(spark, folder))
+    _create_over(spark, f"{database}.{name}", columns, folder if kept else None, days)
+
+
+def _state(model: str, version: versions.Version) -> str:
+    """The table that holds a state of a core table."""
+    return f"{model}__{version.stamp}"
+
+
+def _point_view(spark: SparkSession, database: str, model: str, state: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{model} AS SELECT * FROM {database}.{state}")
+
+
+def _holder(spark: SparkSession, database: str, name: str) -> str:
+    """The table that holds a table's rows: for a core table its present state."""
+    if name not in CORE_COLUMNS:
+        return f"{database}.{name}"
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name}").collect()
+    text = next(r["data_type"] for r in described if r["col_name"] == "View Text")
+    return f"{database}.{re.search(rf'{name}__[0-9a-f]+', text)[0]}"
+
+
+def _create_core(spark: SparkSession, database: str, model: str, columns: list[str]) -> None:
+    if spark.catalog.tableExists(f"{database}.{model}"):
+        if spark.catalog.getTable(f"{database}.{model}").tableType != "VIEW":
+            # A table from when the model was one itself becomes the model's first state.
+            first = f"{model}__{0:028d}"
+            spark.sql(f"ALTER TABLE {database}.{model} RENAME TO {database}.{first}")
+            _point_view(spark, database, model, first)
+        return
+    folder = _folder(spark, database, model)
+    base, days = versions.current(versions.finished(spark, folder))
+    base = base or versions.new_version(folder, versions.ALL)
+    _create_over(spark, f"{database}.{_state(model, base)}", columns, base.path, days)
+    _point_view(spark, database, model, _state(model, base))
 
 
 def create_raw_tables(spark: SparkSession, database: str) -> None:
     for entity in ENTITIES:
-        _create_table(spark, database, f"raw_{entity}", raw_columns(entity))
+        _create_raw(spark, database, f"raw_{entity}", raw_columns(entity))
 
 
 def create_core_tables(spark: SparkSession, database: str) -> None:
     for model, columns in CORE_COLUMNS.items():
-        _create_table(spark, database, model, columns)
+        _create_core(spark, database, model, columns)
 
 
 def _clustered(df: DataFrame, columns: list[str], cluster: list[str]) -> DataFrame:
@@ -97,49 +165,47 @@ def append_raw(frames: Mapping[str, DataFrame], database: str) -> None:
     _insert_raw(frames, database, "append")
 
 
-def _table_folder(spark: SparkSession, database: str, name: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name}")
-    return described.filter("col_name = 'Location'").first()["data_type"]
-
-
-def _beside(folder: str) -> str:
-    """A new folder in a table's folder that no reader lists."""
-    return f"{folder}/_new-{uuid.uuid4().hex}"
-
-
 def _overwrite_day(rows: DataFrame, database: str, name: str, day: dt.date | str) -> None:
     """Replace one day of a table, also by nothing if there are no rows."""
     spark, value = rows.sparkSession, run_date(day).isoformat()
-    folder = _table_folder(spark, database, name)
-    new = _beside(folder)
+    table, folder = _holder(spark, database, name), _folder(spark, database, name)
+    old = _day_location(spark, table, value)
+    new = versions.new_version(folder, value)
     try:
-        rows.drop(DAY).write.option("compression", "zstd").parquet(new)
-        files.put_in_place(spark, new, f"{folder}/{DAY}={value}")
-    finally:
-        files.delete(spark, new)
-    table = f"{database}.{name}"
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({DAY} = DATE '{value}')")
-    spark.catalog.refreshTable(table)
-
-
-def _overwrite_all(rows: DataFrame, database: str, name: str) -> None:
-    """Replace all days of a table; days without rows are gone afterwards."""
-    spark = rows.sparkSession
-    folder = _table_folder(spark, database, name)
-    new = _beside(folder)
+        rows.drop(DAY).write.option("compression", "zstd").parquet(new.path)
+        _point_day(spark, table, value, new.path)
+    except Exception:
+        if _day_location(spark, table, value) == old:
+            files.delete(spark, new.path)
+        raise
+    spark.catalog.refreshTable(f"{database}.{name}")
+    for version in versions.finished(spark, folder):
+        if version.of == value and version.stamp < new.stamp and not (old or "").endswith(version.name):
+            files.delete(spark, version.path)
+
+
+def _overwrite_all(rows: DataFrame, database: str, model: str) -> None:
+    """Replace all days of a core table; days without rows are gone afterwards."""
+    spark, folder = rows.sparkSession, _folder(rows.sparkSession, database, model)
+    old, new = _holder(spark, database, model), versions.new_version(folder, versions.ALL)
+    table = f"{database}.{_state(model, new)}"
     try:
-        rows.write.option("compression", "zstd").partitionBy(DAY).parquet(new)
-        written = [n for n in files.names(spark, new) if n.startswith(f"{DAY}=")]
-        for day in written:
-            files.put_in_place(spark, f"{new}/{day}", f"{folder}/{day}")
-        for day in files.names(spark, folder):
-            if day.startswith(f"{DAY}=") and day not in written:
-                files.delete(spark, f"{folder}/{day}")
-    finally:
-        files.delete(spark, new)
-    table = f"{database}.{name}"
-    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
-    spark.catalog.refreshTable(table)
+        rows.write.option("compression", "zstd").partitionBy(DAY).parquet(new.path)
+        _create_over(spark, table, CORE_COLUMNS[model], new.path, {})
+        _point_view(spark, database, model, _state(model, new))
+    except Exception:
+        if _holder(spark, database, model) == old:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            files.delete(spark, new.path)
+        raise
+    spark.catalog.refreshTable(f"{database}.{model}")
+    before = old.rpartition("__")[2]
+    for known in spark.catalog.listTables(database, f"{model}__*"):
+        if known.name.rpartition("__")[2] < before:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{known.name}")
+    for version in versions.finished(spark, folder):
+        if version.stamp < before:
+            files.delete(spark, version.path)
 
 
 def reload_raw(
@@ -209,14 +275,16 @@ def drop_expired_days(
     Works on the catalog's partition list, a row per day; no data is read or
     rewritten. Rows without a day have no age and stay.
     """
-    table = f"{database}.{name}"
+    table, folder = _holder(spark, database, name), _folder(spark, database, name)
     listed = spark.sql(f"SHOW PARTITIONS {table}").select(
         F.split("partition", "=")[1].try_cast("date").alias(DAY)
     )
     dated = listed.filter(F.col(DAY).isNotNull())
-    folder = f"{spark.catalog.getDatabase(database).locationUri}/{name}"
+    replaced = versions.finished(spark, folder)
     for row in dated.exceptAll(retain(dated, as_of, days)).collect():
         day = row[DAY].isoformat()
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DAY} = DATE '{day}')")
+        place = _day_location(spark, table, day)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_day_spec(day)}")
         # A table put back over its files does not own them.
-        files.delete(spark, f"{folder}/{DAY}={day}")
+        for path in {place, f"{folder}/{DAY}={day}", *(v.path for v in replaced if v.of == day)} - {None}:
+            files.delete(spark, path)

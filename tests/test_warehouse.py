@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from accountloom.operators import with_ingestion_date
 from accountloom.plans import daily
 from accountloom.queries import Layers
 from accountloom.schemas import CORE_COLUMNS, ENTITIES, raw_columns
-from accountloom.sources import landing, warehouse
+from accountloom.sources import files, landing, warehouse
 from tests.support import TESTDATA, plan, rows, settings
 
 DAYS = [dt.date(2025, 1, d) for d in (1, 2, 3)]
@@ -285,3 +287,125 @@ def test_filters_on_clustering_columns_skip_files(spark, database):
     assert files >= 10 and hit <= files // 2
     largest = spark.table(f"{database}.raw_deals").groupBy(F.input_file_name()).count().agg(F.max("count"))
     assert largest.first()[0] < spark.table(f"{database}.raw_deals").count() / 4
+
+
+class Breaks:
+    """Lets the nth step of some functions fail: before it, or just after it was done."""
+
+    def __init__(self, monkeypatch, at, after):
+        self.at, self.after, self.n = at, after, 0
+        for name in ("_create_over", "_point_view", "_point_day"):
+            monkeypatch.setattr(warehouse, name, self.step(getattr(warehouse, name)))
+        sql = SparkSession.sql
+        monkeypatch.setattr(SparkSession, "sql", lambda s, text, *a, **k: self.step(sql)(s, text, *a, **k) if re.match("ALTER|CREATE|MSCK|DROP", text) else sql(s, text, *a, **k))
+
+    def step(self, function):
+        def run(*args, **kwargs):
+            self.n += 1
+            mine = self.n == self.at
+            if mine and not self.after:
+                raise OSError("lost")
+            result = function(*args, **kwargs)
+            if mine:
+                raise OSError("lost")
+            return result
+
+        return run
+
+
+def _facts(layers, owner):
+    fact = layers.stg["deals"].limit(50).withColumns({c: F.lit(None).cast("string") for c in ("plan_tier", "company", "country")})
+    return fact.withColumn("owner", F.lit(owner))
+
+
+def _owners(spark, table):
+    spark.catalog.refreshTable(table)
+    found = spark.table(table).groupBy("ingestion_date").agg(F.collect_set("owner").alias("o"), F.count("*").alias("n")).collect()
+    return {r.ingestion_date: (tuple(r.o), r.n) for r in found}
+
+
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("day", [None, DAYS[0]])
+def test_whatever_step_fails_a_table_is_entirely_old_or_new(spark, database, folder, layers, day, after):
+    warehouse.create_core_tables(spark, database)
+    table = f"{database}.fact_deals"
+    two = lambda owner: with_ingestion_date(_facts(layers, owner), DAYS[0]).unionByName(with_ingestion_date(_facts(layers, owner), DAYS[1]))
+    warehouse.replace_core({"fact_deals": two("first")}, database)
+    old = _owners(spark, table)
+    assert old == {d: (("first",), 50) for d in DAYS[:2]}
+    broken = steps = 0
+    while True:
+        owner = f"next{steps}"
+        rows = two(owner) if day is None else with_ingestion_date(_facts(layers, owner), day)
+        new = {d: ((owner,), 50) if day in (None, d) else v for d, v in old.items()}
+        steps += 1
+        with pytest.MonkeyPatch.context() as m:
+            breaks = Breaks(m, steps, after)
+            try:
+                warehouse.replace_core({"fact_deals": rows}, database, day)
+            except OSError:
+                broken += 1
+        now = _owners(spark, table)
+        assert now in (old, new), (steps, now)
+        # Another database over the same files stands for a later session.
+        later = f"{database}_{day is None}_{after}_{steps}"
+        warehouse.create_database(spark, later, f"{folder}/tables")
+        warehouse.create_core_tables(spark, later)
+        assert _owners(spark, f"{later}.fact_deals") == now
+        old = now
+        if breaks.n < steps:
+            break
+    assert now == new and broken >= 2
+
+
+def test_the_state_before_the_last_is_deleted(spark, database, folder, layers):
+    warehouse.create_core_tables(spark, database)
+    place = f"{folder}/tables/fact_deals"
+    for n in range(4):
+        warehouse.replace_core({"fact_deals": with_ingestion_date(_facts(layers, f"o{n}"), DAYS[0])}, database)
+    assert len(files.names(spark, place)) == 2
+    assert len(spark.catalog.listTables(database, "fact_deals__*")) == 2
+    for n in range(4):
+        warehouse.replace_core({"fact_deals": with_ingestion_date(_facts(layers, f"p{n}"), DAYS[0])}, database, DAYS[0])
+    assert len(files.names(spark, place)) == 4
+    assert _owners(spark, f"{database}.fact_deals") == {DAYS[0]: (("p3",), 50)}
+    warehouse.drop_expired_days(spark, database, "fact_deals", dt.date(2025, 3, 1), 30)
+    assert _owners(spark, f"{database}.fact_deals") == {}
+
+
+def test_a_model_that_was_a_table_becomes_a_view_of_it(spark, database, layers):
+    rows_of = with_ingestion_date(_facts(layers, "kept"), DAYS[0])
+    rows_of.select(CORE_COLUMNS["fact_deals"]).write.partitionBy("ingestion_date").saveAsTable(f"{database}.fact_deals")
+    for _ in range(2):
+        warehouse.create_core_tables(spark, database)
+        assert _owners(spark, f"{database}.fact_deals") == {DAYS[0]: (("kept",), 50)}
+    warehouse.replace_core({"fact_deals": with_ingestion_date(_facts(layers, "day"), DAYS[0])}, database, DAYS[0])
+    assert _owners(spark, f"{database}.fact_deals") == {DAYS[0]: (("day",), 50)}
+    warehouse.replace_core({"fact_deals": with_ingestion_date(_facts(layers, "all"), DAYS[1])}, database)
+    assert _owners(spark, f"{database}.fact_deals") == {DAYS[1]: (("all",), 50)}
+
+
+def test_a_reader_of_the_old_state_ends_undisturbed(spark, database, layers):
+    """A query planned before a switch reads the old rows after it."""
+    warehouse.create_core_tables(spark, database)
+    warehouse.replace_core({"fact_deals": with_ingestion_date(_facts(layers, "old"), DAYS[0])}, database)
+    reader = spark.table(f"{database}.fact_deals")
+    reader.count()
+    for day in (None, DAYS[0]):
+        warehouse.replace_core({"fact_deals": with_ingestion_date(_facts(layers, "new"), DAYS[0])}, database, day)
+    assert {r.owner for r in spark.table(f"{database}.fact_deals").collect()} == {"new"}
+
+
+def test_appends_after_a_reload_join_the_reloaded_day(spark, database, folder, deals):
+    warehouse.create_raw_tables(spark, database)
+    n = deals.count()
+    warehouse.append_raw({"deals": deals}, database)
+    warehouse.reload_raw({"deals": deals}, database, DAYS[0])
+    warehouse.append_raw({"deals": deals}, database)
+    assert per_day(spark, f"{database}.raw_deals") == {DAYS[0]: 2 * n}
+    later = f"{database}_later"
+    warehouse.create_database(spark, later, f"{folder}/tables")
+    warehouse.create_raw_tables(spark, later)
+    assert per_day(spark, f"{later}.raw_deals") == {DAYS[0]: 2 * n}
+    warehouse.reload_raw({"deals": deals.limit(3)}, later)
+    assert per_day(spark, f"{later}.raw_deals") == {DAYS[0]: 3}
