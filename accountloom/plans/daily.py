@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from accountloom.functions import WIDE
 from accountloom.plans.cleaning import CLEANERS, clean_contacts, clean_customers
 from accountloom.plans.core import build_core
-from accountloom.plans.dashboard import create_report_views, register_reports
+from accountloom.plans import sums
+from accountloom.plans.dashboard import register_reports
 from accountloom.plans.staging import create_staging_views, stage_all
 from accountloom.schemas import CORE_COLUMNS, ENTITIES
 from accountloom.settings import size_for, stored_bytes
@@ -50,7 +51,7 @@ def process_day(
 def load_day(
     spark: SparkSession, base: str, day: dt.date | str, database: str, reload: bool = False
 ) -> None:
-    """Load a processed day into the raw tables.
+    """Load a processed day into the raw tables, and its sums for the reports.
 
     Appending is the default and stores a day twice if it is run twice; reload
     replaces the day instead.
@@ -61,6 +62,7 @@ def load_day(
         warehouse.reload_raw(processed, database, day)
     else:
         warehouse.append_raw(processed, database)
+    sums.refresh(spark, database, day)
 
 
 def raw_layer(spark: SparkSession, database: str) -> dict[str, DataFrame]:
@@ -84,7 +86,8 @@ def build_models(
     staged = {e: spark.table(f"{database}.stg_{e}") for e in ENTITIES}
     models = build_core(staged, as_of, only_day)
     warehouse.replace_core(models, database, only_day)
-    create_report_views(spark, database)
+    sums.create_views(spark, database)
+    sums.create_functions(spark, database)
 
 
 def drop_expired(
@@ -94,6 +97,7 @@ def drop_expired(
     landing.drop_expired_folders(spark, base, as_of, days)
     for name in [f"raw_{e}" for e in ENTITIES] + list(CORE_COLUMNS):
         warehouse.drop_expired_days(spark, database, name, as_of, days)
+    sums.drop_expired(spark, database, as_of, days)
 
 
 def run_day(

@@ -19,7 +19,7 @@ from accountloom.operators import (
     with_ingestion_date,
     within_days,
 )
-from accountloom.plans import cleaning, core, daily, dashboard, staging
+from accountloom.plans import cleaning, core, daily, dashboard, staging, sums
 from accountloom.schemas import CORE_COLUMNS, DAY, ENTITIES, raw_columns
 from accountloom.settings import apply_plan_settings, scratch_folder, size_for, stored_bytes
 from accountloom.sources import landing, warehouse
@@ -249,6 +249,35 @@ def verify_counts(x: Layers) -> DataFrame:
     return warehouse.row_counts(x.spark, database, ["raw_customers", "raw_deals"])
 
 
+def summed_report(name: str, entity: str) -> Callable[[Layers], DataFrame]:
+    """A stored report over sums: two days are loaded, one of them again."""
+
+    def run(x: Layers) -> DataFrame:
+        database = x.database()
+        warehouse.append_raw({entity: x.twice[entity]}, database)
+        warehouse.reload_raw({entity: with_ingestion_date(x.raw[entity], NEXT_DAY)}, database, NEXT_DAY)
+        for day in (RUN_DAY, NEXT_DAY):
+            sums.refresh(x.spark, database, day)
+        sums.create_views(x.spark, database)
+        return x.spark.table(f"{database}.{name}")
+
+    return run
+
+
+def health_check_on_a_day(x: Layers) -> DataFrame:
+    """The stored function of a day, by SQL text, over customers of many days."""
+    database = x.database()
+    warehouse.append_raw({"customers": x.snapshots}, database)
+    sums.refresh(x.spark, database)
+    sums.create_functions(x.spark, database)
+    before = x.spark.catalog.currentDatabase()
+    x.spark.catalog.setCurrentDatabase(database)
+    try:
+        return x.spark.sql(f"SELECT * FROM pipeline_health_check_on(DATE '{HEALTH_AS_OF}')")
+    finally:
+        x.spark.catalog.setCurrentDatabase(before)
+
+
 def read_pruned_range(x: Layers) -> DataFrame:
     """A few days and one tier of a table of many days."""
     database = x.database()
@@ -313,6 +342,15 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "retention_drop_days": retention_drop_days,
     "retention_drop_folders": retention_drop_folders,
     "verify_counts": verify_counts,
+    **{
+        f"summed_{name}": summed_report(name, entity)
+        for name, entity in {
+            "deal_distribution_by_stage": "deals",
+            "customer_signups_over_time": "customers",
+            "mrr_by_plan": "subscriptions",
+        }.items()
+    },
+    "health_check_on_a_day": health_check_on_a_day,
     "read_pruned_range": read_pruned_range,
     # projections and filters
     "add_ingestion_date": lambda x: with_ingestion_date(x.src["deals"], RUN_DAY),

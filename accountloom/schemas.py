@@ -33,6 +33,10 @@ _TABLE_TYPES = {
     "last_activity_at": "timestamp",
     "total_activities": "bigint",
     "days_until_renewal": "int",
+    "signup_month": "date",
+    "n_rows": "bigint",
+    "n_values": "bigint",
+    "total": "double",
     DAY: "date",
 }
 
@@ -59,6 +63,13 @@ CORE_COLUMNS = {
     ],
 }
 
+# Partial sums of the raw tables that reports read.
+SUM_COLUMNS = {
+    "deals": ["deal_stage", "n_rows", "n_values", "total", DAY],
+    "customers": ["signup_month", "plan_tier", "n_rows", DAY],
+    "subscriptions": ["plan", "status", "n_rows", "n_values", "total", DAY],
+}
+
 CORE_CLUSTERING = {
     "fact_deals": ["deal_stage", "plan_tier"],
     "dim_customers": ["plan_tier"],

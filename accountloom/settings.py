@@ -14,7 +14,8 @@ MIB = 1024 * 1024
 
 # Timestamps are zone-less text, read as UTC. Skewed join partitions are split
 # even where that costs one more shuffle. The lookup of over-full keys is
-# broadcast after a pass over a table's key column, which may take a while.
+# broadcast after a pass over a table's key column, which may take a while. Counts
+# come from Parquet footers where the reader can tell them.
 PLAN_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,6 +23,7 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.broadcastTimeout": "7200",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 SHUFFLE_PARTITION_BYTES = 256 * MIB

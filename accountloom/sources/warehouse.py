@@ -78,7 +78,7 @@ def _create_over(
         _point_day(spark, table, day, version.path)
 
 
-def _create_raw(spark: SparkSession, database: str, name: str, columns: list[str]) -> None:
+def create_table(spark: SparkSession, database: str, name: str, columns: list[str]) -> None:
     """Create the table if it is absent.
 
     A catalog that lives only as long as its session forgets tables whose files
@@ -113,10 +113,7 @@ def _holder(spark: SparkSession, database: str, name: str) -> str:
 def _create_core(spark: SparkSession, database: str, model: str, columns: list[str]) -> None:
     if spark.catalog.tableExists(f"{database}.{model}"):
         if spark.catalog.getTable(f"{database}.{model}").tableType != "VIEW":
-            # A table from when the model was one itself becomes the model's first state.
-            first = f"{model}__{0:028d}"
-            spark.sql(f"ALTER TABLE {database}.{model} RENAME TO {database}.{first}")
-            _point_view(spark, database, model, first)
+            raise ValueError(f"{database}.{model} is a table; drop it, a full refresh builds its rows again")
         return
     folder = _folder(spark, database, model)
     base, days = versions.current(versions.finished(spark, folder))
@@ -127,7 +124,7 @@ def _create_core(spark: SparkSession, database: str, model: str, columns: list[s
 
 def create_raw_tables(spark: SparkSession, database: str) -> None:
     for entity in ENTITIES:
-        _create_raw(spark, database, f"raw_{entity}", raw_columns(entity))
+        create_table(spark, database, f"raw_{entity}", raw_columns(entity))
 
 
 def create_core_tables(spark: SparkSession, database: str) -> None:
@@ -165,7 +162,7 @@ def append_raw(frames: Mapping[str, DataFrame], database: str) -> None:
     _insert_raw(frames, database, "append")
 
 
-def _overwrite_day(rows: DataFrame, database: str, name: str, day: dt.date | str) -> None:
+def replace_day(rows: DataFrame, database: str, name: str, day: dt.date | str) -> None:
     """Replace one day of a table, also by nothing if there are no rows."""
     spark, value = rows.sparkSession, run_date(day).isoformat()
     table, folder = _holder(spark, database, name), _folder(spark, database, name)
@@ -224,7 +221,7 @@ def reload_raw(
 
     def reload(entity: str, df: DataFrame) -> None:
         rows = _clustered(df, raw_columns(entity), RAW_CLUSTERING[entity])
-        _overwrite_day(rows, database, f"raw_{entity}", day)
+        replace_day(rows, database, f"raw_{entity}", day)
 
     write_together(spark, [partial(reload, e, df) for e, df in frames.items()])
 
@@ -239,7 +236,7 @@ def replace_core(
         if day is None:
             _overwrite_all(rows, database, model)
         else:
-            _overwrite_day(rows, database, model, day)
+            replace_day(rows, database, model, day)
 
     spark = next(iter(models.values())).sparkSession
     write_together(spark, [partial(replace, m, df) for m, df in models.items()])
@@ -249,12 +246,23 @@ def raw_table(spark: SparkSession, database: str, entity: str) -> DataFrame:
     return spark.table(f"{database}.raw_{entity}")
 
 
+def _from_footers(spark: SparkSession, table: str) -> DataFrame:
+    """One row (row_count) of a table. Parquet's reader is asked for the count alone."""
+    names = spark.table(table).inputFiles()
+    if not names:
+        return spark.range(1).select(F.lit(0).cast("long").alias("row_count"))
+    folders = sorted({name.rpartition("/")[0] for name in names})
+    # The newer reader answers counts from the files' footers. Which reader is used is
+    # settled here; PLAN_SETTINGS lets it push the count down.
+    with setting(spark, "spark.sql.sources.useV1SourceList", "csv,text,json,orc"):
+        rows = spark.read.schema("_none int").parquet(*folders)
+    return rows.agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def row_counts(spark: SparkSession, database: str, tables: list[str]) -> DataFrame:
-    """Rows per table, one row each."""
+    """Rows per table, one row each, from file footers; no data page is read."""
     counts = [
-        spark.table(f"{database}.{t}")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(t).alias("table_name"), "row_count")
+        _from_footers(spark, f"{database}.{t}").select(F.lit(t).alias("table_name"), "row_count")
         for t in tables
     ]
     result = counts[0]

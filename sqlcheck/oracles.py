@@ -63,6 +63,20 @@ _STATEMENTS = {
     "retention_drop_folders": f"""
         SELECT {RUN_DAY} AS ingestion_date, count(*) AS row_count FROM src_deals""",
     "verify_counts": _counts({t: t for t in ("raw_customers", "raw_deals")}),
+    "summed_deal_distribution_by_stage": """
+        SELECT deal_stage, count(*) AS deal_count, round(sum(deal_value), 2) AS total_value,
+               round(avg(deal_value), 2) AS avg_value
+        FROM twice_deals GROUP BY deal_stage""",
+    "summed_customer_signups_over_time": f"""
+        SELECT {month('signup_date')} AS signup_month, plan_tier, count(*) AS new_customers
+        FROM twice_customers WHERE signup_date IS NOT NULL GROUP BY 1, 2""",
+    "summed_mrr_by_plan": """
+        SELECT plan, status, count(*) AS customer_count, round(sum(mrr), 2) AS total_mrr,
+               round(avg(mrr), 2) AS avg_mrr
+        FROM twice_subscriptions WHERE mrr IS NOT NULL GROUP BY plan, status""",
+    "health_check_on_a_day": f"""
+        SELECT ingestion_date, count(*) AS records_ingested FROM snap_customers
+        WHERE ingestion_date BETWEEN {HEALTH_AS_OF} - 7 AND {HEALTH_AS_OF} GROUP BY ingestion_date""",
     "read_pruned_range": """
         SELECT * FROM snap_customers
         WHERE ingestion_date BETWEEN DATE '2024-12-10' AND DATE '2024-12-20'

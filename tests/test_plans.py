@@ -13,8 +13,8 @@ from tests.support import TESTDATA, plan, settings
 WRITES = {
     name
     for name in _QUERIES
-    if name.startswith(("scan_", "sink_", "load_", "land_", "create_", "materialize_", "stored_"))
-} | {"retention_drop_days", "retention_drop_folders", "verify_counts", "read_pruned_range", "daily_run"}
+    if name.startswith(("summed_", "scan_", "sink_", "load_", "land_", "create_", "materialize_", "stored_"))
+} | {"retention_drop_days", "retention_drop_folders", "verify_counts", "read_pruned_range", "health_check_on_a_day", "daily_run"}
 
 
 @pytest.fixture(scope="module")

@@ -373,16 +373,10 @@ def test_the_state_before_the_last_is_deleted(spark, database, folder, layers):
     assert _owners(spark, f"{database}.fact_deals") == {}
 
 
-def test_a_model_that_was_a_table_becomes_a_view_of_it(spark, database, layers):
-    rows_of = with_ingestion_date(_facts(layers, "kept"), DAYS[0])
-    rows_of.select(CORE_COLUMNS["fact_deals"]).write.partitionBy("ingestion_date").saveAsTable(f"{database}.fact_deals")
-    for _ in range(2):
+def test_a_table_under_the_name_of_a_model_is_left_alone(spark, database):
+    spark.sql(f"CREATE TABLE {database}.fact_deals (x int) USING parquet")
+    with pytest.raises(ValueError, match="drop it"):
         warehouse.create_core_tables(spark, database)
-        assert _owners(spark, f"{database}.fact_deals") == {DAYS[0]: (("kept",), 50)}
-    warehouse.replace_core({"fact_deals": with_ingestion_date(_facts(layers, "day"), DAYS[0])}, database, DAYS[0])
-    assert _owners(spark, f"{database}.fact_deals") == {DAYS[0]: (("day",), 50)}
-    warehouse.replace_core({"fact_deals": with_ingestion_date(_facts(layers, "all"), DAYS[1])}, database)
-    assert _owners(spark, f"{database}.fact_deals") == {DAYS[1]: (("all",), 50)}
 
 
 def test_a_reader_of_the_old_state_ends_undisturbed(spark, database, layers):
