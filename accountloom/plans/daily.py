@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from accountloom.functions import WIDE
 from accountloom.plans.cleaning import CLEANERS, clean_contacts, clean_customers
 from accountloom.plans.core import build_core
-from accountloom.plans import sums
+from accountloom.plans import bitmaps, sums
 from accountloom.plans.dashboard import register_reports
 from accountloom.plans.staging import create_staging_views, stage_all
 from accountloom.schemas import CORE_COLUMNS, ENTITIES
@@ -51,7 +51,7 @@ def process_day(
 def load_day(
     spark: SparkSession, base: str, day: dt.date | str, database: str, reload: bool = False
 ) -> None:
-    """Load a processed day into the raw tables, and its sums for the reports.
+    """Load a processed day into the raw tables, and its sums and bitmaps for the reports.
 
     Appending is the default and stores a day twice if it is run twice; reload
     replaces the day instead.
@@ -62,7 +62,7 @@ def load_day(
         warehouse.reload_raw(processed, database, day)
     else:
         warehouse.append_raw(processed, database)
-    sums.refresh(spark, database, day)
+    write_together(spark, [partial(part.refresh, spark, database, day) for part in (sums, bitmaps)])
 
 
 def raw_layer(spark: SparkSession, database: str) -> dict[str, DataFrame]:
@@ -97,7 +97,9 @@ def drop_expired(
     landing.drop_expired_folders(spark, base, as_of, days)
     for name in [f"raw_{e}" for e in ENTITIES] + list(CORE_COLUMNS):
         warehouse.drop_expired_days(spark, database, name, as_of, days)
-    sums.drop_expired(spark, database, as_of, days)
+    for part in (sums, bitmaps):
+        part.create_table(spark, database)
+        part.drop_expired(spark, database, as_of, days)
 
 
 def run_day(

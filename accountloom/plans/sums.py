@@ -84,7 +84,8 @@ def _summed(rows: DataFrame, entity: str) -> DataFrame:
     return rows.sparkSession.sql(text, rows=rows).select(SUM_COLUMNS[entity])
 
 
-def create_tables(spark: SparkSession, database: str) -> None:
+def create_table(spark: SparkSession, database: str) -> None:
+    """Create the tables of sums if they are absent."""
     for entity, columns in SUM_COLUMNS.items():
         warehouse.create_table(spark, database, _table(entity), columns)
 
@@ -94,7 +95,7 @@ def refresh(spark: SparkSession, database: str, day: dt.date | str | None = None
 
     A day's sums are switched in one step. All days are written in one job.
     """
-    create_tables(spark, database)
+    create_table(spark, database)
 
     def one(entity: str) -> None:
         raw = warehouse.raw_table(spark, database, entity)
@@ -121,7 +122,7 @@ def drop_expired(spark: SparkSession, database: str, as_of: dt.date | str | None
 
 def create_views(spark: SparkSession, database: str) -> None:
     """The four reports as stored views over the sums; each query looks from its own day."""
-    create_tables(spark, database)
+    create_table(spark, database)
     for name, (entity, _, text) in _REPORTS.items():
         today = "current_date()" if name == "pipeline_health_check" else _ALL_TIME
         body = text.format(sums=f"{database}.{_table(entity)}", as_of=today, until=_ALL_TIME)
@@ -134,7 +135,7 @@ def create_functions(spark: SparkSession, database: str) -> None:
     A report as of a day adds up what had been ingested by then. Table functions are
     called without their database, which has to be the current one.
     """
-    create_tables(spark, database)
+    create_table(spark, database)
     for name, (entity, columns, text) in _REPORTS.items():
         body = text.format(sums=f"{database}.{_table(entity)}", as_of="as_of", until="as_of")
         spark.sql(

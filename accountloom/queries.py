@@ -19,7 +19,7 @@ from accountloom.operators import (
     with_ingestion_date,
     within_days,
 )
-from accountloom.plans import cleaning, core, daily, dashboard, staging, sums
+from accountloom.plans import bitmaps, cleaning, core, daily, dashboard, staging, sums
 from accountloom.schemas import CORE_COLUMNS, DAY, ENTITIES, raw_columns
 from accountloom.settings import apply_plan_settings, scratch_folder, size_for, stored_bytes
 from accountloom.sources import landing, warehouse
@@ -278,6 +278,24 @@ def health_check_on_a_day(x: Layers) -> DataFrame:
         x.spark.catalog.setCurrentDatabase(before)
 
 
+def cross_filter_stored_bitmaps(x: Layers) -> DataFrame:
+    """Two loaded days of deals, the second with few of them; stages of both days count."""
+    database = x.database()
+    late = with_ingestion_date(x.raw["deals"].filter("deal_id % 10 = 4"), NEXT_DAY)
+    warehouse.append_raw({"deals": x.raw["deals"].filter("deal_id % 10 < 4").unionByName(late)}, database)
+    for day in (RUN_DAY, NEXT_DAY):
+        bitmaps.refresh(x.spark, database, day)
+    stored = x.spark.table(f"{database}.{bitmaps.TABLE}")
+    return bitmaps.signups_by_stages(x.raw["customers"], stored, any_of=[STAGE, "proposal"])
+
+
+def read_one_customer(x: Layers) -> DataFrame:
+    """One customer's deals, from a table that is not ranged by customer."""
+    database = x.database()
+    warehouse.append_raw({"deals": x.raw["deals"]}, database)
+    return warehouse.raw_table(x.spark, database, "deals").filter("customer_id = 31")
+
+
 def read_pruned_range(x: Layers) -> DataFrame:
     """A few days and one tier of a table of many days."""
     database = x.database()
@@ -352,6 +370,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     },
     "health_check_on_a_day": health_check_on_a_day,
     "read_pruned_range": read_pruned_range,
+    "read_one_customer": read_one_customer,
     # projections and filters
     "add_ingestion_date": lambda x: with_ingestion_date(x.src["deals"], RUN_DAY),
     "filter_not_null_keys": lambda x: require(x.raw["customers"], "customer_id", "email"),
@@ -374,6 +393,16 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "cross_filter_signups_by_stage": lambda x: dashboard.signups_by_stage(
         x.raw["customers"], x.raw["deals"], STAGE
     ),
+    "cross_filter_by_bitmap": lambda x: bitmaps.signups_by_stages(
+        x.raw["customers"], bitmaps.stage_bitmaps(x.raw["deals"]), any_of=[STAGE]
+    ),
+    "cross_filter_all_stages": lambda x: bitmaps.signups_by_stages(
+        x.raw["customers"], bitmaps.stage_bitmaps(x.raw["deals"]), all_of=[STAGE, "proposal", "CLOSED_LOST"]
+    ),
+    "cross_filter_no_deal_won": lambda x: bitmaps.keep_customers(
+        x.raw["customers"], bitmaps.customers_of(bitmaps.stage_bitmaps(x.raw["deals"]), any_of=[STAGE]), inside=False
+    ),
+    "cross_filter_stored_bitmaps": cross_filter_stored_bitmaps,
     # aggregations, window, tiles
     "deal_distribution_by_stage": lambda x: dashboard.deal_distribution_by_stage(x.raw["deals"]),
     "customer_signups_over_time": lambda x: x.signups(),

@@ -37,6 +37,8 @@ _TABLE_TYPES = {
     "n_rows": "bigint",
     "n_values": "bigint",
     "total": "double",
+    "bucket": "bigint",
+    "customers": "binary",
     DAY: "date",
 }
 
@@ -70,6 +72,9 @@ SUM_COLUMNS = {
     "subscriptions": ["plan", "status", "n_rows", "n_values", "total", DAY],
 }
 
+# Customers with a deal in a stage, a bit each.
+BITMAP_COLUMNS = ["deal_stage", "bucket", "customers", DAY]
+
 CORE_CLUSTERING = {
     "fact_deals": ["deal_stage", "plan_tier"],
     "dim_customers": ["plan_tier"],
@@ -86,6 +91,19 @@ def raw_columns(entity: str) -> list[str]:
     return [*SOURCE_COLUMNS[entity], DAY]
 
 
+def write_options(columns: list[str], cluster: list[str] = ()) -> dict[str, str]:
+    """How a table's files are written.
+
+    Where rows are not ranged by customer, a Bloom filter per row group, as large as its
+    values need, lets a read of one customer skip most of them.
+    """
+    options = {"compression": "zstd"}
+    if "customer_id" in columns and list(cluster[:1]) != ["customer_id"]:
+        options["parquet.bloom.filter.enabled#customer_id"] = "true"
+        options["parquet.bloom.filter.adaptive.enabled"] = "true"
+    return options
+
+
 def table_type(column: str) -> str:
     return _TABLE_TYPES.get(column, "string")
 

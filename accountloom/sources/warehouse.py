@@ -30,6 +30,7 @@ from accountloom.schemas import (
     column_ddl,
     raw_columns,
     table_type,
+    write_options,
 )
 from accountloom.settings import setting
 from accountloom.sources import files, versions
@@ -63,14 +64,20 @@ def _day_location(spark: SparkSession, table: str, day: str) -> str | None:
     return next(r["data_type"] for r in described if r["col_name"] == "Location")
 
 
+def _options(name: str, columns: list[str]) -> dict[str, str]:
+    cluster = {f"raw_{e}": c for e, c in RAW_CLUSTERING.items()} | CORE_CLUSTERING
+    return write_options(columns, cluster.get(name.partition("__")[0], []))
+
+
 def _create_over(
     spark: SparkSession, table: str, columns: list[str], place: str | None, days: Mapping[str, versions.Version]
 ) -> None:
     """Create a table over the days that lie in the place and those that replace some of them."""
     where = f" LOCATION '{place}'" if place else ""
+    options = ", ".join(f"'{k}' '{v}'" for k, v in _options(table.rpartition(".")[2], columns).items())
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({column_ddl(columns)}) "
-        f"USING parquet OPTIONS (compression 'zstd') PARTITIONED BY ({DAY}){where}"
+        f"USING parquet OPTIONS ({options}) PARTITIONED BY ({DAY}){where}"
     )
     if place and files.exists(spark, place):
         spark.sql(f"MSCK REPAIR TABLE {table}")
@@ -169,7 +176,7 @@ def replace_day(rows: DataFrame, database: str, name: str, day: dt.date | str) -
     old = _day_location(spark, table, value)
     new = versions.new_version(folder, value)
     try:
-        rows.drop(DAY).write.option("compression", "zstd").parquet(new.path)
+        rows.drop(DAY).write.options(**_options(name, rows.columns)).parquet(new.path)
         _point_day(spark, table, value, new.path)
     except Exception:
         if _day_location(spark, table, value) == old:
@@ -187,7 +194,7 @@ def _overwrite_all(rows: DataFrame, database: str, model: str) -> None:
     old, new = _holder(spark, database, model), versions.new_version(folder, versions.ALL)
     table = f"{database}.{_state(model, new)}"
     try:
-        rows.write.option("compression", "zstd").partitionBy(DAY).parquet(new.path)
+        rows.write.options(**_options(model, rows.columns)).partitionBy(DAY).parquet(new.path)
         _create_over(spark, table, CORE_COLUMNS[model], new.path, {})
         _point_view(spark, database, model, _state(model, new))
     except Exception:

@@ -30,6 +30,12 @@ def _counts(tables: dict[str, str]) -> str:
     )
 
 
+def _signups_of(customers: str) -> str:
+    return f"""
+        SELECT {month('signup_date')} AS signup_month, plan_tier, count(*) AS new_customers
+        FROM raw_customers WHERE signup_date IS NOT NULL AND customer_id IN ({customers}) GROUP BY 1, 2"""
+
+
 _RAW = {f"raw_{e}": f"raw_{e}" for e in ENTITIES}
 _CORE = {m: m for m in CORE_COLUMNS}
 
@@ -104,6 +110,16 @@ _STATEMENTS = {
         WHERE signup_date IS NOT NULL
           AND customer_id IN (SELECT customer_id FROM raw_deals WHERE deal_stage = 'closed_won')
         GROUP BY 1, 2""",
+    "cross_filter_by_bitmap": _signups_of("SELECT customer_id FROM raw_deals WHERE deal_stage = 'closed_won'"),
+    "cross_filter_all_stages": _signups_of("""
+        SELECT customer_id FROM raw_deals WHERE deal_stage IN ('closed_won', 'proposal', 'CLOSED_LOST')
+        GROUP BY customer_id HAVING count(DISTINCT deal_stage) = 3"""),
+    "cross_filter_no_deal_won": """
+        SELECT * FROM raw_customers c
+        WHERE NOT EXISTS (SELECT 1 FROM raw_deals d WHERE d.customer_id = c.customer_id AND deal_stage = 'closed_won')""",
+    "cross_filter_stored_bitmaps": _signups_of("""
+        SELECT customer_id FROM raw_deals WHERE deal_stage IN ('closed_won', 'proposal') AND deal_id % 10 < 5"""),
+    "read_one_customer": "SELECT * FROM raw_deals WHERE customer_id = 31",
     "deal_distribution_by_stage": "SELECT * FROM deal_distribution_by_stage",
     "customer_signups_over_time": "SELECT * FROM customer_signups_over_time",
     "mrr_by_plan": "SELECT * FROM mrr_by_plan",
