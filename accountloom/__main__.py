@@ -31,6 +31,9 @@ def main() -> None:
     parser.add_argument(
         "--retain-days", type=int, help="delete days that are this old on the run date"
     )
+    parser.add_argument(
+        "--run-id", help="name of the run; repeated under it after a failure, a run goes on where it stopped"
+    )
     parser.add_argument(
         "--id-type", choices=["bigint", "int"], default="bigint", help="width of parsed ids"
     )
@@ -63,6 +66,7 @@ def main() -> None:
         warehouse_text=args.warehouse_text,
         id_type=args.id_type,
         retain_days=args.retain_days,
+        run_id=args.run_id,
         multi_line=args.multi_line,
         any_header_order=args.any_header_order,
     )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accountloom.functions import WIDE
+from accountloom.functions import WIDE, run_date
 from accountloom.plans.cleaning import CLEANERS, clean_contacts, clean_customers
 from accountloom.plans.core import build_core
 from accountloom.plans import bitmaps, sums
@@ -18,6 +18,7 @@ from accountloom.plans.staging import create_staging_views, stage_all
 from accountloom.schemas import CORE_COLUMNS, ENTITIES
 from accountloom.settings import size_for, stored_bytes
 from accountloom.sources import landing, warehouse
+from accountloom.sources.ledger import Ledger
 from accountloom.sources.parallel import write_together
 
 log = logging.getLogger(__name__)
@@ -49,17 +50,27 @@ def process_day(
 
 
 def load_day(
-    spark: SparkSession, base: str, day: dt.date | str, database: str, reload: bool = False
+    spark: SparkSession,
+    base: str,
+    day: dt.date | str,
+    database: str,
+    reload: bool = False,
+    ledger: Ledger | None = None,
 ) -> None:
     """Load a processed day into the raw tables, and its sums and bitmaps for the reports.
 
     Appending is the default and stores a day twice if it is run twice; reload
-    replaces the day instead.
+    replaces the day instead. With a ledger a run that is repeated appends once.
     """
     warehouse.create_raw_tables(spark, database)
     processed = {e: landing.read_processed(spark, base, day, e) for e in ENTITIES}
     if reload:
         warehouse.reload_raw(processed, database, day)
+    elif ledger:
+        value = run_date(day).isoformat()
+        write_together(
+            spark, [partial(ledger.append_once, df, database, e, value) for e, df in processed.items()]
+        )
     else:
         warehouse.append_raw(processed, database)
     write_together(spark, [partial(part.refresh, spark, database, day) for part in (sums, bitmaps)])
@@ -115,24 +126,33 @@ def run_day(
     warehouse_text: bool = False,
     id_type: str = WIDE,
     retain_days: int | None = None,
+    run_id: str | None = None,
     **options: bool,
 ) -> DataFrame:
     """One whole run; returns the row count of every table.
 
     The core tables are refreshed for this day; all_days rebuilds them from all stored
-    days. With retain_days, what is older on this day is deleted at the end. options are
+    days. With retain_days, what is older on this day is deleted at the end. A run with a
+    run_id may be repeated after a failure, and goes on where it stopped. options are
     those of landing.read_source.
     """
     size_for(spark, stored_bytes(spark, *inputs.values()))
-    landed = landing.land_sources(spark, inputs, base, day, **options)
-    for entity, found in landed.items():
-        if found.malformed:
-            log.warning("%s: %d of %d records are malformed", entity, found.malformed, found.rows)
-    process_day(spark, base, day, id_type, options.get("multi_line", False))
-    load_day(spark, base, day, database, reload)
-    build_models(spark, database, as_of, None if all_days else day, warehouse_text)
+    ledger = Ledger(spark, base, run_id) if run_id else None
+
+    def step(name: str, work: Callable[[], object]) -> None:
+        ledger.once(name, work) if ledger else work()
+
+    def land() -> None:
+        for entity, found in landing.land_sources(spark, inputs, base, day, **options).items():
+            if found.malformed:
+                log.warning("%s: %d of %d records are malformed", entity, found.malformed, found.rows)
+
+    step("land", land)
+    step("process", lambda: process_day(spark, base, day, id_type, options.get("multi_line", False)))
+    step("load", lambda: load_day(spark, base, day, database, reload, ledger))
+    step("models", lambda: build_models(spark, database, as_of, None if all_days else day, warehouse_text))
     if retain_days is not None:
-        drop_expired(spark, base, database, day, retain_days)
+        step("expire", lambda: drop_expired(spark, base, database, day, retain_days))
     tables = [f"raw_{e}" for e in ENTITIES] + list(CORE_COLUMNS)
     return warehouse.row_counts(spark, database, tables)
 

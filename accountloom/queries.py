@@ -314,6 +314,24 @@ def daily_run(x: Layers) -> DataFrame:
     )
 
 
+def daily_run_repeated(x: Layers) -> DataFrame:
+    """Row counts after a run that fails once it has appended, and its repetition."""
+    database = f"accountloom_{uuid.uuid4().hex}"
+    warehouse.create_database(x.spark, database, x.folder("tables"))
+    inputs, zone = x.source_files(), x.folder("zone")
+
+    def run() -> DataFrame:
+        return daily.run_day(x.spark, inputs, zone, database, RUN_DAY, as_of=RENEWALS_AS_OF, run_id="first")
+
+    # A table of another kind under a model's name stops the run after the load.
+    x.spark.sql(f"CREATE TABLE {database}.fact_deals (x int) USING parquet")
+    try:
+        run()
+    except ValueError:
+        x.spark.sql(f"DROP TABLE {database}.fact_deals")
+    return run()
+
+
 def sql_over_views(x: Layers) -> DataFrame:
     """SQL text over views of three layers."""
     daily.register_layers({e: x.raw[e] for e in ENTITIES}, RENEWALS_AS_OF)
@@ -465,6 +483,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     },
     # whole runs
     "daily_run": daily_run,
+    "daily_run_repeated": daily_run_repeated,
     "sql_over_views": sql_over_views,
 }
 

@@ -31,6 +31,25 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; it appears under its name when it is complete."""
+    unfinished = f"{path}.{uuid.uuid4().hex}"
+    store, place = _open(spark, unfinished)
+    out = store.create(place, True)
+    out.write(text.encode())
+    out.close()
+    move(spark, unfinished, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    store, place = _open(spark, path)
+    stream = store.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def move(spark: SparkSession, path: str, target: str) -> None:
     files, folder = _open(spark, path)
     if not files.rename(folder, _open(spark, target)[1]):

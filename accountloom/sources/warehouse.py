@@ -64,6 +64,12 @@ def _day_location(spark: SparkSession, table: str, day: str) -> str | None:
     return next(r["data_type"] for r in described if r["col_name"] == "Location")
 
 
+def day_folder(spark: SparkSession, database: str, name: str, day: str) -> str:
+    """Where the rows of a day lie, or would lie."""
+    found = _day_location(spark, _holder(spark, database, name), day)
+    return found or f"{_folder(spark, database, name)}/{DAY}={day}"
+
+
 def _options(name: str, columns: list[str]) -> dict[str, str]:
     cluster = {f"raw_{e}": c for e, c in RAW_CLUSTERING.items()} | CORE_CLUSTERING
     return write_options(columns, cluster.get(name.partition("__")[0], []))

@@ -160,6 +160,7 @@ _STATEMENTS = {
     **{f"{m}_two_days": f"SELECT * FROM {m}_twice" for m in CORE_COLUMNS},
     **{f"{m}_snapshot": f"SELECT * FROM {m}" for m in CORE_COLUMNS},
     "daily_run": _counts({**_RAW, **_CORE}),
+    "daily_run_repeated": _counts({**_RAW, **_CORE}),
     "sql_over_views": """
         SELECT f.plan_tier, v.deal_stage, v.deal_count AS stage_deals, count(*) AS deals,
                count(DISTINCT d.customer_id) AS active_customers

@@ -1,0 +1,119 @@
+"""Runs that are killed and repeated."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from accountloom.plans import bitmaps, daily, sums
+from accountloom.queries import Layers
+from accountloom.schemas import ENTITIES
+from accountloom.sources import files, landing, ledger, warehouse
+from tests.support import TESTDATA, rows
+
+DAY = "2025-01-01"
+STEPS = [
+    (landing, "land_sources"), (landing, "write_processed"), (warehouse, "append_raw"), (sums, "refresh"), (bitmaps, "refresh"),
+    (warehouse, "replace_core"), (sums, "create_views"), (warehouse, "drop_expired_days"), (ledger.Ledger, "_note"),
+]
+
+
+@pytest.fixture(scope="module")
+def inputs(spark, tmp_path_factory):
+    """A few rows of every source."""
+    layers = Layers(spark, TESTDATA)
+    folder = str(tmp_path_factory.mktemp("in"))
+    for entity in ENTITIES:
+        key = layers.src[entity].columns[0]
+        some = layers.src[entity].filter(F.length(key) < 3).coalesce(1)
+        landing.write_source(some, f"{folder}/{entity}.csv")
+    return {e: f"{folder}/{e}.csv" for e in ENTITIES}
+
+
+def run(spark, inputs, folder, database, run_id="r1", day=DAY):
+    counts = daily.run_day(
+        spark, inputs, f"{folder}/zone", database, day, as_of="2002-01-01", retain_days=30, run_id=run_id
+    )
+    return {r.table_name: r.row_count for r in counts.collect()}
+
+
+@pytest.fixture(scope="module")
+def wanted(spark, inputs, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("clean"))
+    warehouse.create_database(spark, "ledger_clean", f"{folder}/tables")
+    return run(spark, inputs, folder, "ledger_clean")
+
+
+@pytest.mark.parametrize("module, name", STEPS, ids=[n for _, n in STEPS])
+def test_a_run_killed_in_a_step_and_repeated_gives_the_rows_of_one(spark, database, folder, inputs, wanted, module, name):
+    """It is killed twice, before the step and after it, each time in another of its calls."""
+    for at, after in ((1, False), (2, True)):
+        calls = 0
+
+        def killed(*args, _real=getattr(module, name), **kwargs):
+            nonlocal calls
+            calls += 1
+            mine = calls == at
+            if mine and not after:
+                raise KeyboardInterrupt
+            result = _real(*args, **kwargs)
+            if mine:
+                raise KeyboardInterrupt
+            return result
+
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(module, name, killed)
+            try:
+                run(spark, inputs, folder, database)
+            except KeyboardInterrupt:
+                pass
+    assert run(spark, inputs, folder, database) == wanted
+    assert run(spark, inputs, folder, database) == wanted
+    stages = spark.table(f"{database}.deal_distribution_by_stage").agg(F.sum("deal_count")).first()[0]
+    assert stages == wanted["raw_deals"]
+
+
+def test_runs_of_other_names_append_again(spark, database, folder, inputs, wanted):
+    assert run(spark, inputs, folder, database) == wanted
+    assert run(spark, inputs, folder, database, "r2")["raw_deals"] == 2 * wanted["raw_deals"]
+
+
+def test_files_of_other_runs_stay(spark, database, folder, inputs):
+    """One run breaks off after its append, another one loads the day, the first is repeated."""
+    warehouse.create_raw_tables(spark, database)
+    deals = Layers(spark, TESTDATA).raw["deals"].filter("deal_id < 40").coalesce(1)
+    first, second = (ledger.Ledger(spark, folder, n) for n in ("a", "b"))
+    note = ledger.Ledger._note
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ledger.Ledger, "_note", lambda self, step, state, **f: note(self, step, state, **f) if state == "begun" else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            first.append_once(deals, database, "deals", DAY)
+    second.append_once(deals.filter("deal_id < 10"), database, "deals", DAY)
+    for _ in range(2):
+        first.append_once(deals, database, "deals", DAY)
+    table = spark.table(f"{database}.raw_deals")
+    assert rows(table) == rows(table.sparkSession.createDataFrame([tuple(r) for r in deals.unionByName(deals.filter("deal_id < 10")).select(table.columns).collect()], table.schema))
+
+
+def test_a_day_replaced_in_between_is_an_error(spark, database, folder):
+    warehouse.create_raw_tables(spark, database)
+    deals = Layers(spark, TESTDATA).raw["deals"].filter("deal_id < 40")
+    book = ledger.Ledger(spark, folder, "a")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(warehouse, "append_raw", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            book.append_once(deals, database, "deals", DAY)
+    warehouse.reload_raw({"deals": deals}, database, DAY)
+    with pytest.raises(RuntimeError, match="replaced"):
+        book.append_once(deals, database, "deals", DAY)
+
+
+@pytest.mark.parametrize("name", ["", "a/b"])
+def test_names_that_are_no_folder(spark, folder, name):
+    with pytest.raises(ValueError, match="run id"):
+        ledger.Ledger(spark, folder, name)
+
+
+def test_small_files(spark, folder):
+    files.write_text(spark, f"{folder}/x/y", "é\n")
+    assert files.read_text(spark, f"{folder}/x/y") == "é\n" and files.names(spark, f"{folder}/x") in (["y"], ["y", ".y.crc"], [".y.crc", "y"])
