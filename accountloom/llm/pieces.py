@@ -5,17 +5,21 @@ substrings of bounded length are exploded and joined to the piece table, the edg
 found are grouped by unit, and a higher-order aggregate folds them to the unit's
 segmentation. For a unigram model the fold is Viterbi's: the best sum of scores up to
 each place. The given vocabulary is a byte-pair model, for which that sum gives other
-ids than its own encoder; its fold merges, again and again, the two neighbours that
-join to the piece of the highest score, the leftmost first, as the model defines.
-Characters without a piece fall back to bytes.
-
-Documents get their ids through blocks: a block sends its distinct units, one row per
+ids than its own encoder. Its fold merges, in order of score and place, each edge that
+spans just two pieces by then; a trained byte-pair piece has a lower score than the pieces
+that it is merged from, so one pass over the edges meets them all in time. The state is one
+number, a bit for each place where a piece starts. Units that hold a piece of which this
+is not so (runs of blanks, which no training merged) are left to the task that gathers the
+ids, as very long units are. Characters without a piece fall back to bytes.
+
+A batch of documents is packed as it is read. It sends its distinct units, one row per
 bucket, and gets their ids back in the same order.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,18 +27,22 @@ import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountloom.llm.blocks import LEAST_BUCKETS, Block, block_count, buckets_of, in_blocks, slices
-from accountloom.llm.common import prepare
+from accountloom.llm.arrays import let
+from accountloom.llm.blocks import LEAST_BUCKETS, buckets_of, slices
+from accountloom.llm.common import prepare, stored
+from accountloom.settings import setting
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BLANK = "▁"
-BLOCK_BYTES = 16 * 1024 * 1024
-# Longer units are merged by a heap in the task, as the fold looks at all edges each time.
-LONGEST_FOLDED = 48
+# So much text has at most some 80,000 distinct units, whose edges a task groups by hash.
+BUCKET_BYTES = 640 * 1024
 GROUPED_AT_ONCE = "100000"
+# A place, also that after the last, has a bit of a positive 64-bit number; longer units are segmented by a loop in the task.
+LONGEST_FOLDED = 60
 
 
 @dataclass
@@ -66,9 +74,15 @@ class Pieces:
         return max(len(n) for n, ok in zip(self.names, self.normal) if ok)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """Rows (piece, id, score); as many as the vocabulary has, whatever the corpus."""
-        rows = [(n, i, s) for i, (n, s, ok) in enumerate(zip(self.names, self.scores, self.normal)) if ok]
-        return spark.createDataFrame(rows, "piece string, id int, score double")
+        """Rows (piece, id, score, odd); as many as the vocabulary has, whatever the corpus.
+
+        An odd piece of a byte-pair model comes about by a merge before which one of no
+        higher score is needed.
+        """
+        long = LongUnits(self)
+        odd = lambda n: self.merges and not long.falls(n)
+        rows = [(n, i, s, odd(n)) for i, (n, s, ok) in enumerate(zip(self.names, self.scores, self.normal)) if ok]
+        return spark.createDataFrame(rows, "piece string, id int, score double, odd boolean")
 
 
 def units_of(text: str) -> list[str]:
@@ -88,7 +102,7 @@ def units_of(text: str) -> list[str]:
 
 
 def edges(units: DataFrame, table: DataFrame, longest: int, keys: list[str]) -> DataFrame:
-    """keys and edges: array of (start, size, score, id) of every piece in the column unit.
+    """keys and edges: array of (start, size, score, id, odd) of every piece in the column unit.
 
     Places count from 1. A character without a piece has an edge without id.
     """
@@ -99,58 +113,41 @@ def edges(units: DataFrame, table: DataFrame, longest: int, keys: list[str]) ->
     parts = spans.withColumn("piece", F.substring("unit", F.col("start"), F.col("size")))
     found = parts.join(F.broadcast(table), "piece", "left").filter("size = 1 OR id IS NOT NULL")
     return found.groupBy(*keys).agg(
-        F.collect_list(F.struct("start", "size", "score", "id")).alias("edges")
+        F.collect_list(F.struct("start", "size", "score", "id", "odd")).alias("edges")
     )
 
 
-def _let(value: Column, body) -> Column:
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
 
 
-def merged(found: Column, size: Column) -> Column:
-    """Places where the pieces of a byte-pair segmentation start, and the place after the last.
+def merged_ids(unit: Column, found: Column, first_byte: int) -> Column:
+    """The ids of a byte-pair segmentation."""
 
-    The state holds, for each place, where the piece that starts there ends; 0 if none
-    starts there. The edges are in order of score and place, so the first of them that
-    spans just two pieces is the next merge.
-    """
+    def masked(e: Column) -> Column:
+        first, last = _bit(e["start"]), _bit(e["start"] + e["size"])
+        ends = (first + last).alias("ends")
+        # All places inside the edge.
+        return F.struct((-e["score"]).alias("loss"), e["start"].alias("start"), ends, (last - first * 2).alias("inside"), e["id"].alias("id"))
 
-    def step(ends: Column, longer: Column) -> Column:
-        def joins(e: Column) -> Column:
-            middle = F.get(ends, e["start"])
-            return (middle > 0) & (F.get(ends, middle) == e["end"])
+    def merge(starts: Column, e: Column) -> Column:
+        two = (starts.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(starts.bitwiseAND(e["inside"])) == 1)
+        return F.when(two, starts.bitwiseAND(F.bitwise_not(e["inside"]))).otherwise(starts)
 
-        def merge(e: Column) -> Column:
-            middle = F.get(ends, e["start"])
-            after = F.transform(
-                ends,
-                lambda old, at: F.when(at == e["start"], e["end"]).when(at == middle, F.lit(0)).otherwise(old),
-            )
-            return F.when(e.isNull(), ends).otherwise(after)
+    def chosen(edges: Column) -> Column:
+        whole = _bit(F.length(unit) + 2) - 2
+        longer = F.array_sort(F.filter(edges, lambda e: e["inside"] > 0))
 
-        return _let(F.get(F.filter(longer, joins), F.lit(0)), merge)
+        def pieces(starts: Column) -> Column:
+            def is_piece(e: Column) -> Column:
+                return (starts.bitwiseAND(e["ends"]) == e["ends"]) & (starts.bitwiseAND(e["inside"]) == 0)
 
-    def fold(longer: Column) -> Column:
-        # At most one merge less than there are characters, nor more than edges.
-        turns = F.least(size - 1, F.size(longer))
-        steps = F.when(turns > 0, F.sequence(F.lit(1), turns)).otherwise(F.array().cast("array<int>"))
-        # Place 0 is before the first character; the place after the last ends nowhere.
-        apart = F.transform(
-            F.sequence(F.lit(0), size + 1), lambda i: F.when((i == 0) | (i > size), 0).otherwise(i + 1)
-        )
-        folded = F.aggregate(steps, apart, lambda ends, _: step(ends, longer))
-        starts = F.filter(F.transform(folded, lambda end, i: F.when(end > 0, i)), lambda i: i.isNotNull())
-        return F.concat(starts, F.array(size + 1))
+            kept = F.array_sort(F.transform(F.filter(edges, is_piece), lambda e: F.struct(e["start"].alias("start"), e["id"].alias("id"))))
+            return F.flatten(F.transform(kept, lambda e: _piece_or_bytes(unit, e["start"], e["id"], first_byte)))
 
-    longer = F.array_sort(
-        F.transform(
-            F.filter(found, lambda e: e["size"] > 1),
-            lambda e: F.struct(
-                (-e["score"]).alias("loss"), e["start"].alias("start"), (e["start"] + e["size"]).alias("end")
-            ),
-        )
-    )
-    return _let(longer, fold)
+        return let(F.aggregate(longer, whole, merge), pieces)
+
+    return let(F.transform(found, masked), chosen)
 
 
 def viterbi(found: Column, size: Column, unknown: float) -> Column:
@@ -182,45 +179,88 @@ def viterbi(found: Column, size: Column, unknown: float) -> Column:
             ),
         )
 
-    return _let(F.aggregate(F.sequence(F.lit(1), size), start, reach), back)
+    return let(F.aggregate(F.sequence(F.lit(1), size), start, reach), back)
 
 
-def _ids(unit: Column, found: Column, bounds: Column, first_byte: int) -> Column:
-    def bytes_of(at: Column) -> Column:
-        digits = F.hex(F.substring(unit, at, F.lit(1)).cast("binary"))
-        return F.transform(
-            F.sequence(F.lit(0), (F.length(digits) / 2).cast("int") - 1),
-            lambda i: F.conv(F.substring(digits, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + first_byte,
-        )
+def _piece_or_bytes(unit: Column, at: Column, piece: Column, first_byte: int) -> Column:
+    digits = F.hex(F.substring(unit, at, F.lit(1)).cast("binary"))
+    single = F.transform(
+        F.sequence(F.lit(0), (F.length(digits) / 2).cast("int") - 1),
+        lambda i: F.conv(F.substring(digits, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + first_byte,
+    )
+    return F.when(piece.isNull(), single).otherwise(F.array(piece))
+
 
+def _ids(unit: Column, found: Column, bounds: Column, first_byte: int) -> Column:
     def one(at: Column, i: Column) -> Column:
         size = F.get(bounds, i + 1) - at
         edge = F.get(F.filter(found, lambda e: (e["start"] == at) & (e["size"] == size)), F.lit(0))
-        return F.when(edge["id"].isNull(), bytes_of(at)).otherwise(F.array(edge["id"]))
+        return _piece_or_bytes(unit, at, edge["id"], first_byte)
 
     return F.flatten(F.transform(F.slice(bounds, 1, F.size(bounds) - 1), one))
 
 
+def _unknown(pieces: Pieces) -> float:
+    return min(s for s, ok in zip(pieces.scores, pieces.normal) if ok) - 10.0
+
+
 def encoded_units(units: DataFrame, pieces: Pieces, keys: list[str]) -> DataFrame:
-    """keys and ids of every row; keys include unit, rows must be distinct in them."""
-    table = pieces.table(units.sparkSession)
-    found = edges(units, table, pieces.longest, keys)
-    size = F.length("unit")
-    normal = [s for s, ok in zip(pieces.scores, pieces.normal) if ok]
-    bounds = merged(F.col("edges"), size) if pieces.merges else viterbi(F.col("edges"), size, min(normal) - 10.0)
-    folded = found.withColumn("bounds", bounds)
-    return folded.select(*keys, _ids(F.col("unit"), F.col("edges"), F.col("bounds"), pieces.first_byte).alias("ids"))
+    """keys and ids of every row; keys include unit, rows must be distinct in them.
+
+    A byte-pair unit has at most LONGEST_FOLDED characters; one with an odd piece gives no row.
+    """
+    found = edges(units, pieces.table(units.sparkSession), pieces.longest, keys)
+    unit, lattice = F.col("unit"), F.col("edges")
+    if pieces.merges:
+        found = found.filter(~F.exists("edges", lambda e: F.coalesce(e["odd"], F.lit(False))))
+        ids = merged_ids(unit, lattice, pieces.first_byte)
+    else:
+        ids = let(viterbi(lattice, F.length(unit), _unknown(pieces)), lambda bounds: _ids(unit, lattice, bounds, pieces.first_byte))
+    return found.select(*keys, ids.alias("ids"))
 
 
 class LongUnits:
-    """The same merges for units too long for the fold."""
+    """The same segmentations for units too long for the fold."""
 
     def __init__(self, pieces: Pieces):
         rows = zip(pieces.names, pieces.scores, pieces.normal)
         self._known = {n: (s, i) for i, (n, s, ok) in enumerate(rows) if ok}
         self._first_byte = pieces.first_byte
+        self._segment = self._merged if pieces.merges else self._best_sum
+        self._longest, self._unknown = pieces.longest, _unknown(pieces)
 
     def ids(self, unit: str) -> list[int]:
+        out: list[int] = []
+        for part in self._segment(unit):
+            if part in self._known:
+                out.append(self._known[part][1])
+            else:
+                out += [self._first_byte + x for x in part.encode()]
+        return out
+
+    def _best_sum(self, unit: str) -> list[str]:
+        best: list[tuple[float, int]] = [(0.0, 0)]
+        for end in range(1, len(unit) + 1):
+            arriving = []
+            for start in range(max(0, end - self._longest), end):
+                score = self._known.get(unit[start:end], (None,))[0]
+                if score is not None or end - start == 1:
+                    arriving.append((best[start][0] + (self._unknown if score is None else score), -start))
+            total, start = max(arriving)
+            best.append((total, -start))
+        parts, end = [], len(unit)
+        while end:
+            parts.append(unit[best[end][1] : end])
+            end = best[end][1]
+        return parts[::-1]
+
+    def falls(self, unit: str) -> bool:
+        """Whether the merges of a unit come in order of falling score, equal ones to one piece."""
+        seen: list[tuple[float, str]] = []
+        self._merged(unit, seen)
+        return all(a[0] > b[0] or a == b for a, b in zip(seen, seen[1:]))
+
+    def _merged(self, unit: str, seen: list[tuple[float, str]] | None = None) -> list[str]:
         parts: list[str | None] = list(unit)
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
@@ -239,120 +279,152 @@ class LongUnits:
             _, a, b, both = heapq.heappop(waiting)
             if parts[a] is None or after[a] != b or parts[b] is None or parts[a] + parts[b] != both:
                 continue
+            if seen is not None:
+                seen.append((self._known[both][0], both))
             parts[a], parts[b] = both, None
             after[a] = after[b]
             if after[a] < len(parts):
                 before[after[a]] = a
             offer(before[a])
             offer(a)
-        out: list[int] = []
-        for part in parts:
-            if part in self._known:
-                out.append(self._known[part][1])
-            elif part is not None:
-                out += [self._first_byte + x for x in part.encode()]
-        return out
+        return [part for part in parts if part is not None]
+
+
+def _cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Where each text's units end, the units as numbers, and the distinct units by number.
+
+    Every unit begins with a blank, which is left out here.
+    """
+    flat: list[str] = []
+    ends = []
+    for text in texts:
+        if text:
+            words = text.split(" ")
+            if "" in words or BLANK in text:
+                words = [u[1:] for u in units_of(text)]
+            flat += words
+        ends.append(len(flat))
+    coded = pa.array(flat, pa.large_string()).dictionary_encode()
+    return np.array(ends, np.int64), coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+def _asked(units: list[str], buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The units' numbers in the order in which they are sent, and each bucket's share of them."""
+    hashes = np.array([xxhash.xxh64_intdigest(u) for u in units], np.uint64)
+    order = np.argsort(hashes, kind="stable")
+    return order, slices(buckets_of(hashes[order], buckets).astype(np.int64))
+
 
+def _packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
-def _arrow(columns: dict[str, list], types: dict[str, pa.DataType]) -> pa.Table:
-    return pa.table({name: pa.array(columns[name], kind) for name, kind in types.items()})
 
+def _texts(batch: pa.RecordBatch | pa.Table) -> list[str]:
+    return [(t or b"").decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
 
-def encoded(docs: DataFrame, pieces: Pieces | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows (doc_id, ids, text as binary), one per document, by a byte-pair model.
+
+def encoded(docs: DataFrame, pieces: Pieces | None = None, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Rows (doc_id, ids, text as binary), one per document.
 
     docs needs doc_id and text; other columns are ignored. A null or empty text has no
     ids. A blank character of the model in a text counts as a space. Repeated rows are
-    encoded alike; an empty table gives no rows.
+    encoded alike, rows without an id too; an empty table gives no rows. A batch of texts
+    (8 MB, or one longer text) and its distinct units are in memory at once.
     """
     spark = prepare(docs.sparkSession)
-    # A unit has few edges; grouping them by hash needs no sort of all of them.
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", GROUPED_AT_ONCE)
     pieces = pieces or Pieces.load()
-    texts = docs.select("doc_id", "text")
-    blocks = block_count(texts, block_bytes)
-    buckets = max(LEAST_BUCKETS, blocks)
-    dealt = in_blocks(texts, blocks).select("block", "doc_id", "text")
-
-    def distinct(block: Block) -> tuple[list[list[str]], list[str], list[tuple[int, int, int]]]:
-        cut = [units_of(t.decode("utf-8", "replace")) for t in block.texts]
-        units = list(dict.fromkeys(u for doc in cut for u in doc))
-        hashes = np.array([xxhash.xxh64_intdigest(u) for u in units], np.uint64)
-        order = np.argsort(hashes, kind="stable")
-        units = [units[i] for i in order]
-        return cut, units, slices(buckets_of(hashes[order], buckets).astype(np.int64))
-
-    def ask(key: tuple, rows: pa.Table) -> pa.Table:
-        _, units, runs = distinct(Block(rows))
-        return _arrow(
-            {
-                "bucket": [r[0] for r in runs],
-                "block": [key[0].as_py()] * len(runs),
-                "units": [units[a:b] for _, a, b in runs],
-            },
-            {"bucket": pa.int32(), "block": pa.int32(), "units": pa.list_(pa.string())},
-        )
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
+    )
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-int(size) // bucket_bytes))
+    kind = "<u2" if len(pieces.names) <= 65_536 else "<u4"
+    wide = int(kind[2])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            _, _, units = _cut(_texts(batch))
+            order, runs = _asked(units, buckets)
+            sent = [None] + [[units[i] for i in order[a:b]] for _, a, b in runs]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number] * len(sent), pa.int64()),
+                    pa.array([None] + [r[0] for r in runs], pa.int32()),
+                    pa.array([_packed(batch)] + [None] * len(runs), pa.binary()),
+                    pa.array(sent, pa.list_(pa.string())),
+                ],
+                names=["block", "bucket", "docs", "units"],
+            )
+            number += 1
 
     def answer(key: tuple, rows: pa.Table, found: pa.Table) -> pa.Table:
         known = {
-            unit: np.array(ids, "<u2" if len(pieces.names) <= 65_536 else "<u4").tobytes()
+            unit: np.array(ids, kind).tobytes()
             for unit, ids in zip(found.column("unit").to_pylist(), found.column("ids").to_pylist())
         }
-        kind = "<u2" if len(pieces.names) <= 65_536 else "<u4"
-        wide = int(kind[2])
         long = LongUnits(pieces)
         sizes, out = [], []
         for units in rows.column("units").to_pylist():
             for unit in units:
                 if unit not in known:
-                    known[unit] = np.array(long.ids(unit), kind).tobytes()
+                    known[unit] = np.array(long.ids(BLANK + unit), kind).tobytes()
             sizes.append(np.array([len(known[u]) // wide for u in units], "<u4").tobytes())
             out.append(b"".join([known[u] for u in units]))
-        return _arrow(
+        return pa.table(
             {
-                "block": rows.column("block").to_pylist(),
-                "bucket": [key[0].as_py()] * len(out),
-                "sizes": sizes,
-                "ids": out,
-            },
-            {"block": pa.int32(), "bucket": pa.int32(), "sizes": pa.binary(), "ids": pa.binary()},
+                "block": rows.column("block"),
+                "bucket": pa.array([key[0].as_py()] * len(out), pa.int32()),
+                "sizes": pa.array(sizes, pa.binary()),
+                "ids": pa.array(out, pa.binary()),
+            }
         )
 
     def assemble(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
-        block = Block(rows)
-        cut, units, runs = distinct(block)
+        batch = pa.ipc.open_stream(rows.column("docs")[0].as_buffer()).read_all()
+        ends, codes, units = _cut(_texts(batch))
+        order, runs = _asked(units, buckets)
         columns = (replies.column(c).to_pylist() for c in ("bucket", "sizes", "ids"))
         reply = {bucket: (sizes, ids) for bucket, sizes, ids in zip(*columns)}
-        kind = "<u2" if len(pieces.names) <= 65_536 else "<u4"
-        known: dict[str, np.ndarray] = {}
-        for bucket, a, b in runs:
-            sizes, ids = reply[bucket]
-            ends = np.cumsum(np.frombuffer(sizes, "<u4"))[:-1]
-            known.update(zip(units[a:b], np.split(np.frombuffer(ids, kind), ends)))
-        lists = [np.concatenate([known[u] for u in doc]) if doc else np.empty(0, kind) for doc in cut]
-        offsets = np.r_[0, np.cumsum([len(x) for x in lists])].astype(np.int32)
-        values = np.concatenate(lists).astype(np.int32) if lists else np.empty(0, np.int32)
-        return pa.table(
-            {
-                "doc_id": block.doc_ids,
-                "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                "text": pa.array(block.texts, pa.binary()),
-            }
-        )
-
-    # Dealt by bucket once; units, edges and replies then stay where they are.
-    asked = dealt.groupBy("block").applyInArrow(ask, "bucket int, block int, units array<string>").repartition("bucket")
+        sizes = np.zeros(len(units), np.int64)
+        sizes[order] = np.concatenate([np.frombuffer(reply[b][0], "<u4") for b, _, _ in runs] or [np.zeros(0, "<u4")])
+        values = np.concatenate([np.frombuffer(reply[b][1], kind) for b, _, _ in runs] or [np.zeros(0, kind)])
+        first = np.zeros(len(units), np.int64)
+        first[order] = np.cumsum(sizes[order]) - sizes[order]
+        # Each unit of the texts, in turn, as the run of its ids.
+        each = sizes[codes]
+        stops = np.cumsum(each)
+        at = np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(first[codes] - stops + each, each)
+        offsets = np.r_[0, np.r_[0, stops][ends]].astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[at].astype(np.int32)))
+        return pa.table({"doc_id": batch.column("doc_id"), "ids": ids, "text": batch.column("text")})
+
+    packed = stored(
+        texts.mapInArrow(pack, "block long, bucket int, docs binary, units array<string>"), "packed-documents"
+    )
+    asked = packed.filter("bucket IS NOT NULL").select("block", "bucket", "units").repartition(buckets, "bucket")
     # The name differs from asked's, so that the two can meet below.
-    units = asked.select(F.col("bucket").alias("home"), F.explode("units").alias("unit"))
-    short = units.filter(F.length("unit") <= LONGEST_FOLDED).groupBy("home", "unit").agg(F.count(F.lit(1)).alias("n"))
-    found = encoded_units(short.select("home", "unit"), pieces, ["home", "unit"])
+    units = asked.select(F.col("bucket").alias("home"), F.explode("units").alias("word"))
+    distinct = units.groupBy("home", "word").agg(F.count(F.lit(1)).alias("n"))
+    short = distinct.select("home", F.concat(F.lit(BLANK), "word").alias("unit")).filter(F.length("unit") <= LONGEST_FOLDED)
+    found = encoded_units(short, pieces, ["home", "unit"]).select("home", F.substr("unit", F.lit(2)).alias("unit"), "ids")
+    # A unit has few edges; grouping them by hash needs no sort of all of them.
+    with setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", GROUPED_AT_ONCE):
+        found = stored(found, "segmented-units")
     replies = (
         asked.groupBy("bucket")
         .cogroup(found.groupBy("home"))
-        .applyInArrow(answer, "block int, bucket int, sizes binary, ids binary")
+        .applyInArrow(answer, "block long, bucket int, sizes binary, ids binary")
     )
     return (
-        dealt.groupBy("block")
+        packed.filter("bucket IS NULL")
+        .select("block", "docs")
+        .groupBy("block")
         .cogroup(replies.groupBy("block"))
         .applyInArrow(assemble, "doc_id long, ids array<int>, text binary")
     )

@@ -22,7 +22,7 @@ TEXTS = [
 
 def test_ids_are_the_library_s(spark):
     docs = clashing(documents(spark, dict(enumerate(TEXTS))))
-    found = {r.doc_id: r.ids for r in pieces.encoded(docs, block_bytes=500).collect()}
+    found = {r.doc_id: r.ids for r in pieces.encoded(docs, bucket_bytes=500).collect()}
     assert found == {i: LIBRARY.encode(t or "") for i, t in enumerate(TEXTS)}
 
 
@@ -50,6 +50,21 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert pieces.encoded(docs.limit(0)).collect() == []
 
 
+def test_folded_units_are_the_library_s(spark):
+    """Every piece of the vocabulary in a row, and random strings of pieces up to the longest folded."""
+    rng = random.Random(6)
+    names = [n for n, ok in zip(LOADED.names, LOADED.normal) if ok and pieces.BLANK not in n]
+    units = {pieces.BLANK + n for n in names if len(n) < 60}
+    for _ in range(4000):
+        unit = "".join(rng.choice(names) for _ in range(rng.randint(1, 12)))
+        units.add(pieces.BLANK * rng.randint(1, 3) + unit[:57])
+    rows = spark.createDataFrame([(u,) for u in sorted(units)], "unit string")
+    found = pieces.encoded_units(rows, LOADED, ["unit"]).collect()
+    assert len(found) > 0.6 * len(units)
+    for r in found:
+        assert r.ids == LIBRARY.encode(r.unit[1:].replace(pieces.BLANK, " ")), r.unit
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.sampled_from("abehnorstxé ▁\n中🙂."), max_size=40))
 def test_long_units_are_merged_alike(text):
@@ -75,7 +90,26 @@ def test_viterbi_finds_the_best_sum(spark):
     rows = pieces.encoded_units(spark.createDataFrame([(u,) for u in units], "unit string"), own, ["unit"]).collect()
     assert len(rows) == len(units)
     unknown = min(scores.values()) - 10.0
+    long = pieces.LongUnits(own)
+    assert [r.ids for r in rows] == [long.ids(r.unit) for r in rows]
     for r in rows:
         parts = [own.names[i] if i >= 256 else chr(i) for i in r.ids]
         assert "".join(parts) == r.unit
         assert sum(scores.get(p, unknown) for p in parts) == pytest.approx(best_sum(r.unit, scores, unknown))
+
+
+def test_units_of_a_unigram_model_do_not_depend_on_length(spark):
+    own = pieces.Pieces([f"<0x{i:02X}>" for i in range(256)] + ["▁", "a", "b", "aab", "ba", "ab"], [0.0] * 256 + [-1.0, -2.0, -2.0, -2.5, -3.0, -2.9], [False] * 256 + [True] * 6, 0, False)
+    rng = random.Random(3)
+    texts = {n: "".join(rng.choice("aab") for _ in range(n)) for n in (1, 20, 57, 58, 59, 60, 61, 62, 64, 200)}
+    found = {r.doc_id: r.ids for r in pieces.encoded(documents(spark, texts), own).collect()}
+    unit = lambda t: spark.createDataFrame([(pieces.BLANK + t,)], "unit string")
+    for n, text in texts.items():
+        assert found[n] == pieces.encoded_units(unit(text), own, ["unit"]).first().ids
+
+
+def test_session_settings_are_left_as_they_were(spark):
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    pieces.encoded(documents(spark, {1: "a"})).collect()
+    assert spark.conf.get(name) == before
