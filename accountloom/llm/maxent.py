@@ -291,23 +291,59 @@ def _inner(features: np.ndarray, kinds: np.ndarray, rows: int) -> np.ndarray:
     return features ^ ((kinds * 0x9E5) & (rows - 1))
 
 
+def _rows(table: np.ndarray, at: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    # All places exist; taking them unchecked is faster than an index.
+    return np.take(table, at, axis=0, out=out, mode="clip")
+
+
 def _scores(bias: np.ndarray, weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    out = bias + weights[features[0]]
+    out = _rows(weights, features[0])
+    out += bias
+    more = np.empty_like(out)
     for feature in features[1:]:
-        out += weights[feature]
+        out += _rows(weights, feature, more)
     return out
 
 
-def _log_softmax(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(axis=1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+def _total(exponentials: np.ndarray) -> np.ndarray:
+    return exponentials @ np.ones(exponentials.shape[1], exponentials.dtype)
+
+
+def _in_range(total: np.ndarray) -> bool:
+    """Biases are logs of shares, so sums of exponentials rarely leave the numbers' range."""
+    return bool(np.isfinite(total).all()) and total.min(initial=1) > 1e-20
+
+
+def _log_chosen(bias: np.ndarray, weights: np.ndarray, features: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The log of the softmax at one place of each row."""
+    scores = _scores(bias, weights, features)
+    own = scores[np.arange(len(chosen)), chosen].astype(np.float64)
+    with np.errstate(over="ignore"):
+        total = _total(np.exp(scores, out=scores))
+    if _in_range(total):
+        return own - np.log(total)
+    scores = _scores(bias, weights, features)
+    top = scores.max(axis=1)
+    return own - top - np.log(_total(np.exp(scores - top[:, None])))
+
+
+def _softmax(bias: np.ndarray, weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    shares = _scores(bias, weights, features)
+    with np.errstate(over="ignore"):
+        total = _total(np.exp(shares, out=shares))
+    if not _in_range(total):
+        shares = _scores(bias, weights, features)
+        shares -= shares.max(axis=1, keepdims=True)
+        total = _total(np.exp(shares, out=shares))
+    shares *= (1 / total)[:, None]
+    return shares
 
 
-def _softmax(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(axis=1, keepdims=True)
-    np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
-    return scores
+def _log_shares(counts: np.ndarray) -> np.ndarray:
+    """Logs of counts over their sum along the last axis; -10,000 where a count is none."""
+    there = counts > 0
+    total = np.maximum(counts.sum(axis=-1, keepdims=True), 1)
+    return np.where(there, np.log(np.where(there, counts, 1) / total), -1e4).astype(np.float32)
 
 
 class Model:
@@ -324,10 +360,10 @@ class Model:
         used = np.zeros(frequent, bool)
         used[vocab.places] = True
         # Places without a word, and classes without any, have no probability.
-        self.inner_bias = np.where(used.reshape(counts.shape), np.log(counts + 1), -1e4).astype(np.float32)
-        outer = np.r_[counts.sum(axis=1) + 1, vocab.rare_tokens + vocab.rare_words + 1.0]
-        empty = np.r_[~used.reshape(counts.shape).any(axis=1), np.zeros(RARE_CLASSES, bool)]
-        self.outer_bias = np.where(empty, -1e4, np.log(outer)).astype(np.float32)
+        used = used.reshape(counts.shape)
+        self.inner_bias = _log_shares(np.where(used, counts + 1, 0))
+        outer = np.where(used.any(axis=1), counts.sum(axis=1) + 1, 0)
+        self.outer_bias = _log_shares(np.r_[outer, vocab.rare_tokens + vocab.rare_words + 1.0])
 
     def log_probabilities(self, features: np.ndarray, kinds: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Natural logs of the class, times the word's within it where it is frequent."""
@@ -336,12 +372,10 @@ class Model:
         for at in range(0, n, 4 * BATCH):
             part = slice(at, at + 4 * BATCH)
             f, k = features[:, part], kinds[part]
-            scores = _scores(self.outer_bias, self.outer, f)
-            found = np.take_along_axis(_log_softmax(scores), k[:, None], axis=1)[:, 0].astype(np.float64)
+            found = _log_chosen(self.outer_bias, self.outer, f, k)
             rows = np.flatnonzero(places[part] >= 0)
             g, k = _inner(f[:, rows], k[rows], len(self.inner)), k[rows]
-            scores = _scores(self.inner_bias[k], self.inner, g)
-            found[rows] += np.take_along_axis(_log_softmax(scores), places[part][rows][:, None], axis=1)[:, 0]
+            found[rows] += _log_chosen(self.inner_bias[k], self.inner, g, places[part][rows])
             out[part] = found
         return out
 
@@ -362,11 +396,15 @@ class Trainer:
         order = np.argsort(flat, kind="stable")
         flat = flat[order].astype(np.int64)
         starts = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-        gradient = np.add.reduceat(wrong[order % wrong.shape[0]], starts, axis=0)
+        gradient = np.add.reduceat(_rows(wrong, order % wrong.shape[0]), starts, axis=0)
         touched = flat[starts]
-        squares = self._squares[which][touched] + gradient * gradient
+        squares = _rows(self._squares[which], touched)
+        squares += gradient * gradient
         self._squares[which][touched] = squares
-        weights[touched] -= RATE * gradient / np.sqrt(squares)
+        np.sqrt(squares, out=squares)
+        gradient *= RATE
+        gradient /= squares
+        weights[touched] -= gradient
         self.seen[which][touched] += np.diff(np.r_[starts, len(flat)])
 
     def learn(self, features: np.ndarray, kinds: np.ndarray, places: np.ndarray) -> None:
@@ -374,15 +412,13 @@ class Trainer:
         for at in range(0, len(kinds), BATCH):
             part = slice(at, at + BATCH)
             f, k, p = features[:, part], kinds[part], places[part]
-            scores = _scores(model.outer_bias, model.outer, f)
-            wrong = _softmax(scores)
+            wrong = _softmax(model.outer_bias, model.outer, f)
             wrong[np.arange(len(k)), k] -= 1.0
             self._step(0, model.outer, f, wrong)
             rows = np.flatnonzero(p >= 0)
             if len(rows):
                 g = _inner(f[:, rows], k[rows], len(model.inner))
-                scores = _scores(model.inner_bias[k[rows]], model.inner, g)
-                wrong = _softmax(scores)
+                wrong = _softmax(model.inner_bias[k[rows]], model.inner, g)
                 wrong[np.arange(len(rows)), p[rows]] -= 1.0
                 self._step(1, model.inner, g, wrong)
 

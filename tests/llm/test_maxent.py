@@ -191,3 +191,17 @@ def test_words_are_numbered(texts):
     wanted = [t.lower().split() for t in texts]
     assert words.sizes.tolist() == [len(w) for w in wanted]
     assert [int(words.hashes[i]) for i in words.tokens] == [hash_of(w) for ws in wanted for w in ws]
+
+
+@pytest.mark.parametrize("scale", [1, 40, 300])
+def test_softmax_of_any_weights(scale):
+    rng = np.random.default_rng(scale)
+    weights = (scale * rng.normal(size=(64, 7))).astype(np.float32)
+    bias = maxent._log_shares(np.array([5.0, 0, 1, 1, 90, 3, 0]))
+    features, chosen = rng.integers(0, 64, (3, 200)), rng.choice([0, 2, 3, 4, 5], 200)
+    scores = bias.astype(np.float64) + weights[features].astype(np.float64).sum(axis=0)
+    scores -= scores.max(axis=1, keepdims=True)
+    wanted = scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+    found = maxent._log_chosen(bias, weights, features, chosen)
+    assert np.allclose(found, wanted[np.arange(200), chosen], rtol=1e-3, atol=1e-3)
+    assert np.allclose(maxent._softmax(bias, weights, features), np.exp(wanted), atol=1e-4)
