@@ -37,13 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """The frame written to the shared scratch folder and read again.
 
-    This cuts the lineage at files that outlive any executor.
+    This cuts the lineage at files that outlive any executor. options are the writer's.
     """
     path = scratch_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -40,6 +40,7 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BLANK = "▁"
 # So much text has at most some 80,000 distinct units, whose edges a task groups by hash.
 BUCKET_BYTES = 640 * 1024
+BLOCK_BYTES = 16 * 1024 * 1024
 GROUPED_AT_ONCE = "100000"
 # A place, also that after the last, has a bit of a positive 64-bit number; longer units are segmented by a loop in the task.
 LONGEST_FOLDED = 60
@@ -326,13 +327,31 @@ def _texts(batch: pa.RecordBatch | pa.Table) -> list[str]:
     return [(t or b"").decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
 
 
-def encoded(docs: DataFrame, pieces: Pieces | None = None, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def _joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about that many bytes: the larger, the fewer units are sent twice."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(b.nbytes for b in held) + batch.nbytes > size:
+            yield pa.concat_batches(held)
+            held = []
+        if batch.num_rows:
+            held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def encoded(
+    docs: DataFrame,
+    pieces: Pieces | None = None,
+    bucket_bytes: int = BUCKET_BYTES,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """Rows (doc_id, ids, text as binary), one per document.
 
     docs needs doc_id and text; other columns are ignored. A null or empty text has no
     ids. A blank character of the model in a text counts as a space. Repeated rows are
-    encoded alike, rows without an id too; an empty table gives no rows. A batch of texts
-    (8 MB, or one longer text) and its distinct units are in memory at once.
+    encoded alike, rows without an id too; an empty table gives no rows. A block of texts
+    (16 MB, or one longer text) and its units are in memory at once.
     """
     spark = prepare(docs.sparkSession)
     pieces = pieces or Pieces.load()
@@ -346,9 +365,7 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bucket_bytes: int = B
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _joined(batches, block_bytes):
             _, _, units = _cut(_texts(batch))
             order, runs = _asked(units, buckets)
             sent = [None] + [[units[i] for i in order[a:b]] for _, a, b in runs]
@@ -405,7 +422,7 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bucket_bytes: int = B
         return pa.table({"doc_id": batch.column("doc_id"), "ids": ids, "text": batch.column("text")})
 
     packed = stored(
-        texts.mapInArrow(pack, "block long, bucket int, docs binary, units array<string>"), "packed-documents"
+        texts.mapInArrow(pack, "block long, bucket int, docs binary, units array<string>"), "packed-documents", compression="zstd"
     )
     asked = packed.filter("bucket IS NOT NULL").select("block", "bucket", "units").repartition(buckets, "bucket")
     # The name differs from asked's, so that the two can meet below.
@@ -415,7 +432,7 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bucket_bytes: int = B
     found = encoded_units(short, pieces, ["home", "unit"]).select("home", F.substr("unit", F.lit(2)).alias("unit"), "ids")
     # A unit has few edges; grouping them by hash needs no sort of all of them.
     with setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", GROUPED_AT_ONCE):
-        found = stored(found, "segmented-units")
+        found = stored(found, "segmented-units", compression="zstd")
     replies = (
         asked.groupBy("bucket")
         .cogroup(found.groupBy("home"))

@@ -22,7 +22,7 @@ TEXTS = [
 
 def test_ids_are_the_library_s(spark):
     docs = clashing(documents(spark, dict(enumerate(TEXTS))))
-    found = {r.doc_id: r.ids for r in pieces.encoded(docs, bucket_bytes=500).collect()}
+    found = {r.doc_id: r.ids for r in pieces.encoded(docs, bucket_bytes=500, block_bytes=300).collect()}
     assert found == {i: LIBRARY.encode(t or "") for i, t in enumerate(TEXTS)}
 
 
