@@ -28,6 +28,11 @@ def main() -> None:
         action="store_true",
         help="rebuild the core tables from all stored days, not this day's part from this day",
     )
+    parser.add_argument(
+        "--changed-only",
+        action="store_true",
+        help="as --all-days, but build only the customers anew that this day or an expiring one has rows of",
+    )
     parser.add_argument(
         "--retain-days", type=int, help="delete days that are this old on the run date"
     )
@@ -62,6 +67,7 @@ def main() -> None:
         args.day,
         as_of=args.as_of,
         all_days=args.all_days,
+        changed_only=args.changed_only,
         reload=args.reload,
         warehouse_text=args.warehouse_text,
         id_type=args.id_type,

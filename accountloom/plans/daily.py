@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from accountloom.functions import WIDE, run_date
 from accountloom.plans.cleaning import CLEANERS, clean_contacts, clean_customers
 from accountloom.plans.core import build_core
-from accountloom.plans import bitmaps, sums
+from accountloom.plans import bitmaps, changes, sums
 from accountloom.plans.dashboard import register_reports
 from accountloom.plans.staging import create_staging_views, stage_all
 from accountloom.schemas import CORE_COLUMNS, ENTITIES
@@ -86,31 +86,46 @@ def build_models(
     as_of: dt.date | str | None = None,
     only_day: dt.date | str | None = None,
     warehouse_text: bool = False,
+    changed_days: Sequence[dt.date | str] | None = None,
 ) -> None:
     """Refresh the core tables and the stored views from the raw tables.
 
     Without only_day the core tables are rebuilt from all stored days. With it,
-    that day alone is read, and only its part of the core tables is replaced.
+    that day alone is read, and only its part of the core tables is replaced. With
+    changed_days, the customers of those days are rebuilt from all stored days.
     """
     warehouse.create_core_tables(spark, database)
     create_staging_views(spark, database, warehouse_text)
-    staged = {e: spark.table(f"{database}.stg_{e}") for e in ENTITIES}
-    models = build_core(staged, as_of, only_day)
-    warehouse.replace_core(models, database, only_day)
+    if changed_days:
+        changes.refresh(spark, database, changed_days, as_of)
+    else:
+        staged = {e: spark.table(f"{database}.stg_{e}") for e in ENTITIES}
+        models = build_core(staged, as_of, only_day)
+        warehouse.replace_core(models, database, only_day)
+        if only_day is None:
+            changes.remember(spark, database)
     sums.create_views(spark, database)
     sums.create_functions(spark, database)
 
 
 def drop_expired(
     spark: SparkSession, base: str, database: str, as_of: dt.date | str, days: int
-) -> None:
-    """Delete what is `days` old or older, from both zones and from every table."""
+) -> list[dt.date]:
+    """Delete what is `days` old or older, from both zones and from every table.
+
+    Returns the days that the raw tables have lost.
+    """
     landing.drop_expired_folders(spark, base, as_of, days)
-    for name in [f"raw_{e}" for e in ENTITIES] + list(CORE_COLUMNS):
+    expired: set[dt.date] = set()
+    for name in [f"raw_{e}" for e in ENTITIES]:
+        expired.update(warehouse.drop_expired_days(spark, database, name, as_of, days))
+    warehouse.create_core_tables(spark, database)
+    for name in CORE_COLUMNS:
         warehouse.drop_expired_days(spark, database, name, as_of, days)
     for part in (sums, bitmaps):
         part.create_table(spark, database)
         part.drop_expired(spark, database, as_of, days)
+    return sorted(expired)
 
 
 def run_day(
@@ -122,6 +137,7 @@ def run_day(
     *,
     as_of: dt.date | str | None = None,
     all_days: bool = False,
+    changed_only: bool = False,
     reload: bool = False,
     warehouse_text: bool = False,
     id_type: str = WIDE,
@@ -132,7 +148,8 @@ def run_day(
     """One whole run; returns the row count of every table.
 
     The core tables are refreshed for this day; all_days rebuilds them from all stored
-    days. With retain_days, what is older on this day is deleted at the end. A run with a
+    days, and changed_only gives the same by building anew only the customers of this day
+    and of the days that expire. With retain_days, what is older on this day is deleted at the end. A run with a
     run_id may be repeated after a failure, and goes on where it stopped. options are
     those of landing.read_source.
     """
@@ -150,8 +167,16 @@ def run_day(
     step("land", land)
     step("process", lambda: process_day(spark, base, day, id_type, options.get("multi_line", False)))
     step("load", lambda: load_day(spark, base, day, database, reload, ledger))
-    step("models", lambda: build_models(spark, database, as_of, None if all_days else day, warehouse_text))
-    if retain_days is not None:
+
+    def model() -> None:
+        changed = None
+        if changed_only:
+            gone = [] if retain_days is None else drop_expired(spark, base, database, day, retain_days)
+            changed = [day, *gone]
+        build_models(spark, database, as_of, None if all_days else day, warehouse_text, changed)
+
+    step("models", model)
+    if retain_days is not None and not changed_only:
         step("expire", lambda: drop_expired(spark, base, database, day, retain_days))
     tables = [f"raw_{e}" for e in ENTITIES] + list(CORE_COLUMNS)
     return warehouse.row_counts(spark, database, tables)

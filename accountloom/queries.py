@@ -19,7 +19,7 @@ from accountloom.operators import (
     with_ingestion_date,
     within_days,
 )
-from accountloom.plans import bitmaps, cleaning, core, daily, dashboard, staging, sums
+from accountloom.plans import bitmaps, changes, cleaning, core, daily, dashboard, staging, sums
 from accountloom.schemas import CORE_COLUMNS, DAY, ENTITIES, raw_columns
 from accountloom.settings import apply_plan_settings, scratch_folder, size_for, stored_bytes
 from accountloom.sources import landing, warehouse
@@ -223,6 +223,20 @@ def materialize(model: str) -> Callable[[Layers], DataFrame]:
     return run
 
 
+def refreshed_by_change(model: str) -> Callable[[Layers], DataFrame]:
+    """A core table of one day, then brought up to date for a tenth of the customers."""
+
+    def run(x: Layers) -> DataFrame:
+        database = _loaded(x, *ENTITIES)
+        daily.build_models(x.spark, database, RENEWALS_AS_OF)
+        few = {e: with_ingestion_date(x.raw[e].filter("customer_id % 10 = 3"), NEXT_DAY) for e in ENTITIES}
+        warehouse.append_raw(few, database)
+        daily.build_models(x.spark, database, RENEWALS_AS_OF, changed_days=[NEXT_DAY])
+        return x.spark.table(f"{database}.{model}")
+
+    return run
+
+
 def retention_drop_days(x: Layers) -> DataFrame:
     """As retention_30d, on a stored table: whole days are dropped from it."""
     database = x.database()
@@ -374,6 +388,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "materialize_core": materialize("dim_customers"),
     "materialize_fact_deals": materialize("fact_deals"),
     "materialize_dim_subscriptions": materialize("dim_subscriptions"),
+    **{f"{m}_by_change": refreshed_by_change(m) for m in CORE_COLUMNS},
     "retention_30d": lambda x: retain(x.snapshots, HEALTH_AS_OF, 30),
     "retention_drop_days": retention_drop_days,
     "retention_drop_folders": retention_drop_folders,

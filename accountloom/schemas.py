@@ -75,6 +75,9 @@ SUM_COLUMNS = {
 # Customers with a deal in a stage, a bit each.
 BITMAP_COLUMNS = ["deal_stage", "bucket", "customers", DAY]
 
+# The customers that a day has rows of.
+KEY_COLUMNS = ["customer_id", DAY]
+
 CORE_CLUSTERING = {
     "fact_deals": ["deal_stage", "plan_tier"],
     "dim_customers": ["plan_tier"],

@@ -290,8 +290,8 @@ def drop_expired_days(
     name: str,
     as_of: dt.date | str | None = None,
     days: int = 30,
-) -> None:
-    """Drop the day partitions that retain() would not keep.
+) -> list[dt.date]:
+    """Drop the day partitions that retain() would not keep, and return their days.
 
     Works on the catalog's partition list, a row per day; no data is read or
     rewritten. Rows without a day have no age and stay.
@@ -302,10 +302,11 @@ def drop_expired_days(
     )
     dated = listed.filter(F.col(DAY).isNotNull())
     replaced = versions.finished(spark, folder)
-    for row in dated.exceptAll(retain(dated, as_of, days)).collect():
-        day = row[DAY].isoformat()
+    expired = sorted(row[DAY] for row in dated.exceptAll(retain(dated, as_of, days)).collect())
+    for day in map(dt.date.isoformat, expired):
         place = _day_location(spark, table, day)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_day_spec(day)}")
         # A table put back over its files does not own them.
         for path in {place, f"{folder}/{DAY}={day}", *(v.path for v in replaced if v.of == day)} - {None}:
             files.delete(spark, path)
+    return expired

@@ -112,6 +112,10 @@ for _entity in ENTITIES:
     SELECT * FROM raw_{_entity}
     UNION ALL SELECT * REPLACE ({NEXT_DAY} AS ingestion_date) FROM raw_{_entity}"""
 
+    CTES[f"more_{_entity}"] = f"""
+    SELECT * FROM raw_{_entity}
+    UNION ALL SELECT * REPLACE ({NEXT_DAY} AS ingestion_date) FROM raw_{_entity} WHERE customer_id % 10 = 3"""
+
 CTES["snap_customers"] = """
     SELECT * REPLACE (DATE '2024-12-01' + cast(customer_id % 45 AS int) AS ingestion_date)
     FROM raw_customers"""
@@ -160,6 +164,8 @@ _stage("stg_", "raw_")
 _core("stg_", "")
 _stage("stg_twice_", "twice_")
 _core("stg_twice_", "_twice")
+_stage("stg_more_", "more_")
+_core("stg_more_", "_more")
 
 CTES["deal_distribution_by_stage"] = """
     SELECT deal_stage, count(*) AS deal_count, round(sum(deal_value), 2) AS total_value,

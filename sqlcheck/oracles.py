@@ -63,6 +63,7 @@ _STATEMENTS = {
     "materialize_fact_deals": "SELECT * FROM fact_deals",
     "materialize_dim_subscriptions": "SELECT * FROM dim_subscriptions",
     **{f"stored_stg_{e}": f"SELECT * FROM stg_{e}" for e in ENTITIES},
+    **{f"{m}_by_change": f"SELECT * FROM {m}_more" for m in CORE_COLUMNS},
     "retention_30d": f"SELECT * FROM snap_customers WHERE ingestion_date > {HEALTH_AS_OF} - 30",
     "retention_drop_days": f"""
         SELECT * FROM snap_customers WHERE ingestion_date > {HEALTH_AS_OF} - 30""",

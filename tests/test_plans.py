@@ -14,7 +14,7 @@ WRITES = {
     name
     for name in _QUERIES
     if name.startswith(("summed_", "scan_", "sink_", "load_", "land_", "create_", "materialize_", "stored_"))
-} | {"retention_drop_days", "retention_drop_folders", "verify_counts", "read_pruned_range", "health_check_on_a_day", "read_one_customer", "cross_filter_stored_bitmaps", "daily_run", "daily_run_repeated"}
+} | {"retention_drop_days", "retention_drop_folders", "verify_counts", "read_pruned_range", "health_check_on_a_day", "read_one_customer", "cross_filter_stored_bitmaps", "daily_run", "daily_run_repeated"} | {n for n in _QUERIES if n.endswith("_by_change")}
 
 
 @pytest.fixture(scope="module")
