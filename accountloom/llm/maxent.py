@@ -380,6 +380,22 @@ class Model:
         return out
 
 
+def _sums(rows: np.ndarray, at: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sum of rows[at] for each run of places: most runs are short, and added place by place."""
+    out = _rows(rows, at[starts])
+    longer, done = np.flatnonzero(sizes > 1), 1
+    while len(longer) and done < 4:
+        out[longer] += _rows(rows, at[starts[longer] + done])
+        done += 1
+        longer = longer[sizes[longer] > done]
+    if len(longer):
+        left = sizes[longer] - done
+        first = np.cumsum(left) - left
+        places = np.repeat(starts[longer] + done - first, left) + np.arange(left.sum())
+        out[longer] += np.add.reduceat(_rows(rows, at[places]), first, axis=0)
+    return out
+
+
 class Trainer:
     """Gradient steps (Adagrad) on one task's documents from given weights."""
 
@@ -396,7 +412,8 @@ class Trainer:
         order = np.argsort(flat, kind="stable")
         flat = flat[order].astype(np.int64)
         starts = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-        gradient = np.add.reduceat(_rows(wrong, order % wrong.shape[0]), starts, axis=0)
+        sizes = np.diff(np.r_[starts, len(flat)])
+        gradient = _sums(wrong, order % wrong.shape[0], starts, sizes)
         touched = flat[starts]
         squares = _rows(self._squares[which], touched)
         squares += gradient * gradient
@@ -405,7 +422,7 @@ class Trainer:
         gradient *= RATE
         gradient /= squares
         weights[touched] -= gradient
-        self.seen[which][touched] += np.diff(np.r_[starts, len(flat)])
+        self.seen[which][touched] += sizes
 
     def learn(self, features: np.ndarray, kinds: np.ndarray, places: np.ndarray) -> None:
         model = self.model

@@ -205,3 +205,11 @@ def test_softmax_of_any_weights(scale):
     found = maxent._log_chosen(bias, weights, features, chosen)
     assert np.allclose(found, wanted[np.arange(200), chosen], rtol=1e-3, atol=1e-3)
     assert np.allclose(maxent._softmax(bias, weights, features), np.exp(wanted), atol=1e-4)
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(1)
+    sizes = np.r_[rng.integers(1, 9, 40), 1, 300, 1]
+    at = rng.integers(0, 50, sizes.sum())
+    rows, starts = rng.normal(size=(50, 6)), np.cumsum(sizes) - sizes
+    assert np.allclose(maxent._sums(rows, at, starts, sizes), np.add.reduceat(rows[at], starts, axis=0))
