@@ -13,13 +13,16 @@ windows share at the same place. The passes are
 3. what differs, window by window, eight bytes a digit, to the full depth.
 
 Passes 2 and 3 compare bytes. Blocks send each distinct string once, so a passage that
-a third of all documents share costs one entry per block.
+a third of all documents share costs one entry per block. A gram with very many different
+strings, a stock phrase in ever other surroundings, would bring all of them to one task.
+Its windows are dealt by 128 bits of hash of their own bytes instead, which stand for them.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +40,16 @@ from accountloom.llm.common import prepare
 
 DEPTH = 50
 GRAM = 24
+# A bit of a mask for each window of an anchor.
+MOST_WINDOWS = 32
+# Strings of one gram that may meet in a task; counts are known within a factor of four.
+HOT_STRINGS = 50_000
 AT_ONCE = 1 << 18
 WINDOWS_AT_ONCE = 1 << 17
 
 _TABLE = np.random.default_rng(50).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = np.random.default_rng(51).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_OTHER = np.random.default_rng(52).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP = np.random.default_rng(51).integers(1, 2**63, 1 << 12, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -49,9 +57,9 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+def gram_hashes(data: np.ndarray, size: int, table: np.ndarray = _TABLE) -> np.ndarray:
     """A hash of each run of size bytes, by doubling."""
-    power, width, out, have = _TABLE[data], 1, None, 0
+    power, width, out, have = table[data], 1, None, 0
     n = len(data) - size + 1
     while True:
         if size & width:
@@ -134,6 +142,11 @@ class Ranked:
             return np.empty(0, bool)
         return np.minimum.reduceat(self._doc, self.starts) < np.maximum.reduceat(self._doc, self.starts)
 
+    def levels(self) -> np.ndarray:
+        """How often each gram occurs, as a power of four, 7 at most."""
+        counts = np.diff(np.r_[self.starts, len(self.order)])
+        return np.minimum(np.floor(np.log2(np.maximum(counts, 1)) / 2), 7).astype(np.uint64)
+
 
 def radix_groups(first: list[np.ndarray], lines: np.ndarray) -> np.ndarray:
     """Group number of each row by all digits, most significant first; -1 for rows alone.
@@ -224,16 +237,69 @@ def window_masks(
     return (hit * bits).sum(axis=1, dtype=np.uint32)
 
 
+class HotWindows:
+    """The windows of a block's anchors of hot grams: place and document of each, and the distinct ones."""
+
+    def __init__(self, anchors: Anchors, kept: np.ndarray, block: Block, depth: int, buckets: int):
+        many = anchors.last[kept] - anchors.first[kept] + 1
+        rows = np.repeat(kept, many)
+        self.at = anchors.first[rows] + np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many)
+        self.doc = block.ids[anchors.doc[rows]]
+        if not len(rows):
+            self.hashes, self.least, self.number, self.runs = np.empty((2, 0), np.uint64), self.doc, self.at, []
+            return
+        data = np.frombuffer(anchors.text, np.uint8)
+        both = np.stack([gram_hashes(data, depth, table)[self.at] for table in (_TABLE, _OTHER)])
+        order = np.lexsort(both[::-1])
+        new = np.r_[True, (both[:, order[1:]] != both[:, order[:-1]]).any(axis=0)]
+        self.number = np.empty(len(order), np.int64)
+        self.number[order] = np.cumsum(new) - 1
+        self.hashes = both[:, order[new]]
+        self.least = np.minimum.reduceat(self.doc[order], np.flatnonzero(new))
+        self.runs = slices(buckets_of(self.hashes[0], buckets).astype(np.int64))
+
+    def repeated(self, answers: dict[int, bytes]) -> np.ndarray:
+        """Where the windows start that a smaller document has too."""
+        smaller = np.zeros(len(self.least), bool)
+        for bucket, a, b in self.runs:
+            smaller[a:b] = np.unpackbits(np.frombuffer(answers[bucket], np.uint8))[: b - a]
+        return self.at[(self.doc > self.least[self.number]) | smaller[self.number]]
+
+
+def smaller_elsewhere(hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For each entry whether an entry of the same two hashes has a smaller document."""
+    order = np.lexsort(hashes[::-1])
+    new = np.r_[True, (hashes[:, order[1:]] != hashes[:, order[:-1]]).any(axis=0)]
+    least = np.minimum.reduceat(docs[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    out = np.empty(len(order), bool)
+    out[order] = least < docs[order]
+    return out
+
+
 class Candidates:
     """Anchors of a block whose gram other documents have too, and their distinct strings."""
 
-    def __init__(self, block: Block, replies: dict[int, bytes], depth: int, gram: int, buckets: int):
+    def __init__(
+        self,
+        block: Block,
+        replies: dict[int, bytes],
+        hot_replies: dict[int, bytes],
+        depth: int,
+        gram: int,
+        buckets: int,
+    ):
         anchors = Anchors(block, depth, gram)
         ranked = Ranked(anchors, block.ids)
         flags = np.zeros(len(ranked.grams), bool)
         for bucket, a, b in slices(buckets_of(ranked.grams, buckets).astype(np.int64)):
             flags[a:b] = np.unpackbits(np.frombuffer(replies[bucket], np.uint8))[: b - a]
-        kept = ranked.order[flags[np.cumsum(ranked.new) - 1]]
+        hot = np.zeros(len(ranked.grams), bool)
+        for bucket, a, b in slices(buckets_of(ranked.grams, buckets).astype(np.int64)):
+            if bucket in hot_replies:
+                hot[a:b] = np.unpackbits(np.frombuffer(hot_replies[bucket], np.uint8))[: b - a]
+        number_of = np.cumsum(ranked.new) - 1
+        self.hot = HotWindows(anchors, ranked.order[hot[number_of]], block, depth, buckets)
+        kept = ranked.order[(flags & ~hot)[number_of]]
         # Equal grams keep the order of their places, which any task finds again.
         kept = kept[np.lexsort((kept, anchors.gram[kept]))]
         self.first, self.last = anchors.first[kept], anchors.last[kept]
@@ -293,9 +359,10 @@ _REPLY_TYPES = {"block": pa.int32(), "bucket": pa.int32(), "kind": pa.int32(), "
 def without_repeats(
     docs: DataFrame,
     depth: int = DEPTH,
-    gram: int = GRAM,
+    gram: int | None = None,
     block_bytes: int = BLOCK_BYTES,
     as_text: bool = False,
+    hot_strings: int = HOT_STRINGS,
 ) -> DataFrame:
     """Every document with what is left of its text once repeated byte strings are removed.
 
@@ -305,10 +372,14 @@ def without_repeats(
     Each byte covered by a string of depth bytes that also starts in a document with a
     smaller doc_id goes; strings are judged on the input. A null text is empty. Rows with
     one id do not affect each other; a null id counts as larger than all others, and
-    rows without an id do not affect each other. An empty table gives no rows. A string's
-    anchors are found by 64-bit hashes of their grams, of which 47 bits are compared across
+    rows without an id do not affect each other. An empty table gives no rows. gram is as
+    long as the depth asks for, 24 at least; an anchor has at most 32 windows. A string's
+    anchors are found by 64-bit hashes of their grams, of which 44 bits are compared across
     blocks; a chance match costs work and cannot remove anything.
     """
+    gram = max(GRAM, depth - MOST_WINDOWS + 6) if gram is None else gram
+    if not 0 < gram <= depth < gram + MOST_WINDOWS or gram >= len(_STEP):
+        raise ValueError(f"a gram of {gram} bytes for a depth of {depth}: 0 < gram <= depth < gram + {MOST_WINDOWS}")
     prepare(docs.sparkSession)
     blocks = block_count(docs, block_bytes)
     buckets = max(LEAST_BUCKETS, blocks)
@@ -318,7 +389,9 @@ def without_repeats(
         block = Block(rows)
         ranked = Ranked(Anchors(block, depth, gram), block.ids)
         grams = ranked.grams
-        packed = ((grams & np.uint64((1 << 39) - 1)) << np.uint64(1)) | ranked.several().astype(np.uint64)
+        # 36 bits of the gram beside those of its bucket, 3 of its count, and whether it is shared.
+        packed = (grams & np.uint64((1 << 36) - 1)) << np.uint64(4)
+        packed |= (ranked.levels() << np.uint64(1)) | ranked.several().astype(np.uint64)
         runs = slices(buckets_of(grams, buckets).astype(np.int64))
         return _arrow(
             {
@@ -332,26 +405,35 @@ def without_repeats(
     def answer_grams(key: tuple, rows: pa.Table) -> pa.Table:
         sent = [_from_five(x) for x in rows.column("grams").to_pylist()]
         packed = np.concatenate(sent)
-        order = np.argsort(packed >> np.uint64(1), kind="stable")
-        gram_sorted = packed[order] >> np.uint64(1)
+        order = np.argsort(packed >> np.uint64(4), kind="stable")
+        gram_sorted = packed[order] >> np.uint64(4)
         same = np.r_[False, gram_sorted[1:] == gram_sorted[:-1]]
         flags = np.empty(len(packed), bool)
         flags[order] = same | np.r_[same[1:], False]
         flags |= (packed & np.uint64(1)).astype(bool)
-        parts = np.split(flags, np.cumsum([len(x) for x in sent])[:-1])
+        often = np.left_shift(1, 2 * ((packed[order] >> np.uint64(1)) & np.uint64(7)).astype(np.int64))
+        total = np.add.reduceat(often, np.flatnonzero(~same))
+        hot = np.empty(len(packed), bool)
+        hot[order] = (total >= hot_strings)[np.cumsum(~same) - 1]
+        hot &= flags
+        ends = np.cumsum([len(x) for x in sent])[:-1]
+        blocks_of = rows.column("block").to_pylist()
+        some = [(b, h) for b, h in zip(blocks_of, np.split(hot, ends)) if h.any()]
+        replies = [(b, 1, x) for b, x in zip(blocks_of, np.split(flags, ends))] + [(b, 3, h) for b, h in some]
         return _arrow(
             {
-                "block": rows.column("block").to_pylist(),
-                "bucket": [key[0].as_py()] * len(sent),
-                "kind": [1] * len(sent),
-                "reply": [np.packbits(x).tobytes() for x in parts],
+                "block": [r[0] for r in replies],
+                "bucket": [key[0].as_py()] * len(replies),
+                "kind": [r[1] for r in replies],
+                "reply": [np.packbits(r[2]).tobytes() for r in replies],
             },
             _REPLY_TYPES,
         )
 
     def candidates(rows: pa.Table, replies: pa.Table) -> tuple[Block, Candidates]:
         block = Block(rows)
-        return block, Candidates(block, _joined_replies(replies, 1), depth, gram, buckets)
+        known = (_joined_replies(replies, kind) for kind in (1, 3))
+        return block, Candidates(block, *known, depth, gram, buckets)
 
     def ask_windows(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
         _, found = candidates(rows, replies)
@@ -360,16 +442,18 @@ def without_repeats(
         # Half a gram's hash is enough to tell apart the grams of a bucket; where two
         # agree by chance, their strings' bytes do not.
         grams = found.grams.astype(np.uint32)
+        # Windows of hot grams: their hashes stand in the columns of grams and texts.
+        hot = found.hot
         return _arrow(
             {
-                "bucket": [r[0] for r in runs],
-                "block": [key[0].as_py()] * len(runs),
-                "grams": [grams[a:b].tobytes() for _, a, b in runs],
-                "docs": [found.least[a:b].tobytes() for _, a, b in runs],
-                "places": [found.places[a:b].tobytes() for _, a, b in runs],
-                "counts": [found.counts[a:b].tobytes() for _, a, b in runs],
-                "texts": [_packed(x) for x in texts],
-                "texts_size": [len(x) for x in texts],
+                "bucket": [r[0] for r in runs + hot.runs],
+                "block": [key[0].as_py()] * len(runs + hot.runs),
+                "grams": [grams[a:b].tobytes() for _, a, b in runs] + [hot.hashes[0, a:b].tobytes() for _, a, b in hot.runs],
+                "docs": [found.least[a:b].tobytes() for _, a, b in runs] + [hot.least[a:b].tobytes() for _, a, b in hot.runs],
+                "places": [found.places[a:b].tobytes() for _, a, b in runs] + [None] * len(hot.runs),
+                "counts": [found.counts[a:b].tobytes() for _, a, b in runs] + [None] * len(hot.runs),
+                "texts": [_packed(x) for x in texts] + [hot.hashes[1, a:b].tobytes() for _, a, b in hot.runs],
+                "texts_size": [len(x) for x in texts] + [None] * len(hot.runs),
             },
             {"bucket": pa.int32(), "block": pa.int32()}
             | {c: pa.binary() for c in ("grams", "docs", "places", "counts", "texts")}
@@ -377,25 +461,36 @@ def without_repeats(
         )
 
     def answer_windows(key: tuple, rows: pa.Table) -> pa.Table:
-        def all_of(name: str, kind: type) -> np.ndarray:
-            return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
-
-        masks = window_masks(
-            all_of("grams", np.uint32).astype(np.uint64),
-            all_of("docs", np.int64),
-            all_of("places", np.uint8),
-            all_of("counts", np.uint8).astype(np.int64),
-            _unpacked(rows, "texts"),
-            depth,
-        )
-        sizes = [len(x) for x in rows.column("places").to_pylist()]
-        parts = np.split(masks, np.cumsum(sizes)[:-1])
+        def all_of(some: pa.Table, name: str, kind: type) -> np.ndarray:
+            return np.frombuffer(b"".join(some.column(name).to_pylist()), kind)
+
+        is_hot = pc.is_null(rows.column("texts_size"))
+        hot, rows = rows.filter(is_hot), rows.filter(pc.invert(is_hot))
+        replies: list[tuple[int, int, bytes]] = []
+        if rows.num_rows:
+            masks = window_masks(
+                all_of(rows, "grams", np.uint32).astype(np.uint64),
+                all_of(rows, "docs", np.int64),
+                all_of(rows, "places", np.uint8),
+                all_of(rows, "counts", np.uint8).astype(np.int64),
+                _unpacked(rows, "texts"),
+                depth,
+            )
+            sizes = [len(x) for x in rows.column("places").to_pylist()]
+            parts = np.split(masks, np.cumsum(sizes)[:-1])
+            replies += [(b, 2, x.tobytes()) for b, x in zip(rows.column("block").to_pylist(), parts)]
+        if hot.num_rows:
+            hashes = np.stack([all_of(hot, name, np.uint64) for name in ("grams", "texts")])
+            smaller = smaller_elsewhere(hashes, all_of(hot, "docs", np.int64))
+            sizes = [len(x) // 8 for x in hot.column("docs").to_pylist()]
+            parts = np.split(smaller, np.cumsum(sizes)[:-1])
+            replies += [(b, 4, np.packbits(x).tobytes()) for b, x in zip(hot.column("block").to_pylist(), parts)]
         return _arrow(
             {
-                "block": rows.column("block").to_pylist(),
-                "bucket": [key[0].as_py()] * len(sizes),
-                "kind": [2] * len(sizes),
-                "reply": [x.tobytes() for x in parts],
+                "block": [r[0] for r in replies],
+                "bucket": [key[0].as_py()] * len(replies),
+                "kind": [r[1] for r in replies],
+                "reply": [r[2] for r in replies],
             },
             _REPLY_TYPES,
         )
@@ -419,6 +514,9 @@ def without_repeats(
             hit = own[(masks[found.string[own]] >> np.uint32(j)) & np.uint32(1) == 1]
             np.add.at(change, found.first[hit] + j, 1)
             np.add.at(change, found.first[hit] + j + depth, -1)
+        hit = found.hot.repeated(_joined_replies(replies, 4))
+        np.add.at(change, hit, 1)
+        np.add.at(change, hit + depth, -1)
         gone = np.cumsum(change[:-1]) > 0
         data = np.frombuffer(b"".join(block.texts), np.uint8)
         kept, removed, spans = [], [], []

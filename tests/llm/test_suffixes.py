@@ -53,6 +53,38 @@ def test_against_brute_force(spark):
     assert answer(found) == plain(texts)
 
 
+@pytest.mark.parametrize("hot_strings", [1, 4, 16])
+def test_hot_grams_are_dealt_by_window(spark, hot_strings):
+    texts = shared_passages()
+    stock = "the stock phrase that all of them have in common, "
+    texts += [(200 + i, f"{prose(700 + i, 4)} {stock}{prose(800 + i % 7, 9)} {stock}{prose(i, 3)}") for i in range(40)]
+    texts += [(None, texts[-1][1]), (230, texts[-2][1])]
+    found = suffixes.without_repeats(clashing(documents(spark, texts)), block_bytes=2000, hot_strings=hot_strings)
+    assert answer(found) == plain(texts)
+
+
+@pytest.mark.parametrize("depth, gram", [(100, None), (100, 80), (30, None), (24, 24), (60, 29), (300, None)])
+def test_other_depths(spark, depth, gram):
+    texts = shared_passages() + [(i, prose(9, 90) + prose(i, 5)) for i in (90, 91)]
+    found = suffixes.without_repeats(documents(spark, texts), depth, gram, block_bytes=2000)
+    assert answer(found) == plain(texts, depth)
+
+
+@pytest.mark.parametrize("depth, gram", [(100, 24), (50, 51), (50, 0), (50, 18)])
+def test_depths_that_an_anchor_cannot_cover(spark, depth, gram):
+    with pytest.raises(ValueError, match="gram"):
+        suffixes.without_repeats(documents(spark, {1: "a"}), depth, gram)
+
+
+def test_windows_of_a_stock_phrase_stay_small():
+    """The windows of two million different surroundings reach a task in parts by hash."""
+    rng = np.random.default_rng(5)
+    hashes, docs = rng.integers(0, 2**63, (2, 300_000), dtype=np.uint64), rng.integers(0, 10**6, 300_000)
+    hashes[:, 1000:2000] = hashes[:, :1000]
+    found = suffixes.smaller_elsewhere(hashes, docs)
+    assert (found[:1000] == (docs[1000:2000] < docs[:1000])).all() and not found[2000:].any()
+
+
 def test_repeated_ids_null_ids_and_empty_table(spark):
     a, b = prose(1, 60), prose(2, 60)
     texts = [(5, a), (5, a), (None, a), (None, b), (None, b), (4, b), (9, b + a)]
