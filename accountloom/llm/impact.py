@@ -1,6 +1,7 @@
 """Exact top-k inner products from an impact-ordered index, score at a time.
 
-Vectors are dealt to blocks of bounded size. A block's index holds, per dimension,
+Vectors are dealt to blocks of bounded size, each indexed by one task, and queries are sent
+to all of them. A block's index holds, per dimension,
 the postings sorted by value and cut into segments of one quantised value. For a
 query, a segment's impact is the least its postings add to a score, counted from
 the dimension's least contribution. Segments are taken by descending impact. What a
@@ -11,8 +12,10 @@ proves that few vectors can be among the best, and those are scored again exactl
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +24,8 @@ from accountloom.llm.common import prepare, stored
 
 K = 10
 BLOCK = 8192
-QUERY_BLOCK = 1024
-LEVEL_BITS = 5
+# With 7 bits rounding leaves a few per cent of the rows to be scored again; with 5 most.
+LEVEL_BITS = 7
 ROUNDS = 8
 
 
@@ -77,17 +80,11 @@ class ImpactIndex:
             to = len(order) if step == ROUNDS else min(max(to, at), len(order))
             part = order[at:to]
             if len(part):
-                ids = np.concatenate(
-                    [
-                        self.postings[d, s:e]
-                        for d, s, e in zip(
-                            self.seg_dim[part].tolist(),
-                            self.seg_start[part].tolist(),
-                            self.seg_end[part].tolist(),
-                        )
-                    ]
-                )
-                gain = np.repeat(impact[part], lengths[at:to])
+                size = lengths[at:to]
+                starts = self.seg_dim[part] * self.n + self.seg_start[part]
+                places = np.repeat(starts - np.cumsum(size) + size, size) + np.arange(size.sum())
+                ids = self.postings.ravel()[places]
+                gain = np.repeat(impact[part], size)
                 gained += np.bincount(ids, gain, self.n)
                 unseen -= np.bincount(ids, minlength=self.n)
             at = to
@@ -111,19 +108,50 @@ def quantised(vectors: DataFrame, scale: int = 1024) -> DataFrame:
     )
 
 
-def _matrix(rows: pd.Series, dims: int) -> np.ndarray:
+def _matrix(rows: list[list[int]], dims: int) -> np.ndarray:
     out = np.zeros((len(rows), dims), np.int64)
     for i, row in enumerate(rows):
         out[i, : len(row)] = row
     return out
 
 
+_FOUND = {"query_id": pa.int64(), "query": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
+
+
+def _searched(k: int):
+    """Blocks of vectors, each followed by the queries: a block is indexed once, queries pass by."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, index, ids, rows = None, None, np.empty(0, np.int64), []
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            for own, e, key, at in zip(*(batch.column(c).to_pylist() for c in ("vec_id", "e", "query", "block"))):
+                if at != block:
+                    block, index, rows = at, None, []
+                if key is None:
+                    rows.append((own, e))
+                    continue
+                if not rows and index is None:
+                    continue
+                if index is None:
+                    index = ImpactIndex(_matrix([r[1] for r in rows], max(len(r[1]) for r in rows)))
+                    ids, rows = np.array([r[0] for r in rows], np.int64), []
+                # What one vector has beyond the other's end meets zeros.
+                vector = _matrix([e[: index.dims]], index.dims)[0]
+                members, scores = index.top(vector, k, ids != own)
+                best = np.lexsort((ids[members], -scores))[:k]
+                for column, value in zip(out, ([own] * len(best), [key] * len(best), ids[members[best]], scores[best])):
+                    column.extend(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _FOUND.values())], names=list(_FOUND))
+
+    return run
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
     k: int = K,
     block: int = BLOCK,
-    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): each query row's k best other rows.
 
@@ -138,38 +166,15 @@ def top_k(
     own_id, queried = F.coalesce("vec_id", F.lit(NO_ID)), F.col("vec_id").isNotNull() & is_query
     kept = stored(vectors.select(own_id.alias("vec_id"), "e", queried.alias("asked")), "vectors")
     asked = stored(kept.filter("asked").select("vec_id", "e").distinct(), "queries")
-    n, q = kept.count(), asked.count()
-    blocks, query_blocks = max(1, -(-n // block)), max(1, -(-q // query_block))
-    dealt = F.monotonically_increasing_id()
-    index = kept.select("vec_id", "e", (dealt % blocks).alias("block")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block")
-    )
-    queries = asked.select(
-        "vec_id", "e", F.xxhash64("e").alias("query"), (dealt % query_blocks).cast("int").alias("query_block")
-    ).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-
-    def search(rows: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "query": [], "vec_id": [], "score": []}
-        if len(rows) and len(wanted):
-            dims = max(rows["e"].map(len).max(), wanted["e"].map(len).max())
-            found = ImpactIndex(_matrix(rows["e"], dims))
-            ids = rows["vec_id"].to_numpy(np.int64)
-            asked_for = _matrix(wanted["e"], dims)
-            for own, key, vector in zip(wanted["vec_id"], wanted["query"], asked_for):
-                members, scores = found.top(vector, k, ids != own)
-                best = np.lexsort((ids[members], -scores))[:k]
-                out["query_id"] += [own] * len(best)
-                out["query"] += [key] * len(best)
-                out["vec_id"] += ids[members[best]].tolist()
-                out["score"] += scores[best].tolist()
-        return pd.DataFrame(out)
-
-    keys = ["block", "query_block"]
-    best = (
-        index.groupBy(keys)
-        .cogroup(queries.groupBy(keys))
-        .applyInPandas(search, "query_id long, query long, vec_id long, score long")
-    )
+    blocks = max(1, -(-kept.count() // block))
+    dealt = F.monotonically_increasing_id() % blocks
+    # Every vector goes to one block, every query to all of them, after the block's vectors.
+    rows = kept.select("vec_id", "e", F.lit(None).cast("long").alias("query"), dealt.alias("block"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
+    queries = asked.select("vec_id", "e", F.xxhash64("e").alias("query"), each)
+    both = rows.unionByName(queries).withColumn("_is_query", F.col("query").isNotNull())
+    ordered = both.repartition(blocks, "block").sortWithinPartitions("block", "_is_query").drop("_is_query")
+    best = ordered.mapInArrow(_searched(k), "query_id long, query long, vec_id long, score long")
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.nullif("vec_id", F.lit(NO_ID)).alias("vec_id"), "score")

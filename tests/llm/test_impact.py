@@ -11,11 +11,11 @@ from accountloom.llm import impact
 from accountloom.llm.queries import llm_oracles, op9_top_k
 from tests.llm.support import SF
 
-SCHEMA = "vec_id long, embedding array<float>, label int, rank int, score string, block int"
+SCHEMA = "vec_id long, embedding array<float>, label int, rank int, score string, block int, query string, e int, asked int"
 
 
 def vectors(spark, rows):
-    return spark.createDataFrame([(i, v, 0, 1, "x", 2) for i, v in rows], SCHEMA)
+    return spark.createDataFrame([(i, v, 0, 1, "x", 2, "q", 3, 4) for i, v in rows], SCHEMA)
 
 
 def plain(rows, k, queries):
@@ -32,15 +32,15 @@ def answer(df):
     return sorted(map(tuple, df.select("query_id", "rank", "vec_id", "score").collect()), key=str)
 
 
-@pytest.mark.parametrize("block,query_block", [(7, 2), (1000, 1000)])
-def test_against_brute_force(spark, block, query_block):
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_against_brute_force(spark, block):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(0, 0.3, 6).tolist()) for i in range(60)]
     rows += [(100, rows[3][1]), (101, rows[3][1]), (102, [0.0] * 6), (103, None), (104, [1.0, None, 0.0, 0.0, 0.0, 0.0])]
     rows += [(105, [float("nan")] * 6), (106, [float("inf")] + [0.0] * 5), (107, [1.5, 2.0]), (None, rows[3][1])]
     queries = {0, 3, 20, 100, 102, 103, 107}
     ints = impact.quantised(vectors(spark, rows))
-    found = impact.top_k(ints, F.col("vec_id").isin(list(queries)), 5, block, query_block)
+    found = impact.top_k(ints, F.col("vec_id").isin(list(queries)), 5, block)
     assert answer(found) == plain(rows, 5, queries)
 
 
@@ -87,3 +87,12 @@ def test_registered_query(spark):
     df = op9_top_k(spark, SF)
     wanted = duck.sql(llm_oracles()["op9_top_k"]).select(*df.columns).fetchall()
     assert sorted(map(tuple, df.collect())) == sorted(wanted)
+
+
+def test_few_vectors_are_scored_again(spark):
+    """Of the rows of a given table, the index leaves less than a tenth."""
+    rows = impact.quantised(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")).collect()
+    vectors = np.array([r.e for r in rows])
+    index = impact.ImpactIndex(vectors)
+    left = [len(index._members(v, 10, np.ones(len(vectors), bool))) for v in vectors[::100]]
+    assert np.mean(left) < len(vectors) / 10
