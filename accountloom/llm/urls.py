@@ -175,8 +175,9 @@ def judged(
     """Every page's host, path, rule, template, branch, share of bad labels and verdict.
 
     pages needs page_id and url; other columns are ignored. A null url, or one without
-    ://, has empty host and path and is judged as a host of its own. Repeated rows stay
-    repeated. Without any label the corpus's share is one half and nothing is rejected.
+    ://, has empty host and path and is judged as a host of its own. Of rules that fit, the
+    longest counts; of equally long ones that with the longer host, then one that blocks.
+    Repeated rows stay repeated. Without any label the corpus's share is one half and nothing is rejected.
     An empty table gives no rows. Levels below depth are one wildcard.
     """
     prepare(pages.sparkSession)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import re
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -117,3 +119,80 @@ def test_few_labels_do_not_reject(spark):
 def test_rules(text, host, path):
     rule = urls.Rule("allow", text)
     assert (rule.host, rule.path) == (host, path)
+
+
+def plain_templates(rows, rules, depth=4, support=5, children=50, least=0.01, prior=2.0, z=1.96, reject_at=0.8):
+    """(template, branch, share, verdict) of each (host, path), by walking every tree with loops."""
+
+    def shape(path):
+        parts = path.split("/")[1:]
+        named = [re.sub("[0-9]+", "<n>", re.sub(r"\A[0-9a-fA-F-]{16,}\Z", "<hash>", p)) for p in parts[:depth]]
+        return tuple(named + ["**"] if len(parts) > depth else named)
+
+    def ruled(host, path):
+        fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        return max(fits, key=lambda r: (len(r.text), len(r.host), r.verdict == "block")).verdict if fits else None
+
+    template = {(h, shape(p)): shape(p) for h, p in rows}
+    count = Counter((h, shape(p)) for h, p in rows)
+    for level in range(depth):
+        names, nodes = Counter(), defaultdict(set)
+        for key, t in template.items():
+            if len(t) > level:
+                names[key[0], t[: level + 1]] += count[key]
+                nodes[key[0], t[:level]].add(t[: level + 1])
+        total = {k: sum(names[k[0], child] for child in v) for k, v in nodes.items()}
+        for key, t in template.items():
+            if len(t) > level:
+                n, node = names[key[0], t[: level + 1]], (key[0], t[:level])
+                if n < support or (len(nodes[node]) > children and n < least * total[node]):
+                    template[key] = (*t[:level], "*", *t[level + 1 :])
+    good, bad = Counter(), Counter()
+    for h, p in rows:
+        for size in range(len(template[h, shape(p)]) + 1):
+            verdict = ruled(h, p)
+            good[h, template[h, shape(p)][:size]] += verdict == "allow"
+            bad[h, template[h, shape(p)][:size]] += verdict == "block"
+    hosts = {h for h, _ in rows}
+    all_good, all_bad = (sum(c[h, ()] for h in hosts) for c in (good, bad))
+    corpus = (all_bad + 1) / (all_good + all_bad + 2)
+    out = {}
+    for host, path in rows:
+        t = template[host, shape(path)]
+        share = (bad[host, ()] + prior * corpus) / (good[host, ()] + bad[host, ()] + prior)
+        branch = ()
+        for size in range(1, len(t) + 1):
+            g, b = good[host, t[:size]], bad[host, t[:size]]
+            if g + b and abs(b / (g + b) - share) > z * (share * (1 - share) / (g + b)) ** 0.5:
+                share, branch = (b + prior * share) / (g + b + prior), t[:size]
+        own = "block" if share >= reject_at else "allow"
+        out[host, path] = ("/" + "/".join(t), "/" + "/".join(branch), round(share, 9), ruled(host, path) or own)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_templates_branches_and_shares_against_loops(spark, seed):
+    rng = random.Random(seed)
+    hosts = ["a.com", "b.a.com", "c.org", ""]
+    rules = [urls.Rule("block", "a.com/bad/"), urls.Rule("allow", "a.com/good/"), urls.Rule("block", "c.org/x1"), urls.Rule("allow", "c.org/x")]
+    first = ["bad", "bad", "good", "x1", "x2", "mixed", "n77", "0123456789abcdef0"]
+    rows = []
+    for _ in range(500):
+        parts = [rng.choice(first)] + [rng.choice(["p", "q", f"id{rng.randrange(90)}", f"w{rng.choice('abcdefgh')}"]) for _ in range(rng.randrange(6))]
+        rows.append((rng.choice(hosts[:3]), "/" + "/".join(parts)))
+    pages = spark.createDataFrame([(i, f"https://{h}{p}?q", "t", 1.0) for i, (h, p) in enumerate(rows)], "page_id long, url string, template string, share double")
+    wanted = plain_templates(rows, rules)
+    found = urls.judged(pages, rules).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert (r.template, r.branch, round(r.share, 9), r.verdict) == wanted[r.host, r.path]
+    assert any(r.rule is None and r.verdict == "block" for r in found)
+
+
+def test_very_long_urls_and_clashing_columns(spark):
+    long = "https://h.org/" + "a/" * 50_000 + "x" * 100_000
+    names = "page_id long, url string, host string, path string, rule string, shape string, n int, good int, bad int, name string"
+    rows = [(i, u, "h", "p", "r", "s", 1, 2, 3, "n") for i, u in enumerate([long, long + "?q=1", "https://h.org", None])]
+    found = {r.page_id: r for r in urls.judged(spark.createDataFrame(rows, names), [urls.Rule("block", "h.org/a/")]).collect()}
+    assert [found[i].verdict for i in range(4)] == ["block", "block", found[2].verdict, found[3].verdict]
+    assert found[0].path == long[len("https://h.org") :] == found[1].path and found[3].host == ""
