@@ -47,7 +47,7 @@ def check(spark, database, as_of):
             wanted = getattr(dashboard, name)(until, *extra)
             assert rows(spark.sql(f"SELECT * FROM {name}_on(DATE '{as_of}')")) == rows(wanted), name
             if not extra:
-                assert rows(spark.table(name)) == rows(getattr(dashboard, name)(raw[entity])), name
+                assert rows(spark.table(f"{database}.{name}")) == rows(getattr(dashboard, name)(raw[entity])), name
     finally:
         spark.sql("USE default")
 
