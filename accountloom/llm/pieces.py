@@ -12,8 +12,9 @@ number, a bit for each place where a piece starts. Units that hold a piece of wh
 is not so (runs of blanks, which no training merged) are left to the task that gathers the
 ids, as very long units are. Characters without a piece fall back to bytes.
 
-A batch of documents is packed as it is read. It sends its distinct units, one row per
-bucket, and gets their ids back in the same order.
+Documents are read twice, in the same blocks, which go by their content. The first time a
+block sends its distinct units, one row per bucket; the second time it meets their ids,
+in the same order.
 """
 
 from __future__ import annotations
@@ -27,21 +28,18 @@ import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountloom.llm.arrays import let
 from accountloom.llm.blocks import LEAST_BUCKETS, buckets_of, slices
-from accountloom.llm.common import prepare, stored
-from accountloom.settings import setting
+from accountloom.llm.common import prepare
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BLANK = "▁"
-# So much text has at most some 80,000 distinct units, whose edges a task groups by hash.
+# So much text has at most some 80,000 distinct units, whose edges a task groups.
 BUCKET_BYTES = 640 * 1024
 BLOCK_BYTES = 16 * 1024 * 1024
-GROUPED_AT_ONCE = "100000"
 # A place, also that after the last, has a bit of a positive 64-bit number; longer units are segmented by a loop in the task.
 LONGEST_FOLDED = 60
 
@@ -75,15 +73,20 @@ class Pieces:
         return max(len(n) for n, ok in zip(self.names, self.normal) if ok)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """Rows (piece, id, score, odd); as many as the vocabulary has, whatever the corpus.
+        """Rows (piece, id, score, rank, odd); as many as the vocabulary has, whatever the corpus.
 
         An odd piece of a byte-pair model comes about by a merge before which one of no
         higher score is needed.
         """
         long = LongUnits(self)
         odd = lambda n: self.merges and not long.falls(n)
-        rows = [(n, i, s, odd(n)) for i, (n, s, ok) in enumerate(zip(self.names, self.scores, self.normal)) if ok]
-        return spark.createDataFrame(rows, "piece string, id int, score double, odd boolean")
+        if len(self.names) >= 1 << ID_BITS:
+            raise ValueError(f"at most {(1 << ID_BITS) - 1} pieces have a place in an edge")
+        rank = {s: r for r, s in enumerate(sorted(set(self.scores), reverse=True))}
+        rows = [
+            (n, i, s, rank[s], odd(n)) for i, (n, s, ok) in enumerate(zip(self.names, self.scores, self.normal)) if ok
+        ]
+        return spark.createDataFrame(rows, "piece string, id int, score double, rank int, odd boolean")
 
 
 def units_of(text: str) -> list[str]:
@@ -102,53 +105,82 @@ def units_of(text: str) -> list[str]:
     return out + [blanks] if blanks else out
 
 
-def edges(units: DataFrame, table: DataFrame, longest: int, keys: list[str]) -> DataFrame:
-    """keys and edges: array of (start, size, score, id, odd) of every piece in the column unit.
+def _found(units: DataFrame, table: DataFrame, longest: int, keys: list[str]) -> DataFrame:
+    """A row for every piece in the column unit: keys, start, size and the piece's columns.
 
-    Places count from 1. A character without a piece has an edge without id.
+    Places count from 1. A character without a piece has a row of nulls.
     """
     size = F.length("unit")
     starts = units.select(*keys, F.explode(F.sequence(F.lit(1), size)).alias("start"))
     sizes = F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start") + 1))
     spans = starts.select(*keys, "start", F.explode(sizes).alias("size"))
     parts = spans.withColumn("piece", F.substring("unit", F.col("start"), F.col("size")))
-    found = parts.join(F.broadcast(table), "piece", "left").filter("size = 1 OR id IS NOT NULL")
-    return found.groupBy(*keys).agg(
-        F.collect_list(F.struct("start", "size", "score", "id", "odd")).alias("edges")
-    )
+    return parts.join(F.broadcast(table), "piece", "left").filter("size = 1 OR id IS NOT NULL")
 
 
-def _bit(place: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+def edges(units: DataFrame, table: DataFrame, longest: int, keys: list[str]) -> DataFrame:
+    """keys and edges: array of (start, size, score, id) of every piece in the column unit."""
+    edge = F.struct("start", "size", "score", "id")
+    return _found(units, table, longest, keys).groupBy(*keys).agg(F.collect_list(edge).alias("edges"))
 
 
-def merged_ids(unit: Column, found: Column, first_byte: int) -> Column:
-    """The ids of a byte-pair segmentation."""
+# An edge of a byte-pair lattice is one number: whether its piece is odd, the rank of its
+# score, its start, its size, and its id + 1 (0 for a character without a piece).
+ID_BITS, PLACE_BITS, RANK_BITS = 18, 6, 20
+_SIZE, _START, _RANK = ID_BITS, ID_BITS + PLACE_BITS, ID_BITS + 2 * PLACE_BITS
+ODD = 1 << (_RANK + RANK_BITS)
 
-    def masked(e: Column) -> Column:
-        first, last = _bit(e["start"]), _bit(e["start"] + e["size"])
-        ends = (first + last).alias("ends")
-        # All places inside the edge.
-        return F.struct((-e["score"]).alias("loss"), e["start"].alias("start"), ends, (last - first * 2).alias("inside"), e["id"].alias("id"))
 
-    def merge(starts: Column, e: Column) -> Column:
-        two = (starts.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(starts.bitwiseAND(e["inside"])) == 1)
-        return F.when(two, starts.bitwiseAND(F.bitwise_not(e["inside"]))).otherwise(starts)
+def _shifted(value: Column | int, bits: Column | int) -> Column:
+    value = F.lit(value) if isinstance(value, int) else value
+    return F.call_function("shiftleft", value.cast("long"), F.lit(bits) if isinstance(bits, int) else bits)
+
 
-    def chosen(edges: Column) -> Column:
-        whole = _bit(F.length(unit) + 2) - 2
-        longer = F.array_sort(F.filter(edges, lambda e: e["inside"] > 0))
+def _field(edge: Column, at: int, bits: int) -> Column:
+    return F.shiftright(edge, at).bitwiseAND(F.lit((1 << bits) - 1).cast("long")).cast("int")
 
-        def pieces(starts: Column) -> Column:
-            def is_piece(e: Column) -> Column:
-                return (starts.bitwiseAND(e["ends"]) == e["ends"]) & (starts.bitwiseAND(e["inside"]) == 0)
 
-            kept = F.array_sort(F.transform(F.filter(edges, is_piece), lambda e: F.struct(e["start"].alias("start"), e["id"].alias("id"))))
-            return F.flatten(F.transform(kept, lambda e: _piece_or_bytes(unit, e["start"], e["id"], first_byte)))
+def packed_edges(units: DataFrame, table: DataFrame, longest: int, keys: list[str]) -> DataFrame:
+    """keys and edges: an array of packed edges, of every piece in the column unit."""
+    rank, piece = F.coalesce("rank", F.lit((1 << RANK_BITS) - 1)), F.coalesce(F.col("id") + 1, F.lit(0))
+    edge = _shifted(rank, _RANK) + _shifted(F.col("start"), _START) + _shifted(F.col("size"), _SIZE) + piece
+    whole = edge + F.when(F.col("odd"), F.lit(ODD)).otherwise(0)
+    return _found(units, table, longest, keys).groupBy(*keys).agg(F.collect_list(whole).alias("edges"))
 
-        return let(F.aggregate(longer, whole, merge), pieces)
 
-    return let(F.transform(found, masked), chosen)
+def merged_ids(unit: Column, found: Column, first_byte: int) -> Column:
+    """The ids of a byte-pair segmentation, from packed edges."""
+
+    def places(e: Column) -> tuple[Column, Column]:
+        """The bits of an edge's two ends, and those of the places inside it."""
+        start = _field(e, _START, PLACE_BITS)
+        first, last = _shifted(1, start), _shifted(1, start + _field(e, _SIZE, PLACE_BITS))
+        return first + last, last - first * 2
+
+    def merge(starts: Column, e: Column) -> Column:
+        ends, inside = places(e)
+        two = (starts.bitwiseAND(ends) == ends) & (F.bit_count(starts.bitwiseAND(inside)) == 1)
+        return F.when(two, starts.bitwiseAND(F.bitwise_not(inside))).otherwise(starts)
+
+    def is_piece(starts: Column, e: Column) -> Column:
+        ends, inside = places(e)
+        return starts.bitwiseAND(ends + inside) == ends
+
+    def by_place(e: Column) -> Column:
+        return _shifted(_field(e, _START, PLACE_BITS), _START) + _field(e, 0, ID_BITS)
+
+    def ids(kept: Column) -> Column:
+        piece = lambda e: _field(e, 0, ID_BITS) - 1
+        known = F.forall(kept, lambda e: piece(e) >= 0)
+        mixed = F.transform(
+            kept, lambda e: _piece_or_bytes(unit, _field(e, _START, PLACE_BITS), F.nullif(piece(e), F.lit(-1)), first_byte)
+        )
+        return F.when(known, F.transform(kept, piece)).otherwise(F.flatten(mixed))
+
+    whole = _shifted(1, F.length(unit) + 2) - 2
+    longer = F.sort_array(F.filter(found, lambda e: _field(e, _SIZE, PLACE_BITS) > 1))
+    kept = lambda starts: F.sort_array(F.transform(F.filter(found, lambda e: is_piece(starts, e)), by_place))
+    return let(F.aggregate(longer, whole, merge), lambda starts: let(kept(starts), ids))
 
 
 def viterbi(found: Column, size: Column, unknown: float) -> Column:
@@ -210,12 +242,12 @@ def encoded_units(units: DataFrame, pieces: Pieces, keys: list[str]) -> DataFram
 
     A byte-pair unit has at most LONGEST_FOLDED characters; one with an odd piece gives no row.
     """
-    found = edges(units, pieces.table(units.sparkSession), pieces.longest, keys)
-    unit, lattice = F.col("unit"), F.col("edges")
+    table, unit, lattice = pieces.table(units.sparkSession), F.col("unit"), F.col("edges")
     if pieces.merges:
-        found = found.filter(~F.exists("edges", lambda e: F.coalesce(e["odd"], F.lit(False))))
+        found = packed_edges(units, table, pieces.longest, keys).filter(F.array_max("edges") < ODD)
         ids = merged_ids(unit, lattice, pieces.first_byte)
     else:
+        found = edges(units, table, pieces.longest, keys)
         ids = let(viterbi(lattice, F.length(unit), _unknown(pieces)), lambda bounds: _ids(unit, lattice, bounds, pieces.first_byte))
     return found.select(*keys, ids.alias("ids"))
 
@@ -323,6 +355,17 @@ def _packed(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+UNSTABLE = "the documents were not read in the same batches twice; store them first"
+
+
+def _named(texts: list[str]) -> int:
+    """A number for a block that tells it apart by its texts."""
+    whole = xxhash.xxh64()
+    for text in texts:
+        whole.update(f"{len(text)}:{text}")
+    return whole.intdigest() - (1 << 63)
+
+
 def _texts(batch: pa.RecordBatch | pa.Table) -> list[str]:
     return [(t or b"").decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
 
@@ -351,7 +394,8 @@ def encoded(
     docs needs doc_id and text; other columns are ignored. A null or empty text has no
     ids. A blank character of the model in a text counts as a space. Repeated rows are
     encoded alike, rows without an id too; an empty table gives no rows. A block of texts
-    (16 MB, or one longer text) and its units are in memory at once.
+    (16 MB, or one longer text) and its units are in memory at once. docs has to give
+    the same batches when it is read again, as files do; otherwise this raises.
     """
     spark = prepare(docs.sparkSession)
     pieces = pieces or Pieces.load()
@@ -363,22 +407,25 @@ def encoded(
     kind = "<u2" if len(pieces.names) <= 65_536 else "<u4"
     wide = int(kind[2])
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
+    def units_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _joined(batches, block_bytes):
-            _, _, units = _cut(_texts(batch))
+            texts = _texts(batch)
+            _, _, units = _cut(texts)
             order, runs = _asked(units, buckets)
-            sent = [None] + [[units[i] for i in order[a:b]] for _, a, b in runs]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([number] * len(sent), pa.int64()),
-                    pa.array([None] + [r[0] for r in runs], pa.int32()),
-                    pa.array([_packed(batch)] + [None] * len(runs), pa.binary()),
-                    pa.array(sent, pa.list_(pa.string())),
+                    pa.array([_named(texts)] * len(runs), pa.int64()),
+                    pa.array([r[0] for r in runs], pa.int32()),
+                    # No unit has a blank but its first, which is left out.
+                    pa.array([" ".join([units[i] for i in order[a:b]]) for _, a, b in runs], pa.string()),
                 ],
-                names=["block", "bucket", "docs", "units"],
+                names=["block", "bucket", "units"],
             )
-            number += 1
+
+    def packed_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _joined(batches, block_bytes):
+            name, data = _named(_texts(batch)), _packed(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([data], pa.binary())], names=["block", "docs"])
 
     def answer(key: tuple, rows: pa.Table, found: pa.Table) -> pa.Table:
         known = {
@@ -387,7 +434,7 @@ def encoded(
         }
         long = LongUnits(pieces)
         sizes, out = [], []
-        for units in rows.column("units").to_pylist():
+        for units in (x.split(" ") for x in rows.column("units").to_pylist()):
             for unit in units:
                 if unit not in known:
                     known[unit] = np.array(long.ids(BLANK + unit), kind).tobytes()
@@ -403,11 +450,19 @@ def encoded(
         )
 
     def assemble(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
-        batch = pa.ipc.open_stream(rows.column("docs")[0].as_buffer()).read_all()
-        ends, codes, units = _cut(_texts(batch))
-        order, runs = _asked(units, buckets)
         columns = (replies.column(c).to_pylist() for c in ("bucket", "sizes", "ids"))
         reply = {bucket: (sizes, ids) for bucket, sizes, ids in zip(*columns)}
+        if not rows.num_rows:
+            raise RuntimeError(UNSTABLE)
+        # Blocks go by their content, so repeated ones have one name and one reply.
+        return pa.concat_tables([block_ids(data.as_buffer(), reply) for data in rows.column("docs")])
+
+    def block_ids(data: pa.Buffer, reply: dict[int, tuple[bytes, bytes]]) -> pa.Table:
+        batch = pa.ipc.open_stream(data).read_all()
+        ends, codes, units = _cut(_texts(batch))
+        order, runs = _asked(units, buckets)
+        if any(b not in reply for b, _, _ in runs):
+            raise RuntimeError(UNSTABLE)
         sizes = np.zeros(len(units), np.int64)
         sizes[order] = np.concatenate([np.frombuffer(reply[b][0], "<u4") for b, _, _ in runs] or [np.zeros(0, "<u4")])
         values = np.concatenate([np.frombuffer(reply[b][1], kind) for b, _, _ in runs] or [np.zeros(0, kind)])
@@ -421,27 +476,22 @@ def encoded(
         ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[at].astype(np.int32)))
         return pa.table({"doc_id": batch.column("doc_id"), "ids": ids, "text": batch.column("text")})
 
-    packed = stored(
-        texts.mapInArrow(pack, "block long, bucket int, docs binary, units array<string>"), "packed-documents", compression="zstd"
-    )
-    asked = packed.filter("bucket IS NOT NULL").select("block", "bucket", "units").repartition(buckets, "bucket")
+    sent = texts.mapInArrow(units_of_blocks, "block long, bucket int, units string")
+    asked = sent.repartition(buckets, "bucket")
     # The name differs from asked's, so that the two can meet below.
-    units = asked.select(F.col("bucket").alias("home"), F.explode("units").alias("word"))
+    words = F.split("units", " ", -1)
+    units = asked.select(F.col("bucket").alias("home"), F.col("units"), F.col("block")).select("home", F.explode(words).alias("word"))
     distinct = units.groupBy("home", "word").agg(F.count(F.lit(1)).alias("n"))
     short = distinct.select("home", F.concat(F.lit(BLANK), "word").alias("unit")).filter(F.length("unit") <= LONGEST_FOLDED)
     found = encoded_units(short, pieces, ["home", "unit"]).select("home", F.substr("unit", F.lit(2)).alias("unit"), "ids")
-    # A unit has few edges; grouping them by hash needs no sort of all of them.
-    with setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", GROUPED_AT_ONCE):
-        found = stored(found, "segmented-units", compression="zstd")
     replies = (
         asked.groupBy("bucket")
         .cogroup(found.groupBy("home"))
         .applyInArrow(answer, "block long, bucket int, sizes binary, ids binary")
     )
+    blocks = texts.mapInArrow(packed_blocks, "block long, docs binary")
     return (
-        packed.filter("bucket IS NULL")
-        .select("block", "docs")
-        .groupBy("block")
+        blocks.groupBy("block")
         .cogroup(replies.groupBy("block"))
         .applyInArrow(assemble, "doc_id long, ids array<int>, text binary")
     )

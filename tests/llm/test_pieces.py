@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from accountloom.llm import pieces
 from accountloom.llm.queries import op6_sentencepiece
@@ -108,6 +110,17 @@ def test_units_of_a_unigram_model_do_not_depend_on_length(spark):
         assert found[n] == pieces.encoded_units(unit(text), own, ["unit"]).first().ids
 
 
+def test_blocks_that_repeat_and_blocks_that_change(spark):
+    text = prose(3, 60)
+    docs = documents(spark, [(7, text)] * 40).repartition(4)
+    found = pieces.encoded(docs, block_bytes=100).collect()
+    assert [(r.doc_id, r.ids) for r in found] == [(7, LIBRARY.encode(text))] * 40
+    changing = F.udf(lambda t: f"{t} {time.time_ns()}").asNondeterministic()
+    random_order = documents(spark, [(i, prose(i, 9)) for i in range(30)]).withColumn("text", changing("text"))
+    with pytest.raises(Exception, match="store them first"):
+        pieces.encoded(random_order).collect()
+
+
 def test_session_settings_are_left_as_they_were(spark):
     name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
     before = spark.conf.get(name)
