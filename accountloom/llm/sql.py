@@ -12,6 +12,31 @@ def _crc32(text: str) -> str:
     )
 
 
+# -- op3: all windows by a 128-bit digest, each with the least document that has it ---------------
+
+_NO_ID = 2**63 - 1
+_OP3 = f"""
+        WITH d AS (SELECT row_number() OVER () AS k, coalesce(doc_id, {_NO_ID}) AS own, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        w AS MATERIALIZED (
+            SELECT k, own, unnest(range(n)) AS i, unnest(list_transform(range(n), lambda i: md5_number(substring(x, 2 * i + 1, 100)))) AS s
+            FROM (SELECT k, own, x, greatest(len(x) // 2 - 49, 0) AS n FROM d)
+        ), h AS (
+            SELECT k, i FROM w JOIN (SELECT s, min(own) AS least FROM w GROUP BY s HAVING count(*) > 1) USING (s) WHERE least < own
+        ), g AS (
+            SELECT k, i, sum(new) OVER (PARTITION BY k ORDER BY i) AS g
+            FROM (SELECT k, i, CASE WHEN i - lag(i) OVER (PARTITION BY k ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM (SELECT DISTINCT k, i FROM h))
+        ), s AS (
+            SELECT k, a, e, lag(e, 1, 0) OVER (PARTITION BY k ORDER BY a) AS before
+            FROM (SELECT k, min(i) AS a, max(i) + 50 AS e FROM g GROUP BY k, g)
+        ), t AS (
+            SELECT k, sum(e - a)::BIGINT AS n_removed, count(*) AS n_spans,
+                string_agg(substring(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substring(any_value(x), 2 * max(e) + 1) AS kept
+            FROM s JOIN d USING (k) GROUP BY k
+        )
+        SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+            sha256(unhex(coalesce(kept, x))) AS kept_sha256
+        FROM d LEFT JOIN t USING (k)"""
+
 # -- op11: a fold over each conversation's rows; a state holds its cost, edits and lines ---------
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -128,6 +153,7 @@ _OP12 = f"""
         FROM p LEFT JOIN s USING (k) LEFT JOIN t USING (k)"""
 
 ORACLES = {
+    "op3_suffix_dedup": _OP3,
     "op11_conversation_repair": _OP11,
     "op12_periodic_runs": _OP12,
     "op2_warc": """
