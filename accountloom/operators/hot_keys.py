@@ -9,7 +9,9 @@ are merged in two steps. Only the keys that a sketch proposes are counted exactl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
@@ -30,6 +32,12 @@ _NOT_MORE = {
 _MOST_PACKED = 1100
 
 
+@lru_cache(maxsize=1024)
+def _counted(spark: SparkSession, names: tuple[str, ...], size: int) -> int:
+    """Rows of some files, kept while their names and size stay; a stale count costs balance only."""
+    return spark.read.parquet(*names).count()
+
+
 def _footer_rows(df: DataFrame, node) -> int | None:
     """Rows of the files of a scan. Parquet counts without reading a data page."""
     relation = node.relation()
@@ -38,10 +46,10 @@ def _footer_rows(df: DataFrame, node) -> int | None:
     form = relation.fileFormat().toString().lower()
     if form in ("csv", "text", "json"):
         return int(relation.sizeInBytes()) * _MOST_PACKED
-    names = list(relation.location().inputFiles())
+    names = tuple(relation.location().inputFiles())
     if form != "parquet" or len(names) > MOST_FILES:
         return None
-    return df.sparkSession.read.parquet(*names).count() if names else 0
+    return _counted(df.sparkSession, names, int(relation.sizeInBytes())) if names else 0
 
 
 def _bound(df: DataFrame, node) -> int | None:

@@ -61,10 +61,13 @@ def refresh(
 
     The staging views must exist. Returns the number of customers concerned. Days to
     renewal count from as_of, also in rows that are taken over. The core tables must have
-    been built from all days (and remember() called) or by this function.
+    been built from all days (and remember() called) or by this function. Days that no raw
+    table has any more are included, whether or not they are named.
     """
     warehouse.create_table(spark, database, TABLE, KEY_COLUMNS)
-    days = sorted({run_date(d) for d in days})
+    raw = reduce(DataFrame.unionAll, [warehouse.stored_days(spark, database, f"raw_{e}") for e in SOURCES])
+    gone = [r[0] for r in warehouse.stored_days(spark, database, TABLE).exceptAll(raw.distinct()).collect()]
+    days = sorted({run_date(d) for d in [*days, *gone]})
     staged = {e: spark.table(f"{database}.stg_{e}") for e in (*SOURCES, "contacts")}
     before = within_days(spark.table(f"{database}.{TABLE}"), days[0], days[-1]).filter(F.col(DAY).isin(days))
     after = _stored(_keys(staged, days), "keys")
@@ -79,4 +82,5 @@ def refresh(
     warehouse.replace_core(models, database)
     for day in days:
         warehouse.replace_day(within_days(after, day, day).select(KEY_COLUMNS), database, TABLE, day)
+    warehouse.drop_days(spark, database, TABLE, gone)
     return changed.count()

@@ -110,22 +110,15 @@ def build_models(
 
 def drop_expired(
     spark: SparkSession, base: str, database: str, as_of: dt.date | str, days: int
-) -> list[dt.date]:
-    """Delete what is `days` old or older, from both zones and from every table.
-
-    Returns the days that the raw tables have lost.
-    """
+) -> None:
+    """Delete what is `days` old or older, from both zones and from every table."""
     landing.drop_expired_folders(spark, base, as_of, days)
-    expired: set[dt.date] = set()
-    for name in [f"raw_{e}" for e in ENTITIES]:
-        expired.update(warehouse.drop_expired_days(spark, database, name, as_of, days))
     warehouse.create_core_tables(spark, database)
-    for name in CORE_COLUMNS:
+    for name in [f"raw_{e}" for e in ENTITIES] + list(CORE_COLUMNS):
         warehouse.drop_expired_days(spark, database, name, as_of, days)
     for part in (sums, bitmaps):
         part.create_table(spark, database)
         part.drop_expired(spark, database, as_of, days)
-    return sorted(expired)
 
 
 def run_day(
@@ -149,9 +142,10 @@ def run_day(
 
     The core tables are refreshed for this day; all_days rebuilds them from all stored
     days, and changed_only gives the same by building anew only the customers of this day
-    and of the days that expire. With retain_days, what is older on this day is deleted at the end. A run with a
-    run_id may be repeated after a failure, and goes on where it stopped. options are
-    those of landing.read_source.
+    and of the days that expire. With retain_days, what is older on this day is deleted at
+    the end (with changed_only, before the core tables are refreshed). A run with a run_id
+    may be repeated after a failure, and goes on where it stopped. options are those of
+    landing.read_source.
     """
     size_for(spark, stored_bytes(spark, *inputs.values()))
     ledger = Ledger(spark, base, run_id) if run_id else None
@@ -169,10 +163,9 @@ def run_day(
     step("load", lambda: load_day(spark, base, day, database, reload, ledger))
 
     def model() -> None:
-        changed = None
-        if changed_only:
-            gone = [] if retain_days is None else drop_expired(spark, base, database, day, retain_days)
-            changed = [day, *gone]
+        if changed_only and retain_days is not None:
+            drop_expired(spark, base, database, day, retain_days)
+        changed = [day] if changed_only else None
         build_models(spark, database, as_of, None if all_days else day, warehouse_text, changed)
 
     step("models", model)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -284,6 +284,26 @@ def row_counts(spark: SparkSession, database: str, tables: list[str]) -> DataFra
     return result
 
 
+def stored_days(spark: SparkSession, database: str, name: str) -> DataFrame:
+    """The days of a table, from the catalog's partition list; rows without a day have none here."""
+    listed = spark.sql(f"SHOW PARTITIONS {_holder(spark, database, name)}").select(
+        F.split("partition", "=")[1].try_cast("date").alias(DAY)
+    )
+    return listed.filter(F.col(DAY).isNotNull())
+
+
+def drop_days(spark: SparkSession, database: str, name: str, days: Iterable[dt.date]) -> None:
+    """Drop days of a table, and their files; no data is read or rewritten."""
+    table, folder = _holder(spark, database, name), _folder(spark, database, name)
+    replaced = versions.finished(spark, folder)
+    for day in map(dt.date.isoformat, days):
+        place = _day_location(spark, table, day)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_day_spec(day)}")
+        # A table put back over its files does not own them.
+        for path in {place, f"{folder}/{DAY}={day}", *(v.path for v in replaced if v.of == day)} - {None}:
+            files.delete(spark, path)
+
+
 def drop_expired_days(
     spark: SparkSession,
     database: str,
@@ -293,20 +313,9 @@ def drop_expired_days(
 ) -> list[dt.date]:
     """Drop the day partitions that retain() would not keep, and return their days.
 
-    Works on the catalog's partition list, a row per day; no data is read or
-    rewritten. Rows without a day have no age and stay.
+    Rows without a day have no age and stay.
     """
-    table, folder = _holder(spark, database, name), _folder(spark, database, name)
-    listed = spark.sql(f"SHOW PARTITIONS {table}").select(
-        F.split("partition", "=")[1].try_cast("date").alias(DAY)
-    )
-    dated = listed.filter(F.col(DAY).isNotNull())
-    replaced = versions.finished(spark, folder)
+    dated = stored_days(spark, database, name)
     expired = sorted(row[DAY] for row in dated.exceptAll(retain(dated, as_of, days)).collect())
-    for day in map(dt.date.isoformat, expired):
-        place = _day_location(spark, table, day)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_day_spec(day)}")
-        # A table put back over its files does not own them.
-        for path in {place, f"{folder}/{DAY}={day}", *(v.path for v in replaced if v.of == day)} - {None}:
-            files.delete(spark, path)
+    drop_days(spark, database, name, expired)
     return expired

@@ -54,10 +54,9 @@ def test_any_sequence_of_days_gives_what_a_full_refresh_gives(spark, database, s
     for step in range(4):
         day, action = rng.choice(DAYS), rng.choice(["append", "reload", "two", "drop"])
         if action == "drop":
-            gone = {d for e in ENTITIES for d in warehouse.drop_expired_days(spark, database, f"raw_{e}", DAYS[-1], rng.randint(1, 3))}
-            for model in CORE_COLUMNS:
-                warehouse.drop_expired_days(spark, database, model, DAYS[-1], 3)
-            changed = sorted(gone) or [day]
+            for name in [f"raw_{e}" for e in ENTITIES]:
+                warehouse.drop_expired_days(spark, database, name, DAYS[-1], 2)
+            changed = [day]
         else:
             load = warehouse.reload_raw if action == "reload" else warehouse.append_raw
             load(part(small, day, 100 * seed + step), database, *([day] if action == "reload" else []))
@@ -80,6 +79,19 @@ def test_only_the_concerned_are_built_anew_and_renewals_count_from_the_new_day(s
     check(spark, database, "2002-03-01")
 
 
+def test_days_that_are_gone_need_not_be_named(spark, database, small):
+    warehouse.create_raw_tables(spark, database)
+    for n in range(3):
+        warehouse.append_raw(part(small, DAYS[n], n), database)
+    daily.build_models(spark, database, AS_OF)
+    for entity in ENTITIES:
+        warehouse.drop_days(spark, database, f"raw_{entity}", DAYS[:2])
+    for _ in range(2):
+        daily.build_models(spark, database, AS_OF, changed_days=[DAYS[2]])
+        check(spark, database)
+    assert [r[0] for r in warehouse.stored_days(spark, database, changes.TABLE).collect()] == [DAYS[2]]
+
+
 def test_a_run_by_change_equals_a_run_over_all_days(spark, folder, database):
     inputs = Layers(spark, TESTDATA).source_files()
     for day in ("2024-12-01", "2024-12-31", "2025-01-01"):
