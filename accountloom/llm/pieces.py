@@ -427,6 +427,12 @@ def encoded(
             name, data = _named(_texts(batch)), _packed(batch)
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([data], pa.binary())], names=["block", "docs"])
 
+    def distinct(key: tuple, rows: pa.Table) -> pa.Table:
+        units = {u for x in rows.column("units").to_pylist() for u in x.split(" ") if len(u) < LONGEST_FOLDED}
+        return pa.table(
+            {"home": pa.array([key[0].as_py()] * len(units), pa.int32()), "unit": pa.array([BLANK + u for u in units], pa.string())}
+        )
+
     def answer(key: tuple, rows: pa.Table, found: pa.Table) -> pa.Table:
         known = {
             unit: np.array(ids, kind).tobytes()
@@ -478,11 +484,10 @@ def encoded(
 
     sent = texts.mapInArrow(units_of_blocks, "block long, bucket int, units string")
     asked = sent.repartition(buckets, "bucket")
-    # The name differs from asked's, so that the two can meet below.
-    words = F.split("units", " ", -1)
-    units = asked.select(F.col("bucket").alias("home"), F.col("units"), F.col("block")).select("home", F.explode(words).alias("word"))
-    distinct = units.groupBy("home", "word").agg(F.count(F.lit(1)).alias("n"))
-    short = distinct.select("home", F.concat(F.lit(BLANK), "word").alias("unit")).filter(F.length("unit") <= LONGEST_FOLDED)
+    # The name differs from asked's, so that the two can meet below. All columns pass, so
+    # that both uses of what is dealt by bucket share one exchange. Units are dealt again by
+    # what they were dealt by, as the edges need to know it.
+    short = asked.groupBy("bucket").applyInArrow(distinct, "home int, unit string").repartition(buckets, "home")
     found = encoded_units(short, pieces, ["home", "unit"]).select("home", F.substr("unit", F.lit(2)).alias("unit"), "ids")
     replies = (
         asked.groupBy("bucket")
