@@ -90,11 +90,14 @@ _OP11 = f"""
             SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
                 CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
             FROM (SELECT *, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM k)
-        ), r AS (
-            SELECT *, row_number() OVER w AS i, lag(role) OVER w AS before, trim(text, {_SPACES}) AS t,
-                row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again
+        ), o AS (
+            SELECT *, row_number() OVER w AS i
             FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
                 sha256(coalesce(conv_id::VARCHAR, '') || ':' || strlen(role) || ':' || role || text))
+        ), r AS (
+            SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before, trim(text, {_SPACES}) AS t,
+                row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again
+            FROM o
         ), f AS (
             SELECT *, CASE WHEN t = '' THEN 'blank' WHEN again THEN 'duplicate'
                 WHEN t[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
