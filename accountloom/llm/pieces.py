@@ -39,7 +39,7 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BLANK = "▁"
 # So much text has at most some 80,000 distinct units, whose edges a task groups.
 BUCKET_BYTES = 640 * 1024
-BLOCK_BYTES = 16 * 1024 * 1024
+BLOCK_BYTES = 8 * 1024 * 1024
 # A place, also that after the last, has a bit of a positive 64-bit number; longer units are segmented by a loop in the task.
 LONGEST_FOLDED = 60
 
@@ -394,7 +394,7 @@ def encoded(
     docs needs doc_id and text; other columns are ignored. A null or empty text has no
     ids. A blank character of the model in a text counts as a space. Repeated rows are
     encoded alike, rows without an id too; an empty table gives no rows. A block of texts
-    (16 MB, or one longer text) and its units are in memory at once. docs has to give
+    (8 MB, or one longer text) and its units are in memory at once. docs has to give
     the same batches when it is read again, as files do; otherwise this raises.
     """
     spark = prepare(docs.sparkSession)
