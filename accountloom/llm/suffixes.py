@@ -95,7 +95,7 @@ class Anchors:
         long = length >= depth
         np.add.at(valid, block.starts[long], 1)
         np.add.at(valid, block.ends[long] - depth + 1, -1)
-        valid = np.cumsum(valid)[: len(data)] > 0
+        valid = np.cumsum(valid, out=valid)[: len(data)] > 0
         parts = [self._slice(data, valid, at, depth, gram) for at in range(0, len(data), AT_ONCE)]
         parts = parts or [(np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)]
         self.at, self.first, self.last, self.gram = (np.concatenate(x) for x in zip(*parts))
@@ -112,7 +112,8 @@ class Anchors:
         place = least.astype(np.int64)
         new = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
         ends = np.r_[new[1:], len(place)] - 1
-        return place[new] + at, here[new] + at, here[ends] + at, hashes[place[new]]
+        # Minima are small numbers; mixed once more, one to one, they spread evenly over the buckets.
+        return place[new] + at, here[new] + at, here[ends] + at, _mixed(hashes[place[new]])
 
 
 def _five_bytes(values: np.ndarray) -> bytes:
@@ -305,22 +306,36 @@ class Candidates:
         self.first, self.last = anchors.first[kept], anchors.last[kept]
         self.doc = block.ids[anchors.doc[kept]]
         place = anchors.at[kept] - self.first
+        grams = anchors.gram[kept]
+        # Equal strings have equal grams, so the strings of one gram are all that is held.
         number: dict[tuple, int] = {}
+        firsts: list[int] = []
         text, string = anchors.text, np.empty(len(kept), np.int64)
-        spans = zip(self.first.tolist(), (self.last + depth).tolist(), place.tolist())
-        for i, (a, b, at) in enumerate(spans):
-            string[i] = number.setdefault((text[a:b], at), len(number))
+        new = np.r_[True, grams[1:] != grams[:-1]][: len(grams)]
+        spans = zip(self.first.tolist(), (self.last + depth).tolist(), place.tolist(), new.tolist())
+        for i, (a, b, at, is_new) in enumerate(spans):
+            if is_new:
+                number.clear()
+            found = number.setdefault((text[a:b], at), len(firsts))
+            if found == len(firsts):
+                firsts.append(i)
+            string[i] = found
+        one = np.array(firsts, np.int64)
+        self._text, self._from, self._to = text, self.first[one], self.last[one] + depth
         self.string = string
-        self.texts = [key[0] for key in number]
-        self.places = np.array([key[1] for key in number], np.uint8)
-        self.counts = np.array([len(x) - depth + 1 for x in self.texts], np.uint8)
-        self.least = np.full(len(number), NO_ID)
+        self.places = place[one].astype(np.uint8)
+        self.counts = (self.last[one] - self.first[one] + 1).astype(np.uint8)
+        self.least = np.full(len(one), NO_ID)
         np.minimum.at(self.least, string, self.doc)
-        self.grams = np.empty(len(number), np.uint64)
-        self.grams[string] = anchors.gram[kept]
+        self.grams = grams[one]
         # Strings are numbered in the order of their grams, so buckets are runs.
         self.runs = slices(buckets_of(self.grams, buckets).astype(np.int64))
 
+    def text_of(self, a: int, b: int) -> bytes:
+        """The strings from number a to b, one after another."""
+        spans = zip(self._from[a:b].tolist(), self._to[a:b].tolist())
+        return b"".join([self._text[x:y] for x, y in spans])
+
 
 def _joined_replies(replies: pa.Table, kind: int) -> dict[int, bytes]:
     found = zip(
@@ -438,7 +453,7 @@ def without_repeats(
     def ask_windows(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
         _, found = candidates(rows, replies)
         runs = found.runs
-        texts = [b"".join(found.texts[a:b]) for _, a, b in runs]
+        texts = [found.text_of(a, b) for _, a, b in runs]
         # Half a gram's hash is enough to tell apart the grams of a bucket; where two
         # agree by chance, their strings' bytes do not.
         grams = found.grams.astype(np.uint32)
@@ -517,7 +532,7 @@ def without_repeats(
         hit = found.hot.repeated(_joined_replies(replies, 4))
         np.add.at(change, hit, 1)
         np.add.at(change, hit + depth, -1)
-        gone = np.cumsum(change[:-1]) > 0
+        gone = np.cumsum(change, out=change)[:-1] > 0
         data = np.frombuffer(b"".join(block.texts), np.uint8)
         kept, removed, spans = [], [], []
         for a, b in zip(block.starts.tolist(), block.ends.tolist()):

@@ -156,3 +156,16 @@ def test_gram_hashes_depend_on_the_bytes_alone(size):
     for i, h in enumerate(found.tolist()):
         assert by.setdefault(data[i : i + size].tobytes(), h) == h
     assert len(set(by.values())) == len(by)
+
+
+def test_grams_spread_evenly_over_the_buckets():
+    class Fake:
+        def __init__(self, text):
+            self.texts = [text]
+            self.ends = np.array([len(text)])
+            self.starts = np.array([0])
+
+    text = np.random.default_rng(5).integers(97, 123, 200_000, dtype=np.uint8).tobytes()
+    grams = suffixes.Anchors(Fake(text)).gram
+    sizes = np.bincount(suffixes.buckets_of(grams, 64).astype(np.int64), minlength=64)
+    assert sizes.max() < 1.5 * sizes.mean() and sizes.min() > 0.5 * sizes.mean()
