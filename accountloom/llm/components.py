@@ -12,21 +12,26 @@ from pyspark.sql import functions as F
 
 from accountloom.llm.common import stored
 
+# A round writes a file for so many edges, and no fewer than the least: a file costs its writer
+# time, on a local disk also processes, however little is in it.
+EDGES_PER_FILE = 1_000_000
+LEAST_FILES = 8
 
-def _join_least(pairs: DataFrame, label: str) -> DataFrame:
-    least = stored(pairs.groupBy("u").agg(F.min("v").alias("m")), label)
+
+def _join_least(pairs: DataFrame, label: str, files: int) -> DataFrame:
+    least = stored(pairs.groupBy("u").agg(F.min("v").alias("m")).coalesce(files), label)
     return pairs.join(least, "u")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, files: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    joined = _join_least(both, "large-star").withColumn("m", F.least("m", "u"))
+    joined = _join_least(both, "large-star", files).withColumn("m", F.least("m", "u"))
     return joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, files: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    joined = _join_least(down, "small-star")
+    joined = _join_least(down, "small-star", files)
     moved = joined.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(joined.select("u", F.col("m").alias("v"))).distinct()
 
@@ -48,5 +53,7 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (digest := _digest(now)) != before and digest[0]:
         before = digest
-        now = stored(_small_star(stored(_large_star(now), "edges")), "edges")
+        files = max(LEAST_FILES, -(-digest[0] // EDGES_PER_FILE))
+        for star in (_large_star, _small_star):
+            now = stored(star(now, files).coalesce(files), "edges")
     return now

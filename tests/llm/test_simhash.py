@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 import xxhash
 
+from accountloom.llm import components as stars
 from accountloom.llm import simhash
 from accountloom.llm.components import components
 from accountloom.llm.queries import op8_simhash
+from accountloom.settings import setting
 from tests.llm.support import SF, clashing, documents, prose
 
 
@@ -104,3 +106,22 @@ def test_components_of_a_path_a_hub_and_loops(spark):
     rows = spark.createDataFrame(path + hub + [(7, 7), (5000, 5000), (None, 3)], "u long, v long")
     found = {r.u: r.v for r in components(rows).collect()}
     assert found == {i: 0 for i in range(1, 41)} | {1001 + i: 1000 for i in range(300)}
+
+
+def test_rounds_write_few_files_for_few_edges(spark, monkeypatch):
+    files = []
+
+    def stored(df, label, **options):
+        out = simhash.stored(df, label, **options)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(stars, "stored", stored)
+    rows = spark.createDataFrame([(i, i + 1) for i in range(200)], "u long, v long")
+    with (
+        setting(spark, "spark.sql.shuffle.partitions", "32"),
+        setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"),
+    ):
+        found = {r.u: r.v for r in components(rows).collect()}
+    assert found == {i: 0 for i in range(1, 201)}
+    assert max(files[1:]) <= stars.LEAST_FILES
