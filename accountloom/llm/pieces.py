@@ -1,7 +1,9 @@
 """SentencePiece encoding and decoding as relations.
 
-A text is units: a word with the blanks before it. Each distinct unit is a lattice: its
-substrings of bounded length are exploded and joined to the piece table, the edges
+A text is units: a word with the blanks before it, for a byte-pair model cut further
+wherever no piece holds the two bytes that meet there. No merge passes such a place, so what
+lies on one side has the same ids whatever lies on the other. Each distinct unit is a lattice:
+its substrings of bounded length are exploded and joined to the piece table, the edges
 found are grouped by unit, and a higher-order aggregate folds them to the unit's
 segmentation. For a unigram model the fold is Viterbi's: the best sum of scores up to
 each place. The given vocabulary is a byte-pair model, for which that sum gives other
@@ -26,6 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,8 +40,8 @@ from accountloom.llm.common import prepare
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BLANK = "▁"
-# So much text has at most some 80,000 distinct units, whose edges a task groups.
-BUCKET_BYTES = 640 * 1024
+# So much text has at most some 260,000 distinct units, whose edges a task groups.
+BUCKET_BYTES = 2 * 1024 * 1024
 BLOCK_BYTES = 8 * 1024 * 1024
 # A place, also that after the last, has a bit of a positive 64-bit number; longer units are segmented by a loop in the task.
 LONGEST_FOLDED = 60
@@ -72,6 +75,21 @@ class Pieces:
     def longest(self) -> int:
         return max(len(n) for n, ok in zip(self.names, self.normal) if ok)
 
+    def joins(self) -> np.ndarray:
+        """Whether a unit goes on from one byte to the next, by both as one number; a blank counts as a space.
+
+        A byte-pair model's units end where no piece holds both, any other's at a blank after a word.
+        """
+        told = np.full((256, 256), not self.merges)
+        if self.merges:
+            names = [n.replace(BLANK, " ").encode() for n, ok in zip(self.names, self.normal) if ok]
+            data = np.frombuffer(b"\xff".join(names), np.uint8)
+            told[data[:-1], data[1:]] = True
+        else:
+            told[:, ord(" ")] = np.arange(256) == ord(" ")
+        told[:, 0x80:0xC0] = True  # no character is cut
+        return told.reshape(-1)
+
     def table(self, spark: SparkSession) -> DataFrame:
         """Rows (piece, id, score, rank, odd); as many as the vocabulary has, whatever the corpus.
 
@@ -323,34 +341,83 @@ class LongUnits:
         return [part for part in parts if part is not None]
 
 
-def _cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Where each text's units end, the units as numbers, and the distinct units by number.
+def _spans(strings: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the strings start, with the end of the last, and their bytes."""
+    held = strings.combine_chunks() if isinstance(strings, pa.ChunkedArray) else strings
+    held = held.cast(pa.large_binary())
+    if not len(held):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    _, starts, data = held.buffers()
+    starts = np.frombuffer(starts, np.int64)[held.offset : held.offset + len(held) + 1]
+    return starts - starts[0], np.frombuffer(data or b"", np.uint8)[starts[0] : starts[-1]]
 
-    Every unit begins with a blank, which is left out here.
-    """
-    flat: list[str] = []
-    ends = []
-    for text in texts:
-        if text:
-            words = text.split(" ")
-            if "" in words or BLANK in text:
-                words = [u[1:] for u in units_of(text)]
-            flat += words
-        ends.append(len(flat))
-    coded = pa.array(flat, pa.large_string()).dictionary_encode()
-    return np.array(ends, np.int64), coded.indices.to_numpy(), coded.dictionary.to_pylist()
-
-
-def _asked(units: list[str], buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+
+def _strings(starts: np.ndarray, data: np.ndarray) -> pa.Array:
+    starts = np.ascontiguousarray(starts, np.int64)
+    buffers = [None, pa.py_buffer(starts), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, buffers)
+
+
+def _cut(texts: pa.Array, joins: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Where each text's units end, the units as numbers, and the distinct units by number; blanks are spaces."""
+    none, blank = (pa.scalar(s, pa.large_string()) for s in ("", " "))
+    led = pc.if_else(pc.equal(texts, none), none, pc.binary_join_element_wise(blank, texts, none))
+    if pc.any(pc.match_substring(led, BLANK)).as_py():
+        led = pc.replace_substring(led, BLANK, " ")
+    bounds, data = _spans(led)
+    begins = np.ones(len(data) + 1, bool)
+    pairs = data[:-1].astype(np.uint16) << 8 | data[1:]
+    np.logical_not(joins[pairs], out=begins[1 : len(data)])
+    begins[bounds] = True
+    starts = np.flatnonzero(begins)
+    coded = _strings(starts, data).dictionary_encode()
+    return np.searchsorted(starts, bounds[1:]), coded.indices.to_numpy(), coded.dictionary
+
+
+# Ends a unit among others; no text in UTF-8 holds this byte.
+END = 0xFF
+
+
+def _asked(units: pa.Array, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """The units' numbers in the order in which they are sent, and each bucket's share of them."""
-    hashes = np.array([xxhash.xxh64_intdigest(u) for u in units], np.uint64)
+    hashes = np.array([xxhash.xxh64_intdigest(u) for u in units.to_pylist()], np.uint64)
     order = np.argsort(hashes, kind="stable")
     return order, slices(buckets_of(hashes[order], buckets).astype(np.int64))
 
 
+def _sent(rows: pa.Table) -> tuple[np.ndarray, pa.Array]:
+    """Where each row's units start, with the end of the last, and the units."""
+    bounds, data = _spans(rows.column("units"))
+    ends = data == END
+    stops = np.flatnonzero(ends) + 1
+    starts = np.r_[0, stops - np.arange(1, len(stops) + 1)]
+    return np.searchsorted(stops, bounds, side="right"), _strings(starts, data[~ends])
+
+
+def _counted(sizes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A string per row with the sizes in its bounds: a byte each, after a byte 255 for every 255."""
+    each = sizes // 255 + 1
+    stops = np.r_[0, np.cumsum(each)]
+    out = np.full(stops[-1], 255, np.uint8)
+    out[stops[1:] - 1] = sizes % 255
+    return _strings(stops[bounds], out)
+
+
+def _sizes(counted: bytes) -> np.ndarray:
+    found = np.frombuffer(counted, np.uint8)
+    last = np.flatnonzero(found != 255)
+    return np.diff(np.cumsum(found, dtype=np.int64)[last], prepend=0)
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of runs of given starts and sizes, one run after the other, and where each begins among them."""
+    stops = np.r_[0, np.cumsum(sizes)]
+    return np.arange(stops[-1]) + np.repeat(starts - stops[:-1], sizes), stops
+
+
 def _packed(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -358,16 +425,21 @@ def _packed(batch: pa.RecordBatch) -> bytes:
 UNSTABLE = "the documents were not read in the same batches twice; store them first"
 
 
-def _named(texts: list[str]) -> int:
+def _named(texts: pa.Array) -> int:
     """A number for a block that tells it apart by its texts."""
-    whole = xxhash.xxh64()
-    for text in texts:
-        whole.update(f"{len(text)}:{text}")
+    bounds, data = _spans(texts)
+    whole = xxhash.xxh64(np.diff(bounds).tobytes())
+    whole.update(np.ascontiguousarray(data))
     return whole.intdigest() - (1 << 63)
 
 
-def _texts(batch: pa.RecordBatch | pa.Table) -> list[str]:
-    return [(t or b"").decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
+def _texts(batch: pa.RecordBatch | pa.Table) -> pa.Array:
+    column = batch.column("text")
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    try:
+        return column.cast(pa.large_string())
+    except pa.ArrowInvalid:
+        return pa.array([t.decode("utf-8", "replace") for t in column.to_pylist()], pa.large_string())
 
 
 def _joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -406,18 +478,22 @@ def encoded(
     buckets = max(LEAST_BUCKETS, -(-int(size) // bucket_bytes))
     kind = "<u2" if len(pieces.names) <= 65_536 else "<u4"
     wide = int(kind[2])
+    joins = pieces.joins()
 
     def units_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _joined(batches, block_bytes):
             texts = _texts(batch)
-            _, _, units = _cut(texts)
+            _, _, units = _cut(texts, joins)
             order, runs = _asked(units, buckets)
+            none, end = (pa.scalar(s, pa.large_binary()) for s in (b"", bytes([END])))
+            ended = pc.binary_join_element_wise(units.take(pa.array(order)), none, end)
+            starts, data = _spans(ended)
+            bounds = np.array([r[1] for r in runs] + [len(units)], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([_named(texts)] * len(runs), pa.int64()),
                     pa.array([r[0] for r in runs], pa.int32()),
-                    # No unit has a blank but its first, which is left out.
-                    pa.array([" ".join([units[i] for i in order[a:b]]) for _, a, b in runs], pa.string()),
+                    _strings(starts[bounds], data).cast(pa.binary()),
                 ],
                 names=["block", "bucket", "units"],
             )
@@ -428,30 +504,31 @@ def encoded(
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([data], pa.binary())], names=["block", "docs"])
 
     def distinct(key: tuple, rows: pa.Table) -> pa.Table:
-        units = {u for x in rows.column("units").to_pylist() for u in x.split(" ") if len(u) < LONGEST_FOLDED}
-        return pa.table(
-            {"home": pa.array([key[0].as_py()] * len(units), pa.int32()), "unit": pa.array([BLANK + u for u in units], pa.string())}
-        )
+        units = _sent(rows)[1].unique().cast(pa.string())
+        units = units.filter(pc.less_equal(pc.utf8_length(units), LONGEST_FOLDED))
+        home = pa.array(np.full(len(units), key[0].as_py(), np.int32))
+        return pa.table({"home": home, "unit": pc.replace_substring(units, " ", BLANK)})
 
     def answer(key: tuple, rows: pa.Table, found: pa.Table) -> pa.Table:
-        known = {
-            unit: np.array(ids, kind).tobytes()
-            for unit, ids in zip(found.column("unit").to_pylist(), found.column("ids").to_pylist())
-        }
-        long = LongUnits(pieces)
-        sizes, out = [], []
-        for units in (x.split(" ") for x in rows.column("units").to_pylist()):
-            for unit in units:
-                if unit not in known:
-                    known[unit] = np.array(long.ids(BLANK + unit), kind).tobytes()
-            sizes.append(np.array([len(known[u]) // wide for u in units], "<u4").tobytes())
-            out.append(b"".join([known[u] for u in units]))
+        bounds, units = _sent(rows)
+        known = pc.replace_substring(found.column("unit").combine_chunks(), BLANK, " ").cast(pa.large_binary())
+        lists = found.column("ids").combine_chunks()
+        sizes, ids = pc.list_value_length(lists).to_numpy(zero_copy_only=False), lists.flatten().to_numpy()
+        at = pc.index_in(units, value_set=known)
+        if at.null_count:
+            other = units.filter(at.is_null()).unique()
+            long = LongUnits(pieces)
+            more = [long.ids(u.decode().replace(" ", BLANK)) for u in other.to_pylist()]
+            sizes, ids = np.r_[sizes, [len(m) for m in more]], np.r_[ids, np.concatenate(more)]
+            at = pc.index_in(units, value_set=pa.concat_arrays([known, other]))
+        at, sizes = at.to_numpy(), sizes.astype(np.int64)
+        places, stops = _runs((np.cumsum(sizes) - sizes)[at], sizes[at])
         return pa.table(
             {
                 "block": rows.column("block"),
-                "bucket": pa.array([key[0].as_py()] * len(out), pa.int32()),
-                "sizes": pa.array(sizes, pa.binary()),
-                "ids": pa.array(out, pa.binary()),
+                "bucket": pa.array(np.full(rows.num_rows, key[0].as_py(), np.int32)),
+                "sizes": _counted(sizes[at], bounds).cast(pa.binary()),
+                "ids": _strings(stops[bounds] * wide, ids[places].astype(kind).view(np.uint8)).cast(pa.binary()),
             }
         )
 
@@ -465,30 +542,28 @@ def encoded(
 
     def block_ids(data: pa.Buffer, reply: dict[int, tuple[bytes, bytes]]) -> pa.Table:
         batch = pa.ipc.open_stream(data).read_all()
-        ends, codes, units = _cut(_texts(batch))
+        ends, codes, units = _cut(_texts(batch), joins)
         order, runs = _asked(units, buckets)
         if any(b not in reply for b, _, _ in runs):
             raise RuntimeError(UNSTABLE)
         sizes = np.zeros(len(units), np.int64)
-        sizes[order] = np.concatenate([np.frombuffer(reply[b][0], "<u4") for b, _, _ in runs] or [np.zeros(0, "<u4")])
-        values = np.concatenate([np.frombuffer(reply[b][1], kind) for b, _, _ in runs] or [np.zeros(0, kind)])
+        sizes[order] = _sizes(b"".join([reply[b][0] for b, _, _ in runs]))
+        values = np.frombuffer(b"".join([reply[b][1] for b, _, _ in runs]), kind)
         first = np.zeros(len(units), np.int64)
         first[order] = np.cumsum(sizes[order]) - sizes[order]
         # Each unit of the texts, in turn, as the run of its ids.
-        each = sizes[codes]
-        stops = np.cumsum(each)
-        at = np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(first[codes] - stops + each, each)
-        offsets = np.r_[0, np.r_[0, stops][ends]].astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[at].astype(np.int32)))
+        places, stops = _runs(first[codes], sizes[codes])
+        offsets = np.r_[0, stops[ends]].astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[places].astype(np.int32)))
         return pa.table({"doc_id": batch.column("doc_id"), "ids": ids, "text": batch.column("text")})
 
-    sent = texts.mapInArrow(units_of_blocks, "block long, bucket int, units string")
+    sent = texts.mapInArrow(units_of_blocks, "block long, bucket int, units binary")
     asked = sent.repartition(buckets, "bucket")
     # The name differs from asked's, so that the two can meet below. All columns pass, so
     # that both uses of what is dealt by bucket share one exchange. Units are dealt again by
     # what they were dealt by, as the edges need to know it.
     short = asked.groupBy("bucket").applyInArrow(distinct, "home int, unit string").repartition(buckets, "home")
-    found = encoded_units(short, pieces, ["home", "unit"]).select("home", F.substr("unit", F.lit(2)).alias("unit"), "ids")
+    found = encoded_units(short, pieces, ["home", "unit"])
     replies = (
         asked.groupBy("bucket")
         .cogroup(found.groupBy("home"))

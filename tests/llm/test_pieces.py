@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -126,3 +128,46 @@ def test_session_settings_are_left_as_they_were(spark):
     before = spark.conf.get(name)
     pieces.encoded(documents(spark, {1: "a"})).collect()
     assert spark.conf.get(name) == before
+
+
+def cut(texts, joins):
+    """Each text's units, as _cut finds them, and the distinct ones."""
+    ends, codes, units = pieces._cut(pa.array(texts, pa.large_string()), joins)
+    names = [u.decode().replace(" ", pieces.BLANK) for u in units.to_pylist()]
+    return [[names[i] for i in codes[a:b]] for a, b in zip([0, *ends], ends)], names
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abehnorstxéß ▁\n\t中あ🙂.,;$%19-\x00"), max_size=40), max_size=4))
+def test_units_end_only_where_no_merge_passes(texts):
+    long = pieces.LongUnits(LOADED)
+    for text, units in zip(texts, cut(texts, LOADED.joins())[0]):
+        assert "".join(units) == "".join(pieces.units_of(text))
+        assert [i for u in units for i in long.ids(u)] == LIBRARY.encode(text)
+
+
+def test_words_that_meet_without_a_blank_are_units_of_their_own():
+    words = sorted({w.lower() for w in prose(5, 400).split() if w.isalpha()})[:30]
+    texts = [f"{a}.\n{b},{i}%{j}" for i, a in enumerate(words) for j, b in enumerate(words)]
+    units = cut(texts, LOADED.joins())[1]
+    assert len(units) <= 2 * len(words) + 20
+    assert not any("\n" in u and len(u) > 1 for u in units)
+
+
+def test_units_of_a_unigram_model_end_at_blanks():
+    texts = [t or "" for t in TEXTS]
+    own = pieces.Pieces(["▁", "a"], [-1.0, -2.0], [True, True], 0, False)
+    assert cut(texts, own.joins())[0] == [pieces.units_of(t) for t in texts]
+
+
+def test_counts_of_ids_in_bytes():
+    sizes = np.array([0, 1, 254, 255, 256, 509, 510, 511, 70_000, 0, 3])
+    rows = pieces._counted(sizes, np.array([0, 4, 4, 11])).to_pylist()
+    assert [list(pieces._sizes(r)) for r in rows] == [list(sizes[:4]), [], list(sizes[4:])]
+
+
+def test_text_that_is_no_utf8(spark):
+    raw = [b"a\xff b", b"\xc3", b"x \xe2\x96 y", "▁ é".encode()]
+    docs = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(raw)], "doc_id long, text binary")
+    found = pieces.encoded(docs.withColumn("text", F.col("text").cast("string"))).collect()
+    assert {r.doc_id: r.ids for r in found} == {i: LIBRARY.encode(b.decode("utf-8", "replace")) for i, b in enumerate(raw)}
